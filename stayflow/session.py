@@ -1,0 +1,99 @@
+"""Spark session defaults and the shared folder used to cut lineage.
+
+Nothing here starts a server: the UI is off and the driver binds to loopback
+only when we build the session ourselves (tests, bench).  On a cluster the
+session comes from the platform and only the ``stayflow.*`` settings and the
+checkpoint folder are read from it.
+"""
+
+from __future__ import annotations
+
+import os
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+# Rows of one entity (person) above which its stay sequence is split across
+# tasks instead of being sorted inside one task (see operators/sequence.py).
+HOT_KEY_ROWS_CONF = "stayflow.hotKeyRows"
+HOT_KEY_ROWS_DEFAULT = 1_000_000
+
+
+def build_session(master: str | None = None, app: str = "stayflow",
+                  shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
+    """Local/test session with the settings the library is tuned for."""
+    b = SparkSession.builder.appName(app)
+    if master:
+        b = b.master(master)
+    conf = {
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.driver.host": "127.0.0.1",
+        "spark.driver.bindAddress": "127.0.0.1",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.driver.memory": "16g",
+    }
+    conf.update(extra or {})
+    for k, v in conf.items():
+        b = b.config(k, v)
+    spark = b.getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
+def hot_key_rows(spark: SparkSession) -> int:
+    return int(spark.conf.get(HOT_KEY_ROWS_CONF, str(HOT_KEY_ROWS_DEFAULT)))
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the shared checkpoint folder named by the cluster.
+
+    ``spark.checkpoint.dir`` is read from the session; only when it is unset
+    (local runs and tests) a private folder is created and registered.
+    """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if current:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
+        return sc.getCheckpointDir() or current
+    local = tempfile.mkdtemp(prefix="stayflow-ckpt-")
+    sc.setCheckpointDir(local)
+    spark.conf.set("spark.checkpoint.dir", local)
+    return sc.getCheckpointDir() or local
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh, unique path under the shared checkpoint folder."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back.
+
+    Cuts lineage so a lost executor only recomputes from the written table,
+    and lets several queries read one result (the reference's CTAS tables).
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local")
+
+
+def env_cpus(default: int = 8) -> int:
+    try:
+        return int(os.environ.get("BENCH_CPUS", default))
+    except ValueError:
+        return default
