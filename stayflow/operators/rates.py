@@ -20,12 +20,16 @@ def ratio(num: Column | str, den: Column | str) -> Column:
     return F.try_divide(n.cast("double"), d.cast("double"))
 
 
-def percent_2dp(num: Column | str, den: Column | str) -> Column:
+def hundredths_of_percent(num: str, den: str) -> Column:
+    """ROUND(num / den * 100, 2) * 100 as an exact integer (half up), for
+    non-negative integer columns; NULL when den is 0."""
+    n, d = f"CAST(`{num}` AS BIGINT)", f"CAST(`{den}` AS BIGINT)"
+    return F.when(F.col(den) != 0, F.expr(f"({n} * 20000 + {d}) div ({d} * 2)"))
+
+
+def percent_2dp(num: str, den: str) -> Column:
     """ROUND(num / den * 100, 2), half up, computed exactly on integers."""
-    n = (F.col(num) if isinstance(num, str) else num).cast("long")
-    d = (F.col(den) if isinstance(den, str) else den).cast("long")
-    hundredths = (n * F.lit(20000) + d) / (d * F.lit(2))
-    return F.when(d != 0, F.floor(hundredths).cast("double") / F.lit(100.0))
+    return hundredths_of_percent(num, den).cast("double") / F.lit(100.0)
 
 
 def _distinct_claim_counts(joined: DataFrame, keys: list[str], claim: str) -> DataFrame:
