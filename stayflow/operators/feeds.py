@@ -48,8 +48,8 @@ def rate_scaled(df: DataFrame, range_df: DataFrame, *, rate: str = "readmission_
     The range is one row; it enters as two scalar subqueries, evaluated once,
     so no join and no single-partition window is needed.
     """
-    lo = range_df.select("min_rate").scalar()
-    hi = range_df.select("max_rate").scalar()
+    rng = range_df.select(F.struct("min_rate", "max_rate")).scalar()
+    lo, hi = rng.getField("min_rate"), rng.getField("max_rate")
     x = F.col(rate).cast("double")
     return df.withColumn(out, F.when(hi > lo, (x - lo) / (hi - lo)).otherwise(F.lit(0.0)))
 

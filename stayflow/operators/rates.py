@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from ..rules import RuleSet
 from ..schemas import BeneCols, ClaimCols, StateCols
 from .codes import with_icd10
-from .stays import exclude_ids, flagged_claim_ids, measured_index_stays, planned_stays, stay_sequences
-
-FLAGGED = "__flagged"
-
+from ..functions.codes import planned_code
+from ..functions.dates import in_years
+from .sequence import Track, previous_in_sequence
+from .stays import (FLAG_PREV, IS_COMPLETE, IS_MEASURED, MEASURED_PREV, index_condition,
+                    readmission_condition)
 
 def ratio(num: Column | str, den: Column | str) -> Column:
     """num / den as DOUBLE, NULL when den is 0 (never raises under ANSI)."""
@@ -32,18 +33,71 @@ def percent_2dp(num: str, den: str) -> Column:
     return hundredths_of_percent(num, den).cast("double") / F.lit(100.0)
 
 
-def _distinct_claim_counts(joined: DataFrame, keys: list[str], claim: str) -> DataFrame:
-    """COUNT(DISTINCT claim) and COUNT(DISTINCT flagged claim) per ``keys``.
-
-    One claim has one flag, so de-duplicating (keys, claim) first and then
-    counting replaces the two-distinct Expand (rows x 2) with two cheap
-    aggregates; the first is partial-aggregated map-side, so a hot claim id
-    or group cannot pile up in one task.
+def episode_counts(claims: DataFrame, bene: DataFrame, rules: RuleSet, groups: dict[str, str], *,
+                   flag_rules: RuleSet | None = None, c: ClaimCols = ClaimCols(),
+                   b: BeneCols = BeneCols(), measured: Column | None = None,
+                   exclude_planned: bool = True, with_year: bool = True,
+                   extra: list[str] | None = None, **seq_kw) -> DataFrame:
+    """COUNT(DISTINCT index claim) and COUNT(DISTINCT index claim that is also
+    a flagged claim) per group, groups = (year,) + beneficiary columns.
+
+    Semantics: index stays in the measured years (``rules``; ``measured``
+    narrows them, e.g. to a cohort), inner-joined to beneficiaries on the
+    person id, minus planned stays (SQL ``NOT IN``), left-joined by claim id
+    to the stays flagged over all complete stays (``flag_rules``).
+
+    Plan, with one consumer per stage so nothing is computed twice:
+    1. one shuffle by person: both previous stays (sequence.py) and, per
+       row, the index / flagged / planned tests;
+    2. one shuffle by person to attach the beneficiary groups (collapsed to
+       distinct values first);
+    3. one shuffle by claim id: per claim, any flagged row, any planned row
+       and the set of groups its index rows fall in -- a set bounded by the
+       number of output groups and combined map-side, so a claim id repeated
+       on many rows cannot pile up in one task;
+    4. explode and count per group (tiny).
     """
-    per_claim = joined.groupBy(*keys, claim).agg(F.max(FLAGGED).alias(FLAGGED))
-    return per_claim.groupBy(*keys).agg(
-        F.count(F.when(F.col(claim).isNotNull() & F.col(FLAGGED).isNotNull(), F.lit(1))).alias("readmissions"),
-        F.count(claim).alias("total_admissions"))
+    flag_rules = flag_rules or rules
+    complete = F.col(c.admit).isNotNull() & F.col(c.disch).isNotNull()
+    meas = in_years(c.admit, rules.years)
+    if measured is not None:
+        meas = meas & measured
+    use_planned = exclude_planned and rules.has_planned_rule
+    planned_row = planned_code(c.dx1, rules) if use_planned else F.lit(False)
+    cols = list(dict.fromkeys([c.person, c.claim, c.admit, c.disch, *c.dx[:9], *(extra or [])]))
+    src = (claims.where(complete | meas | planned_row)
+                 .select(*cols, F.coalesce(complete, F.lit(False)).alias(IS_COMPLETE),
+                         F.coalesce(meas, F.lit(False)).alias(IS_MEASURED),
+                         F.coalesce(planned_row, F.lit(False)).alias("__planned")))
+    seq_kw.setdefault("key_source", claims)
+    seq = previous_in_sequence(
+        src, c.person, [c.admit, c.claim],
+        [Track(F.col(IS_COMPLETE), {FLAG_PREV: F.col(c.disch)}),
+         Track(F.col(IS_MEASURED), {MEASURED_PREV: F.col(c.disch)})], **seq_kw)
+    is_index = F.col(IS_MEASURED) & F.coalesce(index_condition(rules, c, MEASURED_PREV), F.lit(False))
+    is_flag = F.col(IS_COMPLETE) & F.coalesce(readmission_condition(flag_rules, c, FLAG_PREV), F.lit(False))
+    rows = (seq.select(c.claim, c.person, F.year(c.admit).alias("year"), is_index.alias("__index"),
+                       is_flag.alias("__flag"), "__planned")
+               .where(F.col("__index") | F.col("__flag") | F.col("__planned")))
+    bc = bene.select(F.col(b.person).alias(c.person),
+                     *[F.col(src_col).alias(out) for out, src_col in groups.items()]).distinct() \
+             .withColumn("__b", F.lit(True))
+    j = rows.join(bc, c.person, "left")
+    keys = (["year"] if with_year else []) + list(groups)
+    in_group = F.col("__index") & F.col("__b").isNotNull()
+    per_claim = j.groupBy(c.claim).agg(
+        F.max("__flag").alias("__f"), F.max("__planned").alias("__p"),
+        F.collect_set(F.when(in_group, F.struct(*keys))).alias("__g"))
+    if use_planned:
+        pl = claims.where(planned_code(c.dx1, rules)).select(F.col(c.claim).alias("__id"))
+        st = pl.agg(F.struct(F.count(F.lit(1)).alias("n"),
+                             F.count_if(F.col("__id").isNull()).alias("n_null"))).scalar()
+        per_claim = per_claim.where((st.getField("n") == 0)
+                                    | (F.col(c.claim).isNotNull() & ~F.col("__p") & (st.getField("n_null") == 0)))
+    ex = per_claim.select(c.claim, "__f", F.explode("__g").alias("__k")).select(c.claim, "__f", "__k.*")
+    return ex.groupBy(*keys).agg(
+        F.count(F.when(F.col(c.claim).isNotNull() & F.col("__f"), F.lit(1))).alias("readmissions"),
+        F.count(c.claim).alias("total_admissions"))
 
 
 def readmission_rate(claims: DataFrame, bene: DataFrame, rules: RuleSet, *,
@@ -58,19 +112,8 @@ def readmission_rate(claims: DataFrame, bene: DataFrame, rules: RuleSet, *,
     with ``flag_rules``, default ``rules``).  Beneficiaries join on the person
     id only, so a person listed in two states counts in both.
     """
-    flag_rules = flag_rules or rules
-    seq = stay_sequences(claims, rules, c, **seq_kw)
-    index = measured_index_stays(seq, rules, c)
-    # Beneficiaries collapse to distinct (person, state, sex): distinct counts
-    # do not change and the fan-out per person is bounded by states x sexes.
-    bc = bene.select(F.col(b.person).alias(c.person), F.col(b.state).alias("__state"),
-                     F.col(b.sex).alias("__sex")).distinct()
-    j = index.join(bc, c.person)
-    if exclude_planned and rules.has_planned_rule:
-        j = exclude_ids(j, planned_stays(claims, rules, c), c.claim)
-    flagged = flagged_claim_ids(seq, flag_rules, c).select(c.claim, F.lit(1).alias(FLAGGED))
-    j = j.join(flagged, c.claim, "left")
-    counts = _distinct_claim_counts(j, ["year", "__state", "__sex"], c.claim)
+    counts = episode_counts(claims, bene, rules, {"__state": b.state, "__sex": b.sex},
+                            flag_rules=flag_rules, c=c, b=b, exclude_planned=exclude_planned, **seq_kw)
     return counts.select(
         F.col("year").cast("int").alias("year"),
         F.col("__state").alias(b.state), F.col("__sex").alias(b.sex),
@@ -108,19 +151,13 @@ def state_rates_for_cohort(claims: DataFrame, xwalk_min: DataFrame | None, bene:
     Output: state, total_readmissions, total_admissions, readmission_rate
     (fraction), highest rate first, optionally the first ``top_n``.
     """
-    flag_rules = flag_rules or rules
-    src = claims
-    extra = []
+    src, extra = claims, []
     if cohort is not None:
         if xwalk_min is not None:
             src = with_icd10(claims, xwalk_min, c, icd9=icd9, icd10=icd10)
         extra = [c.icd10]
-    seq = stay_sequences(src, rules, c, measured=cohort, extra=extra, **seq_kw)
-    index = measured_index_stays(seq, rules, c)
-    bc = bene.select(F.col(b.person).alias(c.person), F.col(b.state).alias("__state")).distinct()
-    flagged = flagged_claim_ids(seq, flag_rules, c).select(c.claim, F.lit(1).alias(FLAGGED))
-    j = index.join(bc, c.person).join(flagged, c.claim, "left")
-    by_code = _distinct_claim_counts(j, ["__state"], c.claim)
+    by_code = episode_counts(src, bene, rules, {"__state": b.state}, flag_rules=flag_rules, c=c, b=b,
+                             measured=cohort, exclude_planned=False, with_year=False, extra=extra, **seq_kw)
     st = state.select(F.col(s.code).alias("__code"), F.col(s.abbr).alias("state"))
     by_abbr = (by_code.join(st, F.col("__state") == F.col("__code"))
                       .groupBy("state")

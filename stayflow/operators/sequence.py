@@ -51,7 +51,8 @@ def _order_key(order: Sequence[str]) -> Column:
 
 def previous_in_sequence(df: DataFrame, entity: str, order: Sequence[str],
                          tracks: Sequence[Track], *, hot_key_rows: int | None = None,
-                         chunk_by: Sequence[str] | None = None) -> DataFrame:
+                         chunk_by: Sequence[str] | None = None,
+                         key_source: DataFrame | None = None) -> DataFrame:
     """Add, per track, the carried values of the nearest preceding member row.
 
     For each row r and track t, the output columns named in ``t.carry`` hold
@@ -63,6 +64,10 @@ def previous_in_sequence(df: DataFrame, entity: str, order: Sequence[str],
     ``stayflow.hotKeyRows`` setting; a negative value disables the split).
     ``chunk_by``: leading order columns that split a hot entity (default: the
     first order column).
+    ``key_source``: a cheaper DataFrame with the ``entity`` column and at least
+    as many rows per entity as ``df`` (e.g. the unfiltered source table); the
+    per-entity counts are taken from it.  Over-counting only marks more
+    entities hot, which is still exact, and the bound rows / threshold holds.
     """
     spark = df.sparkSession
     threshold = _conf_hot_key_rows(spark) if hot_key_rows is None else int(hot_key_rows)
@@ -87,7 +92,8 @@ def previous_in_sequence(df: DataFrame, entity: str, order: Sequence[str],
         out = base.select(*base_cols, *running(Window.partitionBy(entity).orderBy(*sort_cols)))
         return _expand(out, base_cols, tracks, pnames)
 
-    counts = base.groupBy(entity).agg(F.count(F.lit(1)).alias("__n"))
+    src_keys = key_source.select(entity) if key_source is not None else base.select(entity)
+    counts = src_keys.groupBy(entity).agg(F.count(F.lit(1)).alias("__n"))
     hot = (counts.where(F.col("__n") > F.lit(threshold))
            .select(F.col(entity).alias("__hk"), F.lit(True).alias("__hot")))
     # |hot| <= rows / threshold: a proven bound for the broadcast.

@@ -35,6 +35,7 @@ def stays_in_years(claims: DataFrame, years, c: ClaimCols = ClaimCols()) -> Data
 def prev_stay(claims: DataFrame, c: ClaimCols = ClaimCols(), **seq_kw) -> DataFrame:
     """Complete stays with the previous complete stay's discharge date and
     principal diagnosis (NULL for a person's first stay)."""
+    seq_kw.setdefault("key_source", claims)
     return previous_in_sequence(
         complete_stays(claims, c), c.person, _order(c),
         [Track(F.lit(True), {PREV_DISCHARGE: F.col(c.disch), PREV_DIAGNOSIS: F.col(c.dx1)})],
@@ -77,6 +78,7 @@ def index_stays(claims: DataFrame, rules: RuleSet, c: ClaimCols = ClaimCols(), *
     dates are kept, so the previous stay is the previous stay in the years.
     """
     s = stays_in_years(claims, rules.years, c)
+    seq_kw.setdefault("key_source", claims)
     p = previous_in_sequence(s, c.person, _order(c),
                              [Track(F.lit(True), {PREV_DISCHARGE: F.col(c.disch)})], **seq_kw)
     return (p.where(index_condition(rules, c))
@@ -98,10 +100,9 @@ def exclude_ids(df: DataFrame, ids: DataFrame, col: str, ids_col: str | None = N
     """
     ids_col = ids_col or col
     idv = ids.select(F.col(ids_col).alias("__id"))
-    stats = idv.agg(F.count(F.lit(1)).alias("n"),
-                    F.count_if(F.col("__id").isNull()).alias("n_null"))
-    n_all = stats.select("n").scalar()
-    n_null = stats.select("n_null").scalar()
+    stats = idv.agg(F.struct(F.count(F.lit(1)).alias("n"),
+                             F.count_if(F.col("__id").isNull()).alias("n_null"))).scalar()
+    n_all, n_null = stats.getField("n"), stats.getField("n_null")
     kept = df.join(idv.where(F.col("__id").isNotNull()), F.col(col) == F.col("__id"), "left_anti")
     return kept.where((n_all == F.lit(0)) | (F.col(col).isNotNull() & (n_null == F.lit(0))))
 
@@ -114,49 +115,9 @@ def exclude_planned(stays: DataFrame, claims: DataFrame, rules: RuleSet,
     return exclude_ids(stays, planned_stays(claims, rules, c), c.claim)
 
 
-# ---------------------------------------------------------------------------
-# One pass for both sequences of the rate.
-# ---------------------------------------------------------------------------
+# Column names used when both sequences of the rate come out of one pass
+# (see rates.episode_counts).
 FLAG_PREV = "__prev_dis_complete"
 MEASURED_PREV = "__prev_dis_measured"
-FLAG_PREV_DX = "__prev_dx_complete"
 IS_COMPLETE = "__complete"
 IS_MEASURED = "__measured"
-
-
-def stay_sequences(claims: DataFrame, rules: RuleSet, c: ClaimCols = ClaimCols(),
-                   measured: Column | None = None, extra: list[str] | None = None,
-                   **seq_kw) -> DataFrame:
-    """Claims annotated with the previous stay of two sequences at once.
-
-    * complete sequence (both dates present, all years) -> the flag;
-    * measured sequence (admitted in ``rules.years`` and ``measured``, NULL
-      discharges kept) -> the index-stay test.
-
-    One shuffle by person serves both, instead of one per sequence.
-    """
-    complete = F.col(c.admit).isNotNull() & F.col(c.disch).isNotNull()
-    meas = in_years(c.admit, rules.years)
-    if measured is not None:
-        meas = meas & measured
-    cols = list(dict.fromkeys([c.person, c.claim, c.admit, c.disch, *c.dx[:9], *(extra or [])]))
-    src = (claims.where(complete | meas)
-                 .select(*cols, F.coalesce(complete, F.lit(False)).alias(IS_COMPLETE),
-                         F.coalesce(meas, F.lit(False)).alias(IS_MEASURED)))
-    return previous_in_sequence(
-        src, c.person, _order(c),
-        [Track(F.col(IS_COMPLETE), {FLAG_PREV: F.col(c.disch)}),
-         Track(F.col(IS_MEASURED), {MEASURED_PREV: F.col(c.disch)})],
-        **seq_kw)
-
-
-def flagged_claim_ids(seq: DataFrame, rules: RuleSet, c: ClaimCols = ClaimCols()) -> DataFrame:
-    """Distinct non-null claim ids flagged in the complete sequence."""
-    return (seq.where(F.col(IS_COMPLETE) & readmission_condition(rules, c, FLAG_PREV)
-                      & F.col(c.claim).isNotNull())
-               .select(c.claim).distinct())
-
-
-def measured_index_stays(seq: DataFrame, rules: RuleSet, c: ClaimCols = ClaimCols()) -> DataFrame:
-    return (seq.where(F.col(IS_MEASURED) & index_condition(rules, c, MEASURED_PREV))
-               .select(c.claim, c.person, c.admit, F.year(c.admit).alias("year")))

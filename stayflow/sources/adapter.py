@@ -46,8 +46,18 @@ RULES = RuleSet(
 COHORT_PREFIXES = ("B", "C", "H", "N")
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The Parquet table ``name`` in ``sf_dir``; one DataFrame per session and
+    path, so its footer/schema is read once, like a catalog table."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def dx(spark: SparkSession, sf_dir: str) -> DataFrame:
