@@ -26,7 +26,7 @@ def parse_date(c: Column, fmt: str = SOURCE_DATE_FORMAT, on_error: str = "fail")
     """
     t = blank_to_null(c)
     if on_error == "null":
-        return F.try_to_date(t, F.lit(fmt))
+        return F.try_to_date(t, fmt)
     if on_error != "fail":
         raise ValueError(f"on_error must be 'fail' or 'null', got {on_error!r}")
     return F.to_date(t, fmt)

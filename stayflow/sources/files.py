@@ -23,12 +23,41 @@ def _paths(path: str | Sequence[str]) -> list[str]:
     return [path] if isinstance(path, str) else list(path)
 
 
+def _first_line(spark: SparkSession, path: str) -> str:
+    """First line of a file through the Hadoop file system API (any scheme)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    stream = hp.getFileSystem(conf).open(hp)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        line = reader.readLine()
+    finally:
+        stream.close()
+    return (line or "").lstrip("\ufeff").rstrip("\r")
+
+
 def read_csv_text(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """All columns as text by header name.  A folder reads every ``*.csv``
-    file in it as one scan (one plan, one task per file split)."""
-    return (spark.read.option("header", True).option("inferSchema", False)
-                 .option("pathGlobFilter", "*.csv").option("mode", "FAILFAST")
-                 .csv(_paths(path)))
+    """All columns as text, bound by header name in every file.
+
+    A folder reads every ``*.csv`` file in it.  Spark's CSV reader maps the
+    columns of all files by position from one header, so files are grouped by
+    their header line (only the first line of each file is read here) and each
+    group is one scan; groups are combined by column name.
+    """
+    listing = (spark.read.option("pathGlobFilter", "*.csv").text(_paths(path)).inputFiles())
+    files = sorted(listing)
+    if not files:
+        raise FileNotFoundError(f"no *.csv files under {path}")
+    groups: dict[str, list[str]] = {}
+    for f in files:
+        groups.setdefault(_first_line(spark, f), []).append(f)
+    out = None
+    for header, group in groups.items():
+        df = (spark.read.option("header", True).option("inferSchema", False)
+                   .option("mode", "FAILFAST").csv(group))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out
 
 
 def typed(col: str, dtype: T.DataType, on_error: str = "fail") -> Column:
