@@ -142,6 +142,9 @@ def cohort_rate_ctes(cond: str, cohort: str | None = COHORT, name: str = "cr") -
   GROUP BY s.state_abbr)"""
 
 
+LOADED_CLAIMS = """SELECT CAST(person_id AS VARCHAR) AS DESYNPUF_ID, CAST(claim_id AS VARCHAR) AS CLM_ID,
+    admit_dt AS CLM_ADMSN_DT, disch_dt AS NCH_BENE_DSCHRG_DT, pay_amt AS CLM_PMT_AMT,
+    d1 AS ICD9_DGNS_CD_1, d2 AS ICD9_DGNS_CD_2, d3 AS ICD9_DGNS_CD_3 FROM claims"""
 ACR_COLS = "person_id, claim_id, admit_dt, disch_dt, d1, prev_discharge_date, prev_diagnosis, is_readmission"
 RATE_COLS = ("year, state_code, sex, CAST(readmissions AS BIGINT) AS readmissions, "
              "CAST(total_admissions AS BIGINT) AS total_admissions, age_grp_id, condition_type_id, "
@@ -245,4 +248,15 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'state', count(*) FROM state
         UNION ALL SELECT 'all_cause_readmission', count(*) FROM acr""",
     "clustered_claims": _with() + "SELECT * FROM claims",
+    "reload_table": _with() + "SELECT * FROM claims",
+    "load_claims": _with() + LOADED_CLAIMS,
+    "load_beneficiaries": _with() + """SELECT CAST(person_id AS VARCHAR) AS DESYNPUF_ID,
+        lpad(CAST(state_code AS VARCHAR), 2, '0') AS SP_STATE_CODE, sex AS BENE_SEX_IDENT_CD,
+        CAST(NULL AS DATE) AS BENE_BIRTH_DT, CAST(NULL AS INTEGER) AS SP_CHF,
+        CAST(NULL AS DECIMAL(13,2)) AS MEDREIMB_IP FROM bene""",
+    "load_state": _with() + """SELECT state_name, lpad(CAST(state_code AS VARCHAR), 2, '0') AS sp_state_code,
+        state_abbr FROM state""",
+    "load_icd_crosswalk": _with() + "SELECT substring(icd9, 7, 2) AS icd9, icd10 FROM xwalk",
+    "load_icd10_descriptions": _with() + "SELECT code AS icd10_cm_code, trim(description) AS description FROM codes",
+    "stream_ingest_claims": _with() + LOADED_CLAIMS,
 }
