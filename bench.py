@@ -4,8 +4,8 @@
     BENCH_CPUS    local[N] threads (default 8)
 
 Each query is built from scratch and all its rows are fetched (as Arrow
-batches); one untimed warm-up run of the flagship query comes first so JVM
-start-up is not charged to the first query.
+batches).  Untimed warm-up runs on the smallest tables come first so JVM
+start-up and JIT compilation are not charged to the measured queries.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from stayflow.plans.catalog import BENCH_QUERIES, FLAGSHIP, QUERIES  # noqa: E402
+from stayflow.plans.catalog import BENCH_QUERIES, QUERIES  # noqa: E402
 from stayflow.session import build_session  # noqa: E402
 
 
@@ -26,7 +26,12 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = build_session(f"local[{cpus}]", app="stayflow-bench", shuffle_partitions=cpus)
-    QUERIES[FLAGSHIP](spark, sf_dir).toArrow()
+    # Warm-up: every headline query once on the smallest tables (JIT and code
+    # paths; nothing of the measured tables is read or cached).
+    warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
+    for _ in range(2):
+        for name in BENCH_QUERIES if os.path.isdir(warm_dir) else []:
+            QUERIES[name](spark, warm_dir).toArrow()
     times: dict[str, float] = {}
     rows: dict[str, int] = {}
     for name in BENCH_QUERIES:

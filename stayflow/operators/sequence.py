@@ -43,10 +43,14 @@ class Track:
     carry: dict[str, Column] = field(default_factory=dict)
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _order_key(order: Sequence[str]) -> Column:
     # Struct that sorts like ORDER BY c1 ASC NULLS LAST, c2 ASC NULLS LAST ...
-    return F.struct(*[F.struct(F.col(c).isNull().alias("n"), F.col(c).alias("v")).alias(f"k{i}")
-                      for i, c in enumerate(order)])
+    parts = ", ".join(f"struct(isnull({_q(c)}) AS n, {_q(c)} AS v) AS k{i}" for i, c in enumerate(order))
+    return F.expr(f"struct({parts})")
 
 
 def previous_in_sequence(df: DataFrame, entity: str, order: Sequence[str],
@@ -89,7 +93,7 @@ def previous_in_sequence(df: DataFrame, entity: str, order: Sequence[str],
         return [F.last(m, ignorenulls=True).over(frame).alias(p) for m, p in zip(mnames, pnames)]
 
     if threshold < 0:
-        out = base.select(*base_cols, *running(Window.partitionBy(entity).orderBy(*sort_cols)))
+        out = base.select("*", *running(Window.partitionBy(entity).orderBy(*sort_cols))).drop(*mnames)
         return _expand(out, base_cols, tracks, pnames)
 
     src_keys = key_source.select(entity) if key_source is not None else base.select(entity)
@@ -99,14 +103,14 @@ def previous_in_sequence(df: DataFrame, entity: str, order: Sequence[str],
     # |hot| <= rows / threshold: a proven bound for the broadcast.
     tagged = base.join(F.broadcast(hot), F.col(entity).eqNullSafe(F.col("__hk")), "left")
 
-    cold = tagged.where(F.col("__hot").isNull()).select(*base_cols, *mnames)
-    cold_out = cold.select(*base_cols, *running(Window.partitionBy(entity).orderBy(*sort_cols)))
+    cold = tagged.where(F.col("__hot").isNull()).drop("__hk", "__hot")
+    cold_out = cold.select("*", *running(Window.partitionBy(entity).orderBy(*sort_cols))).drop(*mnames)
 
-    hot_rows = tagged.where(F.col("__hot").isNotNull()).select(*base_cols, *mnames)
+    hot_rows = tagged.where(F.col("__hot").isNotNull()).drop("__hk", "__hot")
     wc = Window.partitionBy(entity, *chunk_by).orderBy(*[F.col(c).asc_nulls_last() for c in inner_order])
-    local = hot_rows.select(*base_cols, *running(wc) if inner_order else
+    local = hot_rows.select("*", *running(wc) if inner_order else
                             [F.lit(None).cast(hot_rows.schema[m].dataType).alias(p)
-                             for m, p in zip(mnames, pnames)])
+                             for m, p in zip(mnames, pnames)]).drop(*mnames)
     okey = _order_key(order)
     tails = hot_rows.groupBy(entity, *chunk_by).agg(*[
         F.max(F.when(F.col(m).isNotNull(), F.struct(okey.alias("o"), F.col(m).alias("v"))))
@@ -122,6 +126,7 @@ def previous_in_sequence(df: DataFrame, entity: str, order: Sequence[str],
         cond = cond & F.col(c).eqNullSafe(F.col(k))
     hot_out = local.join(chunk_prev, cond, "left").select(
         *base_cols, *[F.coalesce(F.col(p), F.col(f"__cp{i}")).alias(p) for i, p in enumerate(pnames)])
+    # (explicit column list: the join adds the chunk keys)
 
     return _expand(cold_out.unionByName(hot_out), base_cols, tracks, pnames)
 
@@ -130,7 +135,7 @@ def _expand(df: DataFrame, base_cols: list[str], tracks: Sequence[Track], pnames
     outs = []
     for t, p in zip(tracks, pnames):
         outs += [F.col(p).getField(n).alias(n) for n in t.carry]
-    return df.select(*base_cols, *outs)
+    return df.select("*", *outs).drop(*pnames)
 
 
 def lag_by_entity(df: DataFrame, entity: str, order: Sequence[str], carry: dict[str, Column],
