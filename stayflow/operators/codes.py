@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import code_category, cohort_predicate
@@ -69,3 +69,16 @@ def cohort_breadth(cohort_codes_df: DataFrame, k: CodeCols = CodeCols(),
     broad to filter on (the caller then uses all claims).  One row."""
     return (cohort_codes_df.agg(F.countDistinct(code_category(k.code)).alias("n_groups"))
                            .select("n_groups", (F.col("n_groups") >= F.lit(max_groups)).alias("too_broad")))
+
+
+def cohort_or_all(codes: DataFrame, cohort, claim_code_col: str, k: CodeCols = CodeCols(),
+                  max_groups: int = MAX_COHORT_GROUPS) -> Column:
+    """Claim predicate for a cohort that falls back to all claims when the
+    cohort is too broad (spans ``max_groups`` categories or more).
+
+    The breadth is a scalar subquery over the code table, so the choice is
+    made inside one plan -- no action on the driver.
+    """
+    breadth = cohort_breadth(cohort_codes(codes, cohort, k, claim_code_col), k, max_groups)
+    too_broad = breadth.select("too_broad").scalar()
+    return cohort_predicate(claim_code_col, cohort) | too_broad

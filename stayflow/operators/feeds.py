@@ -8,7 +8,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..rules import MAP_EXCLUDED_STATES
+from ..rules import DASHBOARD_RATE_RANGE, MAP_EXCLUDED_STATES
 from ..schemas import BeneCols, ClaimCols, StateCols
 from .rates import hundredths_of_percent
 
@@ -35,8 +35,13 @@ def state_map_feed(rates: DataFrame, state: DataFrame, *, s: StateCols = StateCo
 
 
 def rate_range(rates: DataFrame, *, rate: str = "readmission_rate",
-               default: tuple[float, float] = (0.0, 1.0)) -> DataFrame:
-    """Min and max of the non-null rates; ``default`` when there is none."""
+               default: tuple[float, float] = (0.0, 1.0), fixed: tuple[float, float] | None = None) -> DataFrame:
+    """Min and max of the non-null rates; ``default`` when there is none.
+    ``fixed`` (e.g. ``DASHBOARD_RATE_RANGE`` for the unfiltered view) gives
+    that range instead of measuring it."""
+    if fixed is not None:
+        return rates.sparkSession.range(1).select(F.lit(float(fixed[0])).alias("min_rate"),
+                                                  F.lit(float(fixed[1])).alias("max_rate"))
     return rates.agg(F.coalesce(F.min(F.col(rate).cast("double")), F.lit(float(default[0]))).alias("min_rate"),
                      F.coalesce(F.max(F.col(rate).cast("double")), F.lit(float(default[1]))).alias("max_rate"))
 
@@ -100,3 +105,18 @@ def label_rates(rates: DataFrame, gender: DataFrame, age_group: DataFrame, condi
                 .join(k, F.col("condition_type_id") == F.col("__k"), "left")
                 .join(st, F.col(b.state) == F.col("__s"), "left"))
     return out.drop("__g", "__a", "__k", "__s")
+
+
+# Column titles of the dashboard table.
+DASHBOARD_TITLES = {
+    "state": "State",
+    "total_readmissions": "Total Readmissions",
+    "total_admissions": "Total Admissions",
+    "readmission_rate": "Readmission Rate",
+}
+
+
+def with_titles(df: DataFrame, titles: dict[str, str] = DASHBOARD_TITLES) -> DataFrame:
+    """Rename result columns to display titles (spaces allowed)."""
+    return df.select(*[F.col(c).alias(titles.get(c, c)) for c in df.columns])
+

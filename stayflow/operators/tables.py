@@ -8,10 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import any_of
-from ..schemas import ClaimCols
+from ..schemas import ClaimCols, struct_of
 from ..session import scratch_path
 
 
+def empty_table(spark, columns) -> DataFrame:
+    """An empty DataFrame of a declared layout (list of (name, type))."""
+    return spark.createDataFrame([], struct_of(list(columns)))
+
+
 def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key values that occur more than once or contain a NULL, with counts."""
     keys = list(keys)

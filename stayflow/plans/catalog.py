@@ -32,6 +32,8 @@ NULL_SAFE = A.RULES.with_null_safe()
 GAP = A.RULES.gap_only()
 RATE_KEYS = ["year", B.state, B.sex, "age_grp_id", "condition_type_id"]
 CODE_PREFIX = "B"
+# A cohort naming every code letter: too broad, so all claims are used.
+BROAD_COHORT = tuple(chr(c) for c in range(ord("A"), ord("Z") + 1))
 
 
 class Inputs:
@@ -69,11 +71,12 @@ class Inputs:
     def state_rates(self, rules=GAP) -> DataFrame:
         return R.state_rates(self.rates(rules), self.state, b=B, s=ST)
 
-    def cohort_rates(self, flag_rules=STRICT, cohort=True, top_n=None) -> DataFrame:
+    def cohort_rates(self, flag_rules=STRICT, cohort=True, top_n=None, predicate=None) -> DataFrame:
         xw = K.crosswalk_min(self.xwalk, icd9=KC.icd9, icd10=KC.icd10)
+        pred = predicate if predicate is not None else (A.cohort_column(col=C.icd10) if cohort else None)
         return R.state_rates_for_cohort(
             self.claims, xw, self.bene, self.state, STRICT,
-            cohort=A.cohort_column(col=C.icd10) if cohort else None,
+            cohort=pred,
             flag_rules=flag_rules, top_n=top_n, c=C, b=B, s=ST, icd9=KC.icd9, icd10=KC.icd10)
 
 
@@ -192,6 +195,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "state_rates_for_cohort_null_safe": q(lambda i: i.cohort_rates(NULL_SAFE)),
     "state_rates_all_claims": q(lambda i: i.cohort_rates(STRICT, cohort=False)),
     "top_states_for_cohort": q(lambda i: i.cohort_rates(GAP, top_n=10)),
+    "state_rates_for_broad_cohort": q(lambda i: i.cohort_rates(GAP, predicate=K.cohort_or_all(
+        i.codes, BROAD_COHORT, C.icd10, KC))),
+    "state_rates_for_narrow_cohort": q(lambda i: i.cohort_rates(GAP, predicate=K.cohort_or_all(
+        i.codes, A.COHORT_PREFIXES, C.icd10, KC))),
     # feeds
     "top_states": q(lambda i: FD.top_states(i.state_rates(GAP), 10, name=ST.name)),
     "state_map_feed": q(lambda i: FD.state_map_feed(i.state_rates(GAP), i.state, s=ST)),

@@ -51,6 +51,10 @@ PLANNED = "d1 LIKE 'Brand#7%' OR d1 IN ('Brand#11', 'Brand#12')"
 COHORT = ("icd10_code LIKE 'B%' OR icd10_code LIKE 'C%' OR icd10_code LIKE 'H%' "
           "OR icd10_code LIKE 'N%'")
 COHORT_ON_CODES = COHORT.replace("icd10_code", "code")
+BROAD = " OR ".join(f"icd10_code LIKE '{chr(c)}%'" for c in range(ord("A"), ord("Z") + 1))
+BROAD_ON_CODES = BROAD.replace("icd10_code", "code")
+BREADTH = ("SELECT count(DISTINCT CASE WHEN substring(code, 1, 3) <> '' THEN substring(code, 1, 3) END) "
+           "FROM codes WHERE {pred}")
 
 
 def _with(*ctes: str) -> str:
@@ -204,6 +208,8 @@ ORACLE: dict[str, str] = {
     "state_rates_all_claims": _with(cohort_rate_ctes(STRICT, cohort=None)) + "SELECT * FROM cr",
     "top_states_for_cohort": _with(cohort_rate_ctes(GAP)) + (
         "SELECT * FROM cr ORDER BY readmission_rate DESC NULLS LAST, state LIMIT 10"),
+    "state_rates_for_broad_cohort": _with(cohort_rate_ctes(GAP, cohort=f"({BROAD}) OR ({BREADTH.format(pred=BROAD_ON_CODES)}) >= 10")) + "SELECT * FROM cr",
+    "state_rates_for_narrow_cohort": _with(cohort_rate_ctes(GAP, cohort=f"({COHORT}) OR ({BREADTH.format(pred=COHORT_ON_CODES)}) >= 10")) + "SELECT * FROM cr",
     "top_states": _with(state_rates_ctes(GAP)) + (
         "SELECT * FROM sr WHERE readmission_rate IS NOT NULL "
         "ORDER BY readmission_rate DESC, state_name LIMIT 10"),
