@@ -37,25 +37,34 @@ def _first_line(spark: SparkSession, path: str) -> str:
     return (line or "").lstrip("\ufeff").rstrip("\r")
 
 
-def read_csv_text(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """All columns as text, bound by header name in every file.
-
-    A folder reads every ``*.csv`` file in it.  Spark's CSV reader maps the
-    columns of all files by position from one header, so files are grouped by
-    their header line (only the first line of each file is read here) and each
-    group is one scan; groups are combined by column name.
+def read_csv_text(spark: SparkSession, path: str | Sequence[str], by_header: bool = False) -> DataFrame:
+    """All columns as text, bound by header name.
+
+    A folder reads every ``*.csv`` file in it as one scan.  Spark maps the
+    columns of all files by position from one header; with
+    ``enforceSchema=false`` every file's header is checked against it on the
+    executors, so a file with its columns in another order fails the load
+    instead of being read shifted.
+
+    ``by_header=True`` accepts such folders: files are grouped by their header
+    line (the driver reads the first line of each file, so keep it for
+    folders of a handful of files) and each group is one scan, combined by
+    column name.
     """
-    listing = (spark.read.option("pathGlobFilter", "*.csv").text(_paths(path)).inputFiles())
-    files = sorted(listing)
+    reader = (spark.read.option("header", True).option("inferSchema", False)
+                   .option("enforceSchema", False).option("mode", "FAILFAST")
+                   .option("pathGlobFilter", "*.csv"))
+    if not by_header:
+        return reader.csv(_paths(path))
+    files = sorted(spark.read.option("pathGlobFilter", "*.csv").text(_paths(path)).inputFiles())
     if not files:
         raise FileNotFoundError(f"no *.csv files under {path}")
     groups: dict[str, list[str]] = {}
     for f in files:
         groups.setdefault(_first_line(spark, f), []).append(f)
     out = None
-    for header, group in groups.items():
-        df = (spark.read.option("header", True).option("inferSchema", False)
-                   .option("mode", "FAILFAST").csv(group))
+    for group in groups.values():
+        df = reader.csv(group)
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     return out
 
@@ -83,16 +92,18 @@ def typed_projection(df: DataFrame, columns: Iterable[tuple[str, T.DataType]],
     return df.select(*[typed(n, t, on_error) for n, t in columns])
 
 
-def load_beneficiaries(spark: SparkSession, path: str | Sequence[str], on_error: str = "fail") -> DataFrame:
-    return typed_projection(read_csv_text(spark, path), BENEFICIARY_COLUMNS, on_error)
+def load_beneficiaries(spark: SparkSession, path: str | Sequence[str], on_error: str = "fail",
+                       by_header: bool = False) -> DataFrame:
+    return typed_projection(read_csv_text(spark, path, by_header), BENEFICIARY_COLUMNS, on_error)
 
 
-def load_claims(spark: SparkSession, path: str | Sequence[str], on_error: str = "fail") -> DataFrame:
-    return typed_projection(read_csv_text(spark, path), CLAIM_COLUMNS, on_error)
+def load_claims(spark: SparkSession, path: str | Sequence[str], on_error: str = "fail",
+                by_header: bool = False) -> DataFrame:
+    return typed_projection(read_csv_text(spark, path, by_header), CLAIM_COLUMNS, on_error)
 
 
-def load_state(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    return typed_projection(read_csv_text(spark, path), STATE_COLUMNS)
+def load_state(spark: SparkSession, path: str | Sequence[str], by_header: bool = False) -> DataFrame:
+    return typed_projection(read_csv_text(spark, path, by_header), STATE_COLUMNS)
 
 
 def _fixed_field(start: int, width: int | None, markers: Sequence[str]) -> Column:
