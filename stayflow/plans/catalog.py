@@ -18,7 +18,7 @@ from ..operators import feeds as FD
 from ..operators import rates as R
 from ..operators import stays as S
 from ..operators import tables as TB
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import adapter as A
 from ..sources import dims as D
 from ..sources import extracts as X
@@ -98,6 +98,13 @@ def _upsert(i: Inputs) -> DataFrame:
     return TB.upsert(old, new, RATE_KEYS)
 
 
+def _rate_scaled(i: Inputs) -> DataFrame:
+    # The state rates feed both the map and its range: stored once in the
+    # shared folder (as the reference stores its rate table), read twice.
+    sr = materialize(i.state_rates(GAP), "state-rates")
+    return FD.rate_scaled(FD.state_map_feed(sr, i.state, s=ST), FD.rate_range(sr))
+
+
 def _label_rates(i: Inputs) -> DataFrame:
     sp = i.spark
     return FD.label_rates(i.rates(STRICT), D.dim_gender(sp), D.dim_age_group(sp),
@@ -203,8 +210,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_states": q(lambda i: FD.top_states(i.state_rates(GAP), 10, name=ST.name)),
     "state_map_feed": q(lambda i: FD.state_map_feed(i.state_rates(GAP), i.state, s=ST)),
     "rate_range": q(lambda i: FD.rate_range(i.cohort_rates(GAP))),
-    "rate_scaled": q(lambda i: FD.rate_scaled(FD.state_map_feed(i.state_rates(GAP), i.state, s=ST),
-                                              FD.rate_range(i.state_rates(GAP)))),
+    "rate_scaled": q(_rate_scaled),
     "page_of_rates": q(lambda i: FD.page_of(i.rates(GAP), ["year", B.state, B.sex], page=2, size=20)),
     "readmission_preview": q(lambda i: FD.readmission_preview(S.all_cause_readmission(i.claims, GAP, C), 10, C)),
     "rates_preview": q(lambda i: FD.rates_preview(i.rates(GAP), 10, B)),
