@@ -106,27 +106,31 @@ def previous_in_sequence(df: DataFrame, entity: str, order: Sequence[str],
     cold = tagged.where(F.col("__hot").isNull()).drop("__hk", "__hot")
     cold_out = cold.select("*", *running(Window.partitionBy(entity).orderBy(*sort_cols))).drop(*mnames)
 
-    hot_rows = tagged.where(F.col("__hot").isNotNull()).drop("__hk", "__hot")
-    wc = Window.partitionBy(entity, *chunk_by).orderBy(*[F.col(c).asc_nulls_last() for c in inner_order])
+    # Hot rows are keyed by the struct (entity, chunk...): one key for the
+    # shuffle, the windows, the tails and the fix-up join, so the join reuses
+    # the shuffle, and struct equality matches NULL fields (a NULL entity is
+    # a key like any other).  The repartition is explicit: an input already
+    # hash-partitioned or bucketed by the entity would otherwise satisfy the
+    # (entity, chunk) windows and keep a hot entity in one task.
+    key = F.struct(F.col(entity).alias("e"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(chunk_by)])
+    hot_rows = (tagged.where(F.col("__hot").isNotNull()).drop("__hk", "__hot")
+                      .withColumn("__k", key).repartition("__k"))
+    wc = Window.partitionBy("__k").orderBy(*[F.col(c).asc_nulls_last() for c in inner_order])
     local = hot_rows.select("*", *running(wc) if inner_order else
                             [F.lit(None).cast(hot_rows.schema[m].dataType).alias(p)
                              for m, p in zip(mnames, pnames)]).drop(*mnames)
     okey = _order_key(order)
-    tails = hot_rows.groupBy(entity, *chunk_by).agg(*[
+    tails = hot_rows.groupBy("__k").agg(*[
         F.max(F.when(F.col(m).isNotNull(), F.struct(okey.alias("o"), F.col(m).alias("v"))))
         .getField("v").alias(f"__t{i}") for i, m in enumerate(mnames)])
-    wt = Window.partitionBy(entity).orderBy(*[F.col(c).asc_nulls_last() for c in chunk_by]) \
-        .rowsBetween(_UNB, -1)
-    ckeys = [f"__c{i}" for i in range(len(chunk_by))]
+    # One row per (entity, chunk); a hot entity has as many as it has chunks.
+    wt = (Window.partitionBy(F.col("__k.e"))
+          .orderBy(*[F.col(f"__k.c{i}").asc_nulls_last() for i in range(len(chunk_by))])
+          .rowsBetween(_UNB, -1))
     chunk_prev = tails.select(
-        F.col(entity).alias("__ce"), *[F.col(c).alias(k) for c, k in zip(chunk_by, ckeys)],
-        *[F.last(f"__t{i}", ignorenulls=True).over(wt).alias(f"__cp{i}") for i in range(len(mnames))])
-    cond = F.col(entity).eqNullSafe(F.col("__ce"))
-    for c, k in zip(chunk_by, ckeys):
-        cond = cond & F.col(c).eqNullSafe(F.col(k))
-    hot_out = local.join(chunk_prev, cond, "left").select(
+        "__k", *[F.last(f"__t{i}", ignorenulls=True).over(wt).alias(f"__cp{i}") for i in range(len(mnames))])
+    hot_out = local.join(chunk_prev, "__k", "left").select(
         *base_cols, *[F.coalesce(F.col(p), F.col(f"__cp{i}")).alias(p) for i, p in enumerate(pnames)])
-    # (explicit column list: the join adds the chunk keys)
 
     return _expand(cold_out.unionByName(hot_out), base_cols, tracks, pnames)
 

@@ -82,3 +82,16 @@ def clustered_claims(claims: DataFrame, c: ClaimCols = ClaimCols(), partitions:
     n = partitions or int(claims.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c.person).asc_nulls_last(), F.col(c.admit).asc_nulls_last(), F.col(c.claim).asc_nulls_last()]
     return claims.repartitionByRange(n, *order).sortWithinPartitions(*order)
+
+
+def save_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int,
+                  sort_by: Sequence[str] | None = None, mode: str = "overwrite") -> DataFrame:
+    """Save ``df`` as a catalog table bucketed by ``keys`` (and sorted within
+    buckets); returns the table.  Windows, joins and aggregates on ``keys``
+    over such a table need no shuffle of it -- the claims table bucketed by
+    person serves the previous-stay windows and the beneficiary join."""
+    w = df.write.mode(mode).bucketBy(buckets, *keys)
+    if sort_by:
+        w = w.sortBy(*sort_by)
+    w.saveAsTable(table)
+    return df.sparkSession.table(table)

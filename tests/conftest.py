@@ -15,8 +15,10 @@ SF001 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     ckpt = tempfile.mkdtemp(prefix="stayflow-test-ckpt-")
+    wh = tempfile.mkdtemp(prefix="stayflow-test-wh-")
     s = build_session("local[4]", app="stayflow-tests", shuffle_partitions=4,
-                      extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g"})
+                      extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g",
+                             "spark.sql.warehouse.dir": wh})
     yield s
     s.stop()
 

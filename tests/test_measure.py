@@ -117,3 +117,16 @@ def test_invariants(spark):
     for r in R.readmission_rate(t["claims"], t["bene"], CLAIMS_RULES.gap_only()).collect():
         assert 0 <= r.readmissions <= r.total_admissions
         assert 0.0 <= r.readmission_rate <= 1.0
+
+
+@pytest.mark.parametrize("hk", [-1, 1])
+def test_bucketed_claims_same_answer_no_shuffle(spark, con, hk):
+    from stayflow.operators import tables as TB
+    t = frames(spark)
+    b = TB.save_bucketed(t["claims"], f"claims_bucketed_{hk + 1}", ["DESYNPUF_ID"], 4,
+                         sort_by=["DESYNPUF_ID", "CLM_ADMSN_DT", "CLM_ID"])
+    flagged = S.all_cause_readmission(b, CLAIMS_RULES.gap_only(), hot_key_rows=hk)
+    assert rows_of(flagged, ACR_COLS) == duck_rows(con, acr_sql(""), ACR_COLS)
+    if hk < 0:  # the window reads the buckets as they are: no shuffle by person
+        plan = flagged._jdf.queryExecution().executedPlan().toString()
+        assert "Window" in plan and "Exchange hashpartitioning(DESYNPUF_ID" not in plan
