@@ -4,7 +4,8 @@
     BENCH_CPUS    local[N] threads (default 8)
 
 Each query is built from scratch and all its rows are fetched (as Arrow
-batches).  Untimed warm-up runs on the smallest tables come first so JVM
+batches); it runs BENCH_RUNS times (default 3) and the median is reported.
+Nothing is cached between runs.  Untimed warm-up runs on the smallest tables come first so JVM
 start-up and JIT compilation are not charged to the measured queries.
 """
 
@@ -13,6 +14,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import time
 
@@ -22,6 +24,9 @@ from stayflow.plans.catalog import BENCH_QUERIES, QUERIES  # noqa: E402
 from stayflow.session import build_session  # noqa: E402
 
 
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -35,9 +40,12 @@ def main() -> None:
     times: dict[str, float] = {}
     rows: dict[str, int] = {}
     for name in BENCH_QUERIES:
-        t0 = time.perf_counter()
-        n = QUERIES[name](spark, sf_dir).toArrow().num_rows
-        times[name] = round(time.perf_counter() - t0, 3)
+        runs = []
+        for _ in range(RUNS):
+            t0 = time.perf_counter()
+            n = QUERIES[name](spark, sf_dir).toArrow().num_rows
+            runs.append(time.perf_counter() - t0)
+        times[name] = round(statistics.median(runs), 3)
         rows[name] = n
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
@@ -48,6 +56,8 @@ def main() -> None:
         "rows": rows,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
+        "runs_per_query": RUNS,
+        "stat": "median",
     }))
     spark.stop()
 

@@ -35,6 +35,9 @@ def build_session(master: str | None = None, app: str = "stayflow",
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # Small results still spread over the cores; large shuffles are
+        # coalesced by size as usual.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.driver.memory": "16g",
