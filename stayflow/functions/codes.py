@@ -86,6 +86,14 @@ CODE_GROUP_PATTERN = r"^([A-Z][0-9]{1,3})"
 CATEGORY_LENGTH = 3
 
 
+def named_group_count(prefixes, pattern: str = CODE_GROUP_PATTERN) -> int:
+    """Distinct code groups named by a cohort's prefix list (a question about
+    'I21' and 'I22' names two groups; a bare letter names none)."""
+    import re
+    rx = re.compile(pattern)
+    return len({m.group(1) for p in prefixes if (m := rx.match(p))})
+
+
 def code_group(c: str | Column, pattern: str = CODE_GROUP_PATTERN) -> Column:
     """Leading code group of a code, NULL when it has none."""
     g = F.regexp_extract(_col(c), pattern, 1)

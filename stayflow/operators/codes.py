@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.codes import code_category, cohort_predicate
+from ..functions.codes import code_category, cohort_predicate, named_group_count
 from ..rules import MAX_COHORT_GROUPS
 from ..schemas import ClaimCols, CodeCols
 
@@ -71,14 +71,19 @@ def cohort_breadth(cohort_codes_df: DataFrame, k: CodeCols = CodeCols(),
                            .select("n_groups", (F.col("n_groups") >= F.lit(max_groups)).alias("too_broad")))
 
 
-def cohort_or_all(codes: DataFrame, cohort, claim_code_col: str, k: CodeCols = CodeCols(),
-                  max_groups: int = MAX_COHORT_GROUPS) -> Column:
+def cohort_or_all(codes: DataFrame | None, cohort, claim_code_col: str, k: CodeCols = CodeCols(),
+                  max_groups: int = MAX_COHORT_GROUPS, named: bool = False) -> Column:
     """Claim predicate for a cohort that falls back to all claims when the
-    cohort is too broad (spans ``max_groups`` categories or more).
+    cohort is too broad.
 
-    The breadth is a scalar subquery over the code table, so the choice is
-    made inside one plan -- no action on the driver.
+    Default: too broad = the cohort's codes span ``max_groups`` ICD-10
+    categories or more in the code table -- a scalar subquery, so the choice
+    is made inside one plan with no action on the driver.
+    ``named=True`` (``cohort`` a prefix list): too broad = the list names
+    ``max_groups`` distinct code groups or more, the dashboard's rule.
     """
+    pred = cohort_predicate(claim_code_col, cohort)
+    if named:
+        return pred | F.lit(named_group_count(list(cohort)) >= max_groups)
     breadth = cohort_breadth(cohort_codes(codes, cohort, k, claim_code_col), k, max_groups)
-    too_broad = breadth.select("too_broad").scalar()
-    return cohort_predicate(claim_code_col, cohort) | too_broad
+    return pred | breadth.select("too_broad").scalar()

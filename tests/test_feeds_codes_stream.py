@@ -122,3 +122,30 @@ def test_streaming_ingest_is_incremental(spark, tmp_dir):
     batch = files.load_claims(spark, src)
     assert sorted(tuple(r) for r in batch.select("CLM_ID", "CLM_ADMSN_DT").collect()) == \
         sorted(tuple(r) for r in got.select("CLM_ID", "CLM_ADMSN_DT").collect())
+
+
+def test_named_groups_rule(spark):
+    from stayflow.functions.codes import named_group_count
+    assert named_group_count(["I21", "I22", "I21", "B", "E119"]) == 3
+    codes = spark.createDataFrame([("A001", "x")], "icd10_cm_code string, description string")
+    claims = spark.createDataFrame([("I210",), ("C011",)], "ICD10_DGNS_CODE string")
+    few = K.cohort_or_all(codes, ["I21", "I22"], "ICD10_DGNS_CODE", named=True)
+    many = K.cohort_or_all(codes, [f"C{n:02d}" for n in range(12)], "ICD10_DGNS_CODE", named=True)
+    assert claims.where(few).count() == 1 and claims.where(many).count() == 2
+
+
+def test_partition_count_does_not_change_answer(spark):
+    from edge_fixture import frames
+    from stayflow.operators import rates as R
+    from stayflow.rules import CLAIMS_RULES
+    t = frames(spark)
+    base = sorted(tuple(r) for r in R.readmission_rate(t["claims"], t["bene"], CLAIMS_RULES.gap_only()).collect())
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("1", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got = sorted(tuple(r) for r in R.readmission_rate(t["claims"].repartition(3), t["bene"],
+                                                              CLAIMS_RULES.gap_only()).collect())
+            assert got == base
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
