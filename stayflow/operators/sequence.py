@@ -33,7 +33,6 @@ from pyspark.sql import functions as F
 from ..session import hot_key_rows as _conf_hot_key_rows
 
 _UNB = Window.unboundedPreceding
-_UNF = Window.unboundedFollowing
 
 
 @dataclass

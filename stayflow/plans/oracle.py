@@ -217,12 +217,15 @@ ORACLE: dict[str, str] = {
     "rate_range": _with(cohort_rate_ctes(GAP)) + (
         "SELECT COALESCE(min(readmission_rate), 0.0) AS min_rate, "
         "COALESCE(max(readmission_rate), 1.0) AS max_rate FROM cr"),
-    "rate_scaled": _with(state_rates_ctes(GAP), MAP_FEED) + """SELECT f.state_name, f.readmission_rate,
-        CASE WHEN r.max_rate > r.min_rate THEN (f.readmission_rate - r.min_rate) / (r.max_rate - r.min_rate)
-             ELSE 0.0 END AS rate_scaled
-        FROM feed f,
-             (SELECT COALESCE(min(CAST(readmission_rate AS DOUBLE)), 0.0) AS min_rate,
-                     COALESCE(max(CAST(readmission_rate AS DOUBLE)), 1.0) AS max_rate FROM sr) r""",
+    "rate_scaled": _with(state_rates_ctes(GAP), MAP_FEED, """
+rng AS (SELECT COALESCE(min(CAST(readmission_rate AS DOUBLE)), 0.0) AS min_rate,
+               COALESCE(max(CAST(readmission_rate AS DOUBLE)), 1.0) AS max_rate FROM sr)""") + """
+        SELECT state_name, readmission_rate,
+          CASE WHEN (SELECT max_rate FROM rng) > (SELECT min_rate FROM rng)
+               THEN (readmission_rate - (SELECT min_rate FROM rng))
+                    / ((SELECT max_rate FROM rng) - (SELECT min_rate FROM rng))
+               ELSE 0.0 END AS rate_scaled
+        FROM feed""",
     "page_of_rates": _with(rate_ctes(GAP)) + (
         f"SELECT {RATE_COLS} FROM rr ORDER BY year, state_code, sex LIMIT 20 OFFSET 20"),
     "readmission_preview": _with(acr_ctes(GAP)) + (
