@@ -4,7 +4,6 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException  # noqa: F401
 
 from stayflow.operators import tables as TB
 from stayflow.schemas import BENEFICIARY_COLUMNS, CLAIM_COLUMNS
