@@ -103,7 +103,7 @@ def episode_counts(claims: DataFrame, bene: DataFrame, rules: RuleSet, groups: d
 def readmission_rate(claims: DataFrame, bene: DataFrame, rules: RuleSet, *,
                      flag_rules: RuleSet | None = None, c: ClaimCols = ClaimCols(),
                      b: BeneCols = BeneCols(), exclude_planned: bool = True,
-                     **seq_kw) -> DataFrame:
+                     by: tuple[str, ...] | None = None, **seq_kw) -> DataFrame:
     """Readmission rate by year, state and sex.
 
     Denominator: index stays (first stay or previous stay in the measured
@@ -111,7 +111,19 @@ def readmission_rate(claims: DataFrame, bene: DataFrame, rules: RuleSet, *,
     those of them whose claim id is also flagged by the 30-day flag (computed
     with ``flag_rules``, default ``rules``).  Beneficiaries join on the person
     id only, so a person listed in two states counts in both.
+
+    Default output: the rate table's columns (year, state, sex, counts, age
+    group 0, condition 0, rate).  ``by`` picks another grouping, e.g.
+    ``("year",)`` or ``("year", "SP_STATE_CODE")``.
     """
+    if by is not None:
+        # Other groupings: "year" and/or beneficiary columns, in that order.
+        bene_cols = [x for x in by if x != "year"]
+        counts = episode_counts(claims, bene, rules, {x: x for x in bene_cols}, flag_rules=flag_rules,
+                                c=c, b=b, exclude_planned=exclude_planned, with_year="year" in by, **seq_kw)
+        keys = [F.col("year").cast("int").alias("year")] if "year" in by else []
+        return counts.select(*keys, *bene_cols, "readmissions", "total_admissions",
+                             ratio("readmissions", "total_admissions").alias("readmission_rate"))
     counts = episode_counts(claims, bene, rules, {"__state": b.state, "__sex": b.sex},
                             flag_rules=flag_rules, c=c, b=b, exclude_planned=exclude_planned, **seq_kw)
     return counts.select(

@@ -130,3 +130,14 @@ def test_bucketed_claims_same_answer_no_shuffle(spark, con, hk):
     if hk < 0:  # the window reads the buckets as they are: no shuffle by person
         plan = flagged._jdf.queryExecution().executedPlan().toString()
         assert "Window" in plan and "Exchange hashpartitioning(DESYNPUF_ID" not in plan
+
+
+def test_rate_other_groupings(spark, con):
+    t = frames(spark)
+    got = rows_of(R.readmission_rate(t["claims"], t["bene"], CLAIMS_RULES.gap_only(), by=("year",)),
+                  ["year", "readmissions", "total_admissions"])
+    sql = rate_sql("").replace("SELECT v.year, b.SP_STATE_CODE, b.BENE_SEX_IDENT_CD,", "SELECT v.year,") \
+                      .replace("GROUP BY 1, 2, 3", "GROUP BY 1")
+    assert got == duck_rows(con, sql, ["year", "readmissions", "total_admissions"])
+    st = R.readmission_rate(t["claims"], t["bene"], CLAIMS_RULES.gap_only(), by=("SP_STATE_CODE",))
+    assert st.columns == ["SP_STATE_CODE", "readmissions", "total_admissions", "readmission_rate"]
