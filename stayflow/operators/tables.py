@@ -44,7 +44,7 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], check: bool = Tr
     newc = new.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in old.schema.fields])
     if check:
         newc = checked_keys(newc, keys)
-    kept = old.join(newc.select(*keys), keys, "left_anti")
+    kept = old.join(newc.select(*keys), keys, "left_anti").select(*old.columns)
     return kept.unionByName(newc)
 
 

@@ -61,13 +61,13 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join([ADAPTER.strip()] + [c.strip() for c in ctes]) + "\n"
 
 
-def acr_ctes(cond: str, name: str = "acr") -> str:
+def acr_ctes(cond: str, name: str = "acr", src: str = "claims") -> str:
     return f"""
 {name}_ordered AS (
   SELECT person_id, claim_id, admit_dt, disch_dt, d1, d2, d3,
          LAG(disch_dt) OVER ({W}) AS prev_discharge_date,
          LAG(d1) OVER ({W}) AS prev_diagnosis
-  FROM claims WHERE disch_dt IS NOT NULL AND admit_dt IS NOT NULL),
+  FROM {src} WHERE disch_dt IS NOT NULL AND admit_dt IS NOT NULL),
 {name}_flags AS (
   SELECT *, CASE WHEN admit_dt - prev_discharge_date <= 30 AND admit_dt <> prev_discharge_date {cond}
                  THEN 1 ELSE 0 END AS is_readmission
@@ -85,8 +85,8 @@ def valid_cte(source: str = "claims", years: str = YEARS, name: str = "valid") -
   FROM {source} WHERE {years})"""
 
 
-def rate_ctes(cond: str, years: str = YEARS, name: str = "rr") -> str:
-    return acr_ctes(cond, f"{name}_acr") + "," + valid_cte(years=years, name=f"{name}_valid") + f""",
+def rate_ctes(cond: str, years: str = YEARS, name: str = "rr", src: str = "claims", bene: str = "bene") -> str:
+    return acr_ctes(cond, f"{name}_acr", src) + "," + valid_cte(src, years=years, name=f"{name}_valid") + f""",
 {name} AS (
   SELECT v.year, b.state_code, b.sex,
          COUNT(DISTINCT a.claim_id) AS readmissions,
@@ -94,10 +94,10 @@ def rate_ctes(cond: str, years: str = YEARS, name: str = "rr") -> str:
          0 AS age_grp_id, 0 AS condition_type_id,
          CAST(COUNT(DISTINCT a.claim_id) AS DOUBLE) / COUNT(DISTINCT v.claim_id) AS readmission_rate
   FROM {name}_valid v
-  JOIN bene b ON v.person_id = b.person_id
+  JOIN {bene} b ON v.person_id = b.person_id
   LEFT JOIN {name}_acr a ON v.claim_id = a.claim_id
   WHERE (v.admit_dt - v.prev_discharge_date > 30 OR v.prev_discharge_date IS NULL)
-    AND NOT (v.claim_id IN (SELECT claim_id FROM claims WHERE {PLANNED}))
+    AND NOT (v.claim_id IN (SELECT claim_id FROM {src} WHERE {PLANNED}))
   GROUP BY v.year, b.state_code, b.sex)"""
 
 
@@ -268,4 +268,21 @@ rng AS (SELECT COALESCE(min(CAST(readmission_rate AS DOUBLE)), 0.0) AS min_rate,
     "load_icd_crosswalk": _with() + "SELECT substring(icd9, 7, 2) AS icd9, icd10 FROM xwalk",
     "load_icd10_descriptions": _with() + "SELECT code AS icd10_cm_code, trim(description) AS description FROM codes",
     "stream_ingest_claims": _with() + LOADED_CLAIMS,
+    # The job reads extracts: ids are text (ties order by text), state codes
+    # are two-character text.
+    "refresh_state_rates": _with("""
+claims_s AS (SELECT CAST(person_id AS VARCHAR) AS person_id, CAST(claim_id AS VARCHAR) AS claim_id,
+                    admit_dt, disch_dt, d1, d2, d3 FROM claims),
+bene_s AS (SELECT CAST(person_id AS VARCHAR) AS person_id, lpad(CAST(state_code AS VARCHAR), 2, '0') AS state_code,
+                  sex FROM bene),
+state_s AS (SELECT state_name, lpad(CAST(state_code AS VARCHAR), 2, '0') AS state_code FROM state)""",
+        rate_ctes(GAP, src="claims_s", bene="bene_s")) + """
+        SELECT s.state_name,
+               CAST(SUM(r.readmissions) AS BIGINT) AS readmissions,
+               CAST(SUM(r.total_admissions) AS BIGINT) AS total_admissions,
+               CASE WHEN SUM(r.total_admissions) <> 0 THEN
+                 CAST((CAST(SUM(r.readmissions) AS BIGINT) * 20000 + CAST(SUM(r.total_admissions) AS BIGINT))
+                      // (CAST(SUM(r.total_admissions) AS BIGINT) * 2) AS DOUBLE) / 100.0 END AS readmission_rate
+        FROM rr r JOIN state_s s ON r.state_code = s.state_code
+        GROUP BY s.state_name""",
 }

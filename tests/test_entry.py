@@ -8,7 +8,7 @@ from conftest import SF0001
 
 FAST = ["all_cause_readmission", "readmission_rate_gap", "state_rates", "state_rates_for_cohort",
         "claims_icd10", "cohort_breadth", "rates_preview", "upsert_rates", "exclude_planned",
-        "rate_scaled", "label_rates"]
+        "rate_scaled", "label_rates", "refresh_state_rates"]
 
 
 def test_entry_runs(spark):
@@ -56,3 +56,31 @@ def test_fixture_numbers(spark):
     assert (len(r), sum(x.readmissions for x in r), sum(x.total_admissions for x in r)) == (246, 2, 645)
     c = q["state_rates_for_cohort_gap"](spark, SF0001).collect()
     assert (len(c), sum(x.total_readmissions for x in c), sum(x.total_admissions for x in c)) == (19, 5, 47)
+
+
+def test_refresh_upserts_into_stored_table(spark, tmp_dir):
+    from dataclasses import replace
+
+    from pyspark.sql import functions as F
+
+    from stayflow import jobs as J
+    from stayflow.plans import catalog as CAT
+    from stayflow.sources import extracts as X
+    i = CAT.Inputs(spark, SF0001)
+    claims = X.write_csv_extract(CAT._claims_extract(i))
+    bene = X.write_csv_extract(X.beneficiary_extract(i.bene, {
+        "DESYNPUF_ID": F.col("person_id"), "SP_STATE_CODE": F.lpad(F.col("state_code").cast("string"), 2, "0"),
+        "BENE_SEX_IDENT_CD": F.col("sex")}))
+    state = X.write_csv_extract(X.state_extract(i.state, {
+        "state_name": F.col("state_name"), "sp_state_code": F.lpad(F.col("state_code").cast("string"), 2, "0"),
+        "state_abbr": F.col("state_abbr")}))
+    kw = dict(claims_path=claims, bene_path=bene, state_path=state, out_dir=tmp_dir)
+    first = J.refresh_measure(spark, rules=replace(CAT.GAP, years=(1996, 1997)), run_id="r1", **kw)
+    second = J.refresh_measure(spark, rules=replace(CAT.GAP, years=(1997, 1998)), run_id="r2",
+                               rates_table=first.rates, **kw)
+    y1 = {r.year for r in spark.read.parquet(first.rates).collect()}
+    y2 = {r.year for r in spark.read.parquet(second.rates).collect()}
+    assert y1 == {1996, 1997} and y2 == {1996, 1997, 1998}
+    old96 = sorted(tuple(r) for r in spark.read.parquet(first.rates).where("year = 1996").collect())
+    new96 = sorted(tuple(r) for r in spark.read.parquet(second.rates).where("year = 1996").collect())
+    assert old96 == new96
