@@ -64,7 +64,7 @@ def previous_in_sequence(df: DataFrame, entity: str, order: Sequence[str],
     there is none.  When every row is a member this is ``LAG(v, 1)``.
 
     ``hot_key_rows``: entities with more rows are split (default from the
-    ``stayflow.hotKeyRows`` setting; a negative value disables the split).
+    ``spark.stayflow.hotKeyRows`` setting; a negative value disables the split).
     ``chunk_by``: leading order columns that split a hot entity (default: the
     first order column).
     ``key_source``: a cheaper DataFrame with the ``entity`` column and at least

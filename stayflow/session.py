@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Rows of one entity (person) above which its stay sequence is split across
 # tasks instead of being sorted inside one task (see operators/sequence.py).
-HOT_KEY_ROWS_CONF = "stayflow.hotKeyRows"
+HOT_KEY_ROWS_CONF = "spark.stayflow.hotKeyRows"
 HOT_KEY_ROWS_DEFAULT = 1_000_000
 
 
