@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
+from .operators import codes as K
 from .operators import rates as R
 from .operators import tables as TB
 from .rules import CLAIMS_RULES, RuleSet
@@ -29,6 +30,8 @@ class Stored:
     state: str
     rates: str
     state_rates: str
+    claims_icd10: str | None = None
+    icd10_codes: str | None = None
 
 
 def _join(base: str, name: str) -> str:
@@ -37,12 +40,15 @@ def _join(base: str, name: str) -> str:
 
 def refresh_measure(spark: SparkSession, *, claims_path: str, bene_path: str, state_path: str,
                     out_dir: str, rules: RuleSet = CLAIMS_RULES, rates_table: str | None = None,
-                    run_id: str = "run") -> Stored:
+                    run_id: str = "run", crosswalk_path: str | None = None,
+                    descriptions_path: str | None = None) -> Stored:
     """Load extracts, store typed tables, compute and upsert the rate table.
 
     ``rates_table``: folder of the stored rate table to upsert into (None:
     start a new one).  Returns the folders written; the new rate table is
-    ``Stored.rates`` (the caller swaps it in).
+    ``Stored.rates`` (the caller swaps it in).  With ``crosswalk_path`` the
+    crosswalked claims table is stored too (read by every cohort question),
+    with ``descriptions_path`` the ICD-10 code table.
     """
     c, b, s = ClaimCols(), BeneCols(), StateCols()
     base = _join(out_dir, run_id)
@@ -60,4 +66,14 @@ def refresh_measure(spark: SparkSession, *, claims_path: str, bene_path: str, st
         TB.checked_keys(rates, list(RATE_TABLE_KEYS)).write.mode("overwrite").parquet(rates_dir)
     sr_dir = _join(base, "state_rates")
     R.state_rates(spark.read.parquet(rates_dir), state, b=b, s=s).write.mode("overwrite").parquet(sr_dir)
-    return Stored(claims_dir, bene_dir, state_dir, rates_dir, sr_dir)
+    stored = Stored(claims_dir, bene_dir, state_dir, rates_dir, sr_dir)
+    if crosswalk_path:
+        stored.claims_icd10 = _join(base, "claims_icd10")
+        xw = FL.load_icd_crosswalk(spark, crosswalk_path)
+        # All claim columns plus the mapped code: the cohort rate also needs
+        # the diagnoses its flag reads.
+        K.with_icd10(claims, K.crosswalk_min(xw), c).write.mode("overwrite").parquet(stored.claims_icd10)
+    if descriptions_path:
+        stored.icd10_codes = _join(base, "icd10_codes")
+        FL.load_icd10_descriptions(spark, descriptions_path).write.mode("overwrite").parquet(stored.icd10_codes)
+    return stored

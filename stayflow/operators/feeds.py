@@ -120,3 +120,39 @@ def with_titles(df: DataFrame, titles: dict[str, str] = DASHBOARD_TITLES) -> Dat
     """Rename result columns to display titles (spaces allowed)."""
     return df.select(*[F.col(c).alias(titles.get(c, c)) for c in df.columns])
 
+
+
+def cohort_dashboard(claims_icd10: DataFrame, bene: DataFrame, state: DataFrame, codes: DataFrame,
+                     rules, cohort=None, *, flag_rules=None, top_n: int = 10,
+                     c: ClaimCols = ClaimCols(), b: BeneCols = BeneCols(), s: StateCols = StateCols(),
+                     code_col: str = "icd10_cm_code", description_col: str = "description",
+                     named_groups: bool = False) -> dict[str, DataFrame]:
+    """Everything the cohort dashboard shows for one question, as lazy
+    DataFrames: the state table, the top states, the colour range, the code
+    list and the breadth.
+
+    ``claims_icd10``: claims with the mapped ICD-10 column ``c.icd10`` (all
+    claim columns, e.g. ``jobs.refresh_measure``'s stored table).  ``cohort``:
+    Column / SQL text / prefixes, or None for all claims (then the fixed
+    dashboard range is used).  A cohort spanning too many code groups falls
+    back to all claims inside the same plan (``codes.cohort_or_all``).
+    """
+    from ..schemas import CodeCols
+    from . import codes as K
+    from .rates import state_rates_for_cohort
+    k = CodeCols(code=code_col, description=description_col)
+    if cohort is None:
+        pred, code_list = None, codes.select(code_col, description_col).limit(0)
+    else:
+        pred = K.cohort_or_all(codes, cohort, c.icd10, k, named=named_groups)
+        code_list = K.cohort_codes(codes, cohort, k, c.icd10)
+    table = state_rates_for_cohort(claims_icd10, None, bene, state, rules, cohort=pred,
+                                   flag_rules=flag_rules, c=c, b=b, s=s)
+    return {
+        "states": table,
+        "top": table.where(F.col("readmission_rate").isNotNull())
+                    .orderBy(F.col("readmission_rate").desc(), F.col("state").asc_nulls_last()).limit(top_n),
+        "range": rate_range(table, fixed=DASHBOARD_RATE_RANGE if cohort is None else None),
+        "codes": code_list,
+        "breadth": K.cohort_breadth(code_list, k) if cohort is not None else None,
+    }

@@ -167,6 +167,7 @@ def state_rates_for_cohort(claims: DataFrame, xwalk_min: DataFrame | None, bene:
     if cohort is not None:
         if xwalk_min is not None:
             src = with_icd10(claims, xwalk_min, c, icd9=icd9, icd10=icd10)
+        # else: ``claims`` already carries the mapped code (stored table)
         extra = [c.icd10]
     by_code = episode_counts(src, bene, rules, {"__state": b.state}, flag_rules=flag_rules, c=c, b=b,
                              measured=cohort, exclude_planned=False, with_year=False, extra=extra, **seq_kw)

@@ -84,3 +84,26 @@ def test_refresh_upserts_into_stored_table(spark, tmp_dir):
     old96 = sorted(tuple(r) for r in spark.read.parquet(first.rates).where("year = 1996").collect())
     new96 = sorted(tuple(r) for r in spark.read.parquet(second.rates).where("year = 1996").collect())
     assert old96 == new96
+
+
+def test_refresh_stores_crosswalked_claims(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from stayflow import jobs as J
+    from stayflow.plans import catalog as CAT
+    from stayflow.sources import extracts as X
+    i = CAT.Inputs(spark, SF0001)
+    claims = X.write_csv_extract(CAT._claims_extract(i))
+    bene = X.write_csv_extract(X.beneficiary_extract(i.bene, {
+        "DESYNPUF_ID": F.col("person_id"), "SP_STATE_CODE": F.col("state_code").cast("string"),
+        "BENE_SEX_IDENT_CD": F.col("sex")}))
+    state = X.write_csv_extract(X.state_extract(i.state, {
+        "state_name": F.col("state_name"), "sp_state_code": F.col("state_code").cast("string"),
+        "state_abbr": F.col("state_abbr")}))
+    xw = X.write_fixed_width(i.xwalk.select(F.col("icd9"), F.col("icd10")), {"icd9": 5, "icd10": 9})
+    desc = X.write_fixed_width(i.codes, {"code": 7, "description": 180})
+    st = J.refresh_measure(spark, claims_path=claims, bene_path=bene, state_path=state, out_dir=tmp_dir,
+                           rules=CAT.GAP, crosswalk_path=xw, descriptions_path=desc)
+    cic = spark.read.parquet(st.claims_icd10)
+    assert cic.count() == i.claims.count() and "ICD10_DGNS_CODE" in cic.columns
+    assert spark.read.parquet(st.icd10_codes).count() == i.codes.count()

@@ -141,3 +141,26 @@ def test_rate_other_groupings(spark, con):
     assert got == duck_rows(con, sql, ["year", "readmissions", "total_admissions"])
     st = R.readmission_rate(t["claims"], t["bene"], CLAIMS_RULES.gap_only(), by=("SP_STATE_CODE",))
     assert st.columns == ["SP_STATE_CODE", "readmissions", "total_admissions", "readmission_rate"]
+
+
+def test_cohort_dashboard(spark, con):
+    from stayflow.operators import feeds as FD
+    t = frames(spark)
+    cic = K.with_icd10(t["claims"], K.crosswalk_min(t["xwalk"]))
+    codes = spark.createDataFrame([("E110", "Type 2 diabetes"), ("E119", "Type 2 diabetes, no complication"),
+                                   ("I214", "NSTEMI"), ("Z5189", "Other aftercare")],
+                                  "icd10_cm_code string, description string")
+    d = FD.cohort_dashboard(cic, t["bene"], t["state"], codes, CLAIMS_RULES.gap_only(), ["E", "I"])
+    cols = ["state", "total_readmissions", "total_admissions"]
+    sql = cohort_state_sql("", "ICD10_DGNS_CODE LIKE 'E%' OR ICD10_DGNS_CODE LIKE 'I%'")
+    assert rows_of(d["states"], cols) == duck_rows(con, sql, cols)
+    top = d["top"].collect()
+    assert len(top) <= 10 and [r.readmission_rate for r in top] == sorted((r.readmission_rate for r in top), reverse=True)
+    rates = [r.readmission_rate for r in d["states"].collect() if r.readmission_rate is not None]
+    rng = d["range"].collect()[0]
+    assert (rng.min_rate, rng.max_rate) == (min(rates), max(rates))
+    assert sorted(r.icd10_cm_code for r in d["codes"].collect()) == ["E110", "E119", "I214"]
+    assert d["breadth"].collect()[0].n_groups == 2
+    everyone = FD.cohort_dashboard(cic, t["bene"], t["state"], codes, CLAIMS_RULES.gap_only(), None)
+    r0 = everyone["range"].collect()[0]
+    assert (r0.min_rate, r0.max_rate) == (0.0, 0.1) and everyone["codes"].count() == 0
