@@ -7,6 +7,7 @@ Integer results are cast to BIGINT, years to INTEGER, rates computed as DOUBLE.
 
 from __future__ import annotations
 
+from ..sources.adapter import COHORT_PREFIXES, RULES
 from ..sources.dims import dims_sql_values
 
 _BRAND_NO = "CAST(substring(p_brand, 7) AS INTEGER)"
@@ -42,14 +43,25 @@ codes AS (
   SELECT {_CODE} AS code, p_name AS description FROM part)"""
 
 W = "PARTITION BY person_id ORDER BY admit_dt ASC NULLS LAST, claim_id ASC NULLS LAST"
-YEARS = "year(admit_dt) IN (1996, 1997, 1998)"
-STRICT = "AND d1 <> 'Brand#5' AND d1 NOT LIKE 'Brand#2%' AND 'Brand#9' NOT IN (d1, d2, d3)"
-NULL_SAFE = ("AND d1 <> 'Brand#5' AND d1 NOT LIKE 'Brand#2%' "
-             "AND NOT coalesce(d1 = 'Brand#9' OR d2 = 'Brand#9' OR d3 = 'Brand#9', false)")
+
+
+def _q(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
+# The adapter's rule set (sources.adapter.RULES) in SQL.
+_R = RULES
+YEARS = f"year(admit_dt) IN ({', '.join(str(y) for y in _R.years)})"
+_DX1_RULES = (f"AND d1 <> {_q(_R.exclude_exact)} "
+              + " ".join(f"AND d1 NOT LIKE {_q(p + '%')}" for p in _R.exclude_prefixes))
+STRICT = f"{_DX1_RULES} AND {_q(_R.exclude_any_dx)} NOT IN (d1, d2, d3)"
+NULL_SAFE = (f"{_DX1_RULES} AND NOT coalesce("
+             + " OR ".join(f"{d} = {_q(_R.exclude_any_dx)}" for d in ("d1", "d2", "d3")) + ", false)")
 GAP = ""
-PLANNED = "d1 LIKE 'Brand#7%' OR d1 IN ('Brand#11', 'Brand#12')"
-COHORT = ("icd10_code LIKE 'B%' OR icd10_code LIKE 'C%' OR icd10_code LIKE 'H%' "
-          "OR icd10_code LIKE 'N%'")
+MAX_GAP = _R.max_gap
+PLANNED = " OR ".join([f"d1 LIKE {_q(p + '%')}" for p in _R.planned_prefixes]
+                      + [f"d1 IN ({', '.join(_q(c) for c in _R.planned_codes)})"])
+COHORT = " OR ".join(f"icd10_code LIKE {_q(p + '%')}" for p in COHORT_PREFIXES)
 COHORT_ON_CODES = COHORT.replace("icd10_code", "code")
 BROAD = " OR ".join(f"icd10_code LIKE '{chr(c)}%'" for c in range(ord("A"), ord("Z") + 1))
 BROAD_ON_CODES = BROAD.replace("icd10_code", "code")
@@ -69,7 +81,7 @@ def acr_ctes(cond: str, name: str = "acr", src: str = "claims") -> str:
          LAG(d1) OVER ({W}) AS prev_diagnosis
   FROM {src} WHERE disch_dt IS NOT NULL AND admit_dt IS NOT NULL),
 {name}_flags AS (
-  SELECT *, CASE WHEN admit_dt - prev_discharge_date <= 30 AND admit_dt <> prev_discharge_date {cond}
+  SELECT *, CASE WHEN admit_dt - prev_discharge_date <= {MAX_GAP} AND admit_dt <> prev_discharge_date {cond}
                  THEN 1 ELSE 0 END AS is_readmission
   FROM {name}_ordered),
 {name} AS (
@@ -96,7 +108,7 @@ def rate_ctes(cond: str, years: str = YEARS, name: str = "rr", src: str = "claim
   FROM {name}_valid v
   JOIN {bene} b ON v.person_id = b.person_id
   LEFT JOIN {name}_acr a ON v.claim_id = a.claim_id
-  WHERE (v.admit_dt - v.prev_discharge_date > 30 OR v.prev_discharge_date IS NULL)
+  WHERE (v.admit_dt - v.prev_discharge_date > {MAX_GAP} OR v.prev_discharge_date IS NULL)
     AND NOT (v.claim_id IN (SELECT claim_id FROM {src} WHERE {PLANNED}))
   GROUP BY v.year, b.state_code, b.sex)"""
 
@@ -135,7 +147,7 @@ def cohort_rate_ctes(cond: str, cohort: str | None = COHORT, name: str = "cr") -
   FROM {name}_valid v
   JOIN bene b ON v.person_id = b.person_id
   LEFT JOIN {name}_acr a ON v.claim_id = a.claim_id
-  WHERE (v.admit_dt - v.prev_discharge_date > 30 OR v.prev_discharge_date IS NULL)
+  WHERE (v.admit_dt - v.prev_discharge_date > {MAX_GAP} OR v.prev_discharge_date IS NULL)
   GROUP BY b.state_code),
 {name} AS (
   SELECT s.state_abbr AS state,
@@ -177,17 +189,18 @@ ORACLE: dict[str, str] = {
     "prev_stay": _with() + f"""SELECT person_id, claim_id, admit_dt, disch_dt, pay_amt, d1, d2, d3,
         LAG(disch_dt) OVER ({W}) AS prev_discharge_date, LAG(d1) OVER ({W}) AS prev_diagnosis
         FROM claims WHERE disch_dt IS NOT NULL AND admit_dt IS NOT NULL""",
-    "against_advice_filter": _with() + "SELECT * FROM claims WHERE 'Brand#9' NOT IN (d1, d2, d3)",
+    "against_advice_filter": _with() + f"SELECT * FROM claims WHERE {_q(_R.exclude_any_dx)} NOT IN (d1, d2, d3)",
     "against_advice_filter_null_safe": _with() + (
-        "SELECT * FROM claims WHERE NOT coalesce(d1 = 'Brand#9' OR d2 = 'Brand#9' OR d3 = 'Brand#9', false)"),
+        "SELECT * FROM claims WHERE NOT coalesce("
+        + " OR ".join(f"{d} = {_q(_R.exclude_any_dx)}" for d in ("d1", "d2", "d3")) + ", false)"),
     "all_cause_readmission": _with(acr_ctes(STRICT)) + f"SELECT {ACR_COLS} FROM acr",
     "all_cause_readmission_null_safe": _with(acr_ctes(NULL_SAFE)) + f"SELECT {ACR_COLS} FROM acr",
     "all_cause_readmission_gap": _with(acr_ctes(GAP)) + f"SELECT {ACR_COLS} FROM acr",
-    "index_stays": _with(valid_cte()) + """SELECT claim_id, person_id, admit_dt, year, prev_discharge_date
-        FROM valid WHERE admit_dt - prev_discharge_date > 30 OR prev_discharge_date IS NULL""",
+    "index_stays": _with(valid_cte()) + f"""SELECT claim_id, person_id, admit_dt, year, prev_discharge_date
+        FROM valid WHERE admit_dt - prev_discharge_date > {MAX_GAP} OR prev_discharge_date IS NULL""",
     "planned_stays": _with() + f"SELECT claim_id FROM claims WHERE {PLANNED}",
     "exclude_planned": _with(valid_cte()) + f"""SELECT claim_id, person_id, admit_dt, year, prev_discharge_date
-        FROM valid WHERE (admit_dt - prev_discharge_date > 30 OR prev_discharge_date IS NULL)
+        FROM valid WHERE (admit_dt - prev_discharge_date > {MAX_GAP} OR prev_discharge_date IS NULL)
           AND NOT (claim_id IN (SELECT claim_id FROM claims WHERE {PLANNED}))""",
     "readmission_rate": _with(rate_ctes(STRICT)) + f"SELECT {RATE_COLS} FROM rr",
     "readmission_rate_gap": _with(rate_ctes(GAP)) + f"SELECT {RATE_COLS} FROM rr",

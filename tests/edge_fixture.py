@@ -9,6 +9,9 @@ import datetime as dt
 import pandas as pd
 from pyspark.sql import types as T
 
+from stayflow.rules import (AGAINST_ADVICE_CODE, PSYCHIATRIC_PREFIXES, REHAB_CODE, TRANSPLANT_CODES,
+                            TRANSPLANT_PREFIXES)
+
 D = dt.date
 FILL = ["X0%d" % i for i in range(2, 10)]  # diagnoses 2..9, none excluded
 
@@ -133,14 +136,20 @@ def duck(claims_rows=CLAIMS):
 
 DX = ", ".join(f"ICD9_DGNS_CD_{i}" for i in range(1, 10))
 WIN = "PARTITION BY DESYNPUF_ID ORDER BY CLM_ADMSN_DT, CLM_ID"
-EXCL_STRICT = (" AND ICD9_DGNS_CD_1 <> 'V57' AND ICD9_DGNS_CD_1 NOT LIKE '29%' AND ICD9_DGNS_CD_1 NOT LIKE '30%'"
-               f" AND ICD9_DGNS_CD_1 NOT LIKE '31%' AND 'V642' NOT IN ({DX})")
-EXCL_NULL_SAFE = (" AND ICD9_DGNS_CD_1 <> 'V57' AND ICD9_DGNS_CD_1 NOT LIKE '29%' AND ICD9_DGNS_CD_1 NOT LIKE '30%'"
-                  " AND ICD9_DGNS_CD_1 NOT LIKE '31%' AND NOT coalesce("
-                  + " OR ".join(f"ICD9_DGNS_CD_{i} = 'V642'" for i in range(1, 10)) + ", false)")
-PLANNED = ("ICD9_DGNS_CD_1 LIKE 'V42%' OR ICD9_DGNS_CD_1 IN ('5280','5281','5282','3751','3350','3351','3352',"
-           "'4697','4100','4101','4102','4103','4104','4105','4106','4107','4108','4109','5561','5569',"
-           "'5051','5059')")
+
+
+def _q(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
+_DX1 = "ICD9_DGNS_CD_1"
+_EXCL_DX1 = (f" AND {_DX1} <> {_q(REHAB_CODE)}"
+             + "".join(f" AND {_DX1} NOT LIKE {_q(p + '%')}" for p in PSYCHIATRIC_PREFIXES))
+EXCL_STRICT = _EXCL_DX1 + f" AND {_q(AGAINST_ADVICE_CODE)} NOT IN ({DX})"
+EXCL_NULL_SAFE = _EXCL_DX1 + " AND NOT coalesce(" + " OR ".join(
+    f"ICD9_DGNS_CD_{i} = {_q(AGAINST_ADVICE_CODE)}" for i in range(1, 10)) + ", false)"
+PLANNED = " OR ".join([f"{_DX1} LIKE {_q(p + '%')}" for p in TRANSPLANT_PREFIXES]
+                      + [f"{_DX1} IN ({', '.join(_q(c) for c in TRANSPLANT_CODES)})"])
 
 
 def acr_sql(excl: str) -> str:
