@@ -58,8 +58,9 @@ def hot_key_rows(spark: SparkSession) -> int:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local runs and tests) a private folder is created and registered.
+    ``spark.checkpoint.dir`` is read from the session.  Only a local session
+    (tests, bench) without it gets a private folder; on a cluster an unset
+    folder is an error rather than a machine-local fallback.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -67,6 +68,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not is_local(spark):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                           "(a machine-local folder would be lost with its executor)")
     local = tempfile.mkdtemp(prefix="stayflow-ckpt-")
     sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
