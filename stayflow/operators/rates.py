@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.codes import planned_code
+from ..functions.dates import in_years
 from ..rules import RuleSet
 from ..schemas import BeneCols, ClaimCols, StateCols
 from .codes import with_icd10
-from ..functions.codes import planned_code
-from ..functions.dates import in_years
 from .sequence import Track, previous_in_sequence
 from .stays import (FLAG_PREV, IS_COMPLETE, IS_MEASURED, MEASURED_PREV, index_condition,
                     readmission_condition)
 
+
 def ratio(num: Column | str, den: Column | str) -> Column:
     """num / den as DOUBLE, NULL when den is 0 (never raises under ANSI)."""
     n = F.col(num) if isinstance(num, str) else num
@@ -49,8 +50,9 @@ def episode_counts(claims: DataFrame, bene: DataFrame, rules: RuleSet, groups: d
     Plan, with one consumer per stage so nothing is computed twice:
     1. one shuffle by person: both previous stays (sequence.py) and, per
        row, the index / flagged / planned tests;
-    2. one shuffle by person to attach the beneficiary groups (collapsed to
-       distinct values first);
+    2. the beneficiary groups (collapsed to distinct values first) join on the
+       person: a broadcast when AQE measures them small, otherwise a join that
+       reads step 1's partitioning by person, so the claims move only once;
     3. one shuffle by claim id: per claim, any flagged row, any planned row
        and the set of groups its index rows fall in -- a set bounded by the
        number of output groups and combined map-side, so a claim id repeated
