@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..rules import DASHBOARD_RATE_RANGE, MAP_EXCLUDED_STATES
-from ..schemas import BeneCols, ClaimCols, StateCols
-from .rates import hundredths_of_percent
+from ..schemas import BeneCols, ClaimCols, CodeCols, StateCols
+from . import codes as K
+from .rates import hundredths_of_percent, state_rates_for_cohort
 
 
 def top_states(rates: DataFrame, n: int = 10, *, name: str = "state_name",
@@ -137,9 +138,6 @@ def cohort_dashboard(claims_icd10: DataFrame, bene: DataFrame, state: DataFrame,
     dashboard range is used).  A cohort spanning too many code groups falls
     back to all claims inside the same plan (``codes.cohort_or_all``).
     """
-    from ..schemas import CodeCols
-    from . import codes as K
-    from .rates import state_rates_for_cohort
     k = CodeCols(code=code_col, description=description_col)
     if cohort is None:
         pred, code_list = None, codes.select(code_col, description_col).limit(0)
