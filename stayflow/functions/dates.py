@@ -25,11 +25,14 @@ def parse_date(c: Column, fmt: str = SOURCE_DATE_FORMAT, on_error: str = "fail")
     into NULL.
     """
     t = blank_to_null(c)
+    d = F.try_to_date(t, fmt)
     if on_error == "null":
-        return F.try_to_date(t, fmt)
+        return d
     if on_error != "fail":
         raise ValueError(f"on_error must be 'fail' or 'null', got {on_error!r}")
-    return F.to_date(t, fmt)
+    # Explicit, so the load fails whether or not the session runs ANSI mode.
+    bad = F.concat(F.lit(f"cannot parse date ({fmt}): "), t)
+    return F.when(t.isNotNull() & d.isNull(), F.raise_error(bad).cast("date")).otherwise(d)
 
 
 def days_between(later: Column | str, earlier: Column | str) -> Column:

@@ -77,8 +77,11 @@ def typed(col: str, dtype: T.DataType, on_error: str = "fail") -> Column:
     if isinstance(dtype, T.StringType):
         return c.alias(col)
     v = blank_to_null(c)
-    cast = v.try_cast(dtype) if on_error == "null" else v.cast(dtype)
-    return cast.alias(col)
+    cast = v.try_cast(dtype)
+    if on_error == "null":
+        return cast.alias(col)
+    bad = F.concat(F.lit(f"cannot read {col} as {dtype.simpleString()}: "), v)
+    return F.when(v.isNotNull() & cast.isNull(), F.raise_error(bad).cast(dtype)).otherwise(cast).alias(col)
 
 
 def typed_projection(df: DataFrame, columns: Iterable[tuple[str, T.DataType]],

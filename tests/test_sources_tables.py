@@ -54,6 +54,23 @@ def test_impossible_date_fails_or_nulls(spark, tmp_dir):
         files.load_claims(spark, f"{tmp_dir}/claims").collect()
     r = files.load_claims(spark, f"{tmp_dir}/claims", on_error="null").collect()[0]
     assert r.CLM_ADMSN_DT is None and str(r.NCH_BENE_DSCHRG_DT) == "2008-05-02"
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:  # the failure does not depend on ANSI mode
+        with pytest.raises(Exception):
+            files.load_claims(spark, f"{tmp_dir}/claims").collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_bad_number_fails_or_nulls(spark, tmp_dir):
+    names = [n for n, _ in CLAIM_COLUMNS]
+    vals = {n: "" for n in names}
+    vals.update(DESYNPUF_ID="P1", CLM_ID="C1", SEGMENT="x1", CLM_PMT_AMT="12.5")
+    write(f"{tmp_dir}/claims/c.csv", ",".join(names) + "\n" + ",".join(vals[n] for n in names) + "\n")
+    with pytest.raises(Exception):
+        files.load_claims(spark, f"{tmp_dir}/claims").collect()
+    r = files.load_claims(spark, f"{tmp_dir}/claims", on_error="null").collect()[0]
+    assert r.SEGMENT is None and str(r.CLM_PMT_AMT) == "12.50"
 
 
 def test_missing_declared_column_is_an_error(spark, tmp_dir):
