@@ -1,3 +1,4 @@
+import json
 import os
 import sys
 import tempfile
@@ -16,9 +17,11 @@ SF001 = "/root/testdata/sf0.01"
 def spark():
     ckpt = tempfile.mkdtemp(prefix="stayflow-test-ckpt-")
     wh = tempfile.mkdtemp(prefix="stayflow-test-wh-")
-    s = build_session("local[4]", app="stayflow-tests", shuffle_partitions=4,
-                      extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g",
-                             "spark.sql.warehouse.dir": wh})
+    extra = {"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g", "spark.sql.warehouse.dir": wh}
+    # e.g. STAYFLOW_TEST_CONF='{"spark.sql.ansi.enabled": "false"}' to run the suite
+    # under other session settings.
+    extra.update(json.loads(os.environ.get("STAYFLOW_TEST_CONF", "{}")))
+    s = build_session("local[4]", app="stayflow-tests", shuffle_partitions=4, extra=extra)
     yield s
     s.stop()
 
