@@ -104,3 +104,33 @@ def env_cpus(default: int = 8) -> int:
         return int(os.environ.get("BENCH_CPUS", default))
     except ValueError:
         return default
+
+
+def cluster_conf(input_bytes: float, executors: int, cores_per_executor: int,
+                 executor_memory_bytes: float, row_bytes: int = 200,
+                 shuffle_fraction: float = 0.5) -> dict[str, str]:
+    """Settings sized for a cluster run (pass them at launch).
+
+    * reduce partitions of about 256 MB: the claims shuffle carries roughly
+      ``shuffle_fraction`` of the input; never fewer than three waves of tasks;
+    * scan splits of 512 MB (Parquet row groups stay whole);
+    * AQE coalesces toward 256 MB and splits skewed partitions above 1 GB;
+    * broadcast up to 64 MB (dimensions, crosswalk after aggregation);
+    * hot person above what a quarter of one task's memory holds.
+    """
+    mb = 1 << 20
+    slots = max(1, executors * cores_per_executor)
+    partitions = max(3 * slots, int(input_bytes * shuffle_fraction // (256 * mb)) + 1)
+    per_task = executor_memory_bytes / max(1, cores_per_executor)
+    hot_rows = max(100_000, int(per_task / (4 * row_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * mb),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * mb),
+        "spark.sql.files.maxPartitionBytes": str(512 * mb),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * mb),
+        HOT_KEY_ROWS_CONF: str(hot_rows),
+    }

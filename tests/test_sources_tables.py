@@ -154,3 +154,14 @@ def test_reload_table(spark, tmp_dir):
     df = spark.range(5).withColumn("x", F.col("id") * 2)
     back = TB.reload_table(df, f"{tmp_dir}/t")
     assert sorted(r.x for r in back.collect()) == [0, 2, 4, 6, 8]
+
+
+def test_cluster_conf_sizes():
+    from stayflow.session import HOT_KEY_ROWS_CONF, cluster_conf
+    c = cluster_conf(100e12, 1000, 8, 64 * 2**30)
+    parts = int(c["spark.sql.shuffle.partitions"])
+    assert parts * 256 * 2**20 >= 0.5 * 100e12 and parts >= 3 * 8000
+    hot = int(c[HOT_KEY_ROWS_CONF])
+    assert 5e11 / hot < 1e5  # the hot-key broadcast stays small
+    small = cluster_conf(1e9, 2, 4, 8 * 2**30)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24
