@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import any_of
@@ -26,13 +26,18 @@ def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def checked_keys(df: DataFrame, keys: Sequence[str], what: str = "row") -> DataFrame:
     """``df`` unchanged, but the job fails on a NULL or duplicated key (as an
-    INSERT into a keyed table would)."""
+    INSERT into a keyed table would).
+
+    One pass: a count per key over a window partitioned by the keys -- the
+    same hash partitioning the upsert's anti join needs, so when that join is
+    a shuffle join it reads this partitioning instead of shuffling again.
+    """
     keys = list(keys)
-    n_dup = key_violations(df, keys).agg(F.count(F.lit(1))).scalar()
-    bad = F.when(n_dup > 0, F.raise_error(F.lit(f"duplicate or NULL key in {what}s: {keys}")))
     null_key = any_of(F.col(k).isNull() for k in keys)
-    bad_row = F.when(null_key, F.raise_error(F.lit(f"NULL key in {what}: {keys}")))
-    return df.where(F.coalesce(bad.cast("boolean"), bad_row.cast("boolean"), F.lit(True)))
+    counted = df.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    msg = F.lit(f"duplicate or NULL key in {what}s: {keys}")
+    ok = F.when(null_key | (F.col("__n") > 1), F.raise_error(msg).cast("boolean")).otherwise(F.lit(True))
+    return counted.where(ok).drop("__n")
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], check: bool = True) -> DataFrame:
