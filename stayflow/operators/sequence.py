@@ -13,7 +13,10 @@ task never ends.  This module computes the same values in two branches:
 
 Hot entities are found with a pre-aggregated count (map-side combine, so the
 count itself is skew-proof).  Their number is at most ``rows / hot_key_rows``,
-which bounds the broadcast that tags them.
+which bounds the broadcast that tags them.  The hot branch is a two-pass
+parallel prefix scan (chunk windows and chunk tails, then the fix-up), so it
+reads its rows twice; with no hot entity AQE drops it at run time and the
+plan is the plain window.
 
 Several *tracks* can be computed in the same pass: a track is a subset of rows
 (``member``) and the values to carry from the previous member.  The flag
