@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..rules import DASHBOARD_RATE_RANGE, MAP_EXCLUDED_STATES
+from ..session import materialize
 from ..schemas import BeneCols, ClaimCols, CodeCols, StateCols
 from . import codes as K
 from .rates import hundredths_of_percent, state_rates_for_cohort
@@ -127,7 +128,7 @@ def cohort_dashboard(claims_icd10: DataFrame, bene: DataFrame, state: DataFrame,
                      rules, cohort=None, *, flag_rules=None, top_n: int = 10,
                      c: ClaimCols = ClaimCols(), b: BeneCols = BeneCols(), s: StateCols = StateCols(),
                      code_col: str = "icd10_cm_code", description_col: str = "description",
-                     named_groups: bool = False) -> dict[str, DataFrame]:
+                     named_groups: bool = False, store: bool = True) -> dict[str, DataFrame]:
     """Everything the cohort dashboard shows for one question, as lazy
     DataFrames: the state table, the top states, the colour range, the code
     list and the breadth.
@@ -137,6 +138,8 @@ def cohort_dashboard(claims_icd10: DataFrame, bene: DataFrame, state: DataFrame,
     Column / SQL text / prefixes, or None for all claims (then the fixed
     dashboard range is used).  A cohort spanning too many code groups falls
     back to all claims inside the same plan (``codes.cohort_or_all``).
+    ``store``: compute the state table once (a job now) and derive the other
+    outputs from the stored rows; otherwise each output recomputes it.
     """
     k = CodeCols(code=code_col, description=description_col)
     if cohort is None:
@@ -146,6 +149,10 @@ def cohort_dashboard(claims_icd10: DataFrame, bene: DataFrame, state: DataFrame,
         code_list = K.cohort_codes(codes, cohort, k, c.icd10)
     table = state_rates_for_cohort(claims_icd10, None, bene, state, rules, cohort=pred,
                                    flag_rules=flag_rules, c=c, b=b, s=s)
+    if store:
+        # One row per state feeds three outputs: computed once, stored in
+        # the shared folder, read three times.
+        table = materialize(table, "cohort-states")
     return {
         "states": table,
         "top": table.where(F.col("readmission_rate").isNotNull())
