@@ -152,7 +152,8 @@ def cohort_dashboard(claims_icd10: DataFrame, bene: DataFrame, state: DataFrame,
     if store:
         # One row per state feeds three outputs: computed once, stored in
         # the shared folder, read three times.
-        table = materialize(table, "cohort-states")
+        table = (materialize(table, "cohort-states")
+                 .orderBy(F.col("readmission_rate").desc_nulls_last(), F.col("state").asc_nulls_last()))
     return {
         "states": table,
         "top": table.where(F.col("readmission_rate").isNotNull())
