@@ -77,3 +77,31 @@ def refresh_measure(spark: SparkSession, *, claims_path: str, bene_path: str, st
         stored.icd10_codes = _join(base, "icd10_codes")
         FL.load_icd10_descriptions(spark, descriptions_path).write.mode("overwrite").parquet(stored.icd10_codes)
     return stored
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m stayflow.jobs --claims DIR --bene DIR --state FILE --out DIR``
+    (or through spark-submit).  Prints the folders written."""
+    import argparse
+    import json
+    from dataclasses import asdict
+
+    ap = argparse.ArgumentParser(prog="stayflow.jobs", description=refresh_measure.__doc__)
+    ap.add_argument("--claims", required=True, help="claims extract folder (*.csv)")
+    ap.add_argument("--bene", required=True, help="beneficiary extract folder (*.csv)")
+    ap.add_argument("--state", required=True, help="state CSV")
+    ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
+    ap.add_argument("--rates-table", help="stored rate table to upsert into")
+    ap.add_argument("--crosswalk", help="ICD-9 to ICD-10 fixed-width file")
+    ap.add_argument("--descriptions", help="ICD-10 code fixed-width file")
+    ap.add_argument("--run-id", default="run")
+    a = ap.parse_args(argv)
+    spark = SparkSession.builder.appName("stayflow-refresh").getOrCreate()
+    stored = refresh_measure(spark, claims_path=a.claims, bene_path=a.bene, state_path=a.state,
+                             out_dir=a.out, rates_table=a.rates_table, run_id=a.run_id,
+                             crosswalk_path=a.crosswalk, descriptions_path=a.descriptions)
+    print(json.dumps(asdict(stored)))
+
+
+if __name__ == "__main__":
+    main()
