@@ -95,10 +95,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--crosswalk", help="ICD-9 to ICD-10 fixed-width file")
     ap.add_argument("--descriptions", help="ICD-10 code fixed-width file")
     ap.add_argument("--run-id", default="run")
+    ap.add_argument("--rules", choices=("strict", "null-safe", "gap"), default="strict",
+                    help="flag exclusions: all (three-valued), all (NULL-safe), none")
     a = ap.parse_args(argv)
+    rules = {"strict": CLAIMS_RULES, "null-safe": CLAIMS_RULES.with_null_safe(),
+             "gap": CLAIMS_RULES.gap_only()}[a.rules]
     spark = SparkSession.builder.appName("stayflow-refresh").getOrCreate()
     stored = refresh_measure(spark, claims_path=a.claims, bene_path=a.bene, state_path=a.state,
-                             out_dir=a.out, rates_table=a.rates_table, run_id=a.run_id,
+                             out_dir=a.out, rules=rules, rates_table=a.rates_table, run_id=a.run_id,
                              crosswalk_path=a.crosswalk, descriptions_path=a.descriptions)
     print(json.dumps(asdict(stored)))
 
