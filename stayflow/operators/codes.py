@@ -29,12 +29,11 @@ def with_icd10(claims: DataFrame, xwalk_min: DataFrame, c: ClaimCols = ClaimCols
 
 def claims_icd10(claims: DataFrame, xwalk: DataFrame, c: ClaimCols = ClaimCols(), *,
                  icd9: str = "icd9", icd10: str = "icd10") -> DataFrame:
-    """Narrow crosswalked claims table (one row per claim row); carries the
-    ``c.icd10_carry`` columns that the claims have."""
+    """Narrow crosswalked claims table (one row per claim row): the
+    ``c.icd10_columns`` the claims have, then the mapped code."""
     m = with_icd10(claims, crosswalk_min(xwalk, icd9=icd9, icd10=icd10), c, icd9=icd9, icd10=icd10)
-    carry = [x for x in c.icd10_carry if x in claims.columns]
-    cols = [c.person, c.claim, *carry, c.admit, c.disch, c.dx1, c.icd10]
-    return m.select(*list(dict.fromkeys(cols)))
+    cols = [x for x in c.icd10_columns if x in claims.columns] + [c.icd10]
+    return m.select(*cols)
 
 
 def codes_by_prefix(codes: DataFrame, prefix: str, k: CodeCols = CodeCols()) -> DataFrame:

@@ -119,9 +119,10 @@ class ClaimCols:
     dx: tuple[str, ...] = tuple(f"ICD9_DGNS_CD_{i}" for i in range(1, 10))
     proc1: str | None = "ICD9_PRCDR_CD_1"
     icd10: str = "ICD10_DGNS_CODE"
-    # Extra columns carried into the crosswalked claims table.
-    icd10_carry: tuple[str, ...] = (
-        "CLM_FROM_DT", "CLM_THRU_DT", "CLM_PMT_AMT", "CLM_UTLZTN_DAY_CNT", "CLM_DRG_CD")
+    # Columns of the crosswalked claims table, in order (the mapped code last).
+    icd10_columns: tuple[str, ...] = (
+        "DESYNPUF_ID", "CLM_ID", "CLM_FROM_DT", "CLM_THRU_DT", "CLM_PMT_AMT", "CLM_ADMSN_DT",
+        "CLM_UTLZTN_DAY_CNT", "NCH_BENE_DSCHRG_DT", "CLM_DRG_CD", "ICD9_DGNS_CD_1")
 
     @property
     def dx1(self) -> str:

@@ -26,7 +26,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 LAYOUT = Layout(
     claims=ClaimCols(person="person_id", claim="claim_id", admit="admit_dt", disch="disch_dt",
                      dx=("d1", "d2", "d3"), proc1=None, icd10="icd10_code",
-                     icd10_carry=("pay_amt",)),
+                     icd10_columns=("person_id", "claim_id", "pay_amt", "admit_dt", "disch_dt", "d1")),
     bene=BeneCols(person="person_id", state="state_code", sex="sex"),
     state=StateCols(name="state_name", code="state_code", abbr="state_abbr"),
     codes=CodeCols(icd9="icd9", icd10="icd10", code="code", description="description"),
