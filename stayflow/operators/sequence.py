@@ -13,7 +13,10 @@ task never ends.  This module computes the same values in two branches:
 
 Hot entities are found with a pre-aggregated count (map-side combine, so the
 count itself is skew-proof).  Their number is at most ``rows / hot_key_rows``,
-which bounds the broadcast that tags them.  The hot branch is a two-pass
+which bounds the broadcast that tags them.  The hot branch first collapses
+exact copies of a row into one row and a multiplicity (map-side, so a heap of
+identical rows -- a twice-loaded extract -- never lands in one task) and
+restores them at the end in pieces spread over tasks.  It is a two-pass
 parallel prefix scan (chunk windows and chunk tails, then the fix-up), so it
 reads its rows twice; with no hot entity AQE drops it at run time and the
 plan is the plain window.
@@ -108,6 +111,14 @@ def previous_in_sequence(df: DataFrame, entity: str, order: Sequence[str],
     cold = tagged.where(F.col("__hot").isNull()).drop("__hk", "__hot")
     cold_out = cold.select("*", *running(Window.partitionBy(entity).orderBy(*sort_cols))).drop(*mnames)
 
+    # Exact copies of a row (a twice-loaded extract, say) collapse to one row
+    # and its multiplicity; the partial aggregation does this map-side, so a
+    # heap of copies never reaches one task.  They are restored at the end.
+    distinct = (tagged.where(F.col("__hot").isNotNull()).drop("__hk", "__hot", *mnames)
+                      .groupBy(*base_cols).agg(F.count(F.lit(1)).alias("__mult")))
+    distinct = distinct.select("*", *[
+        F.when(t.member, F.struct(*[c.alias(n) for n, c in t.carry.items()])).alias(m)
+        for t, m in zip(tracks, mnames)])
     # Hot rows are keyed by the struct (entity, chunk...): one key for the
     # shuffle, the windows, the tails and the fix-up join, so the join reuses
     # the shuffle, and struct equality matches NULL fields (a NULL entity is
@@ -115,12 +126,11 @@ def previous_in_sequence(df: DataFrame, entity: str, order: Sequence[str],
     # hash-partitioned or bucketed by the entity would otherwise satisfy the
     # (entity, chunk) windows and keep a hot entity in one task.
     key = F.struct(F.col(entity).alias("e"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(chunk_by)])
-    hot_rows = (tagged.where(F.col("__hot").isNotNull()).drop("__hk", "__hot")
-                      .withColumn("__k", key).repartition("__k"))
+    hot_rows = distinct.withColumn("__k", key).repartition("__k")
     wc = Window.partitionBy("__k").orderBy(*[F.col(c).asc_nulls_last() for c in inner_order])
     local = hot_rows.select("*", *running(wc) if inner_order else
                             [F.lit(None).cast(hot_rows.schema[m].dataType).alias(p)
-                             for m, p in zip(mnames, pnames)]).drop(*mnames)
+                             for m, p in zip(mnames, pnames)])
     okey = _order_key(order)
     tails = hot_rows.groupBy("__k").agg(*[
         F.max(F.when(F.col(m).isNotNull(), F.struct(okey.alias("o"), F.col(m).alias("v"))))
@@ -131,8 +141,24 @@ def previous_in_sequence(df: DataFrame, entity: str, order: Sequence[str],
           .rowsBetween(_UNB, -1))
     chunk_prev = tails.select(
         "__k", *[F.last(f"__t{i}", ignorenulls=True).over(wt).alias(f"__cp{i}") for i in range(len(mnames))])
-    hot_out = local.join(chunk_prev, "__k", "left").select(
-        *base_cols, *[F.coalesce(F.col(p), F.col(f"__cp{i}")).alias(p) for i, p in enumerate(pnames)])
+    fixed = local.join(chunk_prev, "__k", "left").select(
+        *base_cols, "__k", "__mult", *mnames,
+        *[F.coalesce(F.col(p), F.col(f"__cp{i}")).alias(p) for i, p in enumerate(pnames)])
+    # Restore the copies.  Entry 0 is the first copy (previous row as found);
+    # entries 1..n are pieces of at most ``piece`` later copies, whose
+    # previous row is an identical copy (its own values where it is a
+    # member).  Pieces are spread over tasks before they are expanded.
+    piece = max(1, threshold)
+    n_pieces = F.ceil((F.col("__mult") - 1) / F.lit(piece)).cast("long")
+    entries = fixed.select("*", F.explode(F.sequence(F.lit(0).cast("long"), n_pieces)).alias("__i"))
+    count = F.when(F.col("__i") == 0, F.lit(1)).otherwise(
+        F.least(F.lit(piece).cast("long"), F.col("__mult") - 1 - (F.col("__i") - 1) * piece))
+    prevs = [F.when(F.col("__i") == 0, F.col(p)).otherwise(F.coalesce(F.col(m), F.col(p))).alias(p)
+             for m, p in zip(mnames, pnames)]
+    spread = entries.select(*base_cols, *prevs, count.alias("__cnt"), "__k", "__i").repartition("__k", "__i")
+    hot_out = (spread.select(*base_cols, *pnames,
+                             F.explode(F.array_repeat(F.lit(0), F.col("__cnt").cast("int"))).alias("__c"))
+                     .drop("__c"))
 
     return _expand(cold_out.unionByName(hot_out), base_cols, tracks, pnames)
 

@@ -164,3 +164,17 @@ def test_cohort_dashboard(spark, con):
     everyone = FD.cohort_dashboard(cic, t["bene"], t["state"], codes, CLAIMS_RULES.gap_only(), None)
     r0 = everyone["range"].collect()[0]
     assert (r0.min_rate, r0.max_rate) == (0.0, 0.1) and everyone["codes"].count() == 0
+
+
+@pytest.mark.parametrize("hk", [-1, 4])
+def test_flag_with_copies_matches_sql(spark, hk):
+    from edge_fixture import CLAIMS as BASE_ROWS, CLAIM_SCHEMA
+    rows = BASE_ROWS + [BASE_ROWS[1]] * 150 + [BASE_ROWS[6]] * 3     # a stay loaded many times
+    con2 = duck(rows)
+    claims = spark.createDataFrame(rows, CLAIM_SCHEMA)
+    for rules, excl in [(CLAIMS_RULES, EXCL_STRICT), (CLAIMS_RULES.gap_only(), "")]:
+        got = rows_of(S.all_cause_readmission(claims, rules, hot_key_rows=hk), ACR_COLS)
+        assert got == duck_rows(con2, acr_sql(excl), ACR_COLS)
+    bene = frames(spark)["bene"]
+    got = rows_of(R.readmission_rate(claims, bene, CLAIMS_RULES.gap_only(), hot_key_rows=hk), RATE_COLS)
+    assert got == duck_rows(con2, rate_sql(""), RATE_COLS)

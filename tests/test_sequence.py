@@ -85,3 +85,18 @@ def test_hot_branch_is_used(spark):
     plan = lag_by_entity(df, "e", ["d", "k"], {"pv": F.col("v")}, hot_key_rows=5)
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" in text and "Window" in text
+
+
+@pytest.mark.parametrize("hk", [-1, 3, 40])
+def test_heaps_of_copies(spark, hk):
+    rows = unique_order(make_rows(5, n=200))
+    heap = rows[17]
+    rows = rows + [heap] * 700 + [rows[3]] * 3 + [rows[50]] * 2   # one row holds most of the data
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = previous_in_sequence(df, "e", ["d", "k"],
+                               [Track(F.col("m"), {"pm": F.col("v")}), Track(F.lit(True), {"pa": F.col("v")})],
+                               hot_key_rows=hk)
+    res = sorted(((tuple(r[c] for c in ("e", "d", "k", "v", "m")), (r.pm, r.pa)) for r in got.collect()), key=repr)
+    bm, ba = brute(rows, member_idx=4), brute(rows)
+    assert len(res) == len(rows)
+    assert res == sorted(((r, (bm[i], ba[i])) for i, r in enumerate(rows)), key=repr)
