@@ -141,24 +141,26 @@ def previous_in_sequence(df: DataFrame, entity: str, order: Sequence[str],
           .rowsBetween(_UNB, -1))
     chunk_prev = tails.select(
         "__k", *[F.last(f"__t{i}", ignorenulls=True).over(wt).alias(f"__cp{i}") for i in range(len(mnames))])
-    fixed = local.join(chunk_prev, "__k", "left").select(
-        *base_cols, "__k", "__mult", *mnames,
-        *[F.coalesce(F.col(p), F.col(f"__cp{i}")).alias(p) for i, p in enumerate(pnames)])
+    fixed = (local.join(chunk_prev, "__k", "left")
+                  .withColumns({p: F.coalesce(F.col(p), F.col(f"__cp{i}")) for i, p in enumerate(pnames)})
+                  .drop(*[f"__cp{i}" for i in range(len(pnames))]))
     # Restore the copies.  Entry 0 is the first copy (previous row as found);
     # entries 1..n are pieces of at most ``piece`` later copies, whose
     # previous row is an identical copy (its own values where it is a
     # member).  Pieces are spread over tasks before they are expanded.
     piece = max(1, threshold)
     n_pieces = F.ceil((F.col("__mult") - 1) / F.lit(piece)).cast("long")
-    entries = fixed.select("*", F.explode(F.sequence(F.lit(0).cast("long"), n_pieces)).alias("__i"))
+    entries = fixed.withColumn("__i", F.explode(F.sequence(F.lit(0).cast("long"), n_pieces)))
     count = F.when(F.col("__i") == 0, F.lit(1)).otherwise(
         F.least(F.lit(piece).cast("long"), F.col("__mult") - 1 - (F.col("__i") - 1) * piece))
-    prevs = [F.when(F.col("__i") == 0, F.col(p)).otherwise(F.coalesce(F.col(m), F.col(p))).alias(p)
-             for m, p in zip(mnames, pnames)]
-    spread = entries.select(*base_cols, *prevs, count.alias("__cnt"), "__k", "__i").repartition("__k", "__i")
-    hot_out = (spread.select(*base_cols, *pnames,
-                             F.explode(F.array_repeat(F.lit(0), F.col("__cnt").cast("int"))).alias("__c"))
-                     .drop("__c"))
+    spread = (entries.withColumns({
+                  **{p: F.when(F.col("__i") == 0, F.col(p)).otherwise(F.coalesce(F.col(m), F.col(p)))
+                     for m, p in zip(mnames, pnames)},
+                  "__cnt": count})
+                     .drop("__mult", *mnames)
+                     .repartition("__k", "__i"))
+    hot_out = (spread.withColumn("__c", F.explode(F.array_repeat(F.lit(0), F.col("__cnt").cast("int"))))
+                     .drop("__c", "__cnt", "__k", "__i"))
 
     return _expand(cold_out.unionByName(hot_out), base_cols, tracks, pnames)
 
