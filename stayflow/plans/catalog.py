@@ -93,6 +93,17 @@ def _against_advice(i: Inputs, null_safe: bool) -> DataFrame:
     return i.claims.where(code_absent(STRICT.exclude_any_dx, C.dx, null_safe))
 
 
+# Skewed variant of the claims: every third claim (by claim id) moves to
+# customer 1, so one person holds a third of all rows.  With the hot-key
+# threshold at 100 rows that person takes the split path at every scale.
+SKEW_PERSON, SKEW_HOT_ROWS = 1, 100
+
+
+def _skewed_claims(i: Inputs) -> DataFrame:
+    return i.claims.withColumn(C.person, F.when(F.col(C.claim) % 3 == 0, F.lit(SKEW_PERSON).cast("long"))
+                                          .otherwise(F.col(C.person)))
+
+
 def _upsert(i: Inputs) -> DataFrame:
     old = i.rates(replace(STRICT, years=(1996, 1997)))
     new = i.rates(replace(GAP, years=(1997, 1998)))
@@ -241,6 +252,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "claims": i.claims, "bene": i.bene, "state": i.state,
         "all_cause_readmission": S.all_cause_readmission(i.claims, STRICT, C)})),
     "clustered_claims": q(lambda i: TB.clustered_claims(i.claims, C)),
+    # one person with a third of the rows (split path)
+    "all_cause_readmission_skewed": q(lambda i: S.all_cause_readmission(
+        _skewed_claims(i), GAP, C, hot_key_rows=SKEW_HOT_ROWS)),
+    "readmission_rate_skewed": q(lambda i: R.readmission_rate(
+        _skewed_claims(i), i.bene, GAP, c=C, b=B, hot_key_rows=SKEW_HOT_ROWS)),
     "reload_table": q(_reload_claims),
     # loaders
     "load_claims": q(_load_claims),

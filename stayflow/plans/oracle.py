@@ -161,6 +161,9 @@ def cohort_rate_ctes(cond: str, cohort: str | None = COHORT, name: str = "cr") -
 LOADED_CLAIMS = """SELECT CAST(person_id AS VARCHAR) AS DESYNPUF_ID, CAST(claim_id AS VARCHAR) AS CLM_ID,
     admit_dt AS CLM_ADMSN_DT, disch_dt AS NCH_BENE_DSCHRG_DT, pay_amt AS CLM_PMT_AMT,
     d1 AS ICD9_DGNS_CD_1, d2 AS ICD9_DGNS_CD_2, d3 AS ICD9_DGNS_CD_3 FROM claims"""
+SKEWED = """
+claims_k AS (SELECT * REPLACE (CASE WHEN claim_id % 3 = 0 THEN CAST(1 AS BIGINT) ELSE person_id END
+                               AS person_id) FROM claims)"""
 ACR_COLS = "person_id, claim_id, admit_dt, disch_dt, d1, prev_discharge_date, prev_diagnosis, is_readmission"
 RATE_COLS = ("year, state_code, sex, CAST(readmissions AS BIGINT) AS readmissions, "
              "CAST(total_admissions AS BIGINT) AS total_admissions, age_grp_id, condition_type_id, "
@@ -270,6 +273,8 @@ rng AS (SELECT COALESCE(min(CAST(readmission_rate AS DOUBLE)), 0.0) AS min_rate,
         UNION ALL SELECT 'state', count(*) FROM state
         UNION ALL SELECT 'all_cause_readmission', count(*) FROM acr""",
     "clustered_claims": _with() + "SELECT * FROM claims",
+    "all_cause_readmission_skewed": _with(SKEWED, acr_ctes(GAP, src="claims_k")) + f"SELECT {ACR_COLS} FROM acr",
+    "readmission_rate_skewed": _with(SKEWED, rate_ctes(GAP, src="claims_k")) + f"SELECT {RATE_COLS} FROM rr",
     "reload_table": _with() + "SELECT * FROM claims",
     "load_claims": _with() + LOADED_CLAIMS,
     "load_beneficiaries": _with() + """SELECT CAST(person_id AS VARCHAR) AS DESYNPUF_ID,

@@ -8,7 +8,8 @@ from conftest import SF0001
 
 FAST = ["all_cause_readmission", "readmission_rate_gap", "state_rates", "state_rates_for_cohort",
         "claims_icd10", "cohort_breadth", "rates_preview", "upsert_rates", "exclude_planned",
-        "rate_scaled", "label_rates", "refresh_state_rates"]
+        "rate_scaled", "label_rates", "refresh_state_rates",
+        "all_cause_readmission_skewed", "readmission_rate_skewed"]
 
 
 def test_entry_runs(spark):
