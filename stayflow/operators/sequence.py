@@ -16,7 +16,8 @@ count itself is skew-proof).  Their number is at most ``rows / hot_key_rows``,
 which bounds the broadcast that tags them.  The hot branch first collapses
 exact copies of a row into one row and a multiplicity (map-side, so a heap of
 identical rows -- a twice-loaded extract -- never lands in one task) and
-restores them at the end in pieces spread over tasks.  It is a two-pass
+restores them at the end in pieces spread over tasks; only rows on hot days
+(one entity, one day, more than ``hot_key_rows`` rows) pay for the collapse.  It is a two-pass
 parallel prefix scan (chunk windows and chunk tails, then the fix-up), so it
 reads its rows twice; with no hot entity AQE drops it at run time and the
 plan is the plain window.
@@ -114,9 +115,25 @@ def previous_in_sequence(df: DataFrame, entity: str, order: Sequence[str],
     # Exact copies of a row (a twice-loaded extract, say) collapse to one row
     # and its multiplicity; the partial aggregation does this map-side, so a
     # heap of copies never reaches one task.  They are restored at the end.
-    distinct = (tagged.where(F.col("__hot").isNotNull()).drop("__hk", "__hot", *mnames)
-                      .groupBy(*base_cols).agg(F.count(F.lit(1)).alias("__mult")))
-    distinct = distinct.select("*", *[
+    # Only days that are themselves hot (more than ``threshold`` rows of one
+    # entity) can hold such a heap; they are found with another map-side
+    # count (at most rows / threshold of them, broadcast) and only their rows
+    # pay for the collapse -- the other hot rows keep multiplicity 1.
+    hot_rows0 = tagged.where(F.col("__hot").isNotNull()).drop("__hk", "__hot", *mnames)
+    dkeys = [entity, *chunk_by]
+    hot_days = (hot_rows0.groupBy(*dkeys).agg(F.count(F.lit(1)).alias("__dn"))
+                         .where(F.col("__dn") > F.lit(threshold))
+                         .select(*[F.col(k).alias(f"__d{i}") for i, k in enumerate(dkeys)],
+                                 F.lit(True).alias("__hotday")))
+    dcond = None
+    for i, k in enumerate(dkeys):
+        e = F.col(k).eqNullSafe(F.col(f"__d{i}"))
+        dcond = e if dcond is None else dcond & e
+    day_tagged = hot_rows0.join(F.broadcast(hot_days), dcond, "left").drop(*[f"__d{i}" for i in range(len(dkeys))])
+    collapsed = (day_tagged.where(F.col("__hotday").isNotNull()).drop("__hotday")
+                           .groupBy(*base_cols).agg(F.count(F.lit(1)).alias("__mult")))
+    single = day_tagged.where(F.col("__hotday").isNull()).drop("__hotday").withColumn("__mult", F.lit(1).cast("long"))
+    distinct = single.unionByName(collapsed).select("*", *[
         F.when(t.member, F.struct(*[c.alias(n) for n, c in t.carry.items()])).alias(m)
         for t, m in zip(tracks, mnames)])
     # Hot rows are keyed by the struct (entity, chunk...): one key for the
