@@ -108,3 +108,13 @@ def test_refresh_stores_crosswalked_claims(spark, tmp_dir):
     cic = spark.read.parquet(st.claims_icd10)
     assert cic.count() == i.claims.count() and "ICD10_DGNS_CODE" in cic.columns
     assert spark.read.parquet(st.icd10_codes).count() == i.codes.count()
+
+
+def test_no_hot_keys_runs_the_plain_window_plan(spark):
+    # Default threshold: no person is hot, AQE drops the split branch at run
+    # time and the executed plan is one window over one person shuffle.
+    df = E.queries()["all_cause_readmission"](spark, SF0001)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan ==")[0]
+    assert "Union" not in plan
+    assert plan.count("Window [") == 1
