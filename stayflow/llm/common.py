@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 # Byte values of [\x20\x09-\x0D], the white space that separates words.  A
 # word [^\x20\x09-\x0D]+ is what bytes.split() yields on UTF-8 text.
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -52,5 +54,19 @@ ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string"
          "array<long>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string())}
 
 
+def store(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` as a Parquet table of the shared folder, and its path: work that
+    is read again, or that a lost executor must not bring back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path), path
+
+
+def drop_stored(spark: SparkSession, path: str) -> None:
+    """Delete a table that ``store`` wrote and nothing reads any more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def sha256(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, license_scan, secret_scan
+from . import bpe, license_scan, secret_scan, simhash
 from .common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -21,6 +21,12 @@ def register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return fn
 
 
+@register
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, max_bits=2)
+    return found.select("doc_id", simhash.hex_digits(found.fp).alias("fingerprint"), "component_id")
+
+
 @register
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
