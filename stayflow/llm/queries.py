@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, license_scan, quality, secret_scan, sharding, simhash
+from . import bpe, decontam, license_scan, quality, secret_scan, sharding, simhash
 from .common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -22,6 +22,11 @@ def register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return fn
 
 
+@register
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @register
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, max_bits=2)
