@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, license_scan, quality, secret_scan, sharding, simhash
+from . import bpe, decontam, html_text, license_scan, quality, secret_scan, sharding, simhash
 from .common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -49,6 +49,12 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+@register
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.train(pages))
+
+
 @register
 def op9_vector_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), sharding.SHARDS).select(
