@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, html_text, license_scan, quality, secret_scan, sharding, simhash
+from . import bpe, decontam, html_text, license_scan, quality, secret_scan, sharding, simhash, suffix_dedup
 from .common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -55,6 +55,11 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(pages, html_text.train(pages))
 
 
+@register
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @register
 def op9_vector_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), sharding.SHARDS).select(
