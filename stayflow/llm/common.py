@@ -54,11 +54,11 @@ ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string"
          "array<long>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string())}
 
 
-def store(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def store(df: DataFrame, name: str, **options: str) -> tuple[DataFrame, str]:
     """``df`` as a Parquet table of the shared folder, and its path: work that
     is read again, or that a lost executor must not bring back."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.parquet(path), path
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, html_text, license_scan, quality, secret_scan, sharding, simhash, suffix_dedup
+from . import bpe, decontam, hmm, html_text, license_scan, quality, secret_scan, sharding, simhash, suffix_dedup
 from .common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -39,6 +39,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+@register
+def op4_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(table(spark, sf_dir, "documents"))
+
+
 @register
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
