@@ -211,9 +211,10 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     return map_rows(encoded.select("doc_id", "ids"), make, "doc_id long, data binary")
 
 
-def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool = False, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
-    """Encode and decode in one pass over the texts; digests of both results."""
+    """Encode and decode in one pass over the texts: digests of both results,
+    and the ids themselves if asked for."""
     ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
     def make():
@@ -221,7 +222,8 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
 
         def row(doc, text):
             ids = enc.encode(text or "")
-            return doc, len(ids), sha256(enc.ids_text(ids)), sha256(enc.decode(ids))
+            found = doc, len(ids), sha256(enc.ids_text(ids)), sha256(enc.decode(ids))
+            return (*found, ids) if with_ids else found
         return row
-    return map_rows(id_text(docs, id_col, text_col), make,
-                    "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return map_rows(id_text(docs, id_col, text_col), make, schema + ", ids array<int>" * with_ids)

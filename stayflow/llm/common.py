@@ -16,6 +16,9 @@ from ..session import scratch_path
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 WORD_SQL = r"[^\x20\x09-\x0D]+"
 
+# Rows of an Arrow batch that are Python objects at one time.
+ROWS = 512
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -41,8 +44,9 @@ def map_rows(df: DataFrame, make: Callable[[], Callable], schema: str) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
         for rb in batches:
-            if rb.num_rows:
-                rows = [fn(*r) for r in zip(*(c.to_pylist() for c in rb.columns), strict=True)]
+            for at in range(0, rb.num_rows, ROWS):
+                part = rb.slice(at, ROWS)
+                rows = [fn(*r) for r in zip(*(c.to_pylist() for c in part.columns), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(v), f.type) for v, f in zip(zip(*rows, strict=True), arrow, strict=True)],
                     schema=arrow)

@@ -217,6 +217,20 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, max_edits: flo
     return found if found is not None else docs.sparkSession.createDataFrame([], schema)
 
 
+def without_leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, max_edits: float = MAX_EDITS,
+                  text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item."""
+    for items in blocks(benchmark, q, max_edits, item_id, item_text):
+        sent = docs.sparkSession.sparkContext.broadcast(items)
+
+        def clean(texts, sent=sent):
+            data = [(t or "").encode() for t in texts]
+            bad = {k for k, *_ in matches(sent.value, data)}
+            return texts.__class__([k not in bad for k in range(len(data))], index=texts.index, dtype=bool)
+        docs = docs.where(F.pandas_udf(clean, "boolean")(F.col(text_col).cast("string")))
+    return docs
+
+
 def _search(sent):
     def run(batches):
         items = sent.value

@@ -27,7 +27,7 @@ from itertools import accumulate
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import id_text, map_rows, store
@@ -123,15 +123,34 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, crowded: int = CROWDED)
 
 def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = MAX_BITS, id_col: str = "doc_id",
                     text_col: str = "text", crowded: int = CROWDED) -> DataFrame:
-    """doc_id, fp, component_id (the smallest doc_id reachable over links)."""
+    """doc_id, fp, component_id (the smallest doc_id reachable over links) and
+    root (the smallest fingerprint reachable)."""
     prints, _ = store(fingerprints(docs, words, id_col, text_col), "fingerprints")
     first, _ = store(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "first")
     of = components(links(first.select("fp"), max_bits, crowded))
     linked = first.join(of.withColumnRenamed("node", "fp"), "fp")
     smallest = linked.groupBy("root").agg(F.min("first").alias("smallest"))
-    named = linked.join(smallest, "root").select("fp", "smallest")
-    classes = first.join(named, "fp", "left").select("fp", F.coalesce("smallest", "first").alias("component_id"))
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    named = linked.join(smallest, "root").select("fp", "smallest", "root")
+    classes = first.join(named, "fp", "left").select("fp", F.coalesce("smallest", "first").alias("component_id"),
+                                                     F.coalesce("root", "fp").alias("root"))
+    return prints.join(classes, "fp").select("doc_id", "fp", "component_id", "root")
+
+
+def one_of_each(docs: DataFrame, words: int = 3, max_bits: int = MAX_BITS, id_col: str = "doc_id",
+                text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each class: that of the smallest doc_id (rows
+    without one come last, then by fingerprint; of rows that agree in both, the
+    smallest text)."""
+    found = near_duplicates(docs, words, max_bits, id_col, text_col)
+    rank = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("fp"))
+    best = found.groupBy("root").agg(F.min(rank).alias("best")).select("best.doc_id", "best.fp")
+    name = lambda doc, fp: F.concat_ws("/", F.coalesce(doc.cast("string"), F.lit("")), fp.cast("string"))
+    keep = best.select(name(F.col("doc_id"), F.col("fp")).alias("__row"))
+    fp = F.pandas_udf(lambda s: s.map(lambda t: fingerprint(t or "", words)), "long")
+    mine = docs.withColumn("__row", name(F.col(id_col).cast("long"), fp(F.col(text_col))))
+    first = Window.partitionBy("__row").orderBy(F.col(text_col).cast("string"))
+    return (mine.join(keep, "__row", "left_semi").withColumn("__place", F.row_number().over(first))
+            .where("__place = 1").select(*docs.columns))
 
 
 def hex_digits(fp: Column) -> Column:
