@@ -97,13 +97,19 @@ def hashed(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
     owner = np.zeros(len(buf), np.int32)
     owner[first[1:]] = 1
     owner = np.cumsum(owner, dtype=np.int32)
+    edge = np.zeros(len(buf), np.int8)
+    np.add.at(edge, first, 1)
+    np.add.at(edge, first + [len(t) for t in texts], -1)
+    inside = np.cumsum(edge, dtype=np.int8) > 0
     out = []
     wide = buf.astype(np.uint64)
     for order in CHAR_ORDERS:
         h = wide[:len(buf) - order + 1].copy()
         for k in range(1, order):
             h = h * _ODD + wide[k:len(buf) - order + 1 + k]
-        out.append((owner[:len(h)], bucket(h)))
+        # Both ends in a text: in the same one, as the gap is longer.
+        whole = inside[:len(h)] & inside[order - 1:]
+        out.append((owner[:len(h)][whole], bucket(h[whole])))
     space = _IS_SPACE[buf]
     begin = np.flatnonzero(~space[1:] & space[:-1]) + 1
     end = np.flatnonzero(~space[:-1] & space[1:]) + 1
