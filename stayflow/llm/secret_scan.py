@@ -35,7 +35,7 @@ KINDS = ("assign", "access", "hex", "ident", "weak", "endpoint")
 RANK = {k: i for i, k in enumerate(KINDS)}
 
 # Weak parts: names that announce an identifier or a secret, and endpoints.
-NAMED = re.compile(r"(?<![A-Za-z0-9])(?:(user_?(?:name|id)|login|client_?id|account_?(?:id|name)|access_?key_?id|tenant_?id)"
+NAMED = re.compile(r"(?<![A-Za-z0-9])(?:(user(?:_?(?:name|id))?|login|client_?id|account_?(?:id|name)|access_?key_?id|tenant_?id)"
                    r"|(pwd|pass(?:phrase)?|private_?key|client_?secret|access_?key|credentials?|auth_?key))"
                    r"[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=@-]{4,})", re.I | re.A)
 BARE = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[0-9A-Z+/_-]*[a-z])(?=[0-9a-z+/_-]*[A-Z])"
