@@ -1,0 +1,13 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(__file__))
+
+from edge_rows import edge_rows  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def edge():
+    return edge_rows()
