@@ -1,17 +1,12 @@
 """Hand-made claims covering the null / tie / fan-out edge cases, in the
-extract's own column layout, plus a brute-force SQL statement of each measure
-(run on DuckDB over the same rows) to compare against."""
+extract's own column layout, and a plain-Python version of each measure."""
 
 from __future__ import annotations
 
 import datetime as dt
 
-import pandas as pd
 from pyspark.sql import types as T
 
-from stayflow.rules import (AGAINST_ADVICE_CODE, PSYCHIATRIC_PREFIXES, REHAB_CODE, TRANSPLANT_CODES,
-                            TRANSPLANT_PREFIXES)
-
 D = dt.date
 FILL = ["X0%d" % i for i in range(2, 10)]  # diagnoses 2..9, none excluded
 
@@ -115,88 +110,79 @@ def frames(spark):
     }
 
 
-def duck(claims_rows=CLAIMS):
-    import duckdb
-    con = duckdb.connect()
-    cols = [f.name for f in CLAIM_SCHEMA.fields]
-    cdf = pd.DataFrame(claims_rows, columns=cols)
-    for c in ("CLM_ADMSN_DT", "NCH_BENE_DSCHRG_DT"):
-        cdf[c] = pd.to_datetime(cdf[c])
-    con.register("claims_raw", cdf)
-    con.execute("CREATE TABLE inpatient_claims AS SELECT * REPLACE (CAST(CLM_ADMSN_DT AS DATE) AS CLM_ADMSN_DT, "
-                "CAST(NCH_BENE_DSCHRG_DT AS DATE) AS NCH_BENE_DSCHRG_DT) FROM claims_raw")
-    con.register("bene_raw", pd.DataFrame(BENE, columns=[f.name for f in BENE_SCHEMA.fields]))
-    con.execute("CREATE TABLE beneficiary_summary AS SELECT * FROM bene_raw")
-    con.register("state_raw", pd.DataFrame(STATE, columns=[f.name for f in STATE_SCHEMA.fields]))
-    con.execute("CREATE TABLE state AS SELECT * FROM state_raw")
-    con.register("xwalk_raw", pd.DataFrame(XWALK, columns=["icd9", "icd10"]))
-    con.execute("CREATE TABLE icd_diag_xwalk AS SELECT * FROM xwalk_raw")
-    return con
-
-
-DX = ", ".join(f"ICD9_DGNS_CD_{i}" for i in range(1, 10))
-WIN = "PARTITION BY DESYNPUF_ID ORDER BY CLM_ADMSN_DT, CLM_ID"
-
-
-def _q(v: str) -> str:
-    return "'" + v.replace("'", "''") + "'"
-
-
-_DX1 = "ICD9_DGNS_CD_1"
-_EXCL_DX1 = (f" AND {_DX1} <> {_q(REHAB_CODE)}"
-             + "".join(f" AND {_DX1} NOT LIKE {_q(p + '%')}" for p in PSYCHIATRIC_PREFIXES))
-EXCL_STRICT = _EXCL_DX1 + f" AND {_q(AGAINST_ADVICE_CODE)} NOT IN ({DX})"
-EXCL_NULL_SAFE = _EXCL_DX1 + " AND NOT coalesce(" + " OR ".join(
-    f"ICD9_DGNS_CD_{i} = {_q(AGAINST_ADVICE_CODE)}" for i in range(1, 10)) + ", false)"
-PLANNED = " OR ".join([f"{_DX1} LIKE {_q(p + '%')}" for p in TRANSPLANT_PREFIXES]
-                      + [f"{_DX1} IN ({', '.join(_q(c) for c in TRANSPLANT_CODES)})"])
-
-
-def acr_sql(excl: str) -> str:
-    return f"""
-    WITH o AS (
-      SELECT *, LAG(NCH_BENE_DSCHRG_DT) OVER ({WIN}) AS prev_discharge_date,
-                LAG(ICD9_DGNS_CD_1) OVER ({WIN}) AS prev_diagnosis
-      FROM inpatient_claims WHERE NCH_BENE_DSCHRG_DT IS NOT NULL AND CLM_ADMSN_DT IS NOT NULL)
-    SELECT DESYNPUF_ID, CLM_ID, CLM_ADMSN_DT, NCH_BENE_DSCHRG_DT, ICD9_DGNS_CD_1, ICD9_PRCDR_CD_1,
-           prev_discharge_date, prev_diagnosis, 1 AS is_readmission
-    FROM o WHERE CLM_ADMSN_DT - prev_discharge_date <= 30 AND CLM_ADMSN_DT <> prev_discharge_date {excl}"""
-
-
-def rate_sql(excl: str, cohort: str | None = None) -> str:
-    src = "inpatient_claims" if cohort is None else f"""(
-      SELECT c.*, i.icd10 AS ICD10_DGNS_CODE FROM inpatient_claims c
-      LEFT JOIN (SELECT icd9, min(icd10) AS icd10 FROM icd_diag_xwalk GROUP BY icd9) i
-        ON c.ICD9_DGNS_CD_1 = i.icd9 WHERE {cohort})"""
-    planned = "" if cohort is not None else f"AND NOT (v.CLM_ID IN (SELECT CLM_ID FROM inpatient_claims WHERE {PLANNED}))"
-    return f"""
-    WITH acr AS ({acr_sql(excl)}),
-    v AS (SELECT CLM_ID, DESYNPUF_ID, CLM_ADMSN_DT, CAST(year(CLM_ADMSN_DT) AS INTEGER) AS year,
-                 LAG(NCH_BENE_DSCHRG_DT) OVER ({WIN}) AS prev_discharge_date
-          FROM {src} AS s WHERE year(CLM_ADMSN_DT) IN (2008, 2009, 2010))
-    SELECT v.year, b.SP_STATE_CODE, b.BENE_SEX_IDENT_CD,
-           COUNT(DISTINCT acr.CLM_ID) AS readmissions, COUNT(DISTINCT v.CLM_ID) AS total_admissions
-    FROM v JOIN beneficiary_summary b ON v.DESYNPUF_ID = b.DESYNPUF_ID
-    LEFT JOIN acr ON v.CLM_ID = acr.CLM_ID
-    WHERE (v.CLM_ADMSN_DT - v.prev_discharge_date > 30 OR v.prev_discharge_date IS NULL) {planned}
-    GROUP BY 1, 2, 3"""
-
-
-def cohort_state_sql(excl: str, cohort: str) -> str:
-    return f"""
-    WITH acr AS ({acr_sql(excl)}),
-    ic AS (SELECT c.*, i.icd10 AS ICD10_DGNS_CODE FROM inpatient_claims c
-           LEFT JOIN (SELECT icd9, min(icd10) AS icd10 FROM icd_diag_xwalk GROUP BY icd9) i
-             ON c.ICD9_DGNS_CD_1 = i.icd9),
-    v AS (SELECT CLM_ID, DESYNPUF_ID, CLM_ADMSN_DT,
-                 LAG(NCH_BENE_DSCHRG_DT) OVER ({WIN}) AS prev_discharge_date
-          FROM (SELECT * FROM ic WHERE {cohort}) s WHERE year(CLM_ADMSN_DT) IN (2008, 2009, 2010)),
-    rr AS (SELECT b.SP_STATE_CODE, COUNT(DISTINCT acr.CLM_ID) AS readmissions,
-                  COUNT(DISTINCT v.CLM_ID) AS total_admissions
-           FROM v JOIN beneficiary_summary b ON v.DESYNPUF_ID = b.DESYNPUF_ID
-           LEFT JOIN acr ON v.CLM_ID = acr.CLM_ID
-           WHERE (v.CLM_ADMSN_DT - v.prev_discharge_date > 30 OR v.prev_discharge_date IS NULL)
-           GROUP BY b.SP_STATE_CODE)
-    SELECT s.state_abbr AS state, CAST(sum(readmissions) AS BIGINT) AS total_readmissions,
-           CAST(sum(total_admissions) AS BIGINT) AS total_admissions
-    FROM rr JOIN state s ON rr.SP_STATE_CODE = s.sp_state_code GROUP BY s.state_abbr"""
+# -- brute force ------------------------------------------------------------
+# A claim is a tuple in CLAIM_SCHEMA's order.
+
+PERSON, CLAIM, ADMIT, DISCH, DX1 = range(5)
+AGAINST_ADVICE, REHAB, PSYCHIATRIC = "V642", "V57", ("29", "30", "31")
+PLANNED = ("5280 5281 5282 3751 3350 3351 3352 4697 4100 4101 4102 4103 4104 4105 4106 4107 4108 4109 "
+           "5561 5569 5051 5059").split()
+
+
+def before(rows):
+    """(row, the same person's row just before it or None), by admission,
+    claim, discharge and codes, missing values last."""
+    last, out = {}, []
+    order = lambda r: [(v is None, v if v is not None else "") for v in (r[ADMIT], r[CLAIM], r[DISCH], *r[DX1:])]
+    for r in sorted(rows, key=lambda r: [(repr(r[PERSON]),), *order(r)]):
+        out.append((r, last.get(r[PERSON])))
+        last[r[PERSON]] = r
+    return out
+
+
+def allowed(r, mode):
+    """strict, null_safe or gap: may this stay be flagged?"""
+    if mode == "gap":
+        return True
+    codes = r[DX1:DX1 + 9]
+    if r[DX1] is None or r[DX1] == REHAB or r[DX1].startswith(PSYCHIATRIC) or AGAINST_ADVICE in codes:
+        return False
+    return mode == "null_safe" or None not in codes
+
+
+def gap(r, earlier):
+    return (r[ADMIT] - earlier[DISCH]).days if earlier and earlier[DISCH] else None
+
+
+def expected_flags(rows, mode):
+    complete = [r for r in rows if r[ADMIT] and r[DISCH]]
+    out = []
+    for r, e in before(complete):
+        g = gap(r, e)
+        if g is not None and g <= 30 and g != 0 and allowed(r, mode):
+            out.append((*r[:5], r[-1], e[DISCH], e[DX1], 1))
+    return sorted(out, key=repr)
+
+
+def expected_sets(rows, mode, keys, among=None, planned_rule=True):
+    """Group -> (flagged claims, claims), over the beneficiary rows."""
+    flags = {f[CLAIM] for f in expected_flags(rows, mode)} - {None}
+    years = [r for r in rows if r[ADMIT] and 2008 <= r[ADMIT].year <= 2010 and (among is None or among(r))]
+    planned = [r[CLAIM] for r in rows if r[DX1] and (r[DX1].startswith("V42") or r[DX1] in PLANNED)]
+    groups = {}
+    for r, e in before(years):
+        g = gap(r, e)
+        if g is not None and g <= 30:
+            continue
+        if planned_rule and planned and (r[CLAIM] is None or None in planned or r[CLAIM] in planned):
+            continue
+        for person, state, sex in BENE:
+            if person == r[PERSON]:
+                at = dict(year=r[ADMIT].year, state=state, sex=sex)
+                groups.setdefault(tuple(at[k] for k in keys), set()).add(r[CLAIM])
+    return {k: (len(c & flags), len(c - {None})) for k, c in groups.items()}
+
+
+def expected_rates(rows, mode, keys=("year", "state", "sex")):
+    return sorted(((*k, *n) for k, n in expected_sets(rows, mode, keys).items()), key=repr)
+
+
+def expected_cohort(rows, mode, letters):
+    """By state abbreviation, claims whose smallest mapped code starts with one
+    of the letters."""
+    smallest = {}
+    for icd9, icd10 in XWALK:
+        smallest[icd9] = min(icd10, smallest.get(icd9, icd10))
+    sets = expected_sets(rows, mode, ("state",), lambda r: smallest.get(r[DX1], "").startswith(tuple(letters)), False)
+    name = {code: abbr for _, code, abbr in STATE}
+    return sorted(((name[k[0]], *n) for k, n in sets.items() if k[0] in name), key=repr)
