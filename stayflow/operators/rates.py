@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.codes import planned_code
+from ..functions.codes import cohort_predicate, planned_code
 from ..functions.dates import in_years
 from ..rules import RuleSet
 from ..schemas import BeneCols, ClaimCols, StateCols
 from .codes import with_icd10
 from .sequence import Track, previous_in_sequence
 from .stays import (FLAG_PREV, IS_COMPLETE, IS_MEASURED, MEASURED_PREV, index_condition,
-                    readmission_condition)
+                    readmission_condition, stay_order)
 
 
 def ratio(num: Column | str, den: Column | str) -> Column:
@@ -66,14 +66,15 @@ def episode_counts(claims: DataFrame, bene: DataFrame, rules: RuleSet, groups: d
         meas = meas & measured
     use_planned = exclude_planned and rules.has_planned_rule
     planned_row = planned_code(c.dx1, rules) if use_planned else F.lit(False)
-    cols = list(dict.fromkeys([c.person, c.claim, c.admit, c.disch, *c.dx[:9], *(extra or [])]))
+    order = stay_order(claims, c)
+    cols = list(dict.fromkeys([c.person, *order, *(extra or [])]))
     src = (claims.where(complete | meas | planned_row)
                  .select(*cols, F.coalesce(complete, F.lit(False)).alias(IS_COMPLETE),
                          F.coalesce(meas, F.lit(False)).alias(IS_MEASURED),
                          F.coalesce(planned_row, F.lit(False)).alias("__planned")))
     seq_kw.setdefault("key_source", claims)
     seq = previous_in_sequence(
-        src, c.person, [c.admit, c.claim],
+        src, c.person, order,
         [Track(F.col(IS_COMPLETE), {FLAG_PREV: F.col(c.disch)}),
          Track(F.col(IS_MEASURED), {MEASURED_PREV: F.col(c.disch)})], **seq_kw)
     is_index = F.col(IS_MEASURED) & F.coalesce(index_condition(rules, c, MEASURED_PREV), F.lit(False))
@@ -151,7 +152,7 @@ def state_rates(rates: DataFrame, state: DataFrame, *, b: BeneCols = BeneCols(),
 
 
 def state_rates_for_cohort(claims: DataFrame, xwalk_min: DataFrame | None, bene: DataFrame,
-                           state: DataFrame, rules: RuleSet, *, cohort: Column | None = None,
+                           state: DataFrame, rules: RuleSet, *, cohort=None,
                            flag_rules: RuleSet | None = None, top_n: int | None = None,
                            c: ClaimCols = ClaimCols(), b: BeneCols = BeneCols(),
                            s: StateCols = StateCols(), icd9: str = "icd9", icd10: str = "icd10",
@@ -159,7 +160,7 @@ def state_rates_for_cohort(claims: DataFrame, xwalk_min: DataFrame | None, bene:
     """Rate by state abbreviation for the claims of a cohort.
 
     ``cohort`` is a predicate on the crosswalked ICD-10 code column
-    (``c.icd10``) or None for all claims.  The previous stay is taken within
+    (``c.icd10``): a Column, SQL text or code prefixes; None for all claims.  The previous stay is taken within
     the cohort (cohort stays only), the flag over all claims -- both from one
     shuffle.  No planned-stay exclusion (as in the cohort dashboard).
     Output: state, total_readmissions, total_admissions, readmission_rate
@@ -167,6 +168,7 @@ def state_rates_for_cohort(claims: DataFrame, xwalk_min: DataFrame | None, bene:
     """
     src, extra = claims, []
     if cohort is not None:
+        cohort = cohort_predicate(c.icd10, cohort)
         if xwalk_min is not None:
             src = with_icd10(claims, xwalk_min, c, icd9=icd9, icd10=icd10)
         # else: ``claims`` already carries the mapped code (stored table)

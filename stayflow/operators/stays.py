@@ -17,9 +17,18 @@ PREV_DIAGNOSIS = "prev_diagnosis"
 IS_READMISSION = "is_readmission"
 
 
-def _order(c: ClaimCols) -> list[str]:
-    # Admission date, then claim id so that same-day stays have one order.
-    return [c.admit, c.claim]
+def stay_order(claims: DataFrame, c: ClaimCols) -> list[str]:
+    """Admission date, claim id, segment, then every column that the measure
+    carries or tests: rows that still tie are the same to it, so the previous
+    stay does not depend on the order of the input or on how it is split."""
+    names = [c.admit, c.claim, c.segment, c.disch, *c.dx, c.proc1]
+    return [n for n in dict.fromkeys(names) if n and n in claims.columns]
+
+
+def needed(claims: DataFrame, c: ClaimCols, *more: str) -> DataFrame:
+    """The columns that the measure reads, so that both branches of the
+    sequence scan only them."""
+    return claims.select(*dict.fromkeys([c.person, *stay_order(claims, c), *more]))
 
 
 def complete_stays(claims: DataFrame, c: ClaimCols = ClaimCols()) -> DataFrame:
@@ -37,7 +46,7 @@ def prev_stay(claims: DataFrame, c: ClaimCols = ClaimCols(), **seq_kw) -> DataFr
     principal diagnosis (NULL for a person's first stay)."""
     seq_kw.setdefault("key_source", claims)
     return previous_in_sequence(
-        complete_stays(claims, c), c.person, _order(c),
+        complete_stays(claims, c), c.person, stay_order(claims, c),
         [Track(F.lit(True), {PREV_DISCHARGE: F.col(c.disch), PREV_DIAGNOSIS: F.col(c.dx1)})],
         **seq_kw)
 
@@ -59,7 +68,8 @@ def all_cause_readmission(claims: DataFrame, rules: RuleSet, c: ClaimCols = Clai
                           **seq_kw) -> DataFrame:
     """Flagged stays: complete stays whose previous complete stay (any year)
     ended at most ``max_gap`` days before admission, after exclusions."""
-    p = prev_stay(claims, c, **seq_kw)
+    seq_kw.setdefault("key_source", claims)
+    p = prev_stay(needed(claims, c), c, **seq_kw)
     cols = [c.person, c.claim, c.admit, c.disch, c.dx1] + ([c.proc1] if c.proc1 else [])
     return (p.where(readmission_condition(rules, c))
              .select(*cols, PREV_DISCHARGE, PREV_DIAGNOSIS, F.lit(1).alias(IS_READMISSION)))
@@ -77,9 +87,9 @@ def index_stays(claims: DataFrame, rules: RuleSet, c: ClaimCols = ClaimCols(), *
     The year filter runs *below* the previous-stay lookup and NULL discharge
     dates are kept, so the previous stay is the previous stay in the years.
     """
-    s = stays_in_years(claims, rules.years, c)
+    s = stays_in_years(needed(claims, c), rules.years, c)
     seq_kw.setdefault("key_source", claims)
-    p = previous_in_sequence(s, c.person, _order(c),
+    p = previous_in_sequence(s, c.person, stay_order(claims, c),
                              [Track(F.lit(True), {PREV_DISCHARGE: F.col(c.disch)})], **seq_kw)
     return (p.where(index_condition(rules, c))
              .select(c.claim, c.person, c.admit, F.year(c.admit).alias("year"), PREV_DISCHARGE))

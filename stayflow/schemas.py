@@ -118,6 +118,8 @@ class ClaimCols:
     # The exclusion rules read the first nine diagnosis columns.
     dx: tuple[str, ...] = tuple(f"ICD9_DGNS_CD_{i}" for i in range(1, 10))
     proc1: str | None = "ICD9_PRCDR_CD_1"
+    # A claim can have several segments, on rows of their own.
+    segment: str | None = "SEGMENT"
     icd10: str = "ICD10_DGNS_CODE"
     # Columns of the crosswalked claims table, in order (the mapped code last).
     icd10_columns: tuple[str, ...] = (

@@ -1,4 +1,4 @@
-"""The flag and the rates on hand-made edge rows, against brute-force SQL,
+"""The flag and the rates on hand-made edge rows, against plain Python,
 with and without the hot-key split."""
 
 import pytest
@@ -9,8 +9,8 @@ from stayflow.operators import rates as R
 from stayflow.operators import stays as S
 from stayflow.rules import CLAIMS_RULES
 
-from conftest import duck_rows, rows_of
-from edge_fixture import EXCL_NULL_SAFE, EXCL_STRICT, acr_sql, cohort_state_sql, duck, frames, rate_sql
+from conftest import rows_of
+from edge_fixture import CLAIM_SCHEMA, CLAIMS, expected_cohort, expected_flags, expected_rates, frames
 
 SPLITS = [-1, 1, 2]  # plain window; every person hot; persons with > 2 rows hot
 ACR_COLS = ["DESYNPUF_ID", "CLM_ID", "CLM_ADMSN_DT", "NCH_BENE_DSCHRG_DT", "ICD9_DGNS_CD_1",
@@ -18,21 +18,16 @@ ACR_COLS = ["DESYNPUF_ID", "CLM_ID", "CLM_ADMSN_DT", "NCH_BENE_DSCHRG_DT", "ICD9
 RATE_COLS = ["year", "SP_STATE_CODE", "BENE_SEX_IDENT_CD", "readmissions", "total_admissions"]
 
 
-@pytest.fixture(scope="module")
-def con():
-    return duck()
-
-
 @pytest.mark.parametrize("hk", SPLITS)
-@pytest.mark.parametrize("rules,excl", [
-    (CLAIMS_RULES, EXCL_STRICT),
-    (CLAIMS_RULES.with_null_safe(), EXCL_NULL_SAFE),
-    (CLAIMS_RULES.gap_only(), ""),
+@pytest.mark.parametrize("rules,mode", [
+    (CLAIMS_RULES, "strict"),
+    (CLAIMS_RULES.with_null_safe(), "null_safe"),
+    (CLAIMS_RULES.gap_only(), "gap"),
 ])
-def test_flag_matches_sql(spark, con, hk, rules, excl):
+def test_flag_matches_brute_force(spark, hk, rules, mode):
     t = frames(spark)
     got = rows_of(S.all_cause_readmission(t["claims"], rules, hot_key_rows=hk), ACR_COLS)
-    assert got == duck_rows(con, acr_sql(excl), ACR_COLS)
+    assert got == expected_flags(CLAIMS, mode)
 
 
 def test_flag_edge_cases(spark):
@@ -57,11 +52,11 @@ def test_tie_broken_by_claim_id(spark):
 
 
 @pytest.mark.parametrize("hk", SPLITS)
-@pytest.mark.parametrize("rules,excl", [(CLAIMS_RULES, EXCL_STRICT), (CLAIMS_RULES.gap_only(), "")])
-def test_rate_matches_sql(spark, con, hk, rules, excl):
+@pytest.mark.parametrize("rules,mode", [(CLAIMS_RULES, "strict"), (CLAIMS_RULES.gap_only(), "gap")])
+def test_rate_matches_brute_force(spark, hk, rules, mode):
     t = frames(spark)
     got = rows_of(R.readmission_rate(t["claims"], t["bene"], rules, hot_key_rows=hk), RATE_COLS)
-    assert got == duck_rows(con, rate_sql(excl), RATE_COLS)
+    assert got == expected_rates(CLAIMS, mode)
     assert sum(r[3] for r in got) > 0  # a non-zero numerator is exercised
 
 
@@ -79,7 +74,7 @@ def test_planned_claim_id_excluded_on_every_row(spark):
     assert "c1302" not in kept and "c1303" not in kept and "c1301" in kept
 
 
-def test_null_planned_claim_id_empties_rate(spark, con):
+def test_null_planned_claim_id_empties_rate(spark):
     t = frames(spark)
     bad = t["claims"].unionByName(spark.createDataFrame(
         [("p16", None, None, None, "V4202") + (None,) * 9], t["claims"].schema))
@@ -89,16 +84,15 @@ def test_null_planned_claim_id_empties_rate(spark, con):
 
 
 @pytest.mark.parametrize("hk", [-1, 1])
-@pytest.mark.parametrize("rules,excl", [(CLAIMS_RULES, EXCL_STRICT), (CLAIMS_RULES.gap_only(), "")])
-def test_cohort_rate_matches_sql(spark, con, hk, rules, excl):
+@pytest.mark.parametrize("rules,mode", [(CLAIMS_RULES, "strict"), (CLAIMS_RULES.gap_only(), "gap")])
+def test_cohort_rate_matches_brute_force(spark, hk, rules, mode):
     t = frames(spark)
     xmin = K.crosswalk_min(t["xwalk"])
     cohort = F.col("ICD10_DGNS_CODE").startswith("E") | F.col("ICD10_DGNS_CODE").startswith("I")
     got = R.state_rates_for_cohort(t["claims"], xmin, t["bene"], t["state"], rules, cohort=cohort,
                                    hot_key_rows=hk)
-    sql = cohort_state_sql(excl, "ICD10_DGNS_CODE LIKE 'E%' OR ICD10_DGNS_CODE LIKE 'I%'")
     cols = ["state", "total_readmissions", "total_admissions"]
-    assert rows_of(got, cols) == duck_rows(con, sql, cols)
+    assert rows_of(got, cols) == expected_cohort(CLAIMS, mode, "EI")
 
 
 def test_claims_icd10_min_and_unmatched(spark):
@@ -120,30 +114,28 @@ def test_invariants(spark):
 
 
 @pytest.mark.parametrize("hk", [-1, 1])
-def test_bucketed_claims_same_answer_no_shuffle(spark, con, hk):
+def test_bucketed_claims_same_answer_no_shuffle(spark, hk):
     from stayflow.operators import tables as TB
     t = frames(spark)
     b = TB.save_bucketed(t["claims"], f"claims_bucketed_{hk + 1}", ["DESYNPUF_ID"], 4,
                          sort_by=["DESYNPUF_ID", "CLM_ADMSN_DT", "CLM_ID"])
     flagged = S.all_cause_readmission(b, CLAIMS_RULES.gap_only(), hot_key_rows=hk)
-    assert rows_of(flagged, ACR_COLS) == duck_rows(con, acr_sql(""), ACR_COLS)
+    assert rows_of(flagged, ACR_COLS) == expected_flags(CLAIMS, "gap")
     if hk < 0:  # the window reads the buckets as they are: no shuffle by person
         plan = flagged._jdf.queryExecution().executedPlan().toString()
         assert "Window" in plan and "Exchange hashpartitioning(DESYNPUF_ID" not in plan
 
 
-def test_rate_other_groupings(spark, con):
+def test_rate_other_groupings(spark):
     t = frames(spark)
     got = rows_of(R.readmission_rate(t["claims"], t["bene"], CLAIMS_RULES.gap_only(), by=("year",)),
                   ["year", "readmissions", "total_admissions"])
-    sql = rate_sql("").replace("SELECT v.year, b.SP_STATE_CODE, b.BENE_SEX_IDENT_CD,", "SELECT v.year,") \
-                      .replace("GROUP BY 1, 2, 3", "GROUP BY 1")
-    assert got == duck_rows(con, sql, ["year", "readmissions", "total_admissions"])
+    assert got == expected_rates(CLAIMS, "gap", ("year",))
     st = R.readmission_rate(t["claims"], t["bene"], CLAIMS_RULES.gap_only(), by=("SP_STATE_CODE",))
     assert st.columns == ["SP_STATE_CODE", "readmissions", "total_admissions", "readmission_rate"]
 
 
-def test_cohort_dashboard(spark, con):
+def test_cohort_dashboard(spark):
     from stayflow.operators import feeds as FD
     t = frames(spark)
     cic = K.with_icd10(t["claims"], K.crosswalk_min(t["xwalk"]))
@@ -152,29 +144,63 @@ def test_cohort_dashboard(spark, con):
                                   "icd10_cm_code string, description string")
     d = FD.cohort_dashboard(cic, t["bene"], t["state"], codes, CLAIMS_RULES.gap_only(), ["E", "I"])
     cols = ["state", "total_readmissions", "total_admissions"]
-    sql = cohort_state_sql("", "ICD10_DGNS_CODE LIKE 'E%' OR ICD10_DGNS_CODE LIKE 'I%'")
-    assert rows_of(d["states"], cols) == duck_rows(con, sql, cols)
+    assert rows_of(d["states"], cols) == expected_cohort(CLAIMS, "gap", "EI")
     top = d["top"].collect()
     assert len(top) <= 10 and [r.readmission_rate for r in top] == sorted((r.readmission_rate for r in top), reverse=True)
     rates = [r.readmission_rate for r in d["states"].collect() if r.readmission_rate is not None]
     rng = d["range"].collect()[0]
     assert (rng.min_rate, rng.max_rate) == (min(rates), max(rates))
     assert sorted(r.icd10_cm_code for r in d["codes"].collect()) == ["E110", "E119", "I214"]
-    assert d["breadth"].collect()[0].n_groups == 2
+    assert tuple(d["breadth"].collect()[0]) == (3, 0, False)
     everyone = FD.cohort_dashboard(cic, t["bene"], t["state"], codes, CLAIMS_RULES.gap_only(), None)
     r0 = everyone["range"].collect()[0]
     assert (r0.min_rate, r0.max_rate) == (0.0, 0.1) and everyone["codes"].count() == 0
 
 
 @pytest.mark.parametrize("hk", [-1, 4])
-def test_flag_with_copies_matches_sql(spark, hk):
-    from edge_fixture import CLAIMS as BASE_ROWS, CLAIM_SCHEMA
-    rows = BASE_ROWS + [BASE_ROWS[1]] * 150 + [BASE_ROWS[6]] * 3     # a stay loaded many times
-    con2 = duck(rows)
+def test_flag_with_copies_matches_brute_force(spark, hk):
+    rows = CLAIMS + [CLAIMS[1]] * 150 + [CLAIMS[6]] * 3     # a stay loaded many times
     claims = spark.createDataFrame(rows, CLAIM_SCHEMA)
-    for rules, excl in [(CLAIMS_RULES, EXCL_STRICT), (CLAIMS_RULES.gap_only(), "")]:
+    for rules, mode in [(CLAIMS_RULES, "strict"), (CLAIMS_RULES.gap_only(), "gap")]:
         got = rows_of(S.all_cause_readmission(claims, rules, hot_key_rows=hk), ACR_COLS)
-        assert got == duck_rows(con2, acr_sql(excl), ACR_COLS)
+        assert got == expected_flags(rows, mode)
     bene = frames(spark)["bene"]
     got = rows_of(R.readmission_rate(claims, bene, CLAIMS_RULES.gap_only(), hot_key_rows=hk), RATE_COLS)
-    assert got == duck_rows(con2, rate_sql(""), RATE_COLS)
+    assert got == expected_rates(rows, "gap")
+
+
+def tied_rows():
+    """Segments of one claim: same person, claim and admission, other discharge
+    and diagnosis, in an order that input order could decide."""
+    import datetime as dt
+    from edge_fixture import claim
+    day = dt.date(2008, 5, 1)
+    rows = []
+    for k in range(30):
+        p, d = f"t{k % 3}", day + dt.timedelta(days=11 * (k // 3))
+        rows.append(claim(p, f"t{k}", d, d + dt.timedelta(days=2 + k % 4), dx1="A10"))
+        rows.append(claim(p, f"t{k}", d, d + dt.timedelta(days=1 + k % 5), dx1="B20"))
+        if k % 2:
+            rows.append(claim(p, f"t{k}", d, None, dx1=None))
+    return rows
+
+
+@pytest.mark.parametrize("hk", [-1, 0, 1])
+@pytest.mark.parametrize("backwards", [False, True])
+def test_tied_rows_have_one_answer(spark, hk, backwards):
+    rows = tied_rows()
+    claims = spark.createDataFrame(rows[::-1] if backwards else rows, CLAIM_SCHEMA)
+    for rules, mode in [(CLAIMS_RULES, "strict"), (CLAIMS_RULES.gap_only(), "gap")]:
+        assert rows_of(S.all_cause_readmission(claims, rules, hot_key_rows=hk), ACR_COLS) == expected_flags(rows, mode)
+
+
+def test_both_branches_read_only_needed_columns(spark, tmp_dir):
+    from stayflow.schemas import CLAIM_COLUMNS, struct_of
+    spark.createDataFrame([], struct_of(CLAIM_COLUMNS)).write.parquet(f"{tmp_dir}/claims81")
+    flagged = S.all_cause_readmission(spark.read.parquet(f"{tmp_dir}/claims81"), CLAIMS_RULES, hot_key_rows=1)
+    plan = flagged._jdf.queryExecution().optimizedPlan().toString()
+    import re
+    scans = re.findall(r"Relation \[([^\]]*)\]", plan)
+    physical = flagged._jdf.queryExecution().sparkPlan().toString()
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>?", physical)
+    assert scans and schemas and all(x.count(":") <= 16 for x in schemas)
