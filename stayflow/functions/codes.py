@@ -6,6 +6,7 @@ keep SQL three-valued logic unless a function says otherwise.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from typing import Iterable
 
@@ -79,19 +80,23 @@ def flag_exclusions(dx1: str | Column, dx_all: Iterable[str | Column], rules: Ru
     return all_of(parts) if parts else F.lit(True)
 
 
-# Fixed value: shape of a code group named in a cohort question
-# (a letter and one to three digits, e.g. I21, E11, C50).
-CODE_GROUP_PATTERN = r"^([A-Z][0-9]{1,3})"
-# ICD-10 category: letter + two characters.
-CATEGORY_LENGTH = 3
+# Fixed value: shape of a code group (a letter and one to three digits, e.g.
+# I21, E11, C50).
+CODE_GROUP = r"[A-Z][0-9]{1,3}"
+CODE_GROUP_PATTERN = rf"^({CODE_GROUP})"
 
 
-def named_group_count(prefixes, pattern: str = CODE_GROUP_PATTERN) -> int:
-    """Distinct code groups named by a cohort's prefix list (a question about
-    'I21' and 'I22' names two groups; a bare letter names none)."""
-    import re
-    rx = re.compile(pattern)
-    return len({m.group(1) for p in prefixes if (m := rx.match(p))})
+def named_groups(cohort) -> set[str]:
+    """Code groups that a cohort's definition names: prefixes that are a whole
+    code group (``I21``, not ``I`` or ``I2101``), or the same as ``LIKE 'I21%'``
+    in SQL text, or in a Column's expression."""
+    if isinstance(cohort, Column):
+        # As the expression prints: startswith(c, 'I21'), LIKE(c, 'I21%'), c LIKE I21%.
+        found = re.findall(rf"(?i:startswith)\([^,()]*, '?({CODE_GROUP})'?\)|LIKE[ (][^%]*?'?({CODE_GROUP})%", str(cohort))
+        return {a or b for a, b in found}
+    if isinstance(cohort, str):
+        return set(re.findall(rf"LIKE\s+'({CODE_GROUP})%'", cohort, re.I))
+    return {p for p in cohort if re.fullmatch(CODE_GROUP, p)}
 
 
 def code_group(c: str | Column, pattern: str = CODE_GROUP_PATTERN) -> Column:
@@ -100,12 +105,6 @@ def code_group(c: str | Column, pattern: str = CODE_GROUP_PATTERN) -> Column:
     return F.when(g != F.lit(""), g)
 
 
-def code_category(c: str | Column, length: int = CATEGORY_LENGTH) -> Column:
-    """ICD-10 category (first ``length`` characters), NULL for NULL/blank."""
-    s = F.substring(_col(c), 1, length)
-    return F.when(s != F.lit(""), s)
-
-
 def cohort_predicate(code_col: str | Column, cohort) -> Column:
     """Turn a cohort definition into a predicate on a code column.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.codes import code_category, cohort_predicate, named_group_count
+from ..functions.codes import code_group, cohort_predicate, named_groups
 from ..rules import MAX_COHORT_GROUPS
 from ..schemas import ClaimCols, CodeCols
 
@@ -62,27 +62,28 @@ def cohort_codes(codes: DataFrame, cohort, k: CodeCols = CodeCols(), claim_code_
     return src.where(cohort_predicate(k.code, cohort))
 
 
-def cohort_breadth(cohort_codes_df: DataFrame, k: CodeCols = CodeCols(),
+def too_broad(cohort, max_groups: int = MAX_COHORT_GROUPS) -> bool:
+    """Does the cohort's definition name ``max_groups`` code groups or more?
+    It depends on the question alone, never on the data."""
+    return cohort is not None and len(named_groups(cohort)) >= max_groups
+
+
+def cohort_breadth(codes: DataFrame, cohort, k: CodeCols = CodeCols(), claim_code_col: str | None = None,
                    max_groups: int = MAX_COHORT_GROUPS) -> DataFrame:
-    """How many ICD-10 categories a cohort spans, and whether that is too
-    broad to filter on (the caller then uses all claims).  One row."""
-    return (cohort_codes_df.agg(F.countDistinct(code_category(k.code)).alias("n_groups"))
-                           .select("n_groups", (F.col("n_groups") >= F.lit(max_groups)).alias("too_broad")))
-
-
-def cohort_or_all(codes: DataFrame | None, cohort, claim_code_col: str, k: CodeCols = CodeCols(),
-                  max_groups: int = MAX_COHORT_GROUPS, named: bool = False) -> Column:
-    """Claim predicate for a cohort that falls back to all claims when the
-    cohort is too broad.
-
-    Default: too broad = the cohort's codes span ``max_groups`` ICD-10
-    categories or more in the code table -- a scalar subquery, so the choice
-    is made inside one plan with no action on the driver.
-    ``named=True`` (``cohort`` a prefix list): too broad = the list names
-    ``max_groups`` distinct code groups or more, the dashboard's rule.
-    """
-    pred = cohort_predicate(claim_code_col, cohort)
-    if named:
-        return pred | F.lit(named_group_count(list(cohort)) >= max_groups)
-    breadth = cohort_breadth(cohort_codes(codes, cohort, k, claim_code_col), k, max_groups)
-    return pred | breadth.select("too_broad").scalar()
+    """One row: codes of the code table in the cohort, code groups named by
+    its definition, and whether those are too many."""
+    return cohort_codes(codes, cohort, k, claim_code_col).agg(F.count(F.lit(1)).alias("n_codes")).select(
+        "n_codes", F.lit(len(named_groups(cohort))).cast("long").alias("n_groups"),
+        F.lit(too_broad(cohort, max_groups)).alias("too_broad"))
+
+
+def cohort_or_all(cohort, claim_code_col: str, max_groups: int = MAX_COHORT_GROUPS) -> Column | None:
+    """The dashboard's choice, for callers that ask for it: the cohort's
+    predicate, or None (all claims) where its definition is too broad."""
+    return None if too_broad(cohort, max_groups) else cohort_predicate(claim_code_col, cohort)
+
+
+def code_groups(codes: DataFrame, k: CodeCols = CodeCols()) -> DataFrame:
+    """Codes of each code group; codes without one are left out."""
+    named = codes.select(code_group(k.code).alias("code_group")).where(F.col("code_group").isNotNull())
+    return named.groupBy("code_group").agg(F.count(F.lit(1)).alias("n_codes"))

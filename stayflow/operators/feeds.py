@@ -128,7 +128,7 @@ def cohort_dashboard(claims_icd10: DataFrame, bene: DataFrame, state: DataFrame,
                      rules, cohort=None, *, flag_rules=None, top_n: int = 10,
                      c: ClaimCols = ClaimCols(), b: BeneCols = BeneCols(), s: StateCols = StateCols(),
                      code_col: str = "icd10_cm_code", description_col: str = "description",
-                     named_groups: bool = False, store: bool = True) -> dict[str, DataFrame]:
+                     all_if_too_broad: bool = True, store: bool = True) -> dict[str, DataFrame]:
     """Everything the cohort dashboard shows for one question, as lazy
     DataFrames: the state table, the top states, the colour range, the code
     list and the breadth.
@@ -136,8 +136,9 @@ def cohort_dashboard(claims_icd10: DataFrame, bene: DataFrame, state: DataFrame,
     ``claims_icd10``: claims with the mapped ICD-10 column ``c.icd10`` (all
     claim columns, e.g. ``jobs.refresh_measure``'s stored table).  ``cohort``:
     Column / SQL text / prefixes, or None for all claims (then the fixed
-    dashboard range is used).  A cohort spanning too many code groups falls
-    back to all claims inside the same plan (``codes.cohort_or_all``).
+    dashboard range is used).  ``breadth`` tells whether the definition names
+    too many code groups; the dashboard then shows all claims, unless
+    ``all_if_too_broad`` is off.
     ``store``: compute the state table once (a job now) and derive the other
     outputs from the stored rows; otherwise each output recomputes it.
     """
@@ -145,7 +146,7 @@ def cohort_dashboard(claims_icd10: DataFrame, bene: DataFrame, state: DataFrame,
     if cohort is None:
         pred, code_list = None, codes.select(code_col, description_col).limit(0)
     else:
-        pred = K.cohort_or_all(codes, cohort, c.icd10, k, named=named_groups)
+        pred = K.cohort_or_all(cohort, c.icd10) if all_if_too_broad else cohort
         code_list = K.cohort_codes(codes, cohort, k, c.icd10)
     table = state_rates_for_cohort(claims_icd10, None, bene, state, rules, cohort=pred,
                                    flag_rules=flag_rules, c=c, b=b, s=s)
@@ -160,5 +161,5 @@ def cohort_dashboard(claims_icd10: DataFrame, bene: DataFrame, state: DataFrame,
                     .orderBy(F.col("readmission_rate").desc(), F.col("state").asc_nulls_last()).limit(top_n),
         "range": rate_range(table, fixed=DASHBOARD_RATE_RANGE if cohort is None else None),
         "codes": code_list,
-        "breadth": K.cohort_breadth(code_list, k) if cohort is not None else None,
+        "breadth": K.cohort_breadth(codes, cohort, k, c.icd10) if cohort is not None else None,
     }
