@@ -19,7 +19,7 @@ from .operators import codes as K
 from .operators import rates as R
 from .operators import tables as TB
 from .rules import CLAIMS_RULES, RuleSet
-from .schemas import RATE_TABLE_KEYS, BeneCols, ClaimCols, StateCols
+from .schemas import RATE_TABLE_COLUMNS, RATE_TABLE_KEYS, BeneCols, ClaimCols, StateCols
 from .sources import files as FL
 
 
@@ -58,7 +58,7 @@ def refresh_measure(spark: SparkSession, *, claims_path: str, bene_path: str, st
     FL.load_state(spark, state_path).write.mode("overwrite").parquet(state_dir)
     claims, bene, state = (spark.read.parquet(p) for p in (claims_dir, bene_dir, state_dir))
 
-    rates = R.readmission_rate(claims, bene, rules, c=c, b=b)
+    rates = TB.as_declared(R.readmission_rate(claims, bene, rules, c=c, b=b), RATE_TABLE_COLUMNS)
     rates_dir = _join(base, "readmission_rate")
     if rates_table:
         TB.upsert_table(rates_table, rates, list(RATE_TABLE_KEYS), out_path=rates_dir)

@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import any_of
-from ..schemas import ClaimCols, struct_of
+from ..schemas import ClaimCols
 from ..session import scratch_path
 
 
-def empty_table(spark, columns) -> DataFrame:
-    """An empty DataFrame of a declared layout (list of (name, type))."""
-    return spark.createDataFrame([], struct_of(list(columns)))
+def as_declared(df: DataFrame, columns) -> DataFrame:
+    """``df`` in a table's declared columns and types (list of (name, type))."""
+    return df.select(*[F.col(n).cast(t).alias(n) for n, t in columns])
 
 
 def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:

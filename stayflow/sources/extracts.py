@@ -44,13 +44,20 @@ def write_csv_extract(df: DataFrame, path: str | None = None, files: int | None
 
 
 def write_fixed_width(df: DataFrame, widths: Mapping[str, int], path: str | None = None) -> str:
-    """Fixed-width text: each column right-padded to its width (never cut)."""
+    """Fixed-width text: each column right-padded to its width.  A value longer
+    than its column fails the job."""
     path = path or scratch_path(df.sparkSession, "fixed")
-    line = F.concat(*[F.rpad(F.coalesce(F.col(c).cast("string"), F.lit("")), w, " ") for c, w in widths.items()])
+    line = F.concat(*[_padded(c, w) for c, w in widths.items()])
     df.select(line.alias("value")).write.mode("overwrite").text(path)
     return path
 
 
+def _padded(name: str, width: int) -> Column:
+    v = F.coalesce(F.col(name).cast("string"), F.lit(""))
+    bad = F.concat(F.lit(f"{name} does not fit into {width} characters: "), v)
+    return F.when(F.length(v) > width, F.raise_error(bad).cast("string")).otherwise(F.rpad(v, width, " "))
+
+
 def claims_extract(claims: DataFrame, mapping: Mapping[str, Column]) -> DataFrame:
     return to_extract_frame(claims, CLAIM_COLUMNS, mapping)
 

@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from stayflow.functions.codes import code_absent, cohort_predicate
@@ -88,14 +90,18 @@ def test_cohort_forms_and_fallback(spark):
     list_form = cohort_predicate("icd10_cm_code", ["A"])
     for pred in (col_form, sql_form, list_form):
         assert codes.where(pred).count() == 3
-    assert K.cohort_breadth(K.cohort_codes(codes, ["A", "B"], k), k).collect()[0].n_groups == 6
-    broad = K.cohort_breadth(K.cohort_codes(codes, list("ABCD"), k), k).collect()[0]
-    assert broad.n_groups == 12 and broad.too_broad
+    # Letters name no code group, however many codes they cover.
+    assert tuple(K.cohort_breadth(codes, list("ABCDEFGHIJKL"), k).first()) == (36, 0, False)
     claims = spark.createDataFrame([("A001",), ("C011",), (None,)], "ICD10_DGNS_CODE string")
-    narrow = K.cohort_or_all(codes, ["A"], "ICD10_DGNS_CODE", k)
-    assert claims.where(narrow).count() == 1
-    wide = K.cohort_or_all(codes, list("ABCD"), "ICD10_DGNS_CODE", k)
-    assert claims.where(wide).count() == 3
+    for few in (["A"], "ICD10_DGNS_CODE LIKE 'A%'", [f"A{n:02d}" for n in range(9)]):
+        assert claims.where(K.cohort_or_all(few, "ICD10_DGNS_CODE")).count() == 1
+    ten = [f"A{n:02d}" for n in range(10)]
+    sql = " OR ".join(f"ICD10_DGNS_CODE LIKE '{p}%'" for p in ten)
+    as_column = cohort_predicate("ICD10_DGNS_CODE", ten)
+    for many in (ten, sql, as_column):
+        assert K.too_broad(many) and K.cohort_or_all(many, "ICD10_DGNS_CODE") is None
+        # Asked without the fallback, the filter stays.
+        assert tuple(K.cohort_breadth(codes, many, k, "ICD10_DGNS_CODE").first()) == (3, 10, True)
 
 
 def _claims_file(path, rows):
@@ -124,14 +130,39 @@ def test_streaming_ingest_is_incremental(spark, tmp_dir):
         sorted(tuple(r) for r in got.select("CLM_ID", "CLM_ADMSN_DT").collect())
 
 
-def test_named_groups_rule(spark):
-    from stayflow.functions.codes import named_group_count
-    assert named_group_count(["I21", "I22", "I21", "B", "E119"]) == 3
-    codes = spark.createDataFrame([("A001", "x")], "icd10_cm_code string, description string")
-    claims = spark.createDataFrame([("I210",), ("C011",)], "ICD10_DGNS_CODE string")
-    few = K.cohort_or_all(codes, ["I21", "I22"], "ICD10_DGNS_CODE", named=True)
-    many = K.cohort_or_all(codes, [f"C{n:02d}" for n in range(12)], "ICD10_DGNS_CODE", named=True)
-    assert claims.where(few).count() == 1 and claims.where(many).count() == 2
+def test_streaming_ingest_twice_with_defaults(spark, tmp_dir):
+    src, table = f"{tmp_dir}/in", f"{tmp_dir}/table"
+    os.makedirs(src)
+    _claims_file(f"{src}/a.csv", [("p1", "c1", "20080101")])
+    IN.ingest_claims(spark, src, table).awaitTermination()
+    _claims_file(f"{src}/b.csv", [("p2", "c2", "20090101")])
+    IN.ingest_claims(spark, src, table).awaitTermination()
+    assert sorted(r.CLM_ID for r in spark.read.parquet(table).collect()) == ["c1", "c2"]
+
+
+def test_streaming_ingest_binds_columns_by_name(spark, tmp_dir):
+    src, table = f"{tmp_dir}/in", f"{tmp_dir}/table"
+    os.makedirs(src)
+    names = ["EXTRA", *[n for n, _ in CLAIM_COLUMNS][::-1]]
+    v = dict.fromkeys(names, "") | {"DESYNPUF_ID": "p", "CLM_ID": "c", "CLM_ADMSN_DT": "20080102", "EXTRA": "x"}
+    with open(f"{src}/a.csv", "w") as f:
+        f.write(",".join(names) + "\n" + ",".join(v[n] for n in names) + "\n")
+    IN.ingest_claims(spark, src, table).awaitTermination()
+    row = spark.read.parquet(table).first()
+    assert (row.DESYNPUF_ID, row.CLM_ID, str(row.CLM_ADMSN_DT)) == ("p", "c", "2008-01-02")
+
+
+def test_fixed_width_never_cuts(spark):
+    from stayflow.sources import extracts as X
+    with pytest.raises(Exception, match="does not fit"):
+        X.write_fixed_width(spark.createDataFrame([("Brand#11",)], "a string"), {"a": 5})
+
+
+def test_named_groups_rule():
+    from stayflow.functions.codes import named_groups
+    assert named_groups(["I21", "I22", "I21", "B", "E119", "I2101"]) == {"I21", "I22", "E119"}
+    assert named_groups("x LIKE 'I21%' OR x like 'C5%' OR x LIKE 'I%' OR y = 'E11'") == {"I21", "C5"}
+    assert named_groups(cohort_predicate("x", ["I21", "I"])) == {"I21"}
 
 
 def test_partition_count_does_not_change_answer(spark):
