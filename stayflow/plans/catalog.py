@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import replace
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import jobs as J
@@ -19,6 +19,7 @@ from ..operators import feeds as FD
 from ..operators import rates as R
 from ..operators import stays as S
 from ..operators import tables as TB
+from ..schemas import BENEFICIARY_COLUMNS, CLAIM_COLUMNS
 from ..session import materialize, scratch_path
 from ..sources import adapter as A
 from ..sources import dims as D
@@ -33,8 +34,9 @@ NULL_SAFE = A.RULES.with_null_safe()
 GAP = A.RULES.gap_only()
 RATE_KEYS = ["year", B.state, B.sex, "age_grp_id", "condition_type_id"]
 CODE_PREFIX = "B"
-# A cohort naming every code letter: too broad, so all claims are used.
-BROAD_COHORT = tuple(chr(c) for c in range(ord("A"), ord("Z") + 1))
+# Cohorts as SQL text: nine named code groups (a filter) and ten (too broad).
+NINE_GROUPS = " OR ".join(f"{C.icd10} LIKE '{x}0%'" for x in "BCDEFGHIJ")
+TEN_GROUPS = f"{NINE_GROUPS} OR {C.icd10} LIKE 'K0%'"
 
 
 class Inputs:
@@ -72,12 +74,11 @@ class Inputs:
     def state_rates(self, rules=GAP) -> DataFrame:
         return R.state_rates(self.rates(rules), self.state, b=B, s=ST)
 
-    def cohort_rates(self, flag_rules=STRICT, cohort=True, top_n=None, predicate=None) -> DataFrame:
+    def cohort_rates(self, flag_rules=STRICT, cohort=A.COHORT_PREFIXES, top_n=None) -> DataFrame:
         xw = K.crosswalk_min(self.xwalk, icd9=KC.icd9, icd10=KC.icd10)
-        pred = predicate if predicate is not None else (A.cohort_column(col=C.icd10) if cohort else None)
         return R.state_rates_for_cohort(
             self.claims, xw, self.bene, self.state, STRICT,
-            cohort=pred,
+            cohort=cohort,
             flag_rules=flag_rules, top_n=top_n, c=C, b=B, s=ST, icd9=KC.icd9, icd10=KC.icd10)
 
 
@@ -99,11 +100,26 @@ def _against_advice(i: Inputs, null_safe: bool) -> DataFrame:
 SKEW_PERSON, SKEW_HOT_ROWS = 1, 100
 
 
-def _skewed_claims(i: Inputs) -> DataFrame:
-    return i.claims.withColumn(C.person, F.when(F.col(C.claim) % 3 == 0, F.lit(SKEW_PERSON).cast("long"))
+def _skewed_claims(i: Inputs, claims: DataFrame | None = None) -> DataFrame:
+    return (i.claims if claims is None else claims).withColumn(C.person, F.when(F.col(C.claim) % 3 == 0, F.lit(SKEW_PERSON).cast("long"))
                                           .otherwise(F.col(C.person)))
 
 
+def _tied_claims(i: Inputs) -> DataFrame:
+    """The skewed claims, every second claim with a second segment that differs
+    in discharge and diagnosis only."""
+    second = i.claims.where(F.col(C.claim) % 2 == 0).withColumns(
+        {C.disch: F.date_add(C.disch, 9), C.dx1: F.col(C.dx[1])})
+    return _skewed_claims(i, i.claims.unionByName(second))
+
+
+def _key_violations_mixed(i: Inputs) -> DataFrame:
+    """Keys that are unique, repeated and missing."""
+    n = F.col(C.claim)
+    key = F.when(n % 10 == 0, F.lit(None).cast("long")).when(n % 10 < 4, F.expr(f"{C.claim} div 20")).otherwise(-n)
+    return TB.key_violations(i.claims.select(key.alias("k")), ["k"])
+
+
 def _upsert(i: Inputs) -> DataFrame:
     old = i.rates(replace(STRICT, years=(1996, 1997)))
     new = i.rates(replace(GAP, years=(1997, 1998)))
@@ -119,7 +135,13 @@ def _rate_scaled(i: Inputs) -> DataFrame:
 
 def _label_rates(i: Inputs) -> DataFrame:
     sp = i.spark
-    return FD.label_rates(i.rates(STRICT), D.dim_gender(sp), D.dim_age_group(sp),
+    # The tables carry no sexes, age groups or conditions: codes that the
+    # dimensions have, and some that they lack.
+    sex, code = F.col(B.sex), F.col(B.state)
+    rates = i.rates(STRICT).withColumns({
+        B.sex: F.when(sex == "AUTOMOBILE", "1").when(sex == "BUILDING", "2").otherwise(sex),
+        "age_grp_id": (code % 7).cast("int"), "condition_type_id": (11 * (code % 11)).cast("int")})
+    return FD.label_rates(rates, D.dim_gender(sp), D.dim_age_group(sp),
                           D.dim_condition(sp), i.state, b=B, s=ST)
 
 
@@ -127,29 +149,47 @@ def _label_rates(i: Inputs) -> DataFrame:
 # Loader round trips: an extract derived from the given tables is written by
 # Spark into the shared folder and read back by the loader under test.
 # ---------------------------------------------------------------------------
-CLAIM_EXTRACT_COLS = ["DESYNPUF_ID", "CLM_ID", "CLM_ADMSN_DT", "NCH_BENE_DSCHRG_DT", "CLM_PMT_AMT",
-                      "ICD9_DGNS_CD_1", "ICD9_DGNS_CD_2", "ICD9_DGNS_CD_3"]
-BENE_EXTRACT_COLS = ["DESYNPUF_ID", "SP_STATE_CODE", "BENE_SEX_IDENT_CD", "BENE_BIRTH_DT", "SP_CHF",
-                     "MEDREIMB_IP"]
+def _filled(column: int, dtype, n: str) -> Column:
+    """A value of the column's type made from the row's number ``n``; every
+    eleventh is missing."""
+    i = F.col(n)
+    kind = dtype.typeName()
+    if kind == "date":
+        v = F.date_add(F.lit("2008-01-01").cast("date"), (i % 900 + column).cast("int"))
+    elif kind == "integer":
+        v = (i + column) % 50
+    elif kind == "decimal":
+        v = ((i * 7 + column * 13) % 100000).cast("decimal(13,2)") / 100
+    else:
+        v = F.lpad(((i * column) % 1000).cast("string"), 4, "0")
+    return F.when((i + column) % 11 != 0, v.cast(dtype))
+
+
+def _layout(columns, n: str, known: dict[str, Column]) -> dict[str, Column]:
+    return {name: known.get(name, _filled(k, t, n)) for k, (name, t) in enumerate(columns, 1)}
 
 
 def _claims_extract(i: Inputs) -> DataFrame:
-    m = {"DESYNPUF_ID": F.col(C.person), "CLM_ID": F.col(C.claim), "CLM_ADMSN_DT": F.col(C.admit),
-         "NCH_BENE_DSCHRG_DT": F.col(C.disch), "CLM_PMT_AMT": F.col("pay_amt"),
-         "ICD9_DGNS_CD_1": F.col("d1"), "ICD9_DGNS_CD_2": F.col("d2"), "ICD9_DGNS_CD_3": F.col("d3")}
-    return X.claims_extract(i.claims, m)
+    """All 81 columns, filled from the given tables."""
+    known = {"DESYNPUF_ID": F.col(C.person), "CLM_ID": F.col(C.claim), "CLM_ADMSN_DT": F.col(C.admit),
+             "NCH_BENE_DSCHRG_DT": F.col(C.disch), "CLM_PMT_AMT": F.col("pay_amt"),
+             **{f"ICD9_DGNS_CD_{k}": F.col(d) for k, d in enumerate(C.dx, 1)}}
+    return X.claims_extract(i.claims, _layout(CLAIM_COLUMNS, C.claim, known))
+
+
+def _bene_extract(i: Inputs) -> DataFrame:
+    """All 31 columns."""
+    known = {"DESYNPUF_ID": F.col(B.person), "SP_STATE_CODE": F.lpad(F.col(B.state).cast("string"), 2, "0"),
+             "BENE_SEX_IDENT_CD": F.col(B.sex)}
+    return X.beneficiary_extract(i.bene, _layout(BENEFICIARY_COLUMNS, B.person, known))
 
 
 def _load_claims(i: Inputs) -> DataFrame:
-    path = X.write_csv_extract(_claims_extract(i))
-    return FL.load_claims(i.spark, path).select(*CLAIM_EXTRACT_COLS)
+    return FL.load_claims(i.spark, X.write_csv_extract(_claims_extract(i)))
 
 
 def _load_beneficiaries(i: Inputs) -> DataFrame:
-    m = {"DESYNPUF_ID": F.col(B.person), "SP_STATE_CODE": F.lpad(F.col(B.state).cast("string"), 2, "0"),
-         "BENE_SEX_IDENT_CD": F.col(B.sex)}
-    path = X.write_csv_extract(X.beneficiary_extract(i.bene, m))
-    return FL.load_beneficiaries(i.spark, path).select(*BENE_EXTRACT_COLS)
+    return FL.load_beneficiaries(i.spark, X.write_csv_extract(_bene_extract(i)))
 
 
 def _load_state(i: Inputs) -> DataFrame:
@@ -159,9 +199,10 @@ def _load_state(i: Inputs) -> DataFrame:
 
 
 def _load_icd_crosswalk(i: Inputs) -> DataFrame:
-    # The invented ICD-9 stand-ins are 8 characters; the file's field is 5,
-    # so the brand number is written in it.
-    xw = i.xwalk.select(F.substring(KC.icd9, 7, 2).alias("icd9"), F.col(KC.icd10).alias("icd10"))
+    # The brands are longer than the file's field of 5: the whole brand number
+    # is written, under one letter.
+    brand = F.lpad(F.substring(KC.icd9, 7, 100), 4, "0")
+    xw = i.xwalk.select(F.concat(F.lit("B"), brand).alias("icd9"), F.col(KC.icd10).alias("icd10"))
     return FL.load_icd_crosswalk(i.spark, X.write_fixed_width(xw, {"icd9": 5, "icd10": 9}))
 
 
@@ -176,16 +217,11 @@ def _reload_claims(i: Inputs) -> DataFrame:
 
 def _refresh_state_rates(i: Inputs) -> DataFrame:
     """The batch job end to end on extracts derived from the given tables."""
-    ext = _claims_extract(i)
-    claims_path = X.write_csv_extract(ext)
-    bene_m = {"DESYNPUF_ID": F.col(B.person), "SP_STATE_CODE": F.lpad(F.col(B.state).cast("string"), 2, "0"),
-              "BENE_SEX_IDENT_CD": F.col(B.sex)}
-    bene_path = X.write_csv_extract(X.beneficiary_extract(i.bene, bene_m))
+    claims_path = X.write_csv_extract(_claims_extract(i))
+    bene_path = X.write_csv_extract(_bene_extract(i))
     state_m = {"state_name": F.col(ST.name), "sp_state_code": F.lpad(F.col(ST.code).cast("string"), 2, "0"),
                "state_abbr": F.col(ST.abbr)}
     state_path = X.write_csv_extract(X.state_extract(i.state, state_m))
-    # Only three diagnosis columns are filled, so the strict any-dx rule
-    # (nine columns) would flag nothing; the job runs the gap rules.
     stored = J.refresh_measure(i.spark, claims_path=claims_path, bene_path=bene_path,
                                state_path=state_path, out_dir=scratch_path(i.spark, "measure"),
                                rules=GAP)
@@ -197,7 +233,7 @@ def _stream_ingest_claims(i: Inputs) -> DataFrame:
     table = scratch_path(i.spark, "ingested-claims")
     q = IN.ingest_claims(i.spark, src, table, available_now=True)
     q.awaitTermination()
-    return i.spark.read.parquet(table).select(*CLAIM_EXTRACT_COLS)
+    return i.spark.read.parquet(table)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -223,19 +259,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # codes and cohorts
     "crosswalk_min": q(lambda i: K.crosswalk_min(i.xwalk, icd9=KC.icd9, icd10=KC.icd10)),
     "claims_icd10": q(lambda i: i.claims_icd10()),
+    "stored_claims_icd10": q(lambda i: materialize(i.claims_icd10(), "claims-icd10")),
     "codes_by_prefix": q(lambda i: K.codes_by_prefix(i.codes, CODE_PREFIX, KC)),
     "condition_cohort": q(lambda i: K.condition_cohort(i.claims_icd10(), A.COHORT_PREFIXES, C)),
     "cohort_codes": q(lambda i: K.cohort_codes(i.codes, A.COHORT_PREFIXES, KC)),
-    "cohort_breadth": q(lambda i: K.cohort_breadth(K.cohort_codes(i.codes, A.COHORT_PREFIXES, KC), KC)),
+    "cohort_breadth": q(lambda i: K.cohort_breadth(i.codes, A.COHORT_PREFIXES, KC)),
+    "cohort_breadth_nine_groups": q(lambda i: K.cohort_breadth(i.codes, NINE_GROUPS, KC, C.icd10)),
+    "cohort_breadth_ten_groups": q(lambda i: K.cohort_breadth(i.codes, TEN_GROUPS, KC, C.icd10)),
+    "code_groups": q(lambda i: K.code_groups(i.codes, KC)),
     "state_rates_for_cohort": q(lambda i: i.cohort_rates(STRICT)),
     "state_rates_for_cohort_gap": q(lambda i: i.cohort_rates(GAP)),
     "state_rates_for_cohort_null_safe": q(lambda i: i.cohort_rates(NULL_SAFE)),
-    "state_rates_all_claims": q(lambda i: i.cohort_rates(STRICT, cohort=False)),
+    "state_rates_all_claims": q(lambda i: i.cohort_rates(STRICT, cohort=None)),
     "top_states_for_cohort": q(lambda i: i.cohort_rates(GAP, top_n=10)),
-    "state_rates_for_broad_cohort": q(lambda i: i.cohort_rates(GAP, predicate=K.cohort_or_all(
-        i.codes, BROAD_COHORT, C.icd10, KC))),
-    "state_rates_for_narrow_cohort": q(lambda i: i.cohort_rates(GAP, predicate=K.cohort_or_all(
-        i.codes, A.COHORT_PREFIXES, C.icd10, KC))),
+    "titled_rates": q(lambda i: FD.with_titles(i.cohort_rates(GAP))),
+    "state_rates_for_letter_cohort": q(lambda i: i.cohort_rates(GAP, cohort=f"{C.icd10} LIKE 'B%'")),
+    "state_rates_for_narrow_cohort": q(lambda i: i.cohort_rates(GAP, cohort=K.cohort_or_all(NINE_GROUPS, C.icd10))),
+    "state_rates_for_broad_cohort": q(lambda i: i.cohort_rates(GAP, cohort=K.cohort_or_all(TEN_GROUPS, C.icd10))),
     # feeds
     "top_states": q(lambda i: FD.top_states(i.state_rates(GAP), 10, name=ST.name)),
     "state_map_feed": q(lambda i: FD.state_map_feed(i.state_rates(GAP), i.state, s=ST)),
@@ -247,12 +287,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "label_rates": q(_label_rates),
     # tables
     "upsert_rates": q(_upsert),
+    "key_violations_mixed": q(_key_violations_mixed),
     "key_violations": q(lambda i: TB.key_violations(i.bene.select(B.person), [B.person])),
     "row_counts": q(lambda i: TB.row_counts({
         "claims": i.claims, "bene": i.bene, "state": i.state,
         "all_cause_readmission": S.all_cause_readmission(i.claims, STRICT, C)})),
     "clustered_claims": q(lambda i: TB.clustered_claims(i.claims, C)),
     # one person with a third of the rows (split path)
+    "all_cause_readmission_tied": q(lambda i: S.all_cause_readmission(
+        _tied_claims(i), GAP, C, hot_key_rows=SKEW_HOT_ROWS)),
+    "all_cause_readmission_tied_unsplit": q(lambda i: S.all_cause_readmission(
+        _tied_claims(i), GAP, C, hot_key_rows=-1)),
     "all_cause_readmission_skewed": q(lambda i: S.all_cause_readmission(
         _skewed_claims(i), GAP, C, hot_key_rows=SKEW_HOT_ROWS)),
     "readmission_rate_skewed": q(lambda i: R.readmission_rate(

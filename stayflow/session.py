@@ -8,7 +8,7 @@ checkpoint folder are read from it.
 
 from __future__ import annotations
 
-import os
+import atexit
 import tempfile
 import uuid
 
@@ -80,7 +80,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    if not _SCRATCH:
+        atexit.register(_drop_scratch, spark)
+    _SCRATCH.append(path)
+    return path
+
+
+_SCRATCH: list[str] = []
+
+
+def _drop_scratch(spark: SparkSession) -> None:
+    """Delete this process's scratch folders at its end, if its session is
+    still up (results read from them are gone with it)."""
+    if spark.sparkContext._jsc is None:
+        return
+    for path in _SCRATCH:
+        try:
+            drop_folder(spark, path)
+        except Exception:  # the JVM may be on its way down
+            return
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -99,13 +124,6 @@ def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
-def env_cpus(default: int = 8) -> int:
-    try:
-        return int(os.environ.get("BENCH_CPUS", default))
-    except ValueError:
-        return default
-
-
 def cluster_conf(input_bytes: float, executors: int, cores_per_executor: int,
                  executor_memory_bytes: float, row_bytes: int = 200,
                  shuffle_fraction: float = 0.5) -> dict[str, str]:

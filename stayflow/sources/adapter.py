@@ -4,7 +4,7 @@ The test tables carry no claims, so a fixed mapping turns them into the five
 inputs of the measure (all lazy, all read from the given Parquet files, so the
 work grows with the tables):
 
-* claims       orders (+ first three line items' part brands as diagnoses)
+* claims       orders (+ the part brands of all line items as diagnoses)
 * bene         three yearly copies of customer; in the second copy every
                tenth customer has moved to the next state (fan-out case)
 * state        nation
@@ -25,13 +25,17 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 LAYOUT = Layout(
     claims=ClaimCols(person="person_id", claim="claim_id", admit="admit_dt", disch="disch_dt",
-                     dx=("d1", "d2", "d3"), proc1=None, icd10="icd10_code",
+                     dx=tuple(f"d{k}" for k in range(1, 10)), proc1=None, segment=None, icd10="icd10_code",
                      icd10_columns=("person_id", "claim_id", "pay_amt", "admit_dt", "disch_dt", "d1")),
     bene=BeneCols(person="person_id", state="state_code", sex="sex"),
     state=StateCols(name="state_name", code="state_code", abbr="state_abbr"),
     codes=CodeCols(icd9="icd9", icd10="icd10", code="code", description="description"),
 )
 
+# Line numbers of an order; nine diagnoses are those of its lines, then of
+# lines 1 and 2 again.
+LINES = tuple(range(1, 8))
+
 # The rule set in adapter terms.
 RULES = RuleSet(
     years=(1996, 1997, 1998),
@@ -46,45 +50,20 @@ RULES = RuleSet(
 COHORT_PREFIXES = ("B", "C", "H", "N")
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The Parquet table ``name`` in ``sf_dir``."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The Parquet table ``name`` in ``sf_dir``; one DataFrame per session and
-    path, so its footer/schema is read once, like a catalog table."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    df = _TABLES.get(key)
-    if df is None:
-        df = _TABLES[key] = spark.read.parquet(path)
-    return df
-
-
-def _view(fn):
-    """Memoize a view definition per (session, folder): the DataFrame is a
-    lazy plan, built once like a catalog view; nothing is cached."""
-    views: dict[tuple[int, str], DataFrame] = {}
-
-    def get(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (id(spark._jsparkSession), sf_dir)
-        if key not in views:
-            views[key] = fn(spark, sf_dir)
-        return views[key]
-    get.__name__, get.__doc__ = fn.__name__, fn.__doc__
-    return get
-
-
-@_view
 def dx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per order: brands of the parts on lines 1, 2 and 3."""
-    li = read(spark, sf_dir, "lineitem").where(F.col("l_linenumber") <= 3)
+    """Per order: brands of the parts on its lines."""
+    li = read(spark, sf_dir, "lineitem")
     part = read(spark, sf_dir, "part").select("p_partkey", "p_brand")
     j = li.join(part, F.col("l_partkey") == F.col("p_partkey"))
     return j.groupBy("l_orderkey").agg(*[
-        F.min(F.when(F.col("l_linenumber") == k, F.col("p_brand"))).alias(f"d{k}") for k in (1, 2, 3)])
+        F.min(F.when(F.col("l_linenumber") == k, F.col("p_brand"))).alias(f"d{k}") for k in LINES])
 
 
-@_view
 def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders")
     admit = F.col("o_orderdate").cast("date")
@@ -93,10 +72,10 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = o.join(dx(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
     return j.select(F.col("o_custkey").alias("person_id"), F.col("o_orderkey").alias("claim_id"),
                     admit.alias("admit_dt"), disch.alias("disch_dt"),
-                    F.col("o_totalprice").cast("decimal(10,2)").alias("pay_amt"), "d1", "d2", "d3")
+                    F.col("o_totalprice").cast("decimal(10,2)").alias("pay_amt"),
+                    *(f"d{k}" for k in LINES), F.col("d1").alias("d8"), F.col("d2").alias("d9"))
 
 
-@_view
 def bene(spark: SparkSession, sf_dir: str) -> DataFrame:
     cu = read(spark, sf_dir, "customer")
 
@@ -108,7 +87,6 @@ def bene(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copy(F.col("c_nationkey")).unionByName(copy(moved)).unionByName(copy(F.col("c_nationkey")))
 
 
-@_view
 def state(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read(spark, sf_dir, "nation")
     return n.select(F.col("n_name").alias("state_name"), F.col("n_nationkey").alias("state_code"),
@@ -124,13 +102,11 @@ def _code() -> Column:
                     F.lpad((F.col("p_partkey") % 1000).cast("string"), 3, "0"))
 
 
-@_view
 def xwalk(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read(spark, sf_dir, "part")
     return p.where(_brand_no() % 5 != 0).select(F.col("p_brand").alias("icd9"), _code().alias("icd10"))
 
 
-@_view
 def codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read(spark, sf_dir, "part")
     return p.select(_code().alias("code"), F.col("p_name").alias("description"))

@@ -48,6 +48,21 @@ def summarize(plan: str) -> dict[str, list[str]]:
     return out
 
 
+def final_only(plan: str) -> str:
+    """The plan without the initial plans that adaptive execution prints
+    beside the final ones, at the top and inside subqueries."""
+    kept, skip = [], None
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-|"))
+        if "== Initial Plan ==" in line:
+            skip = depth
+        elif skip is not None and (depth < skip or "== Final Plan ==" in line):
+            skip = None
+        if skip is None:
+            kept.append(line)
+    return "\n".join(kept)
+
+
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session("local[8]", app="stayflow-plans",
@@ -58,7 +73,7 @@ def main() -> None:
         df = QUERIES[name](spark, sf_dir)
         df.toArrow()
         plan = df._jdf.queryExecution().executedPlan().toString()
-        plan = plan.split("\n+- == Initial Plan ==")[0]  # top level only; subqueries nest theirs
+        plan = final_only(plan)
         s = summarize(plan)
         print(f"## {name}\n")
         for kind, _ in KINDS:
