@@ -41,6 +41,9 @@ from ..session import hot_key_rows as _conf_hot_key_rows
 
 _UNB = Window.unboundedPreceding
 
+# Smallest threshold at which the hot keys are broadcast without being measured.
+BROADCAST_FROM = 100_000
+
 
 @dataclass
 class Track:
@@ -106,8 +109,10 @@ def previous_in_sequence(df: DataFrame, entity: str, order: Sequence[str],
     counts = src_keys.groupBy(entity).agg(F.count(F.lit(1)).alias("__n"))
     hot = (counts.where(F.col("__n") > F.lit(threshold))
            .select(F.col(entity).alias("__hk"), F.lit(True).alias("__hot")))
-    # |hot| <= rows / threshold: a proven bound for the broadcast.
-    tagged = base.join(F.broadcast(hot), F.col(entity).eqNullSafe(F.col("__hk")), "left")
+    # |hot| <= rows / threshold: a proven bound for the broadcast, small from
+    # BROADCAST_FROM rows on.  Below, the planner decides by measured size.
+    small = F.broadcast if threshold >= BROADCAST_FROM else (lambda side: side)
+    tagged = base.join(small(hot), F.col(entity).eqNullSafe(F.col("__hk")), "left")
 
     cold = tagged.where(F.col("__hot").isNull()).drop("__hk", "__hot")
     cold_out = cold.select("*", *running(Window.partitionBy(entity).orderBy(*sort_cols))).drop(*mnames)
@@ -129,7 +134,7 @@ def previous_in_sequence(df: DataFrame, entity: str, order: Sequence[str],
     for i, k in enumerate(dkeys):
         e = F.col(k).eqNullSafe(F.col(f"__d{i}"))
         dcond = e if dcond is None else dcond & e
-    day_tagged = hot_rows0.join(F.broadcast(hot_days), dcond, "left").drop(*[f"__d{i}" for i in range(len(dkeys))])
+    day_tagged = hot_rows0.join(small(hot_days), dcond, "left").drop(*[f"__d{i}" for i in range(len(dkeys))])
     collapsed = (day_tagged.where(F.col("__hotday").isNotNull()).drop("__hotday")
                            .groupBy(*base_cols).agg(F.count(F.lit(1)).alias("__mult")))
     single = day_tagged.where(F.col("__hotday").isNull()).drop("__hotday").withColumn("__mult", F.lit(1).cast("long"))
