@@ -37,10 +37,11 @@ MAX_EDITS = 0.08
 MIN_SHARED = 8
 # Bytes of benchmark text that a task holds at once.
 BLOCK_BYTES = 4 << 20
-_CHUNK = 1 << 20
+_CHUNK = 1 << 17  # bytes of text that one array step handles
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in range(256))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_FACTORS = tuple(np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F))
 
 
 def budget(m: int, q: int, max_edits: float) -> int:
@@ -50,17 +51,28 @@ def budget(m: int, q: int, max_edits: float) -> int:
     return min(int(m * max_edits), (m + 1 - MIN_SHARED) // q - 1)
 
 
-def grams(data: np.ndarray, q: int) -> np.ndarray:
-    """A 64-bit number for each q-gram (a hash: alignment verifies)."""
+def quick(data: np.ndarray, q: int) -> np.ndarray:
+    """A 32-bit hash of each q-gram, from the 4-byte words that cover it."""
     n = len(data) - q + 1
     if n <= 0:
-        return np.empty(0, np.uint64)
-    wide = data.astype(np.uint64)
-    h, size = wide, 1  # h covers ``size`` bytes
-    while size * 2 <= q:
-        h = h[:-size] * _MIX + (h[size:] ^ (h[size:] >> np.uint64(31)))
-        size *= 2
-    return h[:n] * _MIX + (h[q - size:q - size + n] ^ (h[q - size:q - size + n] >> np.uint64(29)))
+        return np.empty(0, np.uint32)
+    b = data.astype(np.uint32)
+    x = b[:-3] | b[1:-2] << np.uint32(8) | b[2:-1] << np.uint32(16) | b[3:] << np.uint32(24)
+    h = x[:n] * _FACTORS[0]
+    for at, factor in zip((*range(4, q - 4, 4), q - 4), _FACTORS[1:] * q, strict=False):
+        h += x[at:at + n] * factor
+    h ^= h >> np.uint32(15)
+    h *= _FACTORS[0]
+    return h
+
+
+def exact(data: np.ndarray, at: np.ndarray, q: int) -> np.ndarray:
+    """A 64-bit hash of the q-grams at some positions."""
+    h = np.zeros(len(at), np.uint64)
+    for k in range(q):
+        h = (h + data[at + k].astype(np.uint64) + np.uint64(1)) * _MIX
+        h ^= h >> np.uint64(29)
+    return h
 
 
 @dataclass
@@ -75,27 +87,29 @@ class Items:
     def __post_init__(self):
         self.edits = np.array([budget(len(t), self.q, self.max_edits) for t in self.texts], np.int64)
         self.short = [k for k, t in enumerate(self.texts) if self.edits[k] < 0 and t]
-        every = [grams(np.frombuffer(t, np.uint8), self.q) if self.edits[k] >= 0 else np.empty(0, np.uint64)
-                 for k, t in enumerate(self.texts)]
-        g = np.concatenate(every) if every else np.empty(0, np.uint64)
+        data = [np.frombuffer(t if self.edits[k] >= 0 else b"", np.uint8) for k, t in enumerate(self.texts)]
+        every = [exact(d, np.arange(max(0, len(d) - self.q + 1)), self.q) for d in data]
+        g = np.concatenate([*every, np.empty(0, np.uint64)])
         item = np.repeat(np.arange(len(every)), [len(x) for x in every])
-        place = np.concatenate([np.arange(len(x)) for x in every]) if every else np.empty(0, np.int64)
+        place = np.concatenate([*(np.arange(len(x)) for x in every), np.empty(0, np.int64)])
         order = np.argsort(g, kind="stable")
         self.item, self.place = item[order], place[order]
         self.gram, self.first, self.times = np.unique(g[order], return_index=True, return_counts=True)
         # A first, cheap test: one flag for each value of some hash bits.
-        self.bits = np.uint64(64 - max(16, min(26, int(len(self.gram)).bit_length() + 5)))
-        self.flag = np.zeros(1 << int(64 - int(self.bits)), bool)
-        self.flag[(self.gram * _MIX) >> self.bits] = True
+        bits = max(16, min(26, int(len(self.gram)).bit_length() + 6))
+        self.drop = np.uint32(32 - bits)
+        self.flag = np.zeros(1 << bits, bool)
+        for d in data:
+            self.flag[quick(d, self.q) >> self.drop] = True
 
     def shared(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text position, item, item position) of every shared q-gram."""
-        g = grams(data, self.q)
-        at = np.flatnonzero(self.flag[(g * _MIX) >> self.bits])
+        at = np.flatnonzero(self.flag[quick(data, self.q) >> self.drop])
         if not len(at) or not len(self.gram):
             return (np.empty(0, np.int64),) * 3
-        k = np.minimum(np.searchsorted(self.gram, g[at]), len(self.gram) - 1)
-        ok = self.gram[k] == g[at]
+        g = exact(data, at, self.q)
+        k = np.minimum(np.searchsorted(self.gram, g), len(self.gram) - 1)
+        ok = self.gram[k] == g
         at, k = at[ok], k[ok]
         times = self.times[k]
         entry = np.repeat(self.first[k] - np.concatenate([[0], np.cumsum(times)[:-1]]).astype(np.int64), times) \
@@ -111,12 +125,16 @@ def banded(item: np.ndarray, text: np.ndarray, low: int, high: int, most: int) -
     far = 1 << 20
     steps = np.arange(width)
     column = steps + low  # text position before row 0
+    # The text from diagonal ``low`` on, with nothing where there is no text.
+    padded, real = np.zeros(m + width, np.int16), np.zeros(m + width, bool)
+    begin, end = max(0, -low), max(0, min(m + width, n - low))
+    padded[begin:end], real[begin:end] = text[begin + low:end + low], True
+    padded[~real] = -1
     cost = np.where((column >= 0) & (column <= n), 0, far)
     start = column.copy()
     for i in range(m):
         column = i + low + steps  # text byte consumed by a substitution
-        inside = (column >= 0) & (column < n)
-        differs = np.where(inside, text[np.clip(column, 0, n - 1)] != item[i], far) if n else np.full(width, far)
+        differs = np.where(padded[i:i + width] == item[i], 0, np.where(real[i:i + width], 1, far))
         down = np.concatenate([cost[1:] + 1, [far]])
         across = cost + differs
         new = np.where(across <= down, across, down)
@@ -162,27 +180,30 @@ def _matches(items: Items, texts: list[bytes], run: list[int]):
     # Diagonals can be as low as minus the item's length.
     diagonal = at - begin[text] - place + length[item]
     band = diagonal // step
+    # Each q-gram of the item counts once in a band.
     keys = np.stack([np.concatenate([text, text]), np.concatenate([item, item]),
-                     np.concatenate([band, band - 1])])
-    order = np.lexsort(keys[::-1])
-    keys = keys[:, order]
-    edge = np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(0)]))
+                     np.concatenate([band, band - 1]), np.concatenate([place, place])])
+    keys = keys[:, np.lexsort(keys[::-1])]
+    keys = keys[:, np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(0)])]
+    edge = np.flatnonzero(np.concatenate([[True], (keys[:3, 1:] != keys[:3, :-1]).any(0)]))
     count = np.diff(np.concatenate([edge, [keys.shape[1]]]))
-    text, item, band = keys[:, edge]
+    text, item, band = keys[:3, edge]
     enough = count >= length[item] + 1 - items.q * (items.edits[item] + 1)
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for t, i, b in zip(text[enough], item[enough], band[enough], strict=True):
+    for t, i, b in zip(text[enough].tolist(), item[enough].tolist(), band[enough].tolist(), strict=True):
+        if (t, i) in best and not best[t, i][0]:
+            continue
+        # The exact passage needs no alignment.
+        if (t, i) not in best and (where := folded[t].find(items.texts[i])) >= 0:
+            best[t, i] = 0, where, where + len(items.texts[i])
+            continue
         e = int(items.edits[i])
         low = int(b) * (2 * e + 1) - int(length[i])
         high = low + 2 * (2 * e + 1) - 1
         window = max(0, low - e)
         part = folded[t][window:high + int(length[i]) + e + 1]
-        # The exact passage needs no alignment.
-        if (where := part.find(items.texts[i])) >= 0:
-            found = 0, where, where + int(length[i])
-        else:
-            found = banded(np.frombuffer(items.texts[i], np.uint8), np.frombuffer(part, np.uint8),
-                           low - e - window, high + e - window, e)
+        found = banded(np.frombuffer(items.texts[i], np.uint8), np.frombuffer(part, np.uint8),
+                       low - e - window, high + e - window, e)
         if found:
             found = found[0], found[1] + window, found[2] + window
             if (t, i) not in best or found < best[t, i]:
