@@ -44,6 +44,8 @@ from .common import id_text
 SPAN, GRAM = 50, 16
 REACH = SPAN - GRAM  # bytes of a window before, or after, its anchor gram
 WIDTH = REACH + SPAN  # of a context
+ROW = WIDTH + 4  # a context, its two lengths, and zeros up to whole 8-byte words
+HALF = (REACH + 1) // 2
 CHUNK_BYTES = 6 << 20
 HOT = 50_000
 SHALLOW = 16
@@ -54,7 +56,7 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xC2B2AE3D27D4EB4F)
 # Odd weights of a context's columns.
 _WEIGHTS = np.array([int.from_bytes(hashlib.blake2b(bytes([k]), digest_size=8).digest(), "little") | 1
-                     for k in range(WIDTH + 2)], np.uint64)
+                     for k in range(WIDTH)], np.uint64)
 
 
 # -- deep-shallow sorting ---------------------------------------------------
@@ -72,6 +74,9 @@ def deep_shallow(strings: list[bytes], shallow: int = SHALLOW) -> list[list[int]
             out.extend(blind_trie(strings, group, depth))
         elif group:
             keys = [strings[k][depth:depth + 8] for k in group]
+            if keys.count(keys[0]) == len(keys):
+                stack.append((group, depth + 8))
+                continue
             pivot = sorted((keys[0], keys[len(keys) // 2], keys[-1]))[1]
             less = [k for k, c in zip(group, keys, strict=True) if c < pivot]
             same = [k for k, c in zip(group, keys, strict=True) if c == pivot]
@@ -223,7 +228,7 @@ def member(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
 
 
 def context_rows(data, at, left, right, columns) -> np.ndarray:
-    rows = np.empty((len(at), WIDTH + 2), np.uint8)
+    rows = np.zeros((len(at), ROW), np.uint8)
     for a in range(0, len(at), 1 << 16):
         part = slice(a, a + (1 << 16))
         place = at[part, None] + columns
@@ -234,12 +239,12 @@ def context_rows(data, at, left, right, columns) -> np.ndarray:
 
 
 def hash_rows(rows: np.ndarray) -> np.ndarray:
+    words = np.ascontiguousarray(rows).view("<u8")
     h = np.zeros(len(rows), np.uint64)
-    for k in range(WIDTH + 2):
-        h += (rows[:, k].astype(np.uint64) + np.uint64(1)) * _WEIGHTS[k]
-        h ^= h >> np.uint64(31)
-        h *= _MIX
-    return h
+    for k in range(ROW // 8):
+        h = (h ^ words[:, k]) * _MIX
+        h ^= h >> np.uint64(29)
+    return h * _MIX2
 
 
 def grouped(key: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -346,7 +351,7 @@ def settle(table: pa.Table) -> pa.Table:
     windows that it shares with other contexts."""
     open_ = zstandard.ZstdDecompressor()
     keys = [np.frombuffer(k, np.uint64) for k in table.column("keys").to_pylist()]
-    rows = np.concatenate([np.frombuffer(open_.decompress(r), np.uint8).reshape(-1, WIDTH + 2)
+    rows = np.concatenate([np.frombuffer(open_.decompress(r), np.uint8).reshape(-1, ROW)
                            for r in table.column("rows").to_pylist()])
     docs = np.concatenate([np.frombuffer(d, np.int64) for d in table.column("docs").to_pylist()])
     key = np.concatenate(keys)
@@ -378,49 +383,74 @@ def shared_windows(key: np.ndarray, rows: np.ndarray, low: np.ndarray):
     one key share and whose smallest doc_id is below the context's own."""
     several = np.flatnonzero(np.concatenate([[False], key[1:] == key[:-1]]) |
                              np.concatenate([key[1:] == key[:-1], [False]])) if len(key) else np.empty(0, np.int64)
+    # A window reaches HALF or more bytes beyond its anchor gram to the left, or
+    # else to the right: contexts without a partner there share no window.
+    near = [several[:0]]
+    sides = [weighed(rows[several], a, b) for a, b in ((REACH - HALF, REACH + GRAM), (REACH, REACH + GRAM + HALF))]
+    reach = [rows[several, WIDTH] >= HALF, rows[several, WIDTH + 1] >= GRAM + HALF]
+    for side, ok in zip(sides, reach, strict=True):
+        at = np.flatnonzero(ok)
+        order = at[np.argsort(side[at], kind="stable")]
+        same = side[order][1:] == side[order][:-1]
+        near.append(several[order[np.concatenate([same, [False]]) | np.concatenate([[False], same])]]
+                    if len(order) else several[:0])
+    several = np.unique(np.concatenate(near))
     # Windows with a partner: equal hash of their bytes.
-    where, at, digest = [], [], []
+    where, at, digest = [several[:0]], [several[:0]], [np.empty(0, np.uint64)]
     for a in range(0, len(several), 1 << 15):
         c = several[a:a + (1 << 15)]
-        total = np.concatenate([np.zeros((len(c), 1), np.uint64),
-                                np.cumsum((rows[c, :WIDTH].astype(np.uint64) + np.uint64(1)) * _WEIGHTS[:WIDTH], 1,
-                                          dtype=np.uint64)], 1)
+        total = np.concatenate([np.zeros((len(c), 1), np.uint64), np.cumsum(spread(rows[c]), 1, dtype=np.uint64)], 1)
         left, right = rows[c, WIDTH].astype(np.int64), rows[c, WIDTH + 1].astype(np.int64)
         for o in range(REACH + 1):
             ok = np.flatnonzero((o <= left) & (SPAN - o <= right))
             where.append(c[ok])
             at.append(np.full(len(ok), o, np.int64))
             digest.append((total[ok, WIDTH - o] - total[ok, REACH - o]) * _MIX + np.uint64(o))
+    where, at, digest = np.concatenate(where), np.concatenate(at), np.concatenate(digest)
     none = np.empty(0, np.int64)
-    if not where:
+    if not len(where):
         return none, none, none
-    where, at, digest = np.concatenate(where), np.concatenate(at), np.concatenate(digest)
     order = np.argsort(digest, kind="stable")
     d = digest[order]
-    new = np.concatenate([[True], d[1:] != d[:-1]]) if len(d) else np.empty(0, bool)
-    run = np.flatnonzero(new)
+    run = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]]))
     times = np.diff(np.concatenate([run, [len(d)]]))
-    lowest = np.minimum.reduceat(low[where[order]], run) if len(run) else none
-    highest = np.maximum.reduceat(low[where[order]], run) if len(run) else none
+    lowest = np.minimum.reduceat(low[where[order]], run)
+    highest = np.maximum.reduceat(low[where[order]], run)
     # Only runs with something to learn: several contexts, unequal doc_ids.
     keep = np.repeat((times > 1) & (lowest != highest), times)
     where, at = where[order][keep], at[order][keep]
-    data = rows.tobytes()
-    strings = []
-    for c, o in zip(where.tolist(), at.tolist(), strict=True):
-        begin = c * (WIDTH + 2) + REACH - o
-        strings.append(data[begin:begin + SPAN])
-    w, f, s = [], [], []
-    for same in deep_shallow(strings):
-        if len(same) > 1:
-            ids = low[where[same]]
-            least = ids.min()
-            for k, i in zip(same, ids, strict=True):
-                if least < i:
-                    w.append(where[k])
-                    f.append(at[k])
-                    s.append(least)
-    return np.array(w, np.int64), np.array(f, np.int64), np.array(s, np.int64)
+    # Suffixes of one gram that start at one distance from it are sorted together.
+    gram = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]])) if len(key) else none
+    bucket = gram[where] * (REACH + 1) + at
+    order = np.argsort(bucket, kind="stable")
+    where, at, bucket = where[order], at[order], bucket[order]
+    cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])).tolist() if len(bucket) else [0]
+    data, ids = rows.tobytes(), low[where].tolist()
+    begin = (where * ROW + REACH - at).tolist()
+    found: list[int] = []
+    least: list[int] = []
+    for a, b in zip(cut, cut[1:], strict=False):
+        for same in deep_shallow([data[k:k + SPAN] for k in begin[a:b]]):
+            if len(same) > 1:
+                lowest = min(ids[a + k] for k in same)
+                for k in same:
+                    if lowest < ids[a + k]:
+                        found.append(a + k)
+                        least.append(lowest)
+    return where[found], at[found], np.array(least, np.int64)
+
+
+def spread(rows: np.ndarray) -> np.ndarray:
+    return (rows[:, :WIDTH].astype(np.uint64) + np.uint64(1)) * _WEIGHTS[:WIDTH]
+
+
+def weighed(rows: np.ndarray, begin: int, end: int) -> np.ndarray:
+    """A hash of the columns from begin to end."""
+    h = np.zeros(len(rows), np.uint64)
+    for a in range(0, len(rows), 1 << 15):
+        part = rows[a:a + (1 << 15), begin:end].astype(np.uint64)
+        h[a:a + (1 << 15)] = ((part + np.uint64(1)) * _WEIGHTS[:end - begin]).sum(1, dtype=np.uint64)
+    return h * _MIX
 
 
 def remove(buckets: int):
@@ -485,7 +515,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = id_text(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("data"))
     size = texts.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     chunks = max(1, -(-size // chunk_bytes))
-    buckets = max(1, chunks // 2)
+    buckets = chunks
     # Every step reads this one shuffle of the texts (a reused exchange).
     dealt = texts.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "data"), F.lit(chunks)).cast("int")).repartition(
         chunks, "chunk")
