@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import drop_folder, scratch_path
 
 # Byte values of [\x20\x09-\x0D], the white space that separates words.  A
 # word [^\x20\x09-\x0D]+ is what bytes.split() yields on UTF-8 text.
@@ -68,8 +68,7 @@ def store(df: DataFrame, name: str, **options: str) -> tuple[DataFrame, str]:
 
 def drop_stored(spark: SparkSession, path: str) -> None:
     """Delete a table that ``store`` wrote and nothing reads any more."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    drop_folder(spark, path)
 
 
 def sha256(data: bytes) -> str:

@@ -37,6 +37,7 @@ SEED = 42
 MAX_BITS = 2
 # Fingerprints on one grid point that are still compared pair by pair.
 CROWDED = 64
+FREQUENT = 1024
 _BLOCK = 1 << 15
 
 _ONES = 0x1111111111111111
@@ -126,14 +127,21 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = MAX_BITS, i
     """doc_id, fp, component_id (the smallest doc_id reachable over links) and
     root (the smallest fingerprint reachable)."""
     prints, _ = store(fingerprints(docs, words, id_col, text_col), "fingerprints")
-    first, _ = store(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "first")
+    first, _ = store(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "first")
     of = components(links(first.select("fp"), max_bits, crowded))
     linked = first.join(of.withColumnRenamed("node", "fp"), "fp")
     smallest = linked.groupBy("root").agg(F.min("first").alias("smallest"))
     named = linked.join(smallest, "root").select("fp", "smallest", "root")
-    classes = first.join(named, "fp", "left").select("fp", F.coalesce("smallest", "first").alias("component_id"),
-                                                     F.coalesce("root", "fp").alias("root"))
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id", "root")
+    classes, _ = store(first.join(named, "fp", "left").select(
+        "fp", "n", F.coalesce("smallest", "first").alias("component_id"), F.coalesce("root", "fp").alias("root")), "classes")
+    # Fingerprints with more than 1 / FREQUENT of all rows (fewer than FREQUENT
+    # of them) are joined by broadcast, so that none fills one task.
+    frequent = F.col("n") * FREQUENT > F.lit(prints.count())
+    columns = ["doc_id", "fp", "component_id", "root"]
+    common = classes.where(frequent)
+    rest = prints.join(F.broadcast(common.select("fp")), "fp", "left_anti")
+    return (rest.join(classes.where(~frequent), "fp").select(*columns)
+            .union(prints.join(F.broadcast(common), "fp").select(*columns)))
 
 
 def one_of_each(docs: DataFrame, words: int = 3, max_bits: int = MAX_BITS, id_col: str = "doc_id",
