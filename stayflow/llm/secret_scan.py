@@ -130,10 +130,11 @@ def redact(docs: DataFrame, mark: str = "[secret]", scope: int = SCOPE, text_col
     """``docs`` with secrets taken out of the text column (null stays null) and
     the length column, if there is one, counted anew for changed texts."""
     fn = F.pandas_udf(lambda s: s.map(lambda t: None if t is None else redacted(t, mark, scope)), "string")
-    old, new = F.col(text_col), F.col("__redacted")
-    out = docs.withColumn("__redacted", fn(old))
+    # The whole row travels as one struct: its column names cannot clash.
+    out = docs.select(F.struct("*").alias("doc"), fn(F.col(text_col)).alias("new"))
+    old, new = F.col("doc").getField(text_col), F.col("new")
+    columns = {c: F.col("doc").getField(c) for c in docs.columns} | {text_col: new}
     if chars_col in docs.columns:
-        changed = old.isNotNull() & ~new.eqNullSafe(old)
-        out = out.withColumn(chars_col, F.when(changed, F.length(new)).otherwise(F.col(chars_col))
-                             .cast(docs.schema[chars_col].dataType))
-    return out.withColumn(text_col, new).drop("__redacted").select(*docs.columns)
+        columns[chars_col] = F.when(old.isNotNull() & ~new.eqNullSafe(old), F.length(new)).otherwise(
+            columns[chars_col]).cast(docs.schema[chars_col].dataType)
+    return out.select(*(v.alias(c) for c, v in columns.items()))

@@ -153,12 +153,14 @@ def one_of_each(docs: DataFrame, words: int = 3, max_bits: int = MAX_BITS, id_co
     rank = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("fp"))
     best = found.groupBy("root").agg(F.min(rank).alias("best")).select("best.doc_id", "best.fp")
     name = lambda doc, fp: F.concat_ws("/", F.coalesce(doc.cast("string"), F.lit("")), fp.cast("string"))
-    keep = best.select(name(F.col("doc_id"), F.col("fp")).alias("__row"))
+    keep = best.select(name(F.col("doc_id"), F.col("fp")).alias("row"))
     fp = F.pandas_udf(lambda s: s.map(lambda t: fingerprint(t or "", words)), "long")
-    mine = docs.withColumn("__row", name(F.col(id_col).cast("long"), fp(F.col(text_col))))
-    first = Window.partitionBy("__row").orderBy(F.col(text_col).cast("string"))
-    return (mine.join(keep, "__row", "left_semi").withColumn("__place", F.row_number().over(first))
-            .where("__place = 1").select(*docs.columns))
+    # The whole row travels as one struct: its column names cannot clash.
+    mine = docs.select(F.struct("*").alias("doc"), F.col(text_col).cast("string").alias("text"),
+                       name(F.col(id_col).cast("long"), fp(F.col(text_col))).alias("row"))
+    first = Window.partitionBy("row").orderBy("text")
+    return (mine.join(keep, "row", "left_semi").withColumn("place", F.row_number().over(first))
+            .where("place = 1").select("doc.*"))
 
 
 def hex_digits(fp: Column) -> Column:
