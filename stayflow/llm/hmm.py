@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, store
+from .common import id_text, sampled, store
 
 CLASSES = 1024  # class 0: the end
 STATES = 8
@@ -295,8 +295,7 @@ def score(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, id_col: s
     v = int(members.sum())
     model = Hmm.first(states, frequency / max(1.0, frequency.sum()))
     sample = [sequence(r["classes"]) for r in
-              learn.select("doc_id", "classes").orderBy(F.xxhash64("doc_id"), "doc_id", "classes")
-              .limit(START_TEXTS).collect()]
+              sampled(learn.select("doc_id", "classes"), START_TEXTS, "doc_id", "classes").collect()]
     for _ in range(START_ROUNDS if sample else 0):
         model = model.updated(model.expected(sample))
     for _ in range(rounds if sample else 0):

@@ -32,8 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import sampled
+
 # Bound on the pages that training reads.
 SAMPLE = 600
+NODES = 400  # nodes of a page, on average
 TREES, DEPTH, RATE, BINS = 40, 3, 0.3, 32
 # Cost of entering and of leaving the main text, in log odds times characters.
 ENTER, LEAVE = 20.0, 60.0
@@ -337,9 +340,10 @@ def pages_of(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
 
 
 def train(pages: DataFrame, sample: int = SAMPLE) -> Trees | Words:
-    """Fit on the nodes of at most ``sample`` pages."""
-    chosen = (pages_of(pages).where(F.col("html").rlike("(?i)<(article|main)[ >]")).select("page_id").distinct()
-              .orderBy(F.xxhash64("page_id"), "page_id").limit(sample))
+    """Fit on the nodes of at most ``sample`` pages (at most ``sample * NODES``
+    nodes, first by page_id)."""
+    marked = pages_of(pages).where(F.col("html").rlike("(?i)<(article|main)[ >]")).select("page_id").distinct()
+    chosen = sampled(marked, sample, "page_id")
 
     def run(batches):
         for rb in batches:
@@ -353,7 +357,7 @@ def train(pages: DataFrame, sample: int = SAMPLE) -> Trees | Words:
                         ["page_id", "label", "x"])
     got = (pages_of(pages).join(F.broadcast(chosen), "page_id").select("page_id", "html")
            .mapInArrow(run, "page_id long, label int, x array<double>").orderBy("page_id", F.xxhash64("x", "label"))
-           .limit(sample * 400).toArrow())
+           .limit(sample * NODES).toArrow())
     y = got["label"].to_numpy()
     if len(set(y.tolist())) < 2:
         return Words()
