@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 SF0001 = "/root/testdata/sf0.001"
 
 # Columns of ``documents`` and more, some with names that operators use inside.
@@ -32,3 +34,8 @@ def edge_rows():
             (17, "token: secret: abcdefghijklmnop ſecret=abcdefghijklmno password='aaaaaaaaaaaaaaaa'"),
             (-5, base.upper()), (18, "\x00\x1c a\x85b　c"), (2 ** 40, other)]
     return rows + [(20 + k, prose(60) + " " + base[100:260]) for k in range(6)]
+
+
+@pytest.fixture(scope="session")
+def edge():
+    return edge_rows()

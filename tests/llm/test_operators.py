@@ -7,7 +7,7 @@ import brute
 import public_tokenizers
 import pytest
 import tiktoken
-from edge_rows import SF0001, documents, rows_of
+from edge_rows import SF0001, documents, edge, rows_of  # noqa: F401
 from pyspark.sql import functions as F
 
 from stayflow.llm import (bpe, components, decontam, hmm, html_text, license_scan, quality, secret_scan, sharding,

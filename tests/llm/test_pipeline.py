@@ -5,7 +5,7 @@ import importlib.util
 import brute
 import pytest
 import tiktoken
-from edge_rows import SF0001
+from edge_rows import SF0001, edge  # noqa: F401
 
 import __spark_entry__ as E
 import corpus_pipeline as P
