@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from .common import id_text, map_rows, sha256
 
 # Entries kept by each memo of a Python worker before it starts afresh.
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 250_000
 
 
 def read_ranks(path: str) -> bytes:
