@@ -27,10 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, id_text
+from .common import SPACES, id_text, sampled
 
 # Bound on the labelled rows that training reads.
-SAMPLE = 2000
+SAMPLE = 1000
 # Every fifth row of them calibrates instead.
 CALIBRATION = 5
 BUCKETS = 8192
@@ -39,6 +39,7 @@ ORDERS = 2 + len(CHAR_ORDERS)
 THRESHOLD = 0.5
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
+_FIT_ROWS = 100  # rows that one training step holds at once
 _GAP = 8  # zero bytes between texts, more than any character order spans
 _CHUNK = 1 << 17  # bytes of text that one array step handles
 _FIX = 1 << 24  # integer weights: multiples of 1 / _FIX
@@ -174,27 +175,30 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], rounds: int = 200, ridge
     if len({y for y, _, _ in train}) < 2:
         return None
 
-    def matrix(part):
-        at = np.repeat(np.arange(len(part)), [len(c) for _, c, _ in part])
-        return (np.array([y for y, _, _ in part], float), at,
-                np.concatenate([c for _, c, _ in part]), np.concatenate([v for _, _, v in part]))
-    y, at, col, val = matrix(train)
+    y = np.array([label for label, _, _ in train], float)
     # Both kinds weigh the same in training; calibration restores the odds.
     weight = np.where(y > 0, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
     n = ORDERS * BUCKETS
     w, offset = np.zeros(n), 0.0
     seen, seen_offset = np.full(n, 1e-12), 1e-12
     for _ in range(rounds):
-        p = sigmoid(np.bincount(at, val * w[col], len(y)) + offset)
-        g = weight * (p - y)
-        gw = np.bincount(col, val * g[at], n) + ridge * 1e-4 * w
+        gw, g0 = ridge * 1e-4 * w, 0.0
+        for k in range(0, len(train), _FIT_ROWS):
+            part = train[k:k + _FIT_ROWS]
+            g = weight[k:k + _FIT_ROWS] * (sigmoid(logits(part, w, offset)) - y[k:k + _FIT_ROWS])
+            col = np.concatenate([c for _, c, _ in part])
+            val = np.concatenate([v for _, _, v in part]) * np.repeat(g, [len(c) for _, c, _ in part])
+            gw += np.bincount(col, val, n)
+            g0 += g.sum()
         seen += gw * gw
-        seen_offset += g.sum() ** 2
+        seen_offset += g0 ** 2
         w -= 2.0 * gw / np.sqrt(seen)
-        offset -= 0.1 * g.sum() / np.sqrt(seen_offset)
-    y, at, col, val = matrix(check)
-    logit = np.bincount(at, val * w[col], len(y)) + offset
-    return Model(w, offset, *platt(logit, y))
+        offset -= 0.1 * g0 / np.sqrt(seen_offset)
+    return Model(w, offset, *platt(logits(check, w, offset), np.array([label for label, _, _ in check], float)))
+
+
+def logits(part: list[tuple[int, np.ndarray, np.ndarray]], w: np.ndarray, offset: float) -> np.ndarray:
+    return np.array([v @ w[c] for _, c, v in part]) + offset
 
 
 def platt(logit: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -219,21 +223,21 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label_col: s
     chosen = (labels.where(F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull())
               .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
               .agg(F.min(label_col).cast("int").alias("label"), F.max(label_col).cast("int").alias("top"))
-              .where("label = top").select("doc_id", "label")
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
+              .where("label = top").select("doc_id", "label"))
+    chosen = sampled(chosen, sample, "doc_id")
 
     def run(batches):
         for rb in batches:
             found = [features((t or "").encode()) for t in rb.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [rb.column("doc_id"), rb.column("label"), pa.array([c.tolist() for c, _ in found], pa.list_(pa.int32())),
-                 pa.array([v.tolist() for _, v in found], pa.list_(pa.float64()))], ["doc_id", "label", "cols", "vals"])
+                [rb.column("doc_id"), rb.column("label"), pa.array([c.astype("<u2").tobytes() for c, _ in found]),
+                 pa.array([v.astype("<f4").tobytes() for _, v in found])], ["doc_id", "label", "cols", "vals"])
     found = (id_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
-             .mapInArrow(run, "doc_id long, label int, cols array<int>, vals array<double>"))
+             .mapInArrow(run, "doc_id long, label int, cols binary, vals binary"))
     # A repeated doc_id could bring more rows than were chosen.
     got = found.orderBy("doc_id", F.xxhash64("cols", "vals")).limit(sample).toArrow()
-    rows = list(zip(got["label"].to_pylist(), got["cols"], got["vals"], strict=True))
-    return fit([(y, c.values.to_numpy(), v.values.to_numpy()) for y, c, v in rows])
+    return fit([(y, np.frombuffer(c, "<u2"), np.frombuffer(v, "<f4")) for y, c, v in
+                zip(*(got[name].to_pylist() for name in ("label", "cols", "vals")), strict=True)])
 
 
 def judge(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD, id_col: str = "doc_id",
