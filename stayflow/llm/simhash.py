@@ -159,7 +159,7 @@ def one_of_each(docs: DataFrame, words: int = 3, max_bits: int = MAX_BITS, id_co
     mine = docs.select(F.struct("*").alias("doc"), F.col(text_col).cast("string").alias("text"),
                        name(F.col(id_col).cast("long"), fp(F.col(text_col))).alias("row"))
     first = Window.partitionBy("row").orderBy("text")
-    return (mine.join(keep, "row", "left_semi").withColumn("place", F.row_number().over(first))
+    return (mine.join(keep.hint("merge"), "row", "left_semi").withColumn("place", F.row_number().over(first))
             .where("place = 1").select("doc.*"))
 
 
