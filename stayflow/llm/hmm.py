@@ -15,8 +15,9 @@ their training counts, packed, to hash buckets, which add up each word's counts
 over the corpus and answer every chunk.  Nothing is held for the whole
 vocabulary in one place.  Training: states start from a few rounds on a bounded
 sample of training texts (``START_TEXTS``), then ``ROUNDS`` rounds of
-Baum-Welch run over all training texts: each partition adds up its expected
-counts, Spark sums them over the partitions.  Scoring: the scaled forward
+Baum-Welch run over all training texts, each from its first word to its end:
+each partition adds up its expected counts, Spark sums them over the
+partitions.  Scoring: the scaled forward
 recursion over every whole text.
 
 Defined results: null text is the empty text (one end).  A null doc_id is not
@@ -43,7 +44,8 @@ START_TEXTS, START_ROUNDS = 400, 25
 ROUNDS = 2
 HELD_OUT_OF, HELD_OUT = 7, 2
 CHUNK_BYTES = 12 << 20
-SEGMENT = 128  # tokens of one training sequence
+# Training sequences stepped over together, and steps between kept forward vectors.
+GROUP, BLOCK = 1024, 256
 END = b"\n"  # no word is one
 _SMOOTH = 0.1
 
@@ -188,42 +190,72 @@ class Hmm:
         return cls(np.full(states, 1.0 / states), move / move.sum(1, keepdims=True), emit / emit.sum(0))
 
     def expected(self, sequences: list[np.ndarray]) -> np.ndarray:
-        """Expected counts (flat: start, move, emit) over sequences of classes,
-        by scaled forward and backward recursions."""
+        """Expected counts (flat: start, move, emit) over whole sequences of
+        symbols, by scaled forward and backward recursions.
+
+        The forward pass keeps one vector at each block of ``BLOCK`` steps; on
+        the way back a block's vectors are made again from the one before it.
+        """
         k = len(self.start)
-        start, move, emit = np.zeros(k), np.zeros((k, k)), np.zeros((CLASSES, k))
-        for block in blocks(sequences):
-            n, steps = len(block), max(map(len, block))
-            live = np.array([len(s) for s in block])  # longest first
-            grid = np.zeros((steps, n), np.int64)
-            for j, s in enumerate(block):
-                grid[:len(s), j] = s
-            alpha, scale = np.zeros((steps, n, k)), np.ones((steps, n))
-            a = np.broadcast_to(self.start, (n, k))
-            for t in range(steps):
-                m = int(np.searchsorted(-live, -t, "left"))
-                a = (a if t == 0 else a[:m] @ self.move)[:m] * self.emit[grid[t, :m]]
-                c = a.sum(1)
-                a = a / c[:, None]
-                alpha[t, :m], scale[t, :m] = a, c
-            beta = np.ones((n, k))
-            for t in range(steps - 1, -1, -1):
-                m = int(np.searchsorted(-live, -t, "left"))
-                gamma = alpha[t, :m] * beta[:m]
+        start, pairs, emit = np.zeros(k), np.zeros((k, k)), np.zeros((k, len(self.emit)))
+        back = np.ascontiguousarray(self.move.T)
+        for group in groups(sequences):
+            live = np.array([len(s) for s in group])  # longest first
+            steps = int(live[0])
+            # Symbols by step; within a step, by sequence.
+            place = np.arange(live.sum()) - np.repeat(np.cumsum(live) - live, live)
+            flat = np.concatenate(group)[np.argsort(place, kind="stable")].astype(np.int64)
+            width = np.searchsorted(-live, -np.arange(steps), "left")
+            begin = np.concatenate([[0], np.cumsum(width)]).tolist()
+
+            def block(a, lo):
+                """Symbols, state shares and scaled emissions of the steps from ``lo`` on."""
+                hi, base = min(lo + BLOCK, steps), begin[lo]
+                at = flat[base:begin[hi]]
+                out = np.take(self.emit, at, axis=0).T.copy()
+                alpha, scale = np.empty_like(out), np.empty(len(at))
+                for t in range(lo, hi):
+                    i, j = begin[t] - base, begin[t + 1] - base
+                    got = alpha[:, i:j]
+                    if t:
+                        np.multiply(back @ a[:, :j - i], out[:, i:j], out=got)
+                    else:
+                        np.multiply(self.start[:, None], out[:, i:j], out=got)
+                    c = np.add.reduce(got, 0, out=scale[i:j])
+                    got /= c
+                    a = got
+                out /= scale
+                return at, alpha, out, a.copy()
+            kept = [None]
+            for lo in range(0, steps, BLOCK):
+                part = block(kept[-1], lo)
+                kept.append(part[3])
+            kept.pop()
+            beta = np.ones((k, len(group)))
+            for lo in range((steps - 1) // BLOCK * BLOCK, -1, -BLOCK):
+                before = kept.pop()
+                at, alpha, out, _ = part or block(before, lo)
+                part, base, after = None, begin[lo], np.empty_like(alpha)
+                for t in range(min(lo + BLOCK, steps) - 1, lo - 1, -1):
+                    i, j = begin[t] - base, begin[t + 1] - base
+                    m = j - i
+                    after[:, i:j] = beta[:, :m]
+                    if t:
+                        ahead = beta[:, :m] * out[:, i:j]
+                        last = before if t == lo else alpha[:, begin[t - 1] - base:]
+                        pairs += last[:, :m] @ ahead.T
+                        beta[:, :m] = self.move @ ahead
+                alpha *= after
+                if not lo:
+                    start += alpha[:, :begin[1]].sum(1)
                 for s in range(k):
-                    emit[:, s] += np.bincount(grid[t, :m], gamma[:, s], CLASSES)
-                if t == 0:
-                    start += gamma.sum(0)
-                    break
-                ahead = beta[:m] * self.emit[grid[t, :m]] / scale[t, :m, None]
-                move += self.move * (alpha[t - 1, :m].T @ ahead)
-                beta[:m] = ahead @ self.move.T
-        return np.concatenate([start, move.ravel(), emit.ravel()])
+                    emit[s] += np.bincount(at, alpha[s], len(self.emit))
+        return np.concatenate([start, (self.move * pairs).ravel(), emit.T.ravel()])
 
     def updated(self, counts: np.ndarray) -> Hmm:
         k = len(self.start)
         start, move, emit = counts[:k] + _SMOOTH, counts[k:k + k * k].reshape(k, k) + _SMOOTH, \
-            counts[k + k * k:].reshape(CLASSES, k) + _SMOOTH
+            counts[k + k * k:].reshape(-1, k) + _SMOOTH
         return Hmm(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0))
 
     def log10(self, sequences: list[np.ndarray]) -> np.ndarray:
@@ -246,12 +278,11 @@ class Hmm:
         return out
 
 
-def blocks(sequences: list[np.ndarray]):
-    """Segments of the sequences, longest first, a bounded number at a time."""
-    cut = [s[a:a + SEGMENT] for s in sequences for a in range(0, len(s), SEGMENT)]
-    cut.sort(key=len, reverse=True)
-    for a in range(0, len(cut), 1024):
-        yield cut[a:a + 1024]
+def groups(sequences: list[np.ndarray]):
+    """The sequences, longest first, a bounded number at a time."""
+    order = sorted(sequences, key=len, reverse=True)
+    for a in range(0, len(order), GROUP):
+        yield order[a:a + GROUP]
 
 
 def sequence(data: bytes) -> np.ndarray:

@@ -183,6 +183,35 @@ def test_baum_welch_counts_and_likelihood():
     assert model.log10(seqs).sum() > before
 
 
+def test_baum_welch_counts_whole_long_texts():
+    import numpy as np
+    rng = np.random.default_rng(3)
+    lengths = (1, 2, hmm.BLOCK - 1, hmm.BLOCK, hmm.BLOCK + 1, 2 * hmm.BLOCK, 1300)
+    seqs = [rng.integers(0, 30, n).astype(np.uint16) for n in lengths]
+    model = hmm.Hmm.first(3, rng.uniform(size=hmm.CLASSES))
+    model.start, model.move = rng.dirichlet(np.ones(3)), rng.dirichlet(np.ones(3), 3)
+    start, move, emit = np.zeros(3), np.zeros((3, 3)), np.zeros((hmm.CLASSES, 3))
+    for s in seqs:  # unblocked, one text at a time
+        e = model.emit[s]
+        alpha, beta = np.zeros((len(s), 3)), np.ones((len(s), 3))
+        for t in range(len(s)):
+            alpha[t] = (alpha[t - 1] @ model.move if t else model.start) * e[t]
+            alpha[t] /= alpha[t].sum()
+        for t in range(len(s) - 2, -1, -1):
+            beta[t] = model.move @ (beta[t + 1] * e[t + 1])
+            beta[t] /= beta[t].sum()
+        gamma = alpha * beta
+        gamma /= gamma.sum(1, keepdims=True)
+        start += gamma[0]
+        for t in range(1, len(s)):
+            xi = alpha[t - 1][:, None] * model.move * (beta[t] * e[t])
+            move += xi / xi.sum()
+        np.add.at(emit, s, gamma)
+    want = np.concatenate([start, move.ravel(), emit.ravel()])
+    assert model.expected(seqs) == pytest.approx(want, rel=1e-9, abs=1e-12)
+    assert want[:3].sum() == pytest.approx(len(seqs))
+
+
 def test_model_beats_unigram_on_held_out_text(spark):
     got = hmm.score(spark.read.parquet(f"{SF0001}/documents.parquet")).where("held_out").collect()
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
