@@ -13,12 +13,11 @@ length, hashed into ``CLASSES``), the end has a class of its own.
 Counting: texts are dealt into chunks; a chunk sends its distinct words with
 their training counts, packed, to hash buckets, which add up each word's counts
 over the corpus and answer every chunk.  Nothing is held for the whole
-vocabulary in one place.  Training: states start from a few rounds on a bounded
-sample of training texts (``START_TEXTS``), then ``ROUNDS`` rounds of
-Baum-Welch run over all training texts, each from its first word to its end:
-each partition adds up its expected counts, Spark sums them over the
-partitions.  Scoring: the scaled forward
-recursion over every whole text.
+vocabulary in one place.  Training: states start from the seeded ``Hmm.first``,
+then ``ROUNDS`` rounds of Baum-Welch run over all training texts, each from its
+first word to its end: each partition adds up its expected counts, Spark sums
+them over the partitions.  Scoring: the scaled forward recursion over every
+whole text.
 
 Defined results: null text is the empty text (one end).  A null doc_id is not
 held out.  Repeated rows are counted and scored each.  Without training texts
@@ -36,12 +35,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, sampled, store
+from .common import id_text, store
 
 CLASSES = 1024  # class 0: the end
 STATES = 8
-START_TEXTS, START_ROUNDS = 400, 25
-ROUNDS = 2
+ROUNDS = 5
 HELD_OUT_OF, HELD_OUT = 7, 2
 CHUNK_BYTES = 12 << 20
 # Training sequences stepped over together, and steps between kept forward vectors.
@@ -325,11 +323,7 @@ def score(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, id_col: s
     members = members if len(members) else np.zeros(CLASSES)
     v = int(members.sum())
     model = Hmm.first(states, frequency / max(1.0, frequency.sum()))
-    sample = [sequence(r["classes"]) for r in
-              sampled(learn.select("doc_id", "classes"), START_TEXTS, "doc_id", "classes").collect()]
-    for _ in range(START_ROUNDS if sample else 0):
-        model = model.updated(model.expected(sample))
-    for _ in range(rounds if sample else 0):
+    for _ in range(rounds if n else 0):
         sent = spark.sparkContext.broadcast(model)
         model = model.updated(summed(learn.select("classes"), lambda rb, m=sent: m.value.expected(
             [sequence(d) for d in rb.column(0).to_pylist()])))

@@ -212,6 +212,16 @@ def test_baum_welch_counts_whole_long_texts():
     assert want[:3].sum() == pytest.approx(len(seqs))
 
 
+def test_states_are_trained_on_every_text(spark, monkeypatch):
+    # No texts come to the driver to be fitted there.
+    rows = [(k, f"the {'red' if k % 2 else 'blue'} house {k % 5} stands") for k in range(450)]
+    seen = []
+    expected = hmm.Hmm.expected
+    monkeypatch.setattr(hmm.Hmm, "expected", lambda self, s: seen.append(len(s)) or expected(self, s))
+    got = hmm.score(documents(spark, rows), rounds=1).toArrow().to_pylist()
+    assert len(got) == len(rows) and not seen
+
+
 def test_model_beats_unigram_on_held_out_text(spark):
     got = hmm.score(spark.read.parquet(f"{SF0001}/documents.parquet")).where("held_out").collect()
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
