@@ -1,23 +1,27 @@
 """Hidden Markov language model, trained by Baum-Welch across partitions.
 
 A text is the sequence of its lower-cased words and one end.  Hidden states
-emit word classes, and a word is drawn from its class by its smoothed share of
-the class's training tokens, so that the log probability of a text is
+emit words, each state by a mixture of two ways:
 
-    log P_hmm(class_1 .. class_n) + sum of log (c(w) + 1) / (N_class + V_class + 1)
+    P(w | state) = (1 - VIA) D(w, state) / D(state)
+                   + VIA P(class of w | state) (c(w) + 1) / (N_class + V_class + 1)
 
-where the last unit in each class is kept for all words that training has not
-seen.  A word's class comes from its form alone (its last three bytes and its
-length, hashed into ``CLASSES``), the end has a class of its own.
+D are the expected counts of the word itself, for every word of the training
+texts.  The second way serves rare and unseen words: a word's class comes from
+its form alone (its last three bytes and its length, hashed into ``CLASSES``),
+the end has a class of its own, and the last unit in each class is kept for all
+words that training has not seen.
 
 Counting: texts are dealt into chunks; a chunk sends its distinct words with
 their training counts, packed, to hash buckets, which add up each word's counts
-over the corpus and answer every chunk.  Nothing is held for the whole
-vocabulary in one place.  Training: states start from the seeded ``Hmm.first``,
-then ``ROUNDS`` rounds of Baum-Welch run over all training texts, each from its
-first word to its end: each partition adds up its expected counts, Spark sums
-them over the partitions.  Scoring: the scaled forward recursion over every
-whole text.
+over the corpus, number the words and answer every chunk.  Nothing is held for
+the whole vocabulary in one place.  Training: states start from the seeded
+``Hmm.first``, then ``ROUNDS`` rounds of Baum-Welch run over all training texts,
+each from its first word to its end.  In a round a chunk sends the expected
+(word, state) counts of its words to the same buckets, which add them up and
+answer each chunk with the rows of its words; what does not depend on the
+vocabulary's size (start, moves, classes) is summed over the partitions.
+Scoring: the scaled forward recursion over every whole text.
 
 Defined results: null text is the empty text (one end).  A null doc_id is not
 held out.  Repeated rows are counted and scored each.  Without training texts
@@ -35,11 +39,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, store
+from .common import drop_stored, id_text, store
 
 CLASSES = 1024  # class 0: the end
 STATES = 8
 ROUNDS = 5
+VIA = 0.5  # share of words that a state emits by their class
 HELD_OUT_OF, HELD_OUT = 7, 2
 CHUNK_BYTES = 12 << 20
 # Training sequences stepped over together, and steps between kept forward vectors.
@@ -112,54 +117,84 @@ def add_up(table: pa.Table) -> pa.Table:
     for p, r in zip(places, rows, strict=True):
         total[p] += np.frombuffer(open_.decompress(r[3]), np.int64)
     known = total == 0  # unseen words belong to no class's vocabulary
-    answers = []
+    answers, numbers = [], []
     for p in places:
         answers.append(press.compress((2 * total[p] + ~known[p]).astype(np.int64).tobytes()))
+        numbers.append(press.compress(p.astype(np.int32).tobytes()))
         known[p] = True
     return pa.table({"chunk": pa.array([r[0] for r in rows], pa.int32()),
-                     "bucket": pa.array([r[1] for r in rows], pa.int32()), "counts": pa.array(answers, pa.binary())})
+                     "bucket": pa.array([r[1] for r in rows], pa.int32()), "counts": pa.array(answers, pa.binary()),
+                     "numbers": pa.array(numbers, pa.binary())})
 
 
-TOLD = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
-                  ("n_known", pa.int64()), ("log_counts", pa.float64()), ("classes", pa.binary())])
-TOLD_SQL = ("kind int, doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, "
-            "classes binary")
+TOLD = pa.schema([("chunk", pa.int32()), ("kind", pa.int32()), ("doc_id", pa.int64()), ("held_out", pa.bool_()),
+                  ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("log_counts", pa.float64()), ("data", pa.binary())])
+TOLD_SQL = ("chunk int, kind int, doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, "
+            "data binary")
 
 
 def read(buckets: int):
-    """Each text with the corpus counts of its tokens (kind 0), and one row for
-    the chunk: new members of every class (kind 1)."""
+    """Each text as numbers of the chunk's words (kind 0), and two rows for the
+    chunk: new members and training tokens of every class (kind 1), and its
+    words bucket by bucket (kind 2, see ``Vocabulary``)."""
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         rows = []
         if table.num_rows:
-            ids = table.column("doc_id").to_pylist()
-            words, _, by = chunk_words(ids, table.column("data").to_pylist(), buckets)
-            open_ = zstandard.ZstdDecompressor()
-            told = dict(zip(answers.column("bucket").to_pylist(), answers.column("counts").to_pylist(), strict=True))
-            number: dict[bytes, int] = {}
-            parts = [np.empty(0, np.int64)]
-            for k, w in enumerate(by):
-                if w:
-                    for x in w:
-                        number[x] = len(number)
-                    parts.append(np.frombuffer(open_.decompress(told[k]), np.int64))
-            told = np.concatenate(parts)
+            ids, chunk = table.column("doc_id").to_pylist(), table.column("chunk")[0].as_py()
+            words, counts, by = chunk_words(ids, table.column("data").to_pylist(), buckets)
+            open_, press = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
+            told, place = {}, {}
+            for k, c, p in zip(*(answers.column(c).to_pylist() for c in ("bucket", "counts", "numbers")), strict=True):
+                told[k], place[k] = (np.frombuffer(open_.decompress(c), np.int64),
+                                     np.frombuffer(open_.decompress(p), np.int32))
+            number = {x: j for j, x in enumerate(x for w in by for x in w)}
+            used = [k for k, w in enumerate(by) if w]
+            told = np.concatenate([told[k] for k in used])
             count = told >> 1
             kind = np.array([class_of(x) for x in number], np.uint16)
             logs = np.log10(count + 1.0)
             for d, w in zip(ids, words, strict=True):
-                at = np.array([number[x] for x in w])
+                at = np.array([number[x] for x in w], np.uint32)
                 # Summed in the order of the text.
-                rows.append((0, d, held_out(d), len(w), int((count[at] > 0).sum()), float(logs[at].sum()),
-                             kind[at].tobytes()))
+                rows.append((chunk, 0, d, held_out(d), len(w), int((count[at] > 0).sum()), float(logs[at].sum()),
+                             press.compress(at.tobytes())))
             members = np.bincount(kind[(told & 1) > 0], minlength=CLASSES)
-            rows.append((1, None, None, None, None, None, members.astype(np.int64).tobytes()))
+            here = np.bincount(kind, [counts[x] for x in number], CLASSES)
+            rows.append((chunk, 1, *[None] * 5, np.concatenate([members, here]).astype(np.int64).tobytes()))
+            sizes = np.array([[k, len(by[k])] for k in used], np.int64)
+            data = b"".join([np.int64(len(used)).tobytes(), sizes.tobytes(), count.tobytes(),
+                             np.concatenate([place[k] for k in used]).tobytes(),
+                             np.array([zlib.crc32(x) for x in number], np.uint32).tobytes(), kind.tobytes()])
+            rows.append((chunk, 2, *[None] * 5, press.compress(data)))
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), TOLD, strict=True)], TOLD) \
             if rows else TOLD.empty_table()
     return run
 
 
-def counted(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+class Vocabulary:
+    """A chunk's words in order of their buckets: bucket and size of each run of
+    words, and each word's training count, number in its bucket, hash and class."""
+
+    def __init__(self, packed: bytes):
+        data = zstandard.ZstdDecompressor().decompress(packed)
+        runs = int(np.frombuffer(data, np.int64, 1)[0])
+        self.runs = np.frombuffer(data, np.int64, 2 * runs, 8).reshape(-1, 2).tolist()
+        n, at = sum(r[1] for r in self.runs), 8 + 16 * runs
+        self.count = np.frombuffer(data, np.int64, n, at)
+        self.number = np.frombuffer(data, np.int32, n, at + 8 * n)
+        self.hash = np.frombuffer(data, np.uint32, n, at + 12 * n)
+        self.kind = np.frombuffer(data, np.uint16, n, at + 16 * n)
+
+    def seeded(self, states: int) -> np.ndarray:
+        """Fixed factors from 0.3 to 1.7 that set words of one class apart."""
+        x = self.hash[:, None].astype(np.uint64) * np.uint64(64) + np.arange(states, dtype=np.uint64)
+        for by in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
+            x = (x ^ x >> np.uint64(30)) * np.uint64(by)
+        return 0.3 + 1.4 * (x >> np.uint64(40)).astype(float) / (1 << 24)
+
+
+def counted(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
+    """The rows of ``read``, and the number of chunks and of buckets."""
     texts = id_text(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("data"))
     size = texts.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     chunks = max(1, -(-size // CHUNK_BYTES))
@@ -168,9 +203,9 @@ def counted(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     by_chunk = texts.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "data"), F.lit(chunks)).cast("int")).repartition(
         chunks, "chunk").groupBy("chunk")
     asked = by_chunk.applyInArrow(ask(buckets), "chunk int, bucket int, words binary, counts binary")
-    totals = asked.groupBy("bucket").applyInArrow(add_up, "chunk int, bucket int, counts binary")
+    totals = asked.groupBy("bucket").applyInArrow(add_up, "chunk int, bucket int, counts binary, numbers binary")
     told = by_chunk.cogroup(totals.groupBy("chunk")).applyInArrow(read(buckets), TOLD_SQL)
-    return store(told, "tokens", compression="zstd")[0]
+    return store(told, "tokens", compression="zstd")[0], chunks
 
 
 # -- the model --------------------------------------------------------------
@@ -284,7 +319,136 @@ def groups(sequences: list[np.ndarray]):
 
 
 def sequence(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, np.uint16)
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint32)
+
+
+# -- rounds over all chunks ----------------------------------------------------
+
+class Model:
+    """What every chunk knows: start, moves and class emissions, the summed
+    direct counts of each state, training tokens and members of each class."""
+
+    def __init__(self, hmm: Hmm, total: np.ndarray, frequency: np.ndarray, members: np.ndarray):
+        self.hmm, self.total, self.frequency, self.members = hmm, total, frequency, members
+
+    @classmethod
+    def first(cls, states: int, frequency: np.ndarray, members: np.ndarray) -> Model:
+        hmm = Hmm.first(states, frequency / max(1.0, frequency.sum()))
+        return cls(hmm, hmm.emit[frequency > 0].sum(0), frequency, members)
+
+    def ways(self, words: Vocabulary, direct: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Emission of each word, and its part that is direct; without direct
+        counts (first round) a class's counts are dealt by its words' shares."""
+        emit = self.hmm.emit[words.kind]
+        if direct is None:
+            direct = emit * (words.count / np.maximum(self.frequency, 1)[words.kind])[:, None]
+        own = np.where(self.total > 0, 1 - VIA, 0.0)
+        part = direct * (own / np.where(self.total > 0, self.total, 1.0))
+        emit *= (1 - own) * ((words.count + 1) / (self.frequency + self.members + 1)[words.kind])[:, None]
+        emit += part
+        return emit, part
+
+    def updated(self, sums: np.ndarray) -> Model:
+        """Next model from summed counts: start, move, classes, direct totals."""
+        k = len(self.total)
+        return Model(self.hmm.updated(sums[:-k]), sums[-k:], self.frequency, self.members)
+
+
+def packed(rows: np.ndarray) -> bytes:
+    """(word, state) counts, the bytes of equal weight side by side."""
+    flat = np.ascontiguousarray(rows, np.float32).view(np.uint8).reshape(-1, 4)
+    return zstandard.ZstdCompressor(level=1).compress(flat.T.tobytes())
+
+
+def unpacked(data: bytes, states: int) -> np.ndarray:
+    flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(flat.T).view(np.float32).reshape(-1, states)
+
+
+def of_chunk(told: pa.Table, answers: pa.Table | None, model: Model):
+    """Texts of the chunk, its words, and what ``Model.ways`` says of them."""
+    is_text = np.array(told.column("kind").to_pylist()) == 0
+    texts = told.filter(pa.array(is_text))
+    words = Vocabulary(told.filter(pa.array(~is_text)).column("data")[0].as_py())
+    direct = None
+    if answers is not None:
+        got = dict(zip(answers.column("bucket").to_pylist(), answers.column("counts").to_pylist(), strict=True))
+        direct = np.concatenate([unpacked(got[b], len(model.total)) for b, _ in words.runs]).astype(float)
+    return texts, words, *model.ways(words, direct)
+
+
+SENT_SQL = "bucket int, chunk int, numbers binary, counts binary"
+SENT = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), ("numbers", pa.binary()), ("counts", pa.binary())])
+
+
+def expect(sent, buckets: int):
+    """Expected direct counts of the chunk's words, to their buckets; its other
+    sums (without numbers) to one bucket."""
+    def run(told: pa.Table, answers: pa.Table | None = None) -> pa.Table:
+        if not told.num_rows:
+            return SENT.empty_table()
+        model, chunk = sent.value, told.column("chunk")[0].as_py()
+        texts, words, emit, part = of_chunk(told, answers, model)
+        k = len(model.total)
+        if answers is None:
+            seeded = words.seeded(k)
+            emit += part * (seeded - 1)
+            part *= seeded
+        counts = Hmm(model.hmm.start, model.hmm.move, emit).expected(
+            [sequence(d) for d in texts.column("data").to_pylist()])
+        rest, both = counts[:k + k * k], counts[k + k * k:].reshape(-1, k)
+        part /= emit
+        part *= both
+        both = both - part
+        via = np.stack([np.bincount(words.kind, both[:, s], CLASSES) for s in range(k)], 1)
+        rows, at = [(chunk % buckets, chunk, None, np.concatenate([rest, via.ravel()]).tobytes())], 0
+        for b, size in words.runs:
+            rows.append((b, chunk, words.number[at:at + size].tobytes(), packed(part[at:at + size])))
+            at += size
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), SENT, strict=True)], SENT)
+    return run
+
+
+def add_up_states(states: int):
+    """Summed counts of a bucket's words, answered to each chunk, and one row
+    (no chunk) of the other sums with the bucket's direct totals."""
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("chunk")
+        rows = list(zip(*(table.column(c).to_pylist() for c in ("bucket", "chunk", "numbers", "counts")), strict=True))
+        sums = np.zeros(states + states * states + CLASSES * states)
+        places = [(r, np.frombuffer(r[2], np.int32)) for r in rows if r[2] is not None]
+        total = np.zeros((max((int(p.max()) + 1 for _, p in places), default=0), states))
+        for r in rows:
+            if r[2] is None:
+                sums += np.frombuffer(r[3])
+        for r, p in places:
+            total[p] += unpacked(r[3], states)
+        out = [(r[1], r[0], packed(total[p])) for r, p in places]
+        out.append((None, rows[0][0], np.concatenate([sums, total.sum(0)]).tobytes()))
+        return pa.table({"chunk": pa.array([o[0] for o in out], pa.int32()),
+                         "bucket": pa.array([o[1] for o in out], pa.int32()),
+                         "counts": pa.array([o[2] for o in out], pa.binary())})
+    return run
+
+
+def forward(sent):
+    """Score of every text of the chunk."""
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "log_counts"]
+
+    def run(told: pa.Table, answers: pa.Table | None = None) -> pa.Table:
+        if not told.num_rows:
+            return SCORED.empty_table()
+        model = sent.value
+        texts, _, emit, _ = of_chunk(told, answers, model)
+        got = Hmm(model.hmm.start, model.hmm.move, emit).log10(
+            [sequence(d) for d in texts.column("data").to_pylist()])
+        return texts.select(names).append_column("score", pa.array(got)).cast(SCORED)
+    return run
+
+
+SCORED = pa.schema([*[TOLD.field(c) for c in ("doc_id", "held_out", "n_tokens", "n_known", "log_counts")],
+                    pa.field("score", pa.float64())])
+SCORED_SQL = "doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, score double"
 
 
 def summed(told: DataFrame, per_batch) -> np.ndarray:
@@ -307,40 +471,34 @@ def score(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, id_col: s
           text_col: str = "text") -> DataFrame:
     """Per document: held_out, token counts, unigram score and model score."""
     spark = docs.sparkSession
-    told = counted(docs, id_col, text_col)
-    texts = told.where("kind = 0")
-    learn = texts.where("NOT held_out")
-    n = int(learn.agg(F.sum("n_tokens")).first()[0] or 0)
-
-    def class_tokens(rb):
-        return np.bincount(sequence(b"".join(rb.column(0).to_pylist())), minlength=CLASSES).astype(float)
+    told, chunks = counted(docs, id_col, text_col)
 
-    def class_members(rb):
+    def class_counts(rb):
         return np.sum([np.frombuffer(d, np.int64) for d in rb.column(0).to_pylist()], 0).astype(float)
-    frequency = summed(learn.select("classes"), class_tokens)
-    members = summed(told.where("kind = 1").select("classes"), class_members)
-    frequency = frequency if len(frequency) else np.zeros(CLASSES)
-    members = members if len(members) else np.zeros(CLASSES)
-    v = int(members.sum())
-    model = Hmm.first(states, frequency / max(1.0, frequency.sum()))
+    classes = summed(told.where("kind = 1").select("data"), class_counts)
+    members, frequency = classes.reshape(2, -1) if len(classes) else np.zeros((2, CLASSES))
+    n, v = int(frequency.sum()), int(members.sum())
+    model = Model.first(states, frequency, members)
+    answers = path = None
+
+    def with_answers(rows, make, schema):
+        by_chunk = told.where(rows).repartition(chunks, "chunk").groupBy("chunk")
+        if answers is None:
+            return by_chunk.applyInArrow(lambda t: make(t), schema)
+        return by_chunk.cogroup(answers.where("chunk IS NOT NULL").groupBy("chunk")).applyInArrow(make, schema)
     for _ in range(rounds if n else 0):
         sent = spark.sparkContext.broadcast(model)
-        model = model.updated(summed(learn.select("classes"), lambda rb, m=sent: m.value.expected(
-            [sequence(d) for d in rb.column(0).to_pylist()])))
-    final = spark.sparkContext.broadcast((model, np.log10(frequency + members + 1)))
-
-    def forward(batches):
-        hmm, room = final.value
-        for rb in batches:
-            if rb.num_rows:
-                seqs = [sequence(d) for d in rb.column("classes").to_pylist()]
-                inside = rb.column("log_counts").to_numpy() - np.array([room[s].sum() for s in seqs])
-                yield pa.RecordBatch.from_arrays(
-                    [rb.column(c) for c in ("doc_id", "held_out", "n_tokens", "n_known", "log_counts")]
-                    + [pa.array(hmm.log10(seqs) + inside)],
-                    ["doc_id", "held_out", "n_tokens", "n_known", "log_counts", "score"])
-    scored = texts.drop("kind").mapInArrow(
-        forward, "doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, score double")
+        step = with_answers("kind = 2 OR kind = 0 AND NOT held_out", expect(sent, chunks), SENT_SQL)
+        step = step.groupBy("bucket").applyInArrow(add_up_states(states), "chunk int, bucket int, counts binary")
+        before, (answers, path) = path, store(step, "states")
+        if before:
+            drop_stored(spark, before)
+        # The round's shuffle files go when the driver has forgotten its plan.
+        del step
+        spark.sparkContext._jvm.System.gc()
+        model = model.updated(summed(answers.where("chunk IS NULL").select("counts"), lambda rb: np.sum(
+            [np.frombuffer(d) for d in rb.column(0).to_pylist()], 0)))
+    scored = with_answers("kind = 2 OR kind = 0", forward(spark.sparkContext.broadcast(model)), SCORED_SQL)
     unit = float(np.log10(n + v + 1))
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
                          (F.col("log_counts") - F.col("n_tokens") * F.lit(unit)).alias("base_score"), "score")

@@ -222,6 +222,28 @@ def test_states_are_trained_on_every_text(spark, monkeypatch):
     assert len(got) == len(rows) and not seen
 
 
+def test_states_tell_words_of_one_class_apart(spark):
+    assert hmm.class_of(b"rising") == hmm.class_of(b"boxing")
+    out = [d for d in range(2000) if hmm.held_out(d)][:2]
+    learn = [d for d in range(2000) if not hmm.held_out(d)][:200]
+    rows = [(d, " ".join([("rising", "boxing")[j % 2]] * 30)) for j, d in enumerate(learn)]
+    rows += [(out[0], "rising " * 20), (out[1], "rising boxing " * 10)]
+    got = {r.doc_id: r for r in hmm.score(documents(spark, rows)).collect()}
+    one, mixed = (got[d] for d in out)
+    assert one.base_score == pytest.approx(mixed.base_score)
+    assert one.score > mixed.score + 1
+
+
+def test_word_counts_add_up_over_chunks(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet").limit(60)
+    score = lambda: {r.doc_id: r.score for r in hmm.score(docs, rounds=2).collect()}
+    whole = score()
+    monkeypatch.setattr(hmm, "CHUNK_BYTES", 30_000)
+    cut = score()
+    assert cut.keys() == whole.keys()
+    assert all(cut[d] == pytest.approx(whole[d], rel=1e-5) for d in whole)
+
+
 def test_model_beats_unigram_on_held_out_text(spark):
     got = hmm.score(spark.read.parquet(f"{SF0001}/documents.parquet")).where("held_out").collect()
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
