@@ -351,6 +351,24 @@ def test_edge_pages(spark):
     assert html_text.extract(pages.limit(0), model).count() == 0
 
 
+@pytest.mark.parametrize("root", ["article", "div id=content"])
+def test_short_boilerplate_inside_an_article(spark, root):
+    import numpy as np
+    prose = "A long sentence of plain words that goes on, and on, to the end of the line. " * 6
+    page = html_text.Page(f"<body><{root}><h1>Title</h1><p>{prose}</p><div class=ad>Ad</div><p>Short one.</p>"
+                          f"<div class='share'>Share this</div><p>{prose}</p><div class=comments>3 comments</div>"
+                          f"</{root.split()[0]}></body>")
+    x = page.describe()
+    want = f"Title\n{prose.strip()}\nShort one.\n{prose.strip()}"
+    for model in (html_text.train(spark.read.parquet(f"{SF0001}/pages.parquet")), html_text.Words()):
+        assert page.main_text(model.odds(x)) == want
+    # Without a word that says so, a block the model rejects goes as well, however short.
+    plain = html_text.Page(f"<article><p>{prose}</p><p>Advertisement</p></article>")
+    plain.describe()
+    odds = np.array([-3.0 if k == len(plain.tag) - 1 else 3.0 for k in range(len(plain.tag))])
+    assert plain.main_text(odds) == prose.strip()
+
+
 def test_decoding_never_contradicts():
     import numpy as np
     page = html_text.Page("<div><p>aaaaaaaaaa</p><div><p>bbbbbbbbbb</p></div></div>")
