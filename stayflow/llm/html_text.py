@@ -17,6 +17,11 @@ training nodes, so that shape and wording are learnt too, and boilerplate is
 repeated as if it stood inside an article.  At most ``SAMPLE`` pages are read
 for it, chosen by a hash of page_id.
 
+Some tags (``NEVER``: controls, menus, asides and the like) never hold main
+text.  A form is one of them unless it wraps an article or main element or most
+of the page's text: then the trees and the decoding decide, and only its labels
+and controls are left out.
+
 Defined results: null or empty html gives an empty text; so does a page without
 main text.  Repeated rows give repeated results.  Without any marked page the
 trees are replaced by the words in tag, class, id and role alone.
@@ -79,6 +84,7 @@ class Page:
         self.links, self.controls = [0], [0]
         self.flow: list[tuple[int, str | None]] = []
         self._read(html)
+        self.never = self._never()
 
     def _read(self, html: str) -> None:
         stack, at, link = [0], 0, 0
@@ -138,7 +144,7 @@ class Page:
                 flow.append((stack[-1], None))
             elif name == "a":
                 link = 1
-            elif names:
+            elif names or name == "label":
                 self._open(stack, name, names)
 
     def _open(self, stack: list[int], name: str, names) -> None:
@@ -163,6 +169,30 @@ class Page:
             if tag in ("table", "td", "th") and name not in ("table", "tr", "tbody", "thead", "tfoot", "body"):
                 return
 
+    def _never(self) -> list[bool]:
+        """Nodes without main text.  A form that wraps the page's article or
+        most of its text is none; its tag and names don't speak against it."""
+        never = [t in NEVER for t in self.tag]
+        if "form" in self.tag:
+            n = len(self.tag)
+            text, marked, blocks = [0] * n, [t in MARKS for t in self.tag], [0] * n
+            for node, part in self.flow:
+                text[node] += len(part.strip()) if part else 0
+            for k in range(n - 1, 0, -1):
+                p = self.parent[k]
+                text[p] += text[k]
+                marked[p] |= marked[k]
+                blocks[p] += self.tag[k] in BLOCKS or blocks[k] > 0
+            wraps = [False] * n
+            for k in range(1, n):
+                wraps[k] = wraps[self.parent[k]]
+                if self.tag[k] == "form" and (marked[k] or 2 * text[k] > text[0]):
+                    wraps[k], never[k] = True, False
+                    self.words[k] = self.words[k] - {"form"}
+                elif wraps[k] and self.tag[k] == "label":
+                    never[k] = not blocks[k]
+        return never
+
     def describe(self) -> np.ndarray:
         """One row of FEATURES for each node; keeps the nodes' own text lengths."""
         n = len(self.tag)
@@ -214,7 +244,7 @@ class Page:
             return None
         inside = [0] * len(self.tag)
         for k in range(1, len(self.tag)):
-            out = self.tag[k] in NEVER or not BAD.isdisjoint(self.words[k])
+            out = self.never[k] or not BAD.isdisjoint(self.words[k])
             inside[k] = int((inside[self.parent[k]] or self.tag[k] in MARKS) and not out)
         return np.array(inside)
 
@@ -224,7 +254,7 @@ class Page:
         odds = odds.tolist()
         within = [o * t for o, t in zip(odds, self.own, strict=True)]
         without = [0.0] * n
-        never = [t in NEVER for t in self.tag]
+        never = self.never
         text, leave = self.own[:], [0.0] * n
         for k in range(n - 1, 0, -1):
             p = self.parent[k]

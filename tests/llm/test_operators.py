@@ -369,6 +369,20 @@ def test_short_boilerplate_inside_an_article(spark, root):
     assert plain.main_text(odds) == prose.strip()
 
 
+@pytest.mark.parametrize("root", ["article", "div id=content"])
+def test_a_form_around_the_whole_page(spark, root):
+    prose = "A long sentence of plain words that goes on, and on, to the end of the line. " * 6
+    page = html_text.Page(
+        f"<body><form id=form1 method=post><input type=hidden name=state><nav><a href=x>Home</a></nav><{root}>"
+        f"<h1>Title</h1><p>{prose}</p><p>{prose}</p></{root.split()[0]}><label>Find</label><input><button>Go</button>"
+        f"</form></body>")
+    short = html_text.Page(f"<body><{root}><p>{prose}</p><form><p>Your name and mail address, please.</p></form>"
+                           f"</{root.split()[0]}></body>")
+    for model in (html_text.train(spark.read.parquet(f"{SF0001}/pages.parquet")), html_text.Words()):
+        assert page.main_text(model.odds(page.describe())) == f"Title\n{prose.strip()}\n{prose.strip()}"
+        assert short.main_text(model.odds(short.describe())) == prose.strip()
+
+
 def test_decoding_never_contradicts():
     import numpy as np
     page = html_text.Page("<div><p>aaaaaaaaaa</p><div><p>bbbbbbbbbb</p></div></div>")
