@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -58,6 +58,43 @@ ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string"
          "array<long>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string())}
 
 
+def runs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int | None, Iterator[tuple]]]:
+    """Rows of sorted batches by their first column, one row at a time."""
+    rows = (r for rb in batches for at in range(0, rb.num_rows, ROWS)
+            for r in zip(*(c.to_pylist() for c in rb.slice(at, ROWS).columns), strict=True))
+    row = next(rows, None)
+    while row is not None:
+        key, ended = row[0], False
+
+        def run():
+            nonlocal row, ended
+            while row is not None and row[0] == key:
+                this = row
+                row = next(rows, None)
+                yield this
+            ended = True
+        mine = run()
+        yield key, mine
+        if not ended:
+            for _ in mine:
+                pass
+
+
+def in_batches(rows: Iterable[tuple], schema: pa.Schema, most: int = 1 << 24) -> Iterator[pa.RecordBatch]:
+    """Rows as batches of bounded length and size."""
+    held, size = [], 0
+    for r in rows:
+        held.append(r)
+        size += sum(len(x) for x in r if isinstance(x, (str, list)))
+        if len(held) >= 4 * ROWS or size >= most:
+            yield pa.RecordBatch.from_arrays([pa.array(list(v), f.type) for v, f in zip(zip(*held, strict=True), schema,
+                                                                                        strict=True)], schema=schema)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(list(v), f.type) for v, f in zip(zip(*held, strict=True), schema,
+                                                                                    strict=True)], schema=schema)
+
+
 def sampled(df: DataFrame, size: int, *keys: str) -> DataFrame:
     """At most ``size`` rows, the same in every run: those with the smallest
     hash of ``keys``.  A first cut by the hash leaves about four times as many

@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, hmm, html_text, license_scan, quality, secret_scan, sharding, simhash, suffix_dedup
+from . import (bpe, chunk_dedup, decontam, hmm, html_text, license_scan, prefix_trie, quality, secret_scan, sharding,
+               simhash, suffix_dedup, turn_repair)
 from .common import table
+from .oracle import ORACLE as ORACLE
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -76,3 +77,18 @@ def op9_vector_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY),
                           public_tokenizers.PATTERN)
+
+
+@register
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.report(turn_repair.damage(table(spark, sf_dir, "conversations")))
+
+
+@register
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(*prefix_trie.spliced(prefix_trie.marked(table(spark, sf_dir, "conversations"))))
+
+
+@register
+def op13_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.dedup(table(spark, sf_dir, "documents"))
