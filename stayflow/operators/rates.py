@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.codes import cohort_predicate, planned_code
+from ..functions.codes import any_of, cohort_predicate, planned_code
 from ..functions.dates import in_years
 from ..rules import RuleSet
 from ..schemas import BeneCols, ClaimCols, StateCols
@@ -34,73 +34,125 @@ def percent_2dp(num: str, den: str) -> Column:
     return hundredths_of_percent(num, den).cast("double") / F.lit(100.0)
 
 
-def episode_counts(claims: DataFrame, bene: DataFrame, rules: RuleSet, groups: dict[str, str], *,
-                   flag_rules: RuleSet | None = None, c: ClaimCols = ClaimCols(),
-                   b: BeneCols = BeneCols(), measured: Column | None = None,
-                   exclude_planned: bool = True, with_year: bool = True,
-                   extra: list[str] | None = None, **seq_kw) -> DataFrame:
-    """COUNT(DISTINCT index claim) and COUNT(DISTINCT index claim that is also
-    a flagged claim) per group, groups = (year,) + beneficiary columns.
-
-    Semantics: index stays in the measured years (``rules``; ``measured``
-    narrows them, e.g. to a cohort), inner-joined to beneficiaries on the
-    person id, minus planned stays (SQL ``NOT IN``), left-joined by claim id
-    to the stays flagged over all complete stays (``flag_rules``).
+def episode_rows(claims: DataFrame, rules: RuleSet, *, flag_rules: RuleSet | None = None,
+                 c: ClaimCols = ClaimCols(), measured: dict[str, Column] | None = None,
+                 exclude_planned: bool = True, extra: list[str] | None = None, **seq_kw) -> DataFrame:
+    """The rows that count: claim, person, year, ``__flag``, ``__planned`` and
+    one truth column per entry of ``measured`` (default ``__index``).
 
-    Plan, with one consumer per stage so nothing is computed twice:
-    1. one shuffle by person: both previous stays (sequence.py) and, per
-       row, the index / flagged / planned tests;
-    2. the beneficiary groups (collapsed to distinct values first) join on the
-       person: a broadcast when AQE measures them small, otherwise a join that
-       reads step 1's partitioning by person, so the claims move only once;
-    3. one shuffle by claim id: per claim, any flagged row, any planned row
-       and the set of groups its index rows fall in -- a set bounded by the
-       number of output groups and combined map-side, so a claim id repeated
-       on many rows cannot pile up in one task;
-    4. explode and count per group (tiny).
+    An entry is a set of stays, narrowed from the measured years by its
+    predicate; its column is true for the stays that open an episode, the
+    previous stay being taken within that set.  All previous stays (one per
+    entry and the flag's) come out of one shuffle by person (sequence.py).
     """
     flag_rules = flag_rules or rules
+    sets = {"__index": None} if measured is None else measured
     complete = F.col(c.admit).isNotNull() & F.col(c.disch).isNotNull()
-    meas = in_years(c.admit, rules.years)
-    if measured is not None:
-        meas = meas & measured
+    years = in_years(c.admit, rules.years)
+    member = {name: years if pred is None else years & pred for name, pred in sets.items()}
     use_planned = exclude_planned and rules.has_planned_rule
     planned_row = planned_code(c.dx1, rules) if use_planned else F.lit(False)
     order = stay_order(claims, c)
     cols = list(dict.fromkeys([c.person, *order, *(extra or [])]))
-    src = (claims.where(complete | meas | planned_row)
+    wanted = any_of([complete, *member.values(), planned_row])
+    src = (claims.where(wanted)
                  .select(*cols, F.coalesce(complete, F.lit(False)).alias(IS_COMPLETE),
-                         F.coalesce(meas, F.lit(False)).alias(IS_MEASURED),
+                         *[F.coalesce(m, F.lit(False)).alias(f"{IS_MEASURED}{k}") for k, m in enumerate(member.values())],
                          F.coalesce(planned_row, F.lit(False)).alias("__planned")))
     seq_kw.setdefault("key_source", claims)
     seq = previous_in_sequence(
         src, c.person, order,
         [Track(F.col(IS_COMPLETE), {FLAG_PREV: F.col(c.disch)}),
-         Track(F.col(IS_MEASURED), {MEASURED_PREV: F.col(c.disch)})], **seq_kw)
-    is_index = F.col(IS_MEASURED) & F.coalesce(index_condition(rules, c, MEASURED_PREV), F.lit(False))
+         *[Track(F.col(f"{IS_MEASURED}{k}"), {f"{MEASURED_PREV}{k}": F.col(c.disch)}) for k in range(len(member))]],
+        **seq_kw)
+    opens = [(F.col(f"{IS_MEASURED}{k}") & F.coalesce(index_condition(rules, c, f"{MEASURED_PREV}{k}"), F.lit(False)))
+             .alias(name) for k, name in enumerate(member)]
     is_flag = F.col(IS_COMPLETE) & F.coalesce(readmission_condition(flag_rules, c, FLAG_PREV), F.lit(False))
-    rows = (seq.select(c.claim, c.person, F.year(c.admit).alias("year"), is_index.alias("__index"),
-                       is_flag.alias("__flag"), "__planned")
-               .where(F.col("__index") | F.col("__flag") | F.col("__planned")))
-    bc = bene.select(F.col(b.person).alias(c.person),
-                     *[F.col(src_col).alias(out) for out, src_col in groups.items()]).distinct() \
-             .withColumn("__b", F.lit(True))
-    j = rows.join(bc, c.person, "left")
+    rows = seq.select(c.claim, c.person, F.year(c.admit).alias("year"), *opens, is_flag.alias("__flag"), "__planned")
+    return rows.where(any_of([F.col(n) for n in (*member, "__flag", "__planned")]))
+
+
+def bene_groups(bene: DataFrame, groups: dict[str, str], person: str, b: BeneCols = BeneCols()) -> DataFrame:
+    """Distinct (person, group columns) of the beneficiaries."""
+    return (bene.select(F.col(b.person).alias(person), *[F.col(src).alias(out) for out, src in groups.items()])
+                .distinct().withColumn("__b", F.lit(True)))
+
+
+def claim_pairs(rows: DataFrame, keys: list[str], c: ClaimCols = ClaimCols()) -> DataFrame:
+    """One row per claim and group that its index rows fall in (``__in``), and one
+    without group (keys NULL) for its other rows: claim, keys, ``__in``, ``__f``
+    (some row of the claim is flagged), ``__p`` (some row is planned).
+
+    ``rows`` carry claim, keys, ``__in`` (the row counts for that group),
+    ``__flag`` and ``__planned``.  Rows of one claim and group combine before the
+    first shuffle, so a claim id on many rows is a handful of rows after it;
+    what is true of the whole claim then spreads over them in a window.  Hash
+    aggregation throughout; nothing gathers a set.
+    """
+    group = [F.when(F.col("__in"), F.col(k)).alias(k) for k in keys]
+    small = (rows.select(c.claim, *group, "__in", "__flag", "__planned")
+                 .groupBy(c.claim, *keys, "__in").agg(F.max("__flag").alias("__f"), F.max("__planned").alias("__p")))
+    whole = Window.partitionBy(c.claim)
+    return small.withColumns({"__f": F.max("__f").over(whole), "__p": F.max("__p").over(whole)})
+
+
+def counted(pairs: DataFrame, keys: list[str], c: ClaimCols = ClaimCols()) -> DataFrame:
+    """COUNT(DISTINCT claim) and that of flagged claims per group, without the
+    claims that have a planned row (SQL ``NOT IN``).
+
+    The rules for NULL ids need two facts about all claims: are there planned
+    rows, and is one of their ids NULL (then nothing is left).  They are counted
+    beside the groups, in the row of pairs that fall in no group, and meet the
+    groups in a window over this small result, so no second pass over the claims
+    is needed.  A NULL claim is in no count, but where no row is planned its group
+    exists.
+    """
+    known, kept = F.col(c.claim).isNotNull(), ~F.col("__p")
+    groups = pairs.groupBy(*keys, "__in").agg(
+        F.count_if(known & kept & F.col("__f")).alias("readmissions"),
+        F.count_if(known & kept).alias("total_admissions"),
+        F.count_if(~known & kept).alias("__null"),
+        F.count_if(~kept).alias("__planned"), F.count_if(~kept & ~known).alias("__planned_null"))
+    everything = Window.partitionBy(F.lit(0))
+    whole = groups.withColumns({"__planned": F.sum("__planned").over(everything),
+                                "__planned_null": F.sum("__planned_null").over(everything)})
+    there = (F.col("total_admissions") > 0) | ((F.col("__null") > 0) & (F.col("__planned") == 0))
+    return (whole.where(F.col("__in") & (F.col("__planned_null") == 0) & there)
+                 .select(*keys, "readmissions", "total_admissions"))
+
+
+def episode_pairs(claims: DataFrame, bene: DataFrame, rules: RuleSet, groups: dict[str, str], *,
+                  flag_rules: RuleSet | None = None, c: ClaimCols = ClaimCols(), b: BeneCols = BeneCols(),
+                  measured: Column | None = None, exclude_planned: bool = True, with_year: bool = True,
+                  extra: list[str] | None = None, **seq_kw) -> DataFrame:
+    """The distinct (claim, group) pairs that the rates count (``claim_pairs``).
+
+    Semantics: index stays in the measured years (``rules``; ``measured``
+    narrows them, e.g. to a cohort), inner-joined to beneficiaries on the
+    person id, left-joined by claim id to the stays flagged over all complete
+    stays (``flag_rules``) and to the planned stays, which ``counted`` leaves out.
+
+    Plan, with one consumer per stage so nothing is computed twice:
+    1. one shuffle by person: both previous stays and the row tests;
+    2. the beneficiary groups (collapsed to distinct values first) join on the
+       person: a broadcast when AQE measures them small, otherwise a join that
+       reads step 1's partitioning by person, so the claims move only once;
+    3. rows combine by claim and group, then by claim (``claim_pairs``).
+    """
+    rows = episode_rows(claims, rules, flag_rules=flag_rules, c=c,
+                        measured=None if measured is None else {"__index": measured},
+                        exclude_planned=exclude_planned, extra=extra, **seq_kw)
+    j = rows.join(bene_groups(bene, groups, c.person, b), c.person, "left")
     keys = (["year"] if with_year else []) + list(groups)
-    in_group = F.col("__index") & F.col("__b").isNotNull()
-    per_claim = j.groupBy(c.claim).agg(
-        F.max("__flag").alias("__f"), F.max("__planned").alias("__p"),
-        F.collect_set(F.when(in_group, F.struct(*keys))).alias("__g"))
-    if use_planned:
-        pl = claims.where(planned_code(c.dx1, rules)).select(F.col(c.claim).alias("__id"))
-        st = pl.agg(F.struct(F.count(F.lit(1)).alias("n"),
-                             F.count_if(F.col("__id").isNull()).alias("n_null"))).scalar()
-        per_claim = per_claim.where((st.getField("n") == 0)
-                                    | (F.col(c.claim).isNotNull() & ~F.col("__p") & (st.getField("n_null") == 0)))
-    ex = per_claim.select(c.claim, "__f", F.explode("__g").alias("__k")).select(c.claim, "__f", "__k.*")
-    return ex.groupBy(*keys).agg(
-        F.count(F.when(F.col(c.claim).isNotNull() & F.col("__f"), F.lit(1))).alias("readmissions"),
-        F.count(c.claim).alias("total_admissions"))
+    return claim_pairs(j.withColumn("__in", F.col("__index") & F.col("__b").isNotNull()), keys, c)
+
+
+def episode_counts(claims: DataFrame, bene: DataFrame, rules: RuleSet, groups: dict[str, str], *,
+                   c: ClaimCols = ClaimCols(), with_year: bool = True, **kw) -> DataFrame:
+    """COUNT(DISTINCT index claim) and COUNT(DISTINCT index claim that is also
+    a flagged claim) per group, groups = (year,) + beneficiary columns."""
+    pairs = episode_pairs(claims, bene, rules, groups, c=c, with_year=with_year, **kw)
+    return counted(pairs, (["year"] if with_year else []) + list(groups), c)
 
 
 def readmission_rate(claims: DataFrame, bene: DataFrame, rules: RuleSet, *,

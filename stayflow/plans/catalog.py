@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import jobs as J
 from ..functions.codes import code_absent
+from ..operators import bitmaps as BM
 from ..operators import codes as K
 from ..operators import feeds as FD
 from ..operators import rates as R
@@ -184,6 +185,26 @@ def _bene_extract(i: Inputs) -> DataFrame:
     return X.beneficiary_extract(i.bene, _layout(BENEFICIARY_COLUMNS, B.person, known))
 
 
+# ---------------------------------------------------------------------------
+# Rates as stored bitmaps: computed once per (year, state, sex), rolled up to
+# any coarser grouping without the claims.
+# ---------------------------------------------------------------------------
+BITMAP_KEYS = ["year", B.state, B.sex]
+
+
+def _rate_bitmaps(i: Inputs, bene: DataFrame | None = None) -> DataFrame:
+    pairs = R.episode_pairs(i.claims, i.bene if bene is None else bene, GAP, {B.state: B.state, B.sex: B.sex}, c=C, b=B)
+    return BM.rate_bitmaps(pairs, BITMAP_KEYS, C.claim)
+
+
+def _with_rate(counts: DataFrame) -> DataFrame:
+    return counts.withColumn("readmission_rate", R.ratio("readmissions", "total_admissions"))
+
+
+def _state_rates_rolled_up(i: Inputs) -> DataFrame:
+    return R.state_rates(BM.rolled_up(_rate_bitmaps(i), [B.state]), i.state, b=B, s=ST)
+
+
 def _load_claims(i: Inputs) -> DataFrame:
     return FL.load_claims(i.spark, X.write_csv_extract(_claims_extract(i)))
 
@@ -256,6 +277,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "readmission_rate_gap": q(lambda i: i.rates(GAP)),
     "state_rates": q(lambda i: i.state_rates(GAP)),
     "state_rates_strict": q(lambda i: i.state_rates(STRICT)),
+    "readmission_rate_from_bitmaps": q(lambda i: _with_rate(BM.rolled_up(_rate_bitmaps(i), BITMAP_KEYS))),
+    "state_rates_rolled_up": q(_state_rates_rolled_up),
+    "year_rates_rolled_up": q(lambda i: _with_rate(BM.rolled_up(_rate_bitmaps(i), ["year"]))),
+    "total_rate_rolled_up": q(lambda i: _with_rate(BM.rolled_up(_rate_bitmaps(i), []))),
     # codes and cohorts
     "crosswalk_min": q(lambda i: K.crosswalk_min(i.xwalk, icd9=KC.icd9, icd10=KC.icd10)),
     "claims_icd10": q(lambda i: i.claims_icd10()),

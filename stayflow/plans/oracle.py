@@ -102,17 +102,18 @@ def counted(name: str, keys: str, *, rule: str, claims: str = "claims", cohort:
     kept = f"""WHERE NOT EXISTS (SELECT 1 FROM {name}_planned)
      OR (s.claim_id IS NOT NULL AND (SELECT count(*) - count(id) FROM {name}_planned) = 0
          AND NOT EXISTS (SELECT 1 FROM {name}_planned p WHERE p.id = s.claim_id))""" if without_planned else ""
-    people = [k for k in keys.split(", ") if k != "year"]
+    people = "".join(f", {k}" for k in keys.split(", ") if k not in ("year", ""))
+    listed, grouped = (f"{keys}, ", f"GROUP BY {keys}") if keys else ("", "")
     return flagged(f"{name}_flag", rule, claims) + "," + openers(f"{name}_open", cohort, years) + f""",
 {planned.strip()}
 {name}_sets AS (
-  SELECT DISTINCT {keys}, o.claim_id
-  FROM (SELECT DISTINCT person_id, {', '.join(people)} FROM {bene}) g JOIN {name}_open o USING (person_id)),
+  SELECT DISTINCT {listed}o.claim_id
+  FROM (SELECT DISTINCT person_id{people} FROM {bene}) g JOIN {name}_open o USING (person_id)),
 {name} AS (
-  SELECT {keys}, count(m.claim_id) AS readmissions, count(s.claim_id) AS total_admissions
+  SELECT {listed}count(m.claim_id) AS readmissions, count(s.claim_id) AS total_admissions
   FROM {name}_sets s LEFT JOIN (SELECT DISTINCT claim_id FROM {name}_flag) m ON m.claim_id = s.claim_id
   {kept}
-  GROUP BY {keys})"""
+  {grouped})"""
 
 
 def rates(name: str = "rr", rule: str = "strict", **kw) -> str:
@@ -137,6 +138,14 @@ def by_state(name: str = "sr", rule: str = "gap", **kw) -> str:
         FROM state JOIN {name}_rr USING (state_code) GROUP BY state_name) t)"""
 
 
+def distinct_rate(keys: str) -> str:
+    """Rate of distinct claims by any of the keys (none: the whole)."""
+    listed = f"{keys}, " if keys else ""
+    return query(f"""SELECT {listed}readmissions, total_admissions,
+        CAST(readmissions AS DOUBLE) / nullif(total_admissions, 0) AS readmission_rate FROM x""",
+                 counted("x", keys, rule="gap"))
+
+
 MAPPED = """
 smallest AS (SELECT icd9, min(icd10) AS icd10_code FROM xwalk GROUP BY icd9),
 mapped AS (SELECT c.*, icd10_code FROM claims c LEFT JOIN smallest ON icd9 = d1)"""
@@ -238,6 +247,13 @@ ORACLE: dict[str, str] = {
     "readmission_rate_skewed": query("SELECT * FROM rr", SKEWED, rates(rule="gap", claims="heavy", cohort="heavy")),
     "state_rates": query("SELECT * FROM sr", by_state()),
     "state_rates_strict": query("SELECT * FROM sr", by_state(rule="strict")),
+    "readmission_rate_from_bitmaps": distinct_rate("year, state_code, sex"),
+    "year_rates_rolled_up": distinct_rate("year"),
+    "total_rate_rolled_up": distinct_rate(""),
+    # Distinct claims of a state, not the sum over its years and sexes.
+    "state_rates_rolled_up": query(f"""SELECT state_name, readmissions, total_admissions,
+        CAST({HUNDREDTHS.format(part="readmissions", whole="total_admissions")} AS DOUBLE) / 100.0 AS readmission_rate
+        FROM state JOIN x USING (state_code)""", counted("x", "state_code", rule="gap")),
     "crosswalk_min": query("SELECT icd9, min(icd10) AS icd10 FROM xwalk GROUP BY icd9"),
     "claims_icd10": query(f"SELECT {_SHOWN} FROM mapped", MAPPED),
     "stored_claims_icd10": query(f"SELECT {_SHOWN} FROM mapped", MAPPED),
