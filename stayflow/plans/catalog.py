@@ -27,6 +27,7 @@ from ..sources import dims as D
 from ..sources import extracts as X
 from ..sources import files as FL
 from ..streaming import ingest as IN
+from ..streaming import refresh as RF
 
 L = A.LAYOUT
 C, B, ST, KC = L.claims, L.bene, L.state, L.codes
@@ -205,6 +206,17 @@ def _state_rates_rolled_up(i: Inputs) -> DataFrame:
     return R.state_rates(BM.rolled_up(_rate_bitmaps(i), [B.state]), i.state, b=B, s=ST)
 
 
+def _incremental_rates(i: Inputs) -> DataFrame:
+    """The claims in three loads, most persons met in each; the second load is
+    delivered twice."""
+    state = RF.RateState(i.spark, scratch_path(i.spark, "rate-state"), GAP, C, B, slices=8)
+    third = F.col(C.claim) % 3
+    RF.append(state, i.claims.where(third == 0), i.bene)
+    RF.append(state, i.claims.where(third == 1), i.bene, run=1)
+    RF.append(state, i.claims.where(third == 1), i.bene, run=1)
+    return RF.append(state, i.claims.where(third == 2), i.bene, run=2)
+
+
 def _load_claims(i: Inputs) -> DataFrame:
     return FL.load_claims(i.spark, X.write_csv_extract(_claims_extract(i)))
 
@@ -281,6 +293,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "state_rates_rolled_up": q(_state_rates_rolled_up),
     "year_rates_rolled_up": q(lambda i: _with_rate(BM.rolled_up(_rate_bitmaps(i), ["year"]))),
     "total_rate_rolled_up": q(lambda i: _with_rate(BM.rolled_up(_rate_bitmaps(i), []))),
+    "incremental_rates": q(_incremental_rates),
     # codes and cohorts
     "crosswalk_min": q(lambda i: K.crosswalk_min(i.xwalk, icd9=KC.icd9, icd10=KC.icd10)),
     "claims_icd10": q(lambda i: i.claims_icd10()),

@@ -248,6 +248,7 @@ ORACLE: dict[str, str] = {
     "state_rates": query("SELECT * FROM sr", by_state()),
     "state_rates_strict": query("SELECT * FROM sr", by_state(rule="strict")),
     "readmission_rate_from_bitmaps": distinct_rate("year, state_code, sex"),
+    "incremental_rates": distinct_rate("year, state_code, sex"),
     "year_rates_rolled_up": distinct_rate("year"),
     "total_rate_rolled_up": distinct_rate(""),
     # Distinct claims of a state, not the sum over its years and sexes.
