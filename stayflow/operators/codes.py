@@ -48,6 +48,47 @@ def condition_cohort(claims_icd10_df: DataFrame, cohort, c: ClaimCols = ClaimCol
     return claims_icd10_df.where(cohort_predicate(c.icd10, cohort))
 
 
+COHORT = "cohort"
+
+
+def cohorts_of_codes(codes: DataFrame, code: str, prefixes: DataFrame, prefix: str = "prefix",
+                     cohort: str | None = None) -> DataFrame:
+    """Each distinct code of ``codes`` that starts with a prefix of the code
+    table ``prefixes`` (with ``cohort``: once per cohort of such a prefix).
+
+    A prefix is a key like any other: a code is cut to the lengths that occur
+    among the prefixes, and the cuts are joined to them by hash.  Thousands of
+    prefixes cost what one does; an OR chain would test each against each row.  The
+    lengths (no more than a code has characters) are a scalar subquery.  NULL
+    codes and NULL prefixes match nothing, the empty prefix matches all codes.
+    """
+    wanted = prefixes.where(F.col(prefix).isNotNull()).select(
+        F.col(prefix).alias("__prefix"), *([F.col(cohort).alias(COHORT)] if cohort else [])).distinct()
+    lengths = wanted.agg(F.sort_array(F.collect_set(F.length("__prefix")))).scalar()
+    distinct = codes.where(F.col(code).isNotNull()).select(F.col(code).alias("__code")).distinct()
+    cut = (distinct.withColumn("__lengths", lengths).select("__code", F.explode("__lengths").alias("__n"))
+                   .where(F.col("__n") <= F.length("__code")).withColumn("__prefix", F.left("__code", F.col("__n"))))
+    return cut.join(wanted, "__prefix").select(F.col("__code").alias(code), *([COHORT] if cohort else [])).distinct()
+
+
+def cohort_by_prefixes(df: DataFrame, code: str, prefixes: DataFrame, prefix: str = "prefix") -> DataFrame:
+    """Rows of ``df`` whose code starts with one of the prefixes: a semi join
+    with the distinct codes that do (a broadcast once AQE has measured them)."""
+    found = cohorts_of_codes(df, code, prefixes, prefix).select(F.col(code).alias("__match"))
+    return df.join(found, F.col(code) == F.col("__match"), "left_semi")
+
+
+def with_cohorts(df: DataFrame, code: str, prefixes: DataFrame, prefix: str = "prefix", cohort: str = COHORT,
+                 out: str = "cohorts") -> DataFrame:
+    """``df`` with the array of the cohorts that its code belongs to (empty if
+    none): no row is multiplied."""
+    of = cohorts_of_codes(df, code, prefixes, prefix, cohort).groupBy(F.col(code).alias("__match")).agg(
+        F.sort_array(F.collect_set(COHORT)).alias(out))
+    kind = of.schema[out].dataType
+    joined = df.join(of, F.col(code) == F.col("__match"), "left").drop("__match")
+    return joined.withColumn(out, F.coalesce(out, F.array().cast(kind)))
+
+
 def cohort_codes(codes: DataFrame, cohort, k: CodeCols = CodeCols(), claim_code_col: str | None = None) -> DataFrame:
     """The cohort predicate applied to the code table (codes + descriptions).
 

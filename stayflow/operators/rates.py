@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from ..functions.codes import any_of, cohort_predicate, planned_code
 from ..functions.dates import in_years
 from ..rules import RuleSet
 from ..schemas import BeneCols, ClaimCols, StateCols
-from .codes import with_icd10
+from .codes import with_cohorts, with_icd10
 from .sequence import Track, previous_in_sequence
 from .stays import (FLAG_PREV, IS_COMPLETE, IS_MEASURED, MEASURED_PREV, index_condition,
                     readmission_condition, stay_order)
@@ -236,3 +238,45 @@ def state_rates_for_cohort(claims: DataFrame, xwalk_min: DataFrame | None, bene:
                           ratio("total_readmissions", "total_admissions").alias("readmission_rate"))
                   .orderBy(F.col("readmission_rate").desc_nulls_last(), F.col("state").asc_nulls_last()))
     return out.limit(top_n) if top_n else out
+
+
+def rates_for_cohorts(claims: DataFrame, xwalk_min: DataFrame | None, bene: DataFrame, state: DataFrame, rules: RuleSet, *,
+                      cohorts: dict[str, object] | None = None, prefixes: DataFrame | None = None,
+                      names: Sequence[str] | None = None, flag_rules: RuleSet | None = None, c: ClaimCols = ClaimCols(),
+                      b: BeneCols = BeneCols(), s: StateCols = StateCols(), icd9: str = "icd9", icd10: str = "icd10",
+                      **seq_kw) -> DataFrame:
+    """``state_rates_for_cohort`` for many cohorts in one pass: a column
+    ``cohort`` and one row per cohort and state.
+
+    ``cohorts``: name -> Column, SQL text or prefixes; or a code table ``prefixes``
+    (prefix, cohort) with the ``names`` of its cohorts.  Each cohort's
+    previous stay is taken within that cohort, all of them (and the flag's) from
+    one shuffle of the claims by person: a sequence has one running value per
+    cohort.  The work grows with claims x cohorts inside the tasks, not in shuffles;
+    take batches of cohorts where they are hundreds.
+    """
+    src = claims if xwalk_min is None else with_icd10(claims, xwalk_min, c, icd9=icd9, icd10=icd10)
+    if prefixes is not None:
+        src = with_cohorts(src, c.icd10, prefixes, out="__cohorts")
+        member = {n: F.array_contains("__cohorts", F.lit(n)) for n in names or ()}
+        extra = [c.icd10, "__cohorts"]
+    else:
+        member = {n: cohort_predicate(c.icd10, d) for n, d in (cohorts or {}).items()}
+        extra = [c.icd10]
+    if not member:
+        raise ValueError("name at least one cohort")
+    columns = [f"__index{k}" for k in range(len(member))]
+    seq_kw.setdefault("key_source", claims)
+    rows = episode_rows(src, rules, flag_rules=flag_rules, c=c, measured=dict(zip(columns, member.values(), strict=True)),
+                        exclude_planned=False, extra=extra, **seq_kw)
+    opened = F.filter(F.array(*[F.when(F.col(k), F.lit(n)) for k, n in zip(columns, member, strict=True)]), lambda x: x.isNotNull())
+    j = rows.withColumn("__opens", opened).join(bene_groups(bene, {"__state": b.state}, c.person, b), c.person, "left")
+    each = j.withColumn("cohort", F.explode_outer("__opens"))
+    pairs = claim_pairs(each.withColumn("__in", F.col("cohort").isNotNull() & F.col("__b").isNotNull()), ["cohort", "__state"], c)
+    counts = counted(pairs, ["cohort", "__state"], c)
+    st = state.select(F.col(s.code).alias("__code"), F.col(s.abbr).alias("state"))
+    by_abbr = (counts.join(st, F.col("__state") == F.col("__code")).groupBy("cohort", "state")
+                     .agg(F.sum("readmissions").alias("total_readmissions"),
+                          F.sum("total_admissions").alias("total_admissions")))
+    return by_abbr.select("cohort", "state", "total_readmissions", "total_admissions",
+                          ratio("total_readmissions", "total_admissions").alias("readmission_rate"))

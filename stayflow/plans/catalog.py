@@ -217,6 +217,34 @@ def _incremental_rates(i: Inputs) -> DataFrame:
     return RF.append(state, i.claims.where(third == 2), i.bene, run=2)
 
 
+# ---------------------------------------------------------------------------
+# Cohorts as code tables: every code whose number is even is a prefix (half of
+# all codes: about 1,000 at sf0.01), and some single letters.
+# ---------------------------------------------------------------------------
+def _prefix_table(i: Inputs) -> DataFrame:
+    code, letter = F.col(KC.code), F.left(KC.code, F.lit(1))
+    full = i.codes.where(F.right(code, F.lit(1)).isin("0", "2", "4", "6", "8")).select(code.alias("prefix"))
+    short = i.codes.where(letter.isin("B", "C")).select(letter.alias("prefix"))
+    return full.unionByName(short).distinct()
+
+
+# Five cohorts: two of one letter each, two that overlap, one of full codes.
+COHORTS = {"b": ["B"], "c": ["C"], "many": list(A.COHORT_PREFIXES), "low": ["B0", "C0", "D0"], "sql": f"{C.icd10} LIKE 'H%'"}
+
+
+def _cohort_table(i: Inputs) -> DataFrame:
+    """The first four of them as rows (prefix, cohort)."""
+    rows = F.array(*[F.struct(F.lit(p).alias("prefix"), F.lit(n).alias("cohort"))
+                     for n, d in COHORTS.items() if isinstance(d, list) for p in d])
+    return i.codes.select(F.explode(rows).alias("x")).select("x.*").distinct()
+
+
+def _many_cohorts(i: Inputs, **which) -> DataFrame:
+    xw = K.crosswalk_min(i.xwalk, icd9=KC.icd9, icd10=KC.icd10)
+    return R.rates_for_cohorts(i.claims, xw, i.bene, i.state, STRICT, flag_rules=GAP, c=C, b=B, s=ST, icd9=KC.icd9,
+                               icd10=KC.icd10, **which)
+
+
 def _load_claims(i: Inputs) -> DataFrame:
     return FL.load_claims(i.spark, X.write_csv_extract(_claims_extract(i)))
 
@@ -310,6 +338,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "state_rates_for_cohort_null_safe": q(lambda i: i.cohort_rates(NULL_SAFE)),
     "state_rates_all_claims": q(lambda i: i.cohort_rates(STRICT, cohort=None)),
     "top_states_for_cohort": q(lambda i: i.cohort_rates(GAP, top_n=10)),
+    "cohort_by_prefix_table": q(lambda i: K.cohort_by_prefixes(i.claims_icd10(), C.icd10, _prefix_table(i))),
+    "cohort_codes_by_prefix_table": q(lambda i: K.cohort_by_prefixes(i.codes, KC.code, _prefix_table(i))),
+    "rates_for_five_cohorts": q(lambda i: _many_cohorts(i, cohorts=COHORTS)),
+    "rates_for_cohort_table": q(lambda i: _many_cohorts(
+        i, prefixes=_cohort_table(i), names=[n for n, d in COHORTS.items() if isinstance(d, list)])),
     "titled_rates": q(lambda i: FD.with_titles(i.cohort_rates(GAP))),
     "state_rates_for_letter_cohort": q(lambda i: i.cohort_rates(GAP, cohort=f"{C.icd10} LIKE 'B%'")),
     "state_rates_for_narrow_cohort": q(lambda i: i.cohort_rates(GAP, cohort=K.cohort_or_all(NINE_GROUPS, C.icd10))),

@@ -161,6 +161,21 @@ def for_cohort(rule: str, cohort: str | None = COHORT, name: str = "cr") -> str:
         FROM state JOIN {name}_n USING (state_code) GROUP BY state_abbr) t)"""
 
 
+# One cohort after the other; the query takes them in one pass.
+COHORT_TESTS = {"b": "substring({c}, 1, 1) = 'B'", "c": "substring({c}, 1, 1) = 'C'", "many": COHORT,
+                "low": "substring({c}, 1, 2) IN ('B0', 'C0', 'D0')", "sql": "substring({c}, 1, 1) = 'H'"}
+
+
+def many_cohorts(names) -> str:
+    parts = [for_cohort("gap", COHORT_TESTS[n], name=f"co_{n}").removeprefix(MAPPED + ",") for n in names]
+    return query("\nUNION ALL ".join(f"SELECT '{n}' AS cohort, * FROM co_{n}" for n in names), MAPPED, *parts)
+
+
+PREFIXES = """
+prefixes AS (
+  SELECT DISTINCT code AS prefix FROM codes WHERE CAST(substring(code, 2) AS INTEGER) % 2 = 0
+  UNION SELECT DISTINCT substring(code, 1, 1) FROM codes WHERE code LIKE 'B%' OR code LIKE 'C%')"""
+
 MAP_FEED = """
 feed AS (
   SELECT state_name, coalesce(readmission_rate, 0.0) AS readmission_rate
@@ -279,6 +294,12 @@ ORACLE: dict[str, str] = {
     "state_rates_for_narrow_cohort": query("SELECT * FROM cr", for_cohort("gap", NINE_GROUPS)),
     "state_rates_for_broad_cohort": query("SELECT * FROM cr", for_cohort("gap", None)),
     "top_states_for_cohort": query(f"SELECT * FROM cr {_TOP}", for_cohort("gap")),
+    "rates_for_five_cohorts": many_cohorts(("b", "c", "many", "low", "sql")),
+    "rates_for_cohort_table": many_cohorts(("b", "c", "many", "low")),
+    "cohort_by_prefix_table": query(f"""SELECT {_SHOWN} FROM mapped
+        WHERE EXISTS (SELECT 1 FROM prefixes WHERE starts_with(icd10_code, prefix))""", MAPPED, PREFIXES),
+    "cohort_codes_by_prefix_table": query("""SELECT code, description FROM codes
+        WHERE EXISTS (SELECT 1 FROM prefixes WHERE starts_with(code, prefix))""", PREFIXES),
     "titled_rates": query("""SELECT state AS "State", total_readmissions AS "Total Readmissions",
         total_admissions AS "Total Admissions", readmission_rate AS "Readmission Rate" FROM cr""", for_cohort("gap")),
     "top_states": query("SELECT * FROM sr WHERE readmission_rate IS NOT NULL "
