@@ -86,19 +86,55 @@ CODE_GROUP = r"[A-Z][0-9]{1,3}"
 CODE_GROUP_PATTERN = rf"^({CODE_GROUP})"
 
 
-def named_groups(cohort) -> set[str]:
+def named_groups(cohort, code_cols: str | Iterable[str] | None = None) -> set[str]:
     """Code groups that a cohort's definition names: prefixes that are a whole
     code group (``I21``, not ``I`` or ``I2101``), or the same as ``LIKE 'I21%'``
-    in SQL text, or in a Column's expression."""
+    or ``startswith`` on a code column, in SQL text or in a Column.
+
+    ``code_cols`` names the code column (or columns); tests of others name no
+    group.  None takes any column.  Groups are upper-case; SQL words are not
+    case-sensitive.
+    """
+    cols = None if code_cols is None else {code_cols} if isinstance(code_cols, str) else set(code_cols)
     if isinstance(cohort, Column):
-        # As the expression prints: startswith(c, 'I21'), LIKE(c, 'I21%'), c LIKE I21%.
-        found = re.findall(rf"(?i:startswith)\([^,()]*, '?({CODE_GROUP})'?\)|LIKE[ (][^%]*?'?({CODE_GROUP})%", str(cohort))
-        return {a or b for a, b in found}
+        return set(_groups_of_node(cohort._jc.node(), cols))
     if isinstance(cohort, str):
-        return set(re.findall(rf"LIKE\s+'({CODE_GROUP})%'", cohort, re.I))
+        return set(_groups_of_text(cohort, cols))
     return {p for p in cohort if re.fullmatch(CODE_GROUP, p)}
 
 
+_NAME = r"`?([A-Za-z_][\w.]*)`?"
+_LIKE = re.compile(rf"{_NAME}\s+(?i:not\s+)?(?i:like)\s+'({CODE_GROUP})%'")
+_STARTS = re.compile(rf"(?i:starts_?with)\s*\(\s*{_NAME}\s*,\s*'({CODE_GROUP})'\s*\)")
+
+
+def _is_code(name: str, cols: set[str] | None) -> bool:
+    return cols is None or name.rpartition(".")[2] in cols
+
+
+def _groups_of_text(sql: str, cols: set[str] | None) -> Iterable[str]:
+    return (group for pattern in (_LIKE, _STARTS) for name, group in pattern.findall(sql) if _is_code(name, cols))
+
+
+def _groups_of_node(node, cols: set[str] | None) -> Iterable[str]:
+    """Walk a Column's expression tree."""
+    kind = node.getClass().getSimpleName()
+    if kind == "SqlExpression":
+        yield from _groups_of_text(node.expression(), cols)
+        return
+    parts = [node.children().apply(k) for k in range(node.children().size())]
+    if kind == "UnresolvedFunction" and node.functionName().lower() in ("startswith", "like") and len(parts) >= 2:
+        kinds = [p.getClass().getSimpleName() for p in parts[:2]]
+        if kinds == ["UnresolvedAttribute", "Literal"] and _is_code(parts[0].nameParts().last(), cols):
+            text = str(parts[1].value()).removesuffix("%" if node.functionName().lower() == "like" else "")
+            whole = node.functionName().lower() == "startswith" or str(parts[1].value()).endswith("%")
+            if whole and re.fullmatch(CODE_GROUP, text):
+                yield text
+        return
+    for p in parts:
+        yield from _groups_of_node(p, cols)
+
+
 def code_group(c: str | Column, pattern: str = CODE_GROUP_PATTERN) -> Column:
     """Leading code group of a code, NULL when it has none."""
     g = F.regexp_extract(_col(c), pattern, 1)

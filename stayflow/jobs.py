@@ -1,25 +1,33 @@
 """Batch job: extracts in, stored measure out.
 
 ``refresh_measure`` runs the whole flow of the measure as one Spark
-application: load the extracts, store typed Parquet tables (claims
-range-partitioned and sorted by person and admission), compute the rate
-table, upsert it into the stored rate table (written to a new folder, never
-over the one being read) and store the by-state feed.  Every step is one of
-the library's operators; each stored table cuts the lineage, so a lost
-executor only recomputes from the last table written.
+application: load the extracts, store typed tables, compute the rate table,
+upsert it in place into the stored rate table (only the years that it has rows
+of are rewritten) and store the by-state feed.  Every step is one of the library's
+operators; each stored table cuts the lineage, so a lost executor only recomputes
+from the last table written.  Rows are counted while they are stored.
+
+Claims and beneficiaries are stored bucketed by person, claims also sorted by
+admission: the previous-stay windows and the beneficiary join read them without a
+shuffle by person.  Where one person (or NULL) holds more rows than one task should
+(``spark.stayflow.hotKeyRows``), a bucket would too; claims are then range-partitioned by
+person and admission instead, which splits that person, and the measure shuffles.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .operators import codes as K
 from .operators import rates as R
 from .operators import tables as TB
 from .rules import CLAIMS_RULES, RuleSet
 from .schemas import RATE_TABLE_COLUMNS, RATE_TABLE_KEYS, BeneCols, ClaimCols, StateCols
+from .session import hot_key_rows
 from .sources import files as FL
 
 
@@ -32,41 +40,58 @@ class Stored:
     state_rates: str
     claims_icd10: str | None = None
     icd10_codes: str | None = None
+    counts: dict[str, int] = field(default_factory=dict)
 
 
 def _join(base: str, name: str) -> str:
     return base.rstrip("/") + "/" + name
 
 
+def store_by_person(df: DataFrame, path: str, person: str, sort_by: list[str], buckets: int) -> tuple[DataFrame, int]:
+    """``df`` stored in ``path`` by person, and its row count: bucketed unless a
+    person is hot (then range-clustered, and read without buckets)."""
+    spark = df.sparkSession
+    limit = hot_key_rows(spark)
+    if limit >= 0 and TB.has_hot_key(df, person, limit):
+        order = [F.col(x).asc_nulls_last() for x in (person, *sort_by)]
+        ready = df.repartitionByRange(buckets, *order).sortWithinPartitions(*order)
+        n = TB.counted_write(ready, lambda d: d.write.mode("overwrite").parquet(path))
+        return spark.read.parquet(path), n
+    name = f"stayflow_{uuid.uuid4().hex}"
+    n = TB.counted_write(df.repartition(buckets, person), lambda d: TB.save_bucketed(
+        d, name, [person], buckets, sort_by=[person, *sort_by], path=path, by_task=True))
+    return spark.table(name), n
+
+
 def refresh_measure(spark: SparkSession, *, claims_path: str, bene_path: str, state_path: str,
                     out_dir: str, rules: RuleSet = CLAIMS_RULES, rates_table: str | None = None,
                     run_id: str = "run", crosswalk_path: str | None = None,
-                    descriptions_path: str | None = None) -> Stored:
+                    descriptions_path: str | None = None, buckets: int | None = None) -> Stored:
     """Load extracts, store typed tables, compute and upsert the rate table.
 
-    ``rates_table``: folder of the stored rate table to upsert into (None:
-    start a new one).  Returns the folders written; the new rate table is
-    ``Stored.rates`` (the caller swaps it in).  With ``crosswalk_path`` the
+    ``rates_table``: folder of the stored rate table to upsert into (made if
+    it is not there; None: one of this run).  Returns the folders written and the
+    rows loaded.  ``buckets``: of the tables stored by person (default: the shuffle
+    partitions).  With ``crosswalk_path`` the
     crosswalked claims table is stored too (read by every cohort question),
     with ``descriptions_path`` the ICD-10 code table.
     """
     c, b, s = ClaimCols(), BeneCols(), StateCols()
     base = _join(out_dir, run_id)
     claims_dir, bene_dir, state_dir = _join(base, "claims"), _join(base, "bene"), _join(base, "state")
-    TB.clustered_claims(FL.load_claims(spark, claims_path), c).write.mode("overwrite").parquet(claims_dir)
-    FL.load_beneficiaries(spark, bene_path).write.mode("overwrite").parquet(bene_dir)
-    FL.load_state(spark, state_path).write.mode("overwrite").parquet(state_dir)
-    claims, bene, state = (spark.read.parquet(p) for p in (claims_dir, bene_dir, state_dir))
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    claims, n_claims = store_by_person(FL.load_claims(spark, claims_path), claims_dir, c.person, [c.admit, c.claim], n)
+    bene, n_bene = store_by_person(FL.load_beneficiaries(spark, bene_path), bene_dir, b.person, [], n)
+    n_state = TB.counted_write(FL.load_state(spark, state_path), lambda d: d.write.mode("overwrite").parquet(state_dir))
+    state = spark.read.parquet(state_dir)
 
     rates = TB.as_declared(R.readmission_rate(claims, bene, rules, c=c, b=b), RATE_TABLE_COLUMNS)
-    rates_dir = _join(base, "readmission_rate")
-    if rates_table:
-        TB.upsert_table(rates_table, rates, list(RATE_TABLE_KEYS), out_path=rates_dir)
-    else:
-        TB.checked_keys(rates, list(RATE_TABLE_KEYS)).write.mode("overwrite").parquet(rates_dir)
+    rates_dir = rates_table or _join(base, "readmission_rate")
+    stored_rates = TB.upsert_in_place(rates_dir, rates, list(RATE_TABLE_KEYS), "year")
     sr_dir = _join(base, "state_rates")
-    R.state_rates(spark.read.parquet(rates_dir), state, b=b, s=s).write.mode("overwrite").parquet(sr_dir)
-    stored = Stored(claims_dir, bene_dir, state_dir, rates_dir, sr_dir)
+    R.state_rates(stored_rates, state, b=b, s=s).write.mode("overwrite").parquet(sr_dir)
+    stored = Stored(claims_dir, bene_dir, state_dir, rates_dir, sr_dir,
+                    counts={"claims": n_claims, "bene": n_bene, "state": n_state})
     if crosswalk_path:
         stored.claims_icd10 = _join(base, "claims_icd10")
         xw = FL.load_icd_crosswalk(spark, crosswalk_path)

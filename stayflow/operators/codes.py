@@ -103,25 +103,26 @@ def cohort_codes(codes: DataFrame, cohort, k: CodeCols = CodeCols(), claim_code_
     return src.where(cohort_predicate(k.code, cohort))
 
 
-def too_broad(cohort, max_groups: int = MAX_COHORT_GROUPS) -> bool:
-    """Does the cohort's definition name ``max_groups`` code groups or more?
-    It depends on the question alone, never on the data."""
-    return cohort is not None and len(named_groups(cohort)) >= max_groups
+def too_broad(cohort, max_groups: int = MAX_COHORT_GROUPS, code_cols=None) -> bool:
+    """Does the cohort's definition name ``max_groups`` code groups or more
+    (of the code columns)?  It depends on the question alone, never on the data."""
+    return cohort is not None and len(named_groups(cohort, code_cols)) >= max_groups
 
 
 def cohort_breadth(codes: DataFrame, cohort, k: CodeCols = CodeCols(), claim_code_col: str | None = None,
                    max_groups: int = MAX_COHORT_GROUPS) -> DataFrame:
     """One row: codes of the code table in the cohort, code groups named by
     its definition, and whether those are too many."""
+    cols = {k.code, claim_code_col or k.code}
     return cohort_codes(codes, cohort, k, claim_code_col).agg(F.count(F.lit(1)).alias("n_codes")).select(
-        "n_codes", F.lit(len(named_groups(cohort))).cast("long").alias("n_groups"),
-        F.lit(too_broad(cohort, max_groups)).alias("too_broad"))
+        "n_codes", F.lit(len(named_groups(cohort, cols))).cast("long").alias("n_groups"),
+        F.lit(too_broad(cohort, max_groups, cols)).alias("too_broad"))
 
 
 def cohort_or_all(cohort, claim_code_col: str, max_groups: int = MAX_COHORT_GROUPS) -> Column | None:
     """The dashboard's choice, for callers that ask for it: the cohort's
     predicate, or None (all claims) where its definition is too broad."""
-    return None if too_broad(cohort, max_groups) else cohort_predicate(claim_code_col, cohort)
+    return None if too_broad(cohort, max_groups, claim_code_col) else cohort_predicate(claim_code_col, cohort)
 
 
 def code_groups(codes: DataFrame, k: CodeCols = CodeCols()) -> DataFrame:

@@ -6,6 +6,7 @@ Every entry is ``(spark, sf_dir) -> DataFrame`` over the whole given tables
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import replace
 from typing import Callable
 
@@ -20,7 +21,7 @@ from ..operators import feeds as FD
 from ..operators import rates as R
 from ..operators import stays as S
 from ..operators import tables as TB
-from ..schemas import BENEFICIARY_COLUMNS, CLAIM_COLUMNS
+from ..schemas import BENEFICIARY_COLUMNS, CLAIM_COLUMNS, RATE_TABLE_COLUMNS
 from ..session import materialize, scratch_path
 from ..sources import adapter as A
 from ..sources import dims as D
@@ -245,6 +246,71 @@ def _many_cohorts(i: Inputs, **which) -> DataFrame:
                                icd10=KC.icd10, **which)
 
 
+# ---------------------------------------------------------------------------
+# Stored tables: upsert in place, counts with the load, pages by key, rejects.
+# ---------------------------------------------------------------------------
+def _stored_rates(i: Inputs, *rates: DataFrame) -> tuple[str, DataFrame]:
+    path = scratch_path(i.spark, "rate-table")
+    for r in rates:
+        table = TB.upsert_in_place(path, r, RATE_KEYS, "year")
+    return path, table
+
+
+def _upsert_in_place(i: Inputs) -> DataFrame:
+    return _stored_rates(i, i.rates(replace(STRICT, years=(1996, 1997))), i.rates(replace(GAP, years=(1997, 1998))))[1]
+
+
+def _state_rates_stored(i: Inputs) -> DataFrame:
+    """From the stored rate table in its declared types; no claim is read."""
+    names = {"SP_STATE_CODE": B.state, "BENE_SEX_IDENT_CD": B.sex}
+    declared = [(names.get(n, n), i.bene.schema[names[n]].dataType if n in names else t) for n, t in RATE_TABLE_COLUMNS]
+    return R.state_rates(_stored_rates(i, TB.as_declared(i.rates(GAP), declared))[1], i.state, b=B, s=ST)
+
+
+def _flag_view(i: Inputs) -> DataFrame:
+    """The flag as an SQL view, recomputed on each read."""
+    TB.replace_view("all_cause_readmission_view", S.all_cause_readmission(i.claims, GAP, C))
+    return i.spark.sql(f"""SELECT year({C.admit}) AS year, count(*) AS n_flagged, count(DISTINCT {C.person}) AS n_persons
+                           FROM all_cause_readmission_view GROUP BY 1""")
+
+
+def _counts_with_load(i: Inputs) -> DataFrame:
+    return TB.write_counted({name: (df, scratch_path(i.spark, name)) for name, df in {
+        "claims": i.claims, "bene": i.bene, "state": i.state,
+        "all_cause_readmission": S.all_cause_readmission(i.claims, STRICT, C)}.items()})
+
+
+def _rates_page_by_key(i: Inputs) -> DataFrame:
+    """The second page, by the last key of the first."""
+    path, keys = scratch_path(i.spark, "sorted-rates"), ["year", B.state, B.sex]
+    TB.store_sorted(i.rates(GAP), path, keys)
+    last = TB.page_after(i.spark, path, keys, None, 20).collect()[-1]
+    return TB.page_after(i.spark, path, keys, [last[k] for k in keys], 20)
+
+
+PAGE_AFTER = (dt.date(1996, 6, 30), 1000)
+
+
+def _claims_page_by_key(i: Inputs) -> DataFrame:
+    path, keys = scratch_path(i.spark, "sorted-claims"), [C.admit, C.claim]
+    TB.store_sorted(i.claims, path, keys, files=32)
+    return TB.page_after(i.spark, path, keys, PAGE_AFTER, 50)
+
+
+def _spoilt_claims(i: Inputs) -> FL.Checked:
+    """The claims extract with impossible dates and amounts that are no numbers."""
+    n = F.col("CLM_ID").cast("long")
+    spoilt = _claims_extract(i).withColumns({
+        "CLM_ADMSN_DT": F.when(n % 7 == 0, "20080431").otherwise(F.col("CLM_ADMSN_DT")),
+        "CLM_PMT_AMT": F.when(n % 11 == 0, "12,50").otherwise(F.col("CLM_PMT_AMT")),
+        "CLM_UTLZTN_DAY_CNT": F.when(n % 13 == 0, "ten").otherwise(F.col("CLM_UTLZTN_DAY_CNT"))})
+    return FL.load_checked(i.spark, X.write_csv_extract(spoilt), CLAIM_COLUMNS, keys=["CLM_ID"])
+
+
+def _rejected_claims(i: Inputs) -> DataFrame:
+    return _spoilt_claims(i).rejected.select("CLM_ID", "column", "value", F.col("file").like("%.csv").alias("has_file"))
+
+
 def _load_claims(i: Inputs) -> DataFrame:
     return FL.load_claims(i.spark, X.write_csv_extract(_claims_extract(i)))
 
@@ -358,6 +424,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "label_rates": q(_label_rates),
     # tables
     "upsert_rates": q(_upsert),
+    "upsert_in_place": q(_upsert_in_place),
+    "state_rates_stored": q(_state_rates_stored),
+    "flag_view": q(_flag_view),
+    "row_counts_with_load": q(_counts_with_load),
+    "rates_page_by_key": q(_rates_page_by_key),
+    "claims_page_by_key": q(_claims_page_by_key),
+    "load_claims_checked": q(lambda i: _spoilt_claims(i).good),
+    "rejected_claims": q(_rejected_claims),
     "key_violations_mixed": q(_key_violations_mixed),
     "key_violations": q(lambda i: TB.key_violations(i.bene.select(B.person), [B.person])),
     "row_counts": q(lambda i: TB.row_counts({

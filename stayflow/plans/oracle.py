@@ -235,6 +235,12 @@ _BENE_KNOWN = {"DESYNPUF_ID": "CAST(person_id AS VARCHAR)",
 LOADED_CLAIMS = query(whole_layout(CLAIM_COLUMNS, _CLAIM_KNOWN, "(SELECT *, claim_id AS id FROM claims) c"))
 LOADED_BENE = query(whole_layout(BENEFICIARY_COLUMNS, _BENE_KNOWN, "(SELECT *, person_id AS id FROM bene) b"))
 
+_SPOILT = (("CLM_ADMSN_DT", "20080431", 7), ("CLM_PMT_AMT", "12,50", 11), ("CLM_UTLZTN_DAY_CNT", "ten", 13))
+LOADED_GOOD = query(whole_layout(CLAIM_COLUMNS, _CLAIM_KNOWN, f"""(SELECT *, claim_id AS id FROM claims
+    WHERE {' AND '.join(f'claim_id % {m} <> 0' for *_, m in _SPOILT)}) c"""))
+REJECTED = query("\nUNION ALL ".join(f"""SELECT CAST(claim_id AS VARCHAR) AS CLM_ID, '{c}' AS "column", '{v}' AS "value",
+    true AS has_file FROM claims WHERE claim_id % {m} = 0""" for c, v, m in _SPOILT))
+
 _TOP = "ORDER BY readmission_rate DESC NULLS LAST, state LIMIT 10"
 _KEYS = "year, state_code, sex, age_grp_id, condition_type_id"
 
@@ -328,6 +334,21 @@ first_rows AS (SELECT *, {HUNDREDTHS.format(part='readmissions', whole='total_ad
         SELECT old.* FROM old LEFT JOIN (SELECT {_KEYS}, 1 AS hit FROM new) n USING ({_KEYS}) WHERE hit IS NULL""",
                           rates("old", "strict", years="year(admit_dt) IN (1996, 1997)"),
                           rates("new", "gap", years="year(admit_dt) IN (1997, 1998)")),
+    "upsert_in_place": query(f"""SELECT * FROM new UNION ALL
+        SELECT old.* FROM old LEFT JOIN (SELECT {_KEYS}, 1 AS hit FROM new) n USING ({_KEYS}) WHERE hit IS NULL""",
+                             rates("old", "strict", years="year(admit_dt) IN (1996, 1997)"),
+                             rates("new", "gap", years="year(admit_dt) IN (1997, 1998)")),
+    "state_rates_stored": query("SELECT * FROM sr", by_state()),
+    "flag_view": query("""SELECT CAST(year(admit_dt) AS INTEGER) AS year, count(*) AS n_flagged,
+        count(DISTINCT person_id) AS n_persons FROM f GROUP BY 1""", flagged("f", "gap")),
+    "row_counts_with_load": query("""SELECT 'claims' AS table_name, (SELECT count(*) FROM claims) AS n_rows
+        UNION ALL SELECT 'bene', (SELECT count(*) FROM bene) UNION ALL SELECT 'state', (SELECT count(*) FROM state)
+        UNION ALL SELECT 'all_cause_readmission', (SELECT count(*) FROM f)""", flagged("f", "strict")),
+    "rates_page_by_key": query("SELECT * FROM rr ORDER BY year, state_code, sex LIMIT 20 OFFSET 20", rates(rule="gap")),
+    "claims_page_by_key": query("""SELECT * FROM claims WHERE admit_dt > DATE '1996-06-30'
+        OR (admit_dt = DATE '1996-06-30' AND claim_id > 1000) ORDER BY admit_dt, claim_id LIMIT 50"""),
+    "load_claims_checked": LOADED_GOOD,
+    "rejected_claims": REJECTED,
     "key_violations": query("""SELECT person_id, count(*) AS n_rows FROM bene
         GROUP BY person_id HAVING person_id IS NULL OR count(*) <> 1"""),
     # Unique, repeated and missing keys.

@@ -76,5 +76,5 @@ MAP_EXCLUDED_STATES = ("District of Columbia", "Puerto Rico")
 DASHBOARD_RATE_RANGE = (0.0, 0.1)
 
 # Cohort questions naming this many distinct code groups or more are too
-# broad; the unfiltered claims are used instead.
+# broad (``codes.too_broad``); callers decide what to do with them.
 MAX_COHORT_GROUPS = 10

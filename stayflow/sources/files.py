@@ -3,6 +3,7 @@ fixed-width code files.  Each returns a typed, lazy DataFrame."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.dates import blank_to_null, parse_date
 from ..schemas import BENEFICIARY_COLUMNS, CLAIM_COLUMNS, STATE_COLUMNS
+from ..session import materialize
 
 # Texts a fixed-width code file reader treats as missing
 # (the default missing-value markers of pandas' text readers).
@@ -95,6 +97,58 @@ def typed_projection(df: DataFrame, columns: Iterable[tuple[str, T.DataType]],
     return df.select(*[typed(n, t, on_error) for n, t in columns])
 
 
+@dataclass(frozen=True)
+class Checked:
+    """A load that keeps what does not fit: ``good`` rows in the declared types,
+    and ``rejected``: one row for each value that is not of its type."""
+
+    good: DataFrame
+    rejected: DataFrame
+
+
+CORRUPT = "_corrupt_record"
+
+
+def load_checked(spark: SparkSession, path: str | Sequence[str], columns: Iterable[tuple[str, T.DataType]],
+                 keys: Sequence[str] = ()) -> Checked:
+    """Typed rows, and the values that kept others out.
+
+    A row is good if each value fits its declared type (blank is NULL).  Of other
+    rows ``rejected`` has file, the ``keys`` as text, column and value, for each
+    value that does not fit; a line with too few or too many fields is one
+    row there, column NULL and value the line.  The files are parsed once, into a
+    staged table in the shared folder, from which both are read.
+    """
+    columns = list(columns)
+    header = read_csv_text(spark, path).columns
+    missing = [n for n, _ in columns if n not in header]
+    if missing:
+        raise ValueError(f"source lacks declared columns: {missing}")
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*header, CORRUPT)])
+    raw = (spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
+                .option("columnNameOfCorruptRecord", CORRUPT).option("pathGlobFilter", "*.csv").csv(_paths(path)))
+
+    def misfit(name: str, dtype: T.DataType) -> Column | None:
+        if isinstance(dtype, T.StringType):
+            return None
+        text = blank_to_null(F.col(f"`{name}`"))
+        bad = text.isNotNull() & typed(name, dtype, on_error="null").isNull()
+        return F.when(bad, F.struct(F.lit(name).alias("column"), F.col(f"`{name}`").alias("value")))
+    tests = [m for m in (misfit(n, t) for n, t in columns) if m is not None]
+    line = F.when(F.col(CORRUPT).isNotNull(), F.array(F.struct(F.lit(None).cast("string").alias("column"),
+                                                               F.col(CORRUPT).alias("value"))))
+    misfits = F.coalesce(line, F.filter(F.array(*tests), lambda m: m.isNotNull()))
+    staged = materialize(raw.select(
+        F.col("_metadata.file_path").alias("__file"), misfits.alias("__misfits"),
+        F.struct(*[F.col(f"`{k}`").alias(k) for k in keys] or [F.lit(None).cast("string").alias("none")]).alias("__keys"),
+        F.struct(*[typed(n, t, on_error="null") for n, t in columns]).alias("__row")), "checked-load")
+    good = staged.where(F.size("__misfits") == 0).select("__row.*")
+    rejected = (staged.where(F.size("__misfits") > 0)
+                      .select(F.col("__file").alias("file"), *[F.col(f"__keys.{k}").alias(k) for k in keys],
+                              F.explode("__misfits").alias("m")).select("file", *keys, "m.column", "m.value"))
+    return Checked(good, rejected)
+
+
 def load_beneficiaries(spark: SparkSession, path: str | Sequence[str], on_error: str = "fail",
                        by_header: bool = False) -> DataFrame:
     return typed_projection(read_csv_text(spark, path, by_header), BENEFICIARY_COLUMNS, on_error)

@@ -115,8 +115,9 @@ def frames(spark):
 
 PERSON, CLAIM, ADMIT, DISCH, DX1 = range(5)
 AGAINST_ADVICE, REHAB, PSYCHIATRIC = "V642", "V57", ("29", "30", "31")
-PLANNED = ("5280 5281 5282 3751 3350 3351 3352 4697 4100 4101 4102 4103 4104 4105 4106 4107 4108 4109 "
-           "5561 5569 5051 5059").split()
+# The planned-stay codes.
+PLANNED = ("5280", "5281", "5282", "3751", "3350", "3351", "3352", "4697", "4100", "4101", "4102", "4103", "4104", "4105",
+           "4106", "4107", "4108", "4109", "5561", "5569", "5051", "5059")
 
 
 def before(rows):

@@ -163,6 +163,14 @@ def test_named_groups_rule():
     assert named_groups(["I21", "I22", "I21", "B", "E119", "I2101"]) == {"I21", "I22", "E119"}
     assert named_groups("x LIKE 'I21%' OR x like 'C5%' OR x LIKE 'I%' OR y = 'E11'") == {"I21", "C5"}
     assert named_groups(cohort_predicate("x", ["I21", "I"])) == {"I21"}
+    # Upper-case groups, of the code column alone.
+    text = "x LIKE 'i21%' OR t.x NOT LIKE 'J4%' OR y LIKE 'K5%' OR starts_with(`x`, 'L6') OR x LIKE '%M7%'"
+    assert named_groups(text, "x") == {"J4", "L6"} and named_groups(text) == {"J4", "K5", "L6"}
+    x, y = F.col("t.x"), F.col("y")
+    tree = ~(x.startswith("I21") & y.like("K5%")) | x.like("e11%") | x.like("C5_%") | F.expr(text) | (F.lower(x) == "d10")
+    assert named_groups(tree, "x") == {"I21", "J4", "L6"}
+    assert named_groups(x.startswith("A1").alias("q") | x.isin("B20"), {"x", "z"}) == {"A1"}
+    assert not K.too_broad(" OR ".join(f"y LIKE 'A{n}%'" for n in range(20)), code_cols="x")
 
 
 def test_partition_count_does_not_change_answer(spark):
