@@ -125,8 +125,10 @@ def load_checked(spark: SparkSession, path: str | Sequence[str], columns: Iterab
     if missing:
         raise ValueError(f"source lacks declared columns: {missing}")
     schema = T.StructType([T.StructField(n, T.StringType()) for n in (*header, CORRUPT)])
+    # All fields are parsed (no column pruning), or short lines would go unseen.
     raw = (spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
-                .option("columnNameOfCorruptRecord", CORRUPT).option("pathGlobFilter", "*.csv").csv(_paths(path)))
+                .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
+                .option("pathGlobFilter", "*.csv").csv(_paths(path)))
 
     def misfit(name: str, dtype: T.DataType) -> Column | None:
         if isinstance(dtype, T.StringType):

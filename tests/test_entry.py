@@ -1,5 +1,8 @@
 """Driver contract and the registered queries against their oracle SQL."""
 
+import glob
+import os
+
 import duckdb
 import pytest
 
@@ -10,7 +13,9 @@ FAST = ["all_cause_readmission", "readmission_rate_gap", "state_rates", "state_r
         "claims_icd10", "cohort_breadth", "rates_preview", "upsert_rates", "exclude_planned",
         "rate_scaled", "label_rates", "refresh_state_rates", "load_claims", "load_beneficiaries",
         "all_cause_readmission_tied", "state_rates_for_broad_cohort", "cohort_breadth_ten_groups",
-        "all_cause_readmission_skewed", "readmission_rate_skewed"]
+        "all_cause_readmission_skewed", "readmission_rate_skewed", "state_rates_rolled_up", "incremental_rates",
+        "rates_for_five_cohorts", "rates_for_cohort_table", "cohort_by_prefix_table", "upsert_in_place", "state_rates_stored",
+        "flag_view", "row_counts_with_load", "claims_page_by_key", "load_claims_checked", "rejected_claims"]
 
 
 def test_entry_runs(spark):
@@ -78,15 +83,21 @@ def test_refresh_upserts_into_stored_table(spark, tmp_dir):
         "state_name": F.col("state_name"), "sp_state_code": F.lpad(F.col("state_code").cast("string"), 2, "0"),
         "state_abbr": F.col("state_abbr")}))
     kw = dict(claims_path=claims, bene_path=bene, state_path=state, out_dir=tmp_dir)
-    first = J.refresh_measure(spark, rules=replace(CAT.GAP, years=(1996, 1997)), run_id="r1", **kw)
-    second = J.refresh_measure(spark, rules=replace(CAT.GAP, years=(1997, 1998)), run_id="r2",
-                               rates_table=first.rates, **kw)
-    y1 = {r.year for r in spark.read.parquet(first.rates).collect()}
-    y2 = {r.year for r in spark.read.parquet(second.rates).collect()}
-    assert y1 == {1996, 1997} and y2 == {1996, 1997, 1998}
-    old96 = sorted(tuple(r) for r in spark.read.parquet(first.rates).where("year = 1996").collect())
-    new96 = sorted(tuple(r) for r in spark.read.parquet(second.rates).where("year = 1996").collect())
-    assert old96 == new96
+    table = f"{tmp_dir}/rates"
+    files = lambda: {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{table}/year=*/*.parquet")}
+    years = lambda: {r.year for r in spark.read.parquet(table).select("year").collect()}
+    first = J.refresh_measure(spark, rules=replace(CAT.GAP, years=(1996, 1997)), run_id="r1", rates_table=table, **kw)
+    before, old96 = files(), sorted(map(tuple, spark.read.parquet(table).where("year = 1996").collect()))
+    assert years() == {1996, 1997} and first.rates == table
+    assert first.counts == {"claims": i.claims.count(), "bene": i.bene.count(), "state": 25}
+    J.refresh_measure(spark, rules=replace(CAT.GAP, years=(1997, 1998)), run_id="r2", rates_table=table, **kw)
+    after = files()
+    assert years() == {1996, 1997, 1998}
+    # Only the years of the second run were written.
+    assert {f for f in before if "1996" in f} == {f for f in after if "1996" in f}
+    assert all(after[f] == t for f, t in before.items() if "year=1996" in f)
+    assert not {f for f in before if "year=1997" in f} & set(after)
+    assert old96 == sorted(map(tuple, spark.read.parquet(table).where("year = 1996").collect()))
 
 
 def test_refresh_stores_crosswalked_claims(spark, tmp_dir):
@@ -117,7 +128,9 @@ def test_refresh_stores_crosswalked_claims(spark, tmp_dir):
     assert sorted((r.CLM_ID, r.ICD10_DGNS_CODE or "") for r in cic.collect()) == want
     assert sum(code != "" for _, code in want) > 100
     from stayflow.schemas import RATE_TABLE_COLUMNS
-    assert [(f.name, f.dataType) for f in spark.read.parquet(st.rates).schema] == RATE_TABLE_COLUMNS
+    # The partition column stands last in the stored table.
+    stored = {(f.name, f.dataType) for f in spark.read.parquet(st.rates).schema}
+    assert stored == set(RATE_TABLE_COLUMNS)
     assert spark.read.parquet(st.icd10_codes).count() == i.codes.count()
 
 
