@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 from functools import lru_cache
+from itertools import chain
 
 import ahocorasick
 import regex
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 
 from .common import id_text, map_rows, sha256
 
-# Entries kept by each memo of a Python worker before it starts afresh.
+# Entries that each memo of a Python worker keeps.
 MEMO_ENTRIES = 250_000
 
 
@@ -34,6 +35,28 @@ def read_ranks(path: str) -> bytes:
         return f.read()
 
 
+class Memo:
+    """At most ``entries`` results, in two generations: what is asked for
+    moves to the young one; when that is half of all, it becomes the old one, and the
+    old one is forgotten.  So frequent words stay."""
+
+    def __init__(self, entries: int):
+        self.half, self.young, self.old = max(1, entries // 2), {}, {}
+
+    def get(self, key: str) -> tuple[int, ...] | None:
+        known = self.young.get(key)
+        if known is None:
+            known = self.old.get(key)
+            if known is not None:
+                self.put(key, known)
+        return known
+
+    def put(self, key: str, value: tuple[int, ...]) -> None:
+        if len(self.young) >= self.half:
+            self.young, self.old = {}, self.young
+        self.young[key] = value
+
+
 class Encoder:
     def __init__(self, ranks_file: bytes, pattern: str):
         pairs = [line.split() for line in ranks_file.splitlines() if line.strip()]
@@ -47,8 +70,8 @@ class Encoder:
         self.joined: dict[tuple[int, int], int] = {}
         self.shorter: dict[int, int] = {}
         self.fits_memo: dict[int, bool] = {}
-        self.piece_memo: dict[str, tuple[int, ...]] = {}
-        self.unit_memo: dict[str, tuple[int, ...]] = {}
+        self.sizes = {r: len(t) for r, t in self.bytes_of.items()}
+        self.piece_memo, self.unit_memo = Memo(MEMO_ENTRIES), Memo(MEMO_ENTRIES)
         self._build()
 
     def _build(self) -> None:
@@ -101,22 +124,21 @@ class Encoder:
                 return True
 
     def fits(self, a: int, b: int) -> bool:
-        key = a << 32 | b
-        known = self.fits_memo.get(key)
+        memo, key = self.fits_memo, a << 32 | b
+        known = memo.get(key)
         if known is None:
-            if len(self.fits_memo) >= MEMO_ENTRIES:
-                self.fits_memo.clear()
-            known = self.fits_memo[key] = self._neighbours(a, b)
+            if len(memo) >= MEMO_ENTRIES:
+                memo.clear()
+            known = memo[key] = self._neighbours(a, b)
         return known
 
     def piece(self, text: str) -> tuple[int, ...]:
         known = self.piece_memo.get(text)
         if known is None:
-            if len(self.piece_memo) >= MEMO_ENTRIES:
-                self.piece_memo.clear()
             data = text.encode()
             whole = self.ranks.get(data)
-            known = self.piece_memo[text] = (whole,) if whole is not None else tuple(self._walk(data))
+            known = (whole,) if whole is not None else tuple(self._walk(data))
+            self.piece_memo.put(text, known)
         return known
 
     def _walk(self, data: bytes) -> list[int]:
@@ -126,23 +148,28 @@ class Encoder:
             longest[end - size + 1] = rank
         open_ = bytearray(b"\x01") * (n + 1)
         ids: list[int] = []
-        at, token = 0, longest[0]
-        sizes, shorter = self.bytes_of, self.shorter
+        at, token, last = 0, longest[0], -1
+        sizes, shorter, known, fits = self.sizes, self.shorter, self.fits_memo.get, self.fits
         while True:
-            last = ids[-1] if ids else None
             while True:
-                end = at + len(sizes[token])
-                if open_[end] and (last is None or self.fits(last, token)):
+                end = at + sizes[token]
+                fit = open_[end]
+                if fit and last >= 0:
+                    fit = known(last << 32 | token)
+                    if fit is None:
+                        fit = fits(last, token)
+                if fit:
                     ids.append(token)
                     if end == n:
                         return ids
-                    at, token = end, longest[end]
+                    last, at, token = token, end, longest[end]
                     break
                 less = shorter.get(token)
                 if less is None:
                     open_[at] = 0
                     token = ids.pop()
-                    at -= len(sizes[token])
+                    at -= sizes[token]
+                    last = ids[-1] if ids else -1
                     break
                 token = less
 
@@ -163,25 +190,28 @@ class Encoder:
         units = text.split(" ")
         for p in self.find(units[0]):
             ids.extend(self.piece(p))
-        memo, extend = self.unit_memo, ids.extend
-        for u in units[1:]:
-            known = memo.get(u)
-            if known is None:
-                known = tuple(i for p in self.find(" " + u) for i in self.piece(p))
-                if len(memo) >= MEMO_ENTRIES:
-                    memo.clear()
-                if len(u) < 200:
-                    memo[u] = known
-            extend(known)
+        known = list(map(self.unit_memo.young.get, units[1:]))
+        for k, found in enumerate(known, 1):
+            if found is None:
+                known[k - 1] = self.unit(units[k])
+        ids.extend(chain.from_iterable(known))
         return ids
 
+    def unit(self, u: str) -> tuple[int, ...]:
+        """Ids of a space and the stretch after it."""
+        known = self.unit_memo.get(u)
+        if known is None:
+            found = self.find(" " + u)
+            known = self.piece(found[0]) if len(found) == 1 else tuple(i for p in found for i in self.piece(p))
+            if len(u) < 200:
+                self.unit_memo.put(u, known)
+        return known
+
     def decode(self, ids: list[int]) -> bytes:
-        of = self.bytes_of
-        return b"".join([of[i] for i in ids])
+        return b"".join(map(self.bytes_of.__getitem__, ids))
 
     def ids_text(self, ids: list[int]) -> bytes:
-        of = self.text_of
-        return ",".join([of[i] for i in ids]).encode()
+        return ",".join(map(self.text_of.__getitem__, ids)).encode()
 
 
 @lru_cache(maxsize=2)
