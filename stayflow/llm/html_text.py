@@ -32,6 +32,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -70,11 +71,26 @@ MARKS = frozenset(("article", "main"))
 _TAG = re.compile(r"<(?:!--(.*?(?:--!?>|\Z))|[!?][^>]*>|(/?)([a-zA-Z][a-zA-Z0-9:-]*)"
                   r"((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>|[^>]*>?))", re.S)
 _NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
-_WORD = re.compile(r"[a-z]+")
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+# Words that may stand beside a bad one in a name without
+# changing what it says (``left-sidebar``; not ``no-sidebar``, ``advertising-history``).
+BESIDE = frozenset("""site page main top bottom left right upper lower inner outer first last primary secondary global local
+mobile desktop sticky fixed block area section slot unit box wrap wrapper container row col column panel bar list item items
+link links button buttons icon icons group title text content body post posts entry article story view widget module the
+and for""".split())
 _SPACE = re.compile(r"[ \t\n\r\f\v   -     　\u0085]+")
 _STOPS = re.compile(r"[.,;:!?]")
 
 
+@lru_cache(maxsize=1 << 16)
+def words_of(name: str) -> frozenset[str]:
+    """Words of one class, id or role.  A bad word counts if all others in the name
+    are bad, or say only where or what part it is (BESIDE), or are single letters."""
+    words = frozenset(w.lower() for w in _WORD.findall(name))
+    others = {w for w in words - BAD - BESIDE if len(w) > 1}
+    return words - BAD if others else words
+
+
 class Page:
     """Nodes in page order (a parent before its children) and the flow of text:
     (node, text), or (node, None) where a block begins or ends."""
@@ -150,7 +166,8 @@ class Page:
     def _open(self, stack: list[int], name: str, names) -> None:
         words = {name}
         for found in names:
-            words.update(_WORD.findall("".join(found).lower()))
+            for name_ in "".join(found).split():
+                words.update(words_of(name_))
         self.tag.append(name)
         self.parent.append(stack[-1])
         self.words.append(frozenset(words))

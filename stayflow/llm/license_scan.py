@@ -50,7 +50,14 @@ FREEDOM = {"mit": 1.0, "bsd": 1.0, "isc": 1.0, "cc0": 1.0, "public-domain": 1.0,
            "mpl": 0.6, "lgpl": 0.6, "cc-by-sa": 0.5, "gpl": 0.4, "agpl": 0.3, "cc-by-nc": 0.2,
            "all-rights-reserved": 0.0}
 UNKNOWN, EXCEPTION = 0.1, 0.7
-# Identifier prefixes and their labels, longest first where one starts another.
+# Exceptions that let other works link to one under a copyleft licence.
+EXCEPTIONS = frozenset("""classpath-exception-2.0 gcc-exception-2.0 gcc-exception-3.1 llvm-exception linux-syscall-note
+autoconf-exception-2.0 autoconf-exception-3.0 bison-exception-2.2 font-exception-2.0 libtool-exception
+openjdk-assembly-exception-1.0 ocaml-lgpl-linking-exception wxwindows-exception-3.1 qt-lgpl-exception-1.1
+universal-foss-exception-1.0 u-boot-exception-2.0 freertos-exception-2.0 i2p-gpl-java-exception""".split())
+COPYLEFT = frozenset(("gpl", "lgpl", "agpl", "mpl"))
+# Identifiers and their labels, longest first where one starts another; a
+# version and the words of SUFFIX may follow.
 IDENTIFIERS = (("apache-2", "apache-2"), ("cc-by-nc", "cc-by-nc"), ("cc-by-sa", "cc-by-sa"), ("cc-by", "cc-by"),
                ("cc0", "cc0"), ("lgpl", "lgpl"), ("agpl", "agpl"), ("gpl", "gpl"), ("mpl", "mpl"), ("bsd", "bsd"),
                ("0bsd", "bsd"), ("isc", "isc"), ("mit", "mit"), ("unlicense", "public-domain"))
@@ -62,9 +69,20 @@ _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122
               for c in range(256))
 
 
+SUFFIX = re.compile(r"(?:v?\d*(?:\.\d+)*)(?:-(?:v?\d[\d.]*|only|or-later|clause|universal|patent|clear|no-attribution|nc|nd|sa"
+                    r"|igo|[a-z]{2}))*\+?")
+
+
 def label_of(identifier: str) -> str:
+    """The label of a whole identifier; of an unknown one its own name."""
     name = identifier.lower()
-    return next((label for start, label in IDENTIFIERS if name.startswith(start)), name.rstrip("+"))
+    known = (label for start, label in IDENTIFIERS if name.startswith(start) and SUFFIX.fullmatch(name, len(start)))
+    return next(known, name.rstrip("+"))
+
+
+def excepted(labels: set[str], score: float, exception: str) -> float:
+    """A known exception loosens a copyleft licence; any other changes nothing."""
+    return max(score, EXCEPTION) if exception.lower() in EXCEPTIONS and labels <= COPYLEFT else score
 
 
 class Malformed(ValueError):
@@ -117,15 +135,15 @@ def evaluate(expression: str) -> tuple[set[str], float]:
             tokens = tokens[:k]
             break
     try:
-        stack: list[tuple[set[str], float]] = []
+        stack: list[tuple[set[str], float, str]] = []
         for t in postfix(tokens):
             if t in BINDS:
-                (rl, rs), (ll, ls) = stack.pop(), stack.pop()
-                stack.append((ll, max(ls, EXCEPTION)) if t == "with"
-                             else (ll | rl, max(ls, rs) if t == "or" else min(ls, rs)))
+                (rl, rs, rt), (ll, ls, _) = stack.pop(), stack.pop()
+                stack.append((ll, excepted(ll, ls, rt), "") if t == "with"
+                             else (ll | rl, max(ls, rs) if t == "or" else min(ls, rs), ""))
             else:
-                stack.append(({label_of(t)}, FREEDOM.get(label_of(t), UNKNOWN)))
-        return stack[0]
+                stack.append(({label_of(t)}, FREEDOM.get(label_of(t), UNKNOWN), t))
+        return stack[0][:2]
     except Malformed:
         names = {label_of(t) for t in tokens if t not in "()" and t.lower() not in BINDS}
         return names, min((FREEDOM.get(x, UNKNOWN) for x in names), default=0.0)
@@ -136,7 +154,7 @@ class Scanner:
         self.automaton = ahocorasick.Automaton()
         for is_base, phrases in ((True, base), (False, more), (False, {"spdx license identifier": ""})):
             for phrase, label in phrases.items():
-                self.automaton.add_word(f" {phrase} ", (len(phrase) + 2, label, is_base))
+                self.automaton.add_word(f" {phrase} ", (phrase.count(" ") + 2, label, is_base))
         self.automaton.make_automaton()
 
     def row(self, text: str) -> tuple:
@@ -144,9 +162,11 @@ class Scanner:
         words = text.encode().translate(_FOLD).split()
         line = f" {b' '.join(words).decode('latin-1')} "
         starts, base, labels, scores, tagged = [], set(), set(), [], False
-        for end, (size, label, is_base) in self.automaton.iter(line):
+        spaces = at = 0  # before ``at``
+        for end, (own_spaces, label, is_base) in self.automaton.iter(line):
             if is_base:
-                starts.append(line.count(" ", 0, end - size + 1))
+                spaces, at = spaces + line.count(" ", at, end + 1), end + 1
+                starts.append(spaces - own_spaces)
                 base.add(label)
             if label:
                 labels.add(label)

@@ -64,11 +64,8 @@ def weak_parts(text: str, strong: list[tuple[str, int, int]]) -> list[tuple[str,
     if strong or found:
         # A bare value can only be linked to a part that is there already.
         found += [("weak", *m.span()) for m in BARE.finditer(text)]
-    return [p for p in found if not overlaps(p, strong)]
-
-
-def overlaps(part: tuple[str, int, int], spans: list[tuple[str, int, int]]) -> bool:
-    return any(part[1] < e and s < part[2] for _, s, e in spans)
+    known = Intervals(strong)
+    return [p for p in found if not known.meet(p[1], p[2])]
 
 
 class Intervals:
