@@ -14,7 +14,7 @@ from stayflow.llm import bpe, quality
 
 def test_registered():
     names = [n for n in E.queries() if n.startswith("op") and n[2:3].isdigit()]
-    assert sorted({int(n[2:].split("_")[0]) for n in names}) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted({int(n[2:].split("_")[0]) for n in names}) == list(range(1, 14)) and "pipeline" in E.queries()
     assert importlib.util.find_spec("stayflow.llm")
 
 
