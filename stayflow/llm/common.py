@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -109,10 +110,34 @@ def store(df: DataFrame, name: str, **options: str) -> tuple[DataFrame, str]:
     """``df`` as a Parquet table of the shared folder, and its path: work that
     is read again, or that a lost executor must not bring back."""
     path = scratch_path(df.sparkSession, name)
-    df.write.options(**options).parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.options(**options).parquet(path)
     return df.sparkSession.read.parquet(path), path
 
 
+def store_bucketed(df: DataFrame, name: str, buckets: int, key: str, **options: str) -> DataFrame:
+    """As ``store``, bucketed by ``key``: grouping by it needs no shuffle."""
+    path = scratch_path(df.sparkSession, name)
+    known = path.rsplit("/", 1)[-1].replace("-", "_")
+    with shuffles_dropped(df.sparkSession):
+        df.write.format("parquet").options(**options).bucketBy(buckets, key).option("path", path).saveAsTable(known)
+    return df.sparkSession.table(known)
+
+
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs inside are deleted when it ends."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def drop_stored(spark: SparkSession, path: str) -> None:
     """Delete a table that ``store`` wrote and nothing reads any more."""
     drop_folder(spark, path)

@@ -20,7 +20,10 @@ the whole vocabulary in one place.  Training: states start from the seeded
 each from its first word to its end.  In a round a chunk sends the expected
 (word, state) counts of its words to the same buckets, which add them up and
 answer each chunk with the rows of its words; what does not depend on the
-vocabulary's size (start, moves, classes) is summed over the partitions.
+vocabulary's size (start, moves, classes) is summed over the partitions.  A
+word's counts travel as shares of its largest one, in 16 bits each.  The tokens
+lie in a table bucketed by chunk, so a round does not shuffle them again, and
+what a round has shuffled is deleted when its result is written.
 Scoring: the scaled forward recursion over every whole text.
 
 Defined results: null text is the empty text (one end).  A null doc_id is not
@@ -31,15 +34,17 @@ every count is zero and the states are uniform.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
+from collections import defaultdict
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_stored, id_text, store
+from .common import drop_stored, id_text, store, store_bucketed
 
 CLASSES = 1024  # class 0: the end
 STATES = 8
@@ -47,8 +52,9 @@ ROUNDS = 5
 VIA = 0.5  # share of words that a state emits by their class
 HELD_OUT_OF, HELD_OUT = 7, 2
 CHUNK_BYTES = 12 << 20
-# Training sequences stepped over together, and steps between kept forward vectors.
-GROUP, BLOCK = 1024, 256
+# Sequences stepped over together, and steps between kept forward vectors: a
+# multiple of ``BLOCK`` with at least ``HOLD`` symbols, or all that are left.
+GROUP, BLOCK, HOLD = 4096, 128, 1 << 21
 END = b"\n"  # no word is one
 _SMOOTH = 0.1
 
@@ -69,31 +75,46 @@ def tokens(text: bytes | None) -> list[bytes]:
 
 # -- counting ---------------------------------------------------------------
 
-def chunk_words(ids: list, texts: list, buckets: int) -> tuple[list[list[bytes]], Counter, list[list[bytes]]]:
-    """Tokens of each text, training counts of the chunk's words (zero for
-    words of held-out texts only), and its words by bucket, sorted."""
-    words = [tokens(t) for t in texts]
-    counts: Counter = Counter()
-    for d, w in zip(ids, words, strict=True):
-        if not held_out(d):
-            counts.update(w)
-    for d, w in zip(ids, words, strict=True):
-        if held_out(d):
-            for x in w:
-                if x not in counts:
-                    counts[x] = 0
-    by: list[list[bytes]] = [[] for _ in range(buckets)]
-    for x in sorted(counts):
-        by[zlib.crc32(x) % buckets].append(x)
-    return words, counts, by
+class Words:
+    """Tokens of a chunk's texts as numbers of its words, which are in order of
+    bucket and bytes, and each word's training count (zero for words of held-out
+    texts only)."""
+
+    def __init__(self, ids: list, texts: list, buckets: int):
+        lengths: list[int] = []
+
+        def split():
+            for t in texts:
+                words = tokens(t)
+                lengths.append(len(words))
+                yield words
+        number: dict[bytes, int] = defaultdict(count().__next__)
+        at = np.fromiter(map(number.__getitem__, chain.from_iterable(split())), np.uint32)
+        self.held = np.array([held_out(d) for d in ids], bool)
+        self.lengths = np.array(lengths, np.int64)
+        names = list(number)
+        hash_ = np.fromiter(map(zlib.crc32, names), np.uint32, len(names))
+        by = pc.array_sort_indices(pa.array(names, pa.large_binary())).to_numpy()
+        by = by[np.argsort(hash_[by] % buckets, kind="stable")]
+        self.names, self.hash = [names[j] for j in by.tolist()], hash_[by]
+        self.bucket = (self.hash % buckets).astype(np.int64)
+        rank = np.empty(len(by), np.uint32)
+        rank[by] = np.arange(len(by), dtype=np.uint32)
+        self.at = rank[at]
+        self.counts = np.bincount(self.at[~np.repeat(self.held, self.lengths)], minlength=len(by))
+
+    def runs(self) -> list[tuple[int, int, int]]:
+        """Bucket, first word and end of each run of words."""
+        used, first = np.unique(self.bucket, return_index=True)
+        return list(zip(used.tolist(), first.tolist(), [*first[1:].tolist(), len(self.names)], strict=True))
 
 
 def ask(buckets: int):
     def run(table: pa.Table) -> pa.Table:
-        _, counts, by = chunk_words(table.column("doc_id").to_pylist(), table.column("data").to_pylist(), buckets)
+        words = Words(table.column("doc_id").to_pylist(), table.column("data").to_pylist(), buckets)
         press = zstandard.ZstdCompressor(level=3)
-        out = [(k, press.compress(b"\x20".join(w)),
-                press.compress(np.array([counts[x] for x in w], np.int64).tobytes())) for k, w in enumerate(by) if w]
+        out = [(k, press.compress(b"\x20".join(words.names[i:j])), press.compress(words.counts[i:j].tobytes()))
+               for k, i, j in words.runs()]
         chunk = table.column("chunk")[0].as_py()
         return pa.table({"chunk": pa.array([chunk] * len(out), pa.int32()),
                          "bucket": pa.array([o[0] for o in out], pa.int32()),
@@ -127,50 +148,69 @@ def add_up(table: pa.Table) -> pa.Table:
                      "numbers": pa.array(numbers, pa.binary())})
 
 
-TOLD = pa.schema([("chunk", pa.int32()), ("kind", pa.int32()), ("doc_id", pa.int64()), ("held_out", pa.bool_()),
-                  ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("log_counts", pa.float64()), ("data", pa.binary())])
-TOLD_SQL = ("chunk int, kind int, doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, "
-            "data binary")
+TOLD = pa.schema([("chunk", pa.int32()), ("kind", pa.int32()), ("place", pa.int32()), ("doc_id", pa.int64()),
+                  ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
+                  ("log_counts", pa.float64()), ("data", pa.binary())])
+TOLD_SQL = ("chunk int, kind int, place int, doc_id long, held_out boolean, n_tokens long, n_known long, "
+            "log_counts double, data binary")
 
 
 def read(buckets: int):
-    """Each text as numbers of the chunk's words (kind 0), and two rows for the
-    chunk: new members and training tokens of every class (kind 1), and its
-    words bucket by bucket (kind 2, see ``Vocabulary``)."""
+    """A row for each text (kind 0, training texts first) and rows of the chunk:
+    new members and training tokens of every class (kind 1), its words bucket
+    by bucket (kind 2, see ``Vocabulary``), and the tokens of its training texts
+    (kind 3) and held-out texts (kind 4), see ``sequences``."""
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
-        rows = []
-        if table.num_rows:
-            ids, chunk = table.column("doc_id").to_pylist(), table.column("chunk")[0].as_py()
-            words, counts, by = chunk_words(ids, table.column("data").to_pylist(), buckets)
-            open_, press = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
-            told, place = {}, {}
-            for k, c, p in zip(*(answers.column(c).to_pylist() for c in ("bucket", "counts", "numbers")), strict=True):
-                told[k], place[k] = (np.frombuffer(open_.decompress(c), np.int64),
-                                     np.frombuffer(open_.decompress(p), np.int32))
-            number = {x: j for j, x in enumerate(x for w in by for x in w)}
-            used = [k for k, w in enumerate(by) if w]
-            told = np.concatenate([told[k] for k in used])
-            count = told >> 1
-            kind = np.array([class_of(x) for x in number], np.uint16)
-            logs = np.log10(count + 1.0)
-            for d, w in zip(ids, words, strict=True):
-                at = np.array([number[x] for x in w], np.uint32)
-                # Summed in the order of the text.
-                rows.append((chunk, 0, d, held_out(d), len(w), int((count[at] > 0).sum()), float(logs[at].sum()),
-                             press.compress(at.tobytes())))
-            members = np.bincount(kind[(told & 1) > 0], minlength=CLASSES)
-            here = np.bincount(kind, [counts[x] for x in number], CLASSES)
-            rows.append((chunk, 1, *[None] * 5, np.concatenate([members, here]).astype(np.int64).tobytes()))
-            sizes = np.array([[k, len(by[k])] for k in used], np.int64)
-            data = b"".join([np.int64(len(used)).tobytes(), sizes.tobytes(), count.tobytes(),
-                             np.concatenate([place[k] for k in used]).tobytes(),
-                             np.array([zlib.crc32(x) for x in number], np.uint32).tobytes(), kind.tobytes()])
-            rows.append((chunk, 2, *[None] * 5, press.compress(data)))
-        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), TOLD, strict=True)], TOLD) \
-            if rows else TOLD.empty_table()
+        if not table.num_rows:
+            return TOLD.empty_table()
+        ids, chunk = table.column("doc_id").to_pylist(), table.column("chunk")[0].as_py()
+        words = Words(ids, table.column("data").to_pylist(), buckets)
+        open_, press = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
+        told, place = {}, {}
+        for k, c, p in zip(*(answers.column(c).to_pylist() for c in ("bucket", "counts", "numbers")), strict=True):
+            told[k], place[k] = (np.frombuffer(open_.decompress(c), np.int64),
+                                 np.frombuffer(open_.decompress(p), np.int32))
+        runs = words.runs()
+        told = np.concatenate([told[k] for k, _, _ in runs])
+        total = told >> 1
+        kind = np.array([class_of(x) for x in words.names], np.uint16)
+        logs, known, ends = np.log10(total + 1.0)[words.at], total[words.at] > 0, np.cumsum(words.lengths)
+        begin = ends - words.lengths
+        order = np.argsort(words.held, kind="stable").tolist()
+        # Logarithms are summed in the order of the text.
+        rows = [(chunk, 0, at, ids[j], bool(words.held[j]), int(words.lengths[j]), int(known[begin[j]:ends[j]].sum()),
+                 float(logs[begin[j]:ends[j]].sum()), None) for at, j in enumerate(order)]
+        members = np.bincount(kind[(told & 1) > 0], minlength=CLASSES)
+        here = np.bincount(kind, words.counts, CLASSES)
+        rows.append((chunk, 1, *[None] * 6, np.concatenate([members, here]).astype(np.int64).tobytes()))
+        sizes = np.array([[k, j - i] for k, i, j in runs], np.int64)
+        data = b"".join([np.int64(len(runs)).tobytes(), sizes.tobytes(), total.tobytes(),
+                         np.concatenate([place[k] for k, _, _ in runs]).tobytes(),
+                         words.hash.tobytes(), kind.tobytes()])
+        rows.append((chunk, 2, *[None] * 6, press.compress(data)))
+        for held, name in ((False, 3), (True, 4)):
+            mine = np.repeat(words.held, words.lengths) == held
+            rows.append((chunk, name, *[None] * 6, packed_sequences(words.lengths[words.held == held], words.at[mine])))
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), TOLD, strict=True)], TOLD)
     return run
 
 
+def packed_sequences(lengths: np.ndarray, flat: np.ndarray) -> bytes:
+    """Texts as numbers of words, the bytes of equal weight side by side."""
+    planes = flat.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(
+        np.int64(len(lengths)).tobytes() + lengths.astype(np.int64).tobytes() + planes)
+
+
+def sequences(data: bytes) -> list[np.ndarray]:
+    data = zstandard.ZstdDecompressor().decompress(data)
+    n = int(np.frombuffer(data, np.int64, 1)[0])
+    lengths = np.frombuffer(data, np.int64, n, 8)
+    planes = np.frombuffer(data, np.uint8, offset=8 + 8 * n).reshape(4, -1)
+    flat = np.ascontiguousarray(planes.T).view("<u4").ravel()
+    return np.split(flat, np.cumsum(lengths)[:-1]) if n else []
+
+
 class Vocabulary:
     """A chunk's words in order of their buckets: bucket and size of each run of
     words, and each word's training count, number in its bucket, hash and class."""
@@ -205,7 +245,7 @@ def counted(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int
     asked = by_chunk.applyInArrow(ask(buckets), "chunk int, bucket int, words binary, counts binary")
     totals = asked.groupBy("bucket").applyInArrow(add_up, "chunk int, bucket int, counts binary, numbers binary")
     told = by_chunk.cogroup(totals.groupBy("chunk")).applyInArrow(read(buckets), TOLD_SQL)
-    return store(told, "tokens", compression="zstd")[0], chunks
+    return store_bucketed(told, "tokens", chunks, "chunk", compression="zstd"), chunks
 
 
 # -- the model --------------------------------------------------------------
@@ -222,63 +262,57 @@ class Hmm:
         move = np.full((states, states), 0.1 / max(1, states - 1)) + np.eye(states) * 0.9
         return cls(np.full(states, 1.0 / states), move / move.sum(1, keepdims=True), emit / emit.sum(0))
 
+    def forward(self, group: Steps, a: np.ndarray | None, lo: int, hi: int):
+        """Symbols, state shares, scaled emissions and scales of the steps from
+        ``lo`` to ``hi``, and the last step's shares; ``a``: those before ``lo``."""
+        begin, base = group.begin, group.begin[lo]
+        at = group.flat[base:begin[hi]]
+        out = np.take(self.emit, at, axis=0).T.copy()
+        alpha, scale = np.empty_like(out), np.empty(len(at), out.dtype)
+        back, first = np.ascontiguousarray(self.move.T, out.dtype), self.start[:, None].astype(out.dtype)
+        i = 0
+        for t in range(lo, hi):
+            j = begin[t + 1] - base
+            got, c = alpha[:, i:j], scale[i:j]
+            np.multiply(back @ a[:, :j - i] if t else first, out[:, i:j], got)
+            np.add.reduce(got, 0, None, c)
+            got /= c
+            a, i = got, j
+        out /= scale
+        return at, alpha, out, scale, a.copy()
+
     def expected(self, sequences: list[np.ndarray]) -> np.ndarray:
         """Expected counts (flat: start, move, emit) over whole sequences of
-        symbols, by scaled forward and backward recursions.
+        symbols, by scaled forward and backward recursions in the emissions'
+        precision.
 
-        The forward pass keeps one vector at each block of ``BLOCK`` steps; on
-        the way back a block's vectors are made again from the one before it.
+        The forward pass keeps one vector at each block of steps; on the way
+        back a block's vectors are made again from the one before it.
         """
         k = len(self.start)
         start, pairs, emit = np.zeros(k), np.zeros((k, k)), np.zeros((k, len(self.emit)))
-        back = np.ascontiguousarray(self.move.T)
+        move = self.move.astype(self.emit.dtype)
         for group in groups(sequences):
-            live = np.array([len(s) for s in group])  # longest first
-            steps = int(live[0])
-            # Symbols by step; within a step, by sequence.
-            place = np.arange(live.sum()) - np.repeat(np.cumsum(live) - live, live)
-            flat = np.concatenate(group)[np.argsort(place, kind="stable")].astype(np.int64)
-            width = np.searchsorted(-live, -np.arange(steps), "left")
-            begin = np.concatenate([[0], np.cumsum(width)]).tolist()
-
-            def block(a, lo):
-                """Symbols, state shares and scaled emissions of the steps from ``lo`` on."""
-                hi, base = min(lo + BLOCK, steps), begin[lo]
-                at = flat[base:begin[hi]]
-                out = np.take(self.emit, at, axis=0).T.copy()
-                alpha, scale = np.empty_like(out), np.empty(len(at))
-                for t in range(lo, hi):
-                    i, j = begin[t] - base, begin[t + 1] - base
-                    got = alpha[:, i:j]
-                    if t:
-                        np.multiply(back @ a[:, :j - i], out[:, i:j], out=got)
-                    else:
-                        np.multiply(self.start[:, None], out[:, i:j], out=got)
-                    c = np.add.reduce(got, 0, out=scale[i:j])
-                    got /= c
-                    a = got
-                out /= scale
-                return at, alpha, out, a.copy()
-            kept = [None]
-            for lo in range(0, steps, BLOCK):
-                part = block(kept[-1], lo)
-                kept.append(part[3])
+            kept, part, begin = [None], None, group.begin
+            for lo, hi in group.blocks:
+                part = self.forward(group, kept[-1], lo, hi)
+                kept.append(part[4])
             kept.pop()
-            beta = np.ones((k, len(group)))
-            for lo in range((steps - 1) // BLOCK * BLOCK, -1, -BLOCK):
+            beta = np.ones((k, begin[1]), self.emit.dtype)
+            for lo, hi in reversed(group.blocks):
                 before = kept.pop()
-                at, alpha, out, _ = part or block(before, lo)
-                part, base, after = None, begin[lo], np.empty_like(alpha)
-                for t in range(min(lo + BLOCK, steps) - 1, lo - 1, -1):
+                at, alpha, out, _, _ = part or self.forward(group, before, lo, hi)
+                part, base = None, begin[lo]
+                for t in range(hi - 1, lo - 1, -1):
                     i, j = begin[t] - base, begin[t + 1] - base
                     m = j - i
-                    after[:, i:j] = beta[:, :m]
+                    ahead = beta[:, :m]
+                    alpha[:, i:j] *= ahead
                     if t:
-                        ahead = beta[:, :m] * out[:, i:j]
+                        ahead *= out[:, i:j]
                         last = before if t == lo else alpha[:, begin[t - 1] - base:]
                         pairs += last[:, :m] @ ahead.T
-                        beta[:, :m] = self.move @ ahead
-                alpha *= after
+                        ahead[:] = move @ ahead
                 if not lo:
                     start += alpha[:, :begin[1]].sum(1)
                 for s in range(k):
@@ -293,33 +327,48 @@ class Hmm:
 
     def log10(self, sequences: list[np.ndarray]) -> np.ndarray:
         """log10 probability of each whole sequence."""
-        order = sorted(range(len(sequences)), key=lambda j: -len(sequences[j]))
-        live = np.array([len(sequences[j]) for j in order])
-        total = np.zeros(len(order))
-        ends = np.cumsum(live)
-        flat = np.concatenate([sequences[j] for j in order]).astype(np.int64)
-        begin = ends - live
-        a = np.broadcast_to(self.start, (len(order), len(self.start)))
-        for t in range(int(live[0]) if len(live) else 0):
-            m = int(np.searchsorted(-live, -t, "left"))
-            a = (a if t == 0 else a[:m] @ self.move)[:m] * self.emit[flat[begin[:m] + t]]
-            c = a.sum(1)
-            a = a / c[:, None]
-            total[:m] += np.log10(c)
-        out = np.empty(len(order))
-        out[order] = total
+        out = np.zeros(len(sequences))
+        for group in groups(sequences):
+            total, a = np.zeros(group.begin[1]), None
+            for lo, hi in group.blocks:
+                _, _, _, scale, a = self.forward(group, a, lo, hi)
+                total += np.bincount(group.who(lo, hi), np.log10(scale), len(total))
+            out[group.order] = total
         return out
 
 
+class Steps:
+    """Sequences side by side, longest first: symbols by step, within a step by
+    sequence."""
+
+    def __init__(self, sequences: list[np.ndarray], order: list[int]):
+        self.order = order
+        live = np.array([len(sequences[j]) for j in order])
+        steps = int(live[0])
+        width = np.searchsorted(-live, -np.arange(steps), "left")
+        begin = np.concatenate([[0], np.cumsum(width)])
+        place = np.arange(live.sum()) - np.repeat(np.cumsum(live) - live, live)
+        self.flat = np.empty(len(place), np.int64)
+        self.flat[begin[place] + np.repeat(np.arange(len(live)), live)] = np.concatenate([sequences[j] for j in order])
+        self.begin, self.blocks, lo = begin.tolist(), [], 0
+        while lo < steps:
+            hi = min(lo + BLOCK, steps)
+            while hi < steps and self.begin[hi] - self.begin[lo] < HOLD:
+                hi = min(hi + BLOCK, steps)
+            self.blocks.append((lo, hi))
+            lo = hi
+
+    def who(self, lo: int, hi: int) -> np.ndarray:
+        """Sequence of each symbol of the steps from ``lo`` to ``hi``."""
+        begin = np.array(self.begin[lo:hi + 1])
+        return np.arange(begin[0], begin[-1]) - np.repeat(begin[:-1], np.diff(begin))
+
+
 def groups(sequences: list[np.ndarray]):
     """The sequences, longest first, a bounded number at a time."""
-    order = sorted(sequences, key=len, reverse=True)
+    order = sorted(range(len(sequences)), key=lambda j: -len(sequences[j]))
     for a in range(0, len(order), GROUP):
-        yield order[a:a + GROUP]
-
-
-def sequence(data: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint32)
+        yield Steps(sequences, order[a:a + GROUP])
 
 
 # -- rounds over all chunks ----------------------------------------------------
@@ -355,26 +404,32 @@ class Model:
 
 
 def packed(rows: np.ndarray) -> bytes:
-    """(word, state) counts, the bytes of equal weight side by side."""
-    flat = np.ascontiguousarray(rows, np.float32).view(np.uint8).reshape(-1, 4)
-    return zstandard.ZstdCompressor(level=1).compress(flat.T.tobytes())
+    """(word, state) counts: each word's largest, and the others as shares of it
+    in 16 bits; the bytes of equal weight side by side."""
+    most = rows.max(1).astype(np.float32)
+    share = np.rint(rows * (65535 / np.where(most > 0, most, 1))[:, None]).astype("<u2")
+    return zstandard.ZstdCompressor(level=1).compress(
+        b"".join(x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes() for x in (most, share.ravel())))
 
 
 def unpacked(data: bytes, states: int) -> np.ndarray:
-    flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(flat.T).view(np.float32).reshape(-1, states)
+    flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    n = len(flat) // (4 + 2 * states)
+    most = np.ascontiguousarray(flat[:4 * n].reshape(4, -1).T).view(np.float32)
+    share = np.ascontiguousarray(flat[4 * n:].reshape(2, -1).T).view("<u2").reshape(-1, states)
+    return share * (most / 65535.0)
 
 
 def of_chunk(told: pa.Table, answers: pa.Table | None, model: Model):
-    """Texts of the chunk, its words, and what ``Model.ways`` says of them."""
-    is_text = np.array(told.column("kind").to_pylist()) == 0
-    texts = told.filter(pa.array(is_text))
-    words = Vocabulary(told.filter(pa.array(~is_text)).column("data")[0].as_py())
+    """Data of the chunk's rows by kind, its words, and what ``Model.ways`` says
+    of them."""
+    data = dict(zip(told.column("kind").to_pylist(), told.column("data").to_pylist(), strict=True))
+    words = Vocabulary(data[2])
     direct = None
     if answers is not None:
         got = dict(zip(answers.column("bucket").to_pylist(), answers.column("counts").to_pylist(), strict=True))
-        direct = np.concatenate([unpacked(got[b], len(model.total)) for b, _ in words.runs]).astype(float)
-    return texts, words, *model.ways(words, direct)
+        direct = np.concatenate([unpacked(got[b], len(model.total)) for b, _ in words.runs])
+    return data, words, *model.ways(words, direct)
 
 
 SENT_SQL = "bucket int, chunk int, numbers binary, counts binary"
@@ -388,14 +443,13 @@ def expect(sent, buckets: int):
         if not told.num_rows:
             return SENT.empty_table()
         model, chunk = sent.value, told.column("chunk")[0].as_py()
-        texts, words, emit, part = of_chunk(told, answers, model)
+        data, words, emit, part = of_chunk(told, answers, model)
         k = len(model.total)
         if answers is None:
             seeded = words.seeded(k)
             emit += part * (seeded - 1)
             part *= seeded
-        counts = Hmm(model.hmm.start, model.hmm.move, emit).expected(
-            [sequence(d) for d in texts.column("data").to_pylist()])
+        counts = Hmm(model.hmm.start, model.hmm.move, emit.astype(np.float32)).expected(sequences(data[3]))
         rest, both = counts[:k + k * k], counts[k + k * k:].reshape(-1, k)
         part /= emit
         part *= both
@@ -439,9 +493,9 @@ def forward(sent):
         if not told.num_rows:
             return SCORED.empty_table()
         model = sent.value
-        texts, _, emit, _ = of_chunk(told, answers, model)
-        got = Hmm(model.hmm.start, model.hmm.move, emit).log10(
-            [sequence(d) for d in texts.column("data").to_pylist()])
+        data, _, emit, _ = of_chunk(told, answers, model)
+        got = Hmm(model.hmm.start, model.hmm.move, emit).log10(sequences(data[3]) + sequences(data[4]))
+        texts = told.filter(pc.equal(told.column("kind"), 0)).sort_by("place")
         return texts.select(names).append_column("score", pa.array(got)).cast(SCORED)
     return run
 
@@ -482,23 +536,21 @@ def score(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, id_col: s
     answers = path = None
 
     def with_answers(rows, make, schema):
-        by_chunk = told.where(rows).repartition(chunks, "chunk").groupBy("chunk")
+        by_chunk = told.where(rows).groupBy("chunk")
         if answers is None:
             return by_chunk.applyInArrow(lambda t: make(t), schema)
-        return by_chunk.cogroup(answers.where("chunk IS NOT NULL").groupBy("chunk")).applyInArrow(make, schema)
+        mine = answers.where("chunk IS NOT NULL").repartition(chunks, "chunk")
+        return by_chunk.cogroup(mine.groupBy("chunk")).applyInArrow(make, schema)
     for _ in range(rounds if n else 0):
         sent = spark.sparkContext.broadcast(model)
-        step = with_answers("kind = 2 OR kind = 0 AND NOT held_out", expect(sent, chunks), SENT_SQL)
+        step = with_answers("kind IN (2, 3)", expect(sent, chunks), SENT_SQL)
         step = step.groupBy("bucket").applyInArrow(add_up_states(states), "chunk int, bucket int, counts binary")
         before, (answers, path) = path, store(step, "states")
         if before:
             drop_stored(spark, before)
-        # The round's shuffle files go when the driver has forgotten its plan.
-        del step
-        spark.sparkContext._jvm.System.gc()
         model = model.updated(summed(answers.where("chunk IS NULL").select("counts"), lambda rb: np.sum(
             [np.frombuffer(d) for d in rb.column(0).to_pylist()], 0)))
-    scored = with_answers("kind = 2 OR kind = 0", forward(spark.sparkContext.broadcast(model)), SCORED_SQL)
+    scored = with_answers("kind <> 1", forward(spark.sparkContext.broadcast(model)), SCORED_SQL)
     unit = float(np.log10(n + v + 1))
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
                          (F.col("log_counts") - F.col("n_tokens") * F.lit(unit)).alias("base_score"), "score")

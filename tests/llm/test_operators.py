@@ -184,8 +184,10 @@ def test_baum_welch_counts_and_likelihood():
     assert model.log10(seqs).sum() > before
 
 
-def test_baum_welch_counts_whole_long_texts():
+@pytest.mark.parametrize("hold", [1, 1 << 17])
+def test_baum_welch_counts_whole_long_texts(hold, monkeypatch):
     import numpy as np
+    monkeypatch.setattr(hmm, "HOLD", hold)
     rng = np.random.default_rng(3)
     lengths = (1, 2, hmm.BLOCK - 1, hmm.BLOCK, hmm.BLOCK + 1, 2 * hmm.BLOCK, 1300)
     seqs = [rng.integers(0, 30, n).astype(np.uint16) for n in lengths]
