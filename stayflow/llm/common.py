@@ -115,13 +115,18 @@ def store(df: DataFrame, name: str, **options: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.parquet(path), path
 
 
-def store_bucketed(df: DataFrame, name: str, buckets: int, key: str, **options: str) -> DataFrame:
+def store_bucketed(df: DataFrame, name: str, buckets: int, key: str, **options: str) -> tuple[DataFrame, str]:
     """As ``store``, bucketed by ``key``: grouping by it needs no shuffle."""
     path = scratch_path(df.sparkSession, name)
-    known = path.rsplit("/", 1)[-1].replace("-", "_")
+    known = table_of(path)
     with shuffles_dropped(df.sparkSession):
         df.write.format("parquet").options(**options).bucketBy(buckets, key).option("path", path).saveAsTable(known)
-    return df.sparkSession.table(known)
+    return df.sparkSession.table(known), path
+
+
+def table_of(path: str) -> str:
+    """Name that ``store_bucketed`` gives to the table of a folder."""
+    return path.rsplit("/", 1)[-1].replace("-", "_")
 
 
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -139,7 +144,9 @@ def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
 
 
 def drop_stored(spark: SparkSession, path: str) -> None:
-    """Delete a table that ``store`` wrote and nothing reads any more."""
+    """Delete a table that ``store`` or ``store_bucketed`` wrote and nothing
+    reads any more."""
+    spark.sql(f"DROP TABLE IF EXISTS {table_of(path)}")
     drop_folder(spark, path)
 
 

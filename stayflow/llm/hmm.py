@@ -33,6 +33,7 @@ every count is zero and the states are uniform.
 
 from __future__ import annotations
 
+import io
 import zlib
 from collections import defaultdict
 from itertools import chain, count
@@ -56,6 +57,7 @@ CHUNK_BYTES = 12 << 20
 # multiple of ``BLOCK`` with at least ``HOLD`` symbols, or all that are left.
 GROUP, BLOCK, HOLD = 4096, 128, 1 << 21
 END = b"\n"  # no word is one
+META, TRAIN, HELD = -1, -2, -3
 _SMOOTH = 0.1
 
 
@@ -69,6 +71,24 @@ def class_of(word: bytes) -> int:
     return 1 + zlib.crc32(word[-3:] + bytes([min(len(word), 6)])) % (CLASSES - 1)
 
 
+def classes_of(words: list[bytes]) -> np.ndarray:
+    """``class_of`` of each word."""
+    packed_ = pa.array(words, pa.large_binary())
+    ends = np.frombuffer(packed_.buffers()[1], np.int64, len(words) + 1)
+    length, ends = np.diff(ends), ends[1:]
+    out = np.zeros(len(words), np.uint16)
+    for j in np.flatnonzero(length < 3).tolist():
+        out[j] = class_of(words[j])
+    long = np.flatnonzero(length >= 3)
+    data, crc = np.frombuffer(packed_.buffers()[2], np.uint8), np.full(len(long), 0xFFFFFFFF, np.uint32)
+    for byte in (*(data[ends[long] - j] for j in (3, 2, 1)), np.minimum(length[long], 6)):
+        crc ^= byte.astype(np.uint32)
+        for _ in range(8):
+            crc = crc >> np.uint32(1) ^ np.uint32(0xEDB88320) * (crc & np.uint32(1))
+    out[long] = 1 + ~crc % (CLASSES - 1)
+    return out
+
+
 def tokens(text: bytes | None) -> list[bytes]:
     return [*(text or b"").lower().split(), END]
 
@@ -110,11 +130,24 @@ class Words:
 
 
 def ask(buckets: int):
+    """A chunk's words and counts for each bucket, and rows for the chunk itself
+    (buckets below zero): texts and words (``META``), tokens of its training
+    texts (``TRAIN``) and of its held-out texts (``HELD``)."""
     def run(table: pa.Table) -> pa.Table:
-        words = Words(table.column("doc_id").to_pylist(), table.column("data").to_pylist(), buckets)
+        ids = table.column("doc_id").to_pylist()
+        words = Words(ids, table.column("data").to_pylist(), buckets)
         press = zstandard.ZstdCompressor(level=3)
         out = [(k, press.compress(b"\x20".join(words.names[i:j])), press.compress(words.counts[i:j].tobytes()))
                for k, i, j in words.runs()]
+        order = np.argsort(words.held, kind="stable")  # training texts first
+        file = io.BytesIO()
+        np.savez(file, ids=np.array([ids[j] or 0 for j in order], np.int64), null=[ids[j] is None for j in order],
+                 held=words.held[order], lengths=words.lengths[order], runs=np.array(words.runs(), np.int64),
+                 hash=words.hash, kind=classes_of(words.names), counts=words.counts)
+        out.append((META, press.compress(file.getvalue()), None))
+        for held, name in ((False, TRAIN), (True, HELD)):
+            mine = np.repeat(words.held, words.lengths) == held
+            out.append((name, packed_sequences(words.lengths[words.held == held], words.at[mine]), None))
         chunk = table.column("chunk")[0].as_py()
         return pa.table({"chunk": pa.array([chunk] * len(out), pa.int32()),
                          "bucket": pa.array([o[0] for o in out], pa.int32()),
@@ -155,44 +188,37 @@ TOLD_SQL = ("chunk int, kind int, place int, doc_id long, held_out boolean, n_to
             "log_counts double, data binary")
 
 
-def read(buckets: int):
+def read(mine: pa.Table, answers: pa.Table) -> pa.Table:
     """A row for each text (kind 0, training texts first) and rows of the chunk:
     new members and training tokens of every class (kind 1), its words bucket
     by bucket (kind 2, see ``Vocabulary``), and the tokens of its training texts
     (kind 3) and held-out texts (kind 4), see ``sequences``."""
-    def run(table: pa.Table, answers: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return TOLD.empty_table()
-        ids, chunk = table.column("doc_id").to_pylist(), table.column("chunk")[0].as_py()
-        words = Words(ids, table.column("data").to_pylist(), buckets)
-        open_, press = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
-        told, place = {}, {}
-        for k, c, p in zip(*(answers.column(c).to_pylist() for c in ("bucket", "counts", "numbers")), strict=True):
-            told[k], place[k] = (np.frombuffer(open_.decompress(c), np.int64),
-                                 np.frombuffer(open_.decompress(p), np.int32))
-        runs = words.runs()
-        told = np.concatenate([told[k] for k, _, _ in runs])
-        total = told >> 1
-        kind = np.array([class_of(x) for x in words.names], np.uint16)
-        logs, known, ends = np.log10(total + 1.0)[words.at], total[words.at] > 0, np.cumsum(words.lengths)
-        begin = ends - words.lengths
-        order = np.argsort(words.held, kind="stable").tolist()
-        # Logarithms are summed in the order of the text.
-        rows = [(chunk, 0, at, ids[j], bool(words.held[j]), int(words.lengths[j]), int(known[begin[j]:ends[j]].sum()),
-                 float(logs[begin[j]:ends[j]].sum()), None) for at, j in enumerate(order)]
-        members = np.bincount(kind[(told & 1) > 0], minlength=CLASSES)
-        here = np.bincount(kind, words.counts, CLASSES)
-        rows.append((chunk, 1, *[None] * 6, np.concatenate([members, here]).astype(np.int64).tobytes()))
-        sizes = np.array([[k, j - i] for k, i, j in runs], np.int64)
-        data = b"".join([np.int64(len(runs)).tobytes(), sizes.tobytes(), total.tobytes(),
-                         np.concatenate([place[k] for k, _, _ in runs]).tobytes(),
-                         words.hash.tobytes(), kind.tobytes()])
-        rows.append((chunk, 2, *[None] * 6, press.compress(data)))
-        for held, name in ((False, 3), (True, 4)):
-            mine = np.repeat(words.held, words.lengths) == held
-            rows.append((chunk, name, *[None] * 6, packed_sequences(words.lengths[words.held == held], words.at[mine])))
-        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), TOLD, strict=True)], TOLD)
-    return run
+    if not mine.num_rows:
+        return TOLD.empty_table()
+    chunk, open_ = mine.column("chunk")[0].as_py(), zstandard.ZstdDecompressor()
+    data = dict(zip(mine.column("bucket").to_pylist(), mine.column("words").to_pylist(), strict=True))
+    texts = np.load(io.BytesIO(open_.decompress(data[META])))
+    told, place = {}, {}
+    for k, c, p in zip(*(answers.column(c).to_pylist() for c in ("bucket", "counts", "numbers")), strict=True):
+        told[k], place[k] = open_.decompress(c), open_.decompress(p)
+    runs, kind = texts["runs"], texts["kind"]
+    used = runs[:, 0].tolist()
+    told = np.frombuffer(b"".join(told[k] for k in used), np.int64)
+    total = told >> 1
+    at, logs = sequences(data[TRAIN]) + sequences(data[HELD]), np.log10(total + 1.0)
+    # Logarithms are summed in the order of the text.
+    rows = [(chunk, 0, j, None if null else d, held, n, int((total[w] > 0).sum()), float(logs[w].sum()), None)
+            for j, (d, null, held, n, w) in enumerate(zip(
+                *(texts[c].tolist() for c in ("ids", "null", "held", "lengths")), at, strict=True))]
+    members = np.bincount(kind[(told & 1) > 0], minlength=CLASSES)
+    here = np.bincount(kind, texts["counts"], CLASSES)
+    rows.append((chunk, 1, *[None] * 6, np.concatenate([members, here]).astype(np.int64).tobytes()))
+    sizes = np.stack([runs[:, 0], runs[:, 2] - runs[:, 1]], 1)
+    words = b"".join([np.int64(len(used)).tobytes(), sizes.tobytes(), total.tobytes(),
+                      b"".join(place[k] for k in used), texts["hash"].tobytes(), kind.tobytes()])
+    rows.append((chunk, 2, *[None] * 6, zstandard.ZstdCompressor(level=1).compress(words)))
+    rows += [(chunk, 3, *[None] * 6, data[TRAIN]), (chunk, 4, *[None] * 6, data[HELD])]
+    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), TOLD, strict=True)], TOLD)
 
 
 def packed_sequences(lengths: np.ndarray, flat: np.ndarray) -> bytes:
@@ -239,13 +265,16 @@ def counted(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int
     size = texts.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     chunks = max(1, -(-size // CHUNK_BYTES))
     buckets = chunks
-    # Both uses read one shuffle of the texts (a reused exchange).
     by_chunk = texts.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "data"), F.lit(chunks)).cast("int")).repartition(
         chunks, "chunk").groupBy("chunk")
-    asked = by_chunk.applyInArrow(ask(buckets), "chunk int, bucket int, words binary, counts binary")
-    totals = asked.groupBy("bucket").applyInArrow(add_up, "chunk int, bucket int, counts binary, numbers binary")
-    told = by_chunk.cogroup(totals.groupBy("chunk")).applyInArrow(read(buckets), TOLD_SQL)
-    return store_bucketed(told, "tokens", chunks, "chunk", compression="zstd"), chunks
+    asked, path = store_bucketed(by_chunk.applyInArrow(ask(buckets), "chunk int, bucket int, words binary, counts binary"),
+                                 "words", chunks, "chunk")
+    totals = asked.where("bucket >= 0").groupBy("bucket").applyInArrow(
+        add_up, "chunk int, bucket int, counts binary, numbers binary").repartition(chunks, "chunk")
+    told = asked.where("bucket < 0").groupBy("chunk").cogroup(totals.groupBy("chunk")).applyInArrow(read, TOLD_SQL)
+    told, _ = store_bucketed(told, "tokens", chunks, "chunk")
+    drop_stored(docs.sparkSession, path)
+    return told, chunks
 
 
 # -- the model --------------------------------------------------------------
@@ -406,8 +435,10 @@ class Model:
 def packed(rows: np.ndarray) -> bytes:
     """(word, state) counts: each word's largest, and the others as shares of it
     in 16 bits; the bytes of equal weight side by side."""
-    most = rows.max(1).astype(np.float32)
-    share = np.rint(rows * (65535 / np.where(most > 0, most, 1))[:, None]).astype("<u2")
+    rows = rows.astype(np.float32)
+    most = np.maximum.reduce(np.ascontiguousarray(rows.T))
+    rows *= (65535 / np.where(most > 0, most, 1))[:, None]
+    share = np.rint(rows, rows).astype("<u2")
     return zstandard.ZstdCompressor(level=1).compress(
         b"".join(x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes() for x in (most, share.ravel())))
 
@@ -417,7 +448,7 @@ def unpacked(data: bytes, states: int) -> np.ndarray:
     n = len(flat) // (4 + 2 * states)
     most = np.ascontiguousarray(flat[:4 * n].reshape(4, -1).T).view(np.float32)
     share = np.ascontiguousarray(flat[4 * n:].reshape(2, -1).T).view("<u2").reshape(-1, states)
-    return share * (most / 65535.0)
+    return share * (most / np.float32(65535))
 
 
 def of_chunk(told: pa.Table, answers: pa.Table | None, model: Model):

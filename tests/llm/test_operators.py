@@ -233,6 +233,22 @@ def test_states_are_trained_on_every_text(spark):
         assert sum(abs(other[k]["score"] - base[k]["score"]) > 1e-7 for k in base if k != changed) > 400
 
 
+def test_classes_of_many_words():
+    words = [hmm.END, b"a", b"ab", b"abc", "größe".encode(), b"\xff\x00\x80", b"x" * 300, *(b"%d" % j for j in range(2000))]
+    assert hmm.classes_of(words).tolist() == [hmm.class_of(w) for w in words]
+    assert hmm.classes_of([hmm.END]).tolist() == [0]
+
+
+def test_counts_travel_within_16_bits_of_the_largest():
+    import numpy as np
+    rng = np.random.default_rng(4)
+    rows = rng.gamma(0.2, 50, (500, hmm.STATES))
+    rows[3] = 0
+    got = hmm.unpacked(hmm.packed(rows), hmm.STATES)
+    assert np.all(np.abs(got - rows) <= rows.max(1, keepdims=True) / 100_000)
+    assert hmm.unpacked(hmm.packed(rows[:0]), hmm.STATES).shape == (0, hmm.STATES)
+
+
 def test_states_tell_words_of_one_class_apart(spark):
     assert hmm.class_of(b"rising") == hmm.class_of(b"boxing")
     out = [d for d in range(2000) if hmm.held_out(d)][:2]
