@@ -45,7 +45,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_stored, id_text, store, store_bucketed
+from .common import drop_stored, id_text, shuffles_dropped, store, store_bucketed
 
 CLASSES = 1024  # class 0: the end
 STATES = 8
@@ -576,7 +576,8 @@ def score(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, id_col: s
         sent = spark.sparkContext.broadcast(model)
         step = with_answers("kind IN (2, 3)", expect(sent, chunks), SENT_SQL)
         step = step.groupBy("bucket").applyInArrow(add_up_states(states), "chunk int, bucket int, counts binary")
-        before, (answers, path) = path, store(step, "states")
+        with shuffles_dropped(spark):
+            before, (answers, path) = path, store(step, "states")
         if before:
             drop_stored(spark, before)
         model = model.updated(summed(answers.where("chunk IS NULL").select("counts"), lambda rb: np.sum(
