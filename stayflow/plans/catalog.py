@@ -356,7 +356,7 @@ def _refresh_state_rates(i: Inputs) -> DataFrame:
 
 
 def _stream_ingest_claims(i: Inputs) -> DataFrame:
-    src = X.write_csv_extract(_claims_extract(i), files=4)
+    src = X.write_csv_extract(_claims_extract(i))
     table = scratch_path(i.spark, "ingested-claims")
     q = IN.ingest_claims(i.spark, src, table, available_now=True)
     q.awaitTermination()
