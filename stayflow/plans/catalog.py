@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import jobs as J
 from ..functions.codes import code_absent
+from ..functions.wide import in_small_methods
 from ..operators import bitmaps as BM
 from ..operators import codes as K
 from ..operators import feeds as FD
@@ -303,7 +304,7 @@ def _spoilt_claims(i: Inputs) -> FL.Checked:
     spoilt = _claims_extract(i).withColumns({
         "CLM_ADMSN_DT": F.when(n % 7 == 0, "20080431").otherwise(F.col("CLM_ADMSN_DT")),
         "CLM_PMT_AMT": F.when(n % 11 == 0, "12,50").otherwise(F.col("CLM_PMT_AMT")),
-        "CLM_UTLZTN_DAY_CNT": F.when(n % 13 == 0, "ten").otherwise(F.col("CLM_UTLZTN_DAY_CNT"))})
+        "CLM_UTLZTN_DAY_CNT": in_small_methods(F.when(n % 13 == 0, "ten").otherwise(F.col("CLM_UTLZTN_DAY_CNT")))})
     return FL.load_checked(i.spark, X.write_csv_extract(spoilt), CLAIM_COLUMNS, keys=["CLM_ID"])
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import SOURCE_DATE_FORMAT
+from ..functions.wide import in_small_methods
 from ..schemas import BENEFICIARY_COLUMNS, CLAIM_COLUMNS, STATE_COLUMNS
 from ..session import scratch_path
 
@@ -30,8 +31,9 @@ def to_extract_frame(df: DataFrame, layout, mapping: Mapping[str, Column]) -> Da
     cols = []
     for name, dtype in layout:
         expr = mapping.get(name)
-        cols.append((_text(expr, dtype.typeName()) if expr is not None else F.lit(None).cast("string")).alias(name))
-    return df.select(*cols)
+        cols.append(_text(expr, dtype.typeName()) if expr is not None else F.lit(None).cast("string"))
+    cols[-1] = in_small_methods(cols[-1])
+    return df.select(*[c.alias(name) for c, (name, _) in zip(cols, layout, strict=True)])
 
 
 def write_csv_extract(df: DataFrame, path: str | None = None, files: int | None = None) -> str:

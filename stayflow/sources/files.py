@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import blank_to_null, parse_date
+from ..functions.wide import in_small_methods
 from ..schemas import BENEFICIARY_COLUMNS, CLAIM_COLUMNS, STATE_COLUMNS
 from ..session import materialize
 
@@ -94,7 +95,8 @@ def typed_projection(df: DataFrame, columns: Iterable[tuple[str, T.DataType]],
     missing = [n for n, _ in columns if n not in df.columns]
     if missing:
         raise ValueError(f"source lacks declared columns: {missing}")
-    return df.select(*[typed(n, t, on_error) for n, t in columns])
+    *head, last = [typed(n, t, on_error) for n, t in columns]
+    return df.select(*head, in_small_methods(last).alias(columns[-1][0]))
 
 
 @dataclass(frozen=True)
@@ -130,21 +132,25 @@ def load_checked(spark: SparkSession, path: str | Sequence[str], columns: Iterab
                 .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
                 .option("pathGlobFilter", "*.csv").csv(_paths(path)))
 
-    def misfit(name: str, dtype: T.DataType) -> Column | None:
-        if isinstance(dtype, T.StringType):
-            return None
-        text = blank_to_null(F.col(f"`{name}`"))
-        bad = text.isNotNull() & typed(name, dtype, on_error="null").isNull()
-        return F.when(bad, F.struct(F.lit(name).alias("column"), F.col(f"`{name}`").alias("value")))
-    tests = [m for m in (misfit(n, t) for n, t in columns) if m is not None]
+    # Each value is typed once: the tests read what the first projection made.
+    names = {n: f"__typed{k}" for k, (n, t) in enumerate(columns) if not isinstance(t, T.StringType)}
+    parsed = raw.select(
+        in_small_methods(F.col("_metadata.file_path")).alias("__file"), "*",
+        *[typed(n, t, on_error="null").alias(names[n]) for n, t in columns if n in names])
+
+    def misfit(name: str) -> Column:
+        text = F.col(f"`{name}`")
+        bad = (F.trim(text) != "") & F.col(names[name]).isNull()
+        return F.when(bad, F.struct(F.lit(name).alias("column"), text.alias("value")))
+    tests = [misfit(n) for n in names] or [F.lit(None).cast("struct<column:string,value:string>")]
     line = F.when(F.col(CORRUPT).isNotNull(), F.array(F.struct(F.lit(None).cast("string").alias("column"),
                                                                F.col(CORRUPT).alias("value"))))
     misfits = F.coalesce(line, F.filter(F.array(*tests), lambda m: m.isNotNull()))
-    staged = materialize(raw.select(
-        F.col("_metadata.file_path").alias("__file"), misfits.alias("__misfits"),
+    staged = materialize(parsed.select(
+        "__file", misfits.alias("__misfits"),
         F.struct(*[F.col(f"`{k}`").alias(k) for k in keys] or [F.lit(None).cast("string").alias("none")]).alias("__keys"),
-        F.struct(*[typed(n, t, on_error="null") for n, t in columns]).alias("__row")), "checked-load")
-    good = staged.where(F.size("__misfits") == 0).select("__row.*")
+        *[F.col(f"`{names.get(n, n)}`").alias(n) for n, _ in columns]), "checked-load")
+    good = staged.where(F.size("__misfits") == 0).select(*[f"`{n}`" for n, _ in columns])
     rejected = (staged.where(F.size("__misfits") > 0)
                       .select(F.col("__file").alias("file"), *[F.col(f"__keys.{k}").alias(k) for k in keys],
                               F.explode("__misfits").alias("m")).select("file", *keys, "m.column", "m.value"))

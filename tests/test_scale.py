@@ -4,6 +4,8 @@ one value's share of them."""
 from conftest import SF0001
 
 from stayflow.plans import catalog as CAT
+from stayflow.sources import extracts as X
+from stayflow.sources import files as FL
 from stayflow.streaming import ingest as IN
 
 
@@ -23,3 +25,18 @@ def test_stream_extract_has_as_many_files_as_tasks(spark, monkeypatch):
             return i.claims.repartition(7)
     n = CAT._stream_ingest_claims(Spread(spark, SF0001)).count()
     assert seen == [7] and n == i.claims.count()
+
+
+def test_wide_projections_stay_out_of_whole_stage_code(spark):
+    i = CAT.Inputs(spark, SF0001)
+    extract = CAT._claims_extract(i)
+    assert "*" not in top_project(extract)
+    assert "*" not in top_project(FL.load_claims(spark, X.write_csv_extract(extract)))
+
+
+def top_project(df):
+    """The first projection of a plan that ran, with its mark of whole-stage code."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan ==")[0].splitlines()
+    return next(x for x in lines if "Project [" in x).split("Project [")[0]
