@@ -20,11 +20,13 @@ def with_icd10(claims: DataFrame, xwalk_min: DataFrame, c: ClaimCols = ClaimCols
     """All claim columns plus ``c.icd10`` mapped from the principal diagnosis.
 
     The crosswalk side is pre-aggregated to one row per ICD-9 code, so the
-    left join never multiplies claims; its size is bounded by the code system
-    and AQE turns the join into a broadcast once it has measured it.
+    left join never multiplies claims; its size is bounded by the code system and it
+    is broadcast: a shuffle of the claims by code would bring those of a frequent
+    code (and those without one) into one task.
     """
-    xw = xwalk_min.select(F.col(icd9).alias("__icd9"), F.col(icd10).alias(c.icd10))
-    return (claims.join(xw, F.col(c.dx1) == F.col("__icd9"), "left").drop("__icd9"))
+    more = [x for x in xwalk_min.columns if x not in (icd9, icd10)]
+    xw = xwalk_min.select(F.col(icd9).alias("__icd9"), F.col(icd10).alias(c.icd10), *more)
+    return claims.join(F.broadcast(xw), F.col(c.dx1) == F.col("__icd9"), "left").drop("__icd9")
 
 
 def claims_icd10(claims: DataFrame, xwalk: DataFrame, c: ClaimCols = ClaimCols(), *,
@@ -73,19 +75,19 @@ def cohorts_of_codes(codes: DataFrame, code: str, prefixes: DataFrame, prefix: s
 
 def cohort_by_prefixes(df: DataFrame, code: str, prefixes: DataFrame, prefix: str = "prefix") -> DataFrame:
     """Rows of ``df`` whose code starts with one of the prefixes: a semi join
-    with the distinct codes that do (a broadcast once AQE has measured them)."""
+    with the distinct codes that do (broadcast: no more than the code system has)."""
     found = cohorts_of_codes(df, code, prefixes, prefix).select(F.col(code).alias("__match"))
-    return df.join(found, F.col(code) == F.col("__match"), "left_semi")
+    return df.join(F.broadcast(found), F.col(code) == F.col("__match"), "left_semi")
 
 
 def with_cohorts(df: DataFrame, code: str, prefixes: DataFrame, prefix: str = "prefix", cohort: str = COHORT,
                  out: str = "cohorts") -> DataFrame:
     """``df`` with the array of the cohorts that its code belongs to (empty if
-    none): no row is multiplied."""
+    none): no row is multiplied, and none moves (the codes are broadcast)."""
     of = cohorts_of_codes(df, code, prefixes, prefix, cohort).groupBy(F.col(code).alias("__match")).agg(
         F.sort_array(F.collect_set(COHORT)).alias(out))
     kind = of.schema[out].dataType
-    joined = df.join(of, F.col(code) == F.col("__match"), "left").drop("__match")
+    joined = df.join(F.broadcast(of), F.col(code) == F.col("__match"), "left").drop("__match")
     return joined.withColumn(out, F.coalesce(out, F.array().cast(kind)))
 
 

@@ -255,20 +255,24 @@ def rates_for_cohorts(claims: DataFrame, xwalk_min: DataFrame | None, bene: Data
     cohort.  The work grows with claims x cohorts inside the tasks, not in shuffles;
     take batches of cohorts where they are hundreds.
     """
-    src = claims if xwalk_min is None else with_icd10(claims, xwalk_min, c, icd9=icd9, icd10=icd10)
     if prefixes is not None:
-        src = with_cohorts(src, c.icd10, prefixes, out="__cohorts")
-        member = {n: F.array_contains("__cohorts", F.lit(n)) for n in names or ()}
-        extra = [c.icd10, "__cohorts"]
+        # The cohorts come with the code, from the crosswalk, where there is one:
+        # the claims' codes are among its targets, so the claims are read once.
+        if xwalk_min is not None:
+            xw = with_cohorts(xwalk_min, icd10, prefixes, out="__cohorts")
+            src = with_icd10(claims, xw, c, icd9=icd9, icd10=icd10)
+        else:
+            src = with_cohorts(claims, c.icd10, prefixes, out="__cohorts")
+        member = {n: F.coalesce(F.array_contains("__cohorts", F.lit(n)), F.lit(False)) for n in names or ()}
     else:
+        src = claims if xwalk_min is None else with_icd10(claims, xwalk_min, c, icd9=icd9, icd10=icd10)
         member = {n: cohort_predicate(c.icd10, d) for n, d in (cohorts or {}).items()}
-        extra = [c.icd10]
     if not member:
         raise ValueError("name at least one cohort")
     columns = [f"__index{k}" for k in range(len(member))]
     seq_kw.setdefault("key_source", claims)
     rows = episode_rows(src, rules, flag_rules=flag_rules, c=c, measured=dict(zip(columns, member.values(), strict=True)),
-                        exclude_planned=False, extra=extra, **seq_kw)
+                        exclude_planned=False, **seq_kw)
     opened = F.filter(F.array(*[F.when(F.col(k), F.lit(n)) for k, n in zip(columns, member, strict=True)]), lambda x: x.isNotNull())
     j = rows.withColumn("__opens", opened).join(bene_groups(bene, {"__state": b.state}, c.person, b), c.person, "left")
     each = j.withColumn("cohort", F.explode_outer("__opens"))

@@ -41,8 +41,9 @@ from ..session import hot_key_rows as _conf_hot_key_rows
 
 _UNB = Window.unboundedPreceding
 
-# Smallest threshold at which the hot keys are broadcast without being measured.
-BROADCAST_FROM = 100_000
+# Smallest threshold at which the hot keys are broadcast without being measured:
+# no more than one row in a hundred, of which the key alone.
+BROADCAST_FROM = 100
 
 
 @dataclass
@@ -110,7 +111,9 @@ def previous_in_sequence(df: DataFrame, entity: str, order: Sequence[str],
     hot = (counts.where(F.col("__n") > F.lit(threshold))
            .select(F.col(entity).alias("__hk"), F.lit(True).alias("__hot")))
     # |hot| <= rows / threshold: a proven bound for the broadcast, small from
-    # BROADCAST_FROM rows on.  Below, the planner decides by measured size.
+    # BROADCAST_FROM rows on.  Below, the planner decides by measured size.  (By
+    # the size of the counts before the filter, that is: from some hundred thousand
+    # entities on it joins by a shuffle that brings a hot entity into one task.)
     small = F.broadcast if threshold >= BROADCAST_FROM else (lambda side: side)
     tagged = base.join(small(hot), F.col(entity).eqNullSafe(F.col("__hk")), "left")
 

@@ -111,10 +111,13 @@ def _skewed_claims(i: Inputs, claims: DataFrame | None = None) -> DataFrame:
 
 def _tied_claims(i: Inputs) -> DataFrame:
     """The skewed claims, every second claim with a second segment that differs
-    in discharge and diagnosis only."""
-    second = i.claims.where(F.col(C.claim) % 2 == 0).withColumns(
-        {C.disch: F.date_add(C.disch, 9), C.dx1: F.col(C.dx[1])})
-    return _skewed_claims(i, i.claims.unionByName(second))
+    in discharge and diagnosis only (the claims are read once)."""
+    segments = F.when(F.col(C.claim) % 2 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    second = F.col("__segment") == 2
+    both = i.claims.withColumn("__segment", F.explode(segments)).withColumns(
+        {C.disch: F.when(second, F.date_add(C.disch, 9)).otherwise(F.col(C.disch)),
+         C.dx1: F.when(second, F.col(C.dx[1])).otherwise(F.col(C.dx1))}).drop("__segment")
+    return _skewed_claims(i, both)
 
 
 def _key_violations_mixed(i: Inputs) -> DataFrame:

@@ -40,3 +40,26 @@ def top_project(df):
     df.collect()
     lines = df._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan ==")[0].splitlines()
     return next(x for x in lines if "Project [" in x).split("Project [")[0]
+
+
+def test_no_shuffle_of_claims_by_code(spark):
+    """Claims with a frequent code, or none, do not meet in one task."""
+    for name in ("rates_for_cohort_table", "rates_for_five_cohorts", "claims_icd10", "cohort_by_prefix_table"):
+        plan = CAT.QUERIES[name](spark, SF0001)._jdf.queryExecution().executedPlan().toString()
+        joins = [x for x in plan.splitlines() if "Join [" in x and ("[d1#" in x or "icd10_code#" in x.split("Join [")[1][:40])]
+        assert joins and all("BroadcastHashJoin" in x for x in joins), joins
+
+
+def test_hot_entities_are_broadcast_however_many_there_are(spark):
+    """The shuffle by person holds cold persons only."""
+    kw = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in kw}
+    try:
+        for k, v in kw.items():
+            spark.conf.set(k, v)
+        plan = CAT.QUERIES["all_cause_readmission_tied"](spark, SF0001)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert not [x for x in plan.splitlines() if "SortMergeJoin" in x and "__hk" in x]
+    assert [x for x in plan.splitlines() if "BroadcastHashJoin" in x and "__hk" in x]
