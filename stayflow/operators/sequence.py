@@ -103,7 +103,14 @@ def previous_in_sequence(df: DataFrame, entity: str, order: Sequence[str],
         return [F.last(m, ignorenulls=True).over(frame).alias(p) for m, p in zip(mnames, pnames)]
 
     if threshold < 0:
-        out = base.select("*", *running(Window.partitionBy(entity).orderBy(*sort_cols))).drop(*mnames)
+        # An entity's rows meet in one task, so they should be narrow: a first
+        # window, over rows alike in the two leading order columns, replaces the
+        # others by their rank; then only what the caller reads travels on.
+        if order[2:]:
+            tied = Window.partitionBy(entity, *order[:2]).orderBy(*sort_cols[2:])
+            base = base.withColumn("__rank", F.row_number().over(tied))
+            sort_cols = [*sort_cols[:2], F.col("__rank")]
+        out = base.select("*", *running(Window.partitionBy(entity).orderBy(*sort_cols))).drop(*mnames, "__rank")
         return _expand(out, base_cols, tracks, pnames)
 
     src_keys = key_source.select(entity) if key_source is not None else base.select(entity)

@@ -59,9 +59,13 @@ def readmission_condition(rules: RuleSet, c: ClaimCols = ClaimCols(),
     stay admitted on the previous discharge day does not.  Exclusions keep
     SQL NULL semantics (a NULL principal diagnosis is never flagged).
     """
+    return readmission_gap(rules, c, prev_col) & flag_exclusions(c.dx1, c.dx[:9], rules)
+
+
+def readmission_gap(rules: RuleSet, c: ClaimCols = ClaimCols(), prev_col: str = PREV_DISCHARGE) -> Column:
+    """The part of ``readmission_condition`` that needs the previous stay."""
     admit, prev = F.col(c.admit), F.col(prev_col)
-    return ((days_between(admit, prev) <= F.lit(rules.max_gap)) & (admit != prev)
-            & flag_exclusions(c.dx1, c.dx[:9], rules))
+    return (days_between(admit, prev) <= F.lit(rules.max_gap)) & (admit != prev)
 
 
 def all_cause_readmission(claims: DataFrame, rules: RuleSet, c: ClaimCols = ClaimCols(),
@@ -69,9 +73,11 @@ def all_cause_readmission(claims: DataFrame, rules: RuleSet, c: ClaimCols = Clai
     """Flagged stays: complete stays whose previous complete stay (any year)
     ended at most ``max_gap`` days before admission, after exclusions."""
     seq_kw.setdefault("key_source", claims)
-    p = prev_stay(needed(claims, c), c, **seq_kw)
+    # The exclusions are the row's own: tested before the rows move.
+    tested = needed(claims, c).withColumn("__counts", flag_exclusions(c.dx1, c.dx[:9], rules))
+    p = prev_stay(tested, c, **seq_kw)
     cols = [c.person, c.claim, c.admit, c.disch, c.dx1] + ([c.proc1] if c.proc1 else [])
-    return (p.where(readmission_condition(rules, c))
+    return (p.where(readmission_gap(rules, c) & F.col("__counts"))
              .select(*cols, PREV_DISCHARGE, PREV_DIAGNOSIS, F.lit(1).alias(IS_READMISSION)))
 
 

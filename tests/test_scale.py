@@ -1,7 +1,7 @@
 """What a task reads or computes grows with the rows, not with a fixed count or
 one value's share of them."""
 
-from conftest import SF0001
+from conftest import SF0001, rows_of
 
 from stayflow.plans import catalog as CAT
 from stayflow.sources import extracts as X
@@ -63,3 +63,17 @@ def test_hot_entities_are_broadcast_however_many_there_are(spark):
             spark.conf.set(k, v)
     assert not [x for x in plan.splitlines() if "SortMergeJoin" in x and "__hk" in x]
     assert [x for x in plan.splitlines() if "BroadcastHashJoin" in x and "__hk" in x]
+
+
+def test_unsplit_rows_are_narrow(spark):
+    """The shuffle by person does not carry the diagnoses that only break ties."""
+    plan = CAT.QUERIES["all_cause_readmission_tied_unsplit"](spark, SF0001)
+    text = plan._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan ==")[0].splitlines()
+    at = next(k for k, x in enumerate(text) if "Exchange hashpartitioning(person_id" in x)
+    below = next(x for x in text[at + 1:] if "Project [" in x)
+    assert not [d for d in ("d5#", "d6#", "d7#") if d in below.split("Project [")[1]], below
+
+
+def test_unsplit_ties_rank_like_the_split(spark):
+    q = CAT.QUERIES
+    assert rows_of(q["all_cause_readmission_tied_unsplit"](spark, SF0001)) == rows_of(q["all_cause_readmission_tied"](spark, SF0001))
