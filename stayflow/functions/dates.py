@@ -32,7 +32,8 @@ def parse_date(c: Column, fmt: str = SOURCE_DATE_FORMAT, on_error: str = "fail")
         raise ValueError(f"on_error must be 'fail' or 'null', got {on_error!r}")
     # Explicit, so the load fails whether or not the session runs ANSI mode.
     bad = F.concat(F.lit(f"cannot parse date ({fmt}): "), t)
-    return F.when(t.isNotNull() & d.isNull(), F.raise_error(bad).cast("date")).otherwise(d)
+    # The date stands here once: it is not parsed again to return what was tested.
+    return F.coalesce(d, F.when(t.isNotNull(), F.raise_error(bad).cast("date")))
 
 
 def days_between(later: Column | str, earlier: Column | str) -> Column:

@@ -12,6 +12,7 @@ admission: the previous-stay windows and the beneficiary join read them without
 shuffle by person.  Where one person (or NULL) holds more rows than one task should
 (``spark.stayflow.hotKeyRows``), a bucket would too; claims are then range-partitioned by
 person and admission instead, which splits that person, and the measure shuffles.
+Extracts are parsed once: such persons are looked for in the stored table.
 """
 
 from __future__ import annotations
@@ -49,18 +50,31 @@ def _join(base: str, name: str) -> str:
 
 def store_by_person(df: DataFrame, path: str, person: str, sort_by: list[str], buckets: int) -> tuple[DataFrame, int]:
     """``df`` stored in ``path`` by person, and its row count: bucketed unless a
-    person is hot (then range-clustered, and read without buckets)."""
+    person is hot (then range-clustered, and read without buckets).
+
+    ``df`` is read once: persons are counted in the bucketed table, of which that
+    scans one column and shuffles nothing, and only if one is hot is the table
+    written over.  AQE deals the buckets to the writing tasks by their size
+    (``rebalance``), a large one to several, so that a hot person is in no one
+    task before it is found; without AQE the persons are counted first.
+    """
     spark = df.sparkSession
     limit = hot_key_rows(spark)
-    if limit >= 0 and TB.has_hot_key(df, person, limit):
-        order = [F.col(x).asc_nulls_last() for x in (person, *sort_by)]
-        ready = df.repartitionByRange(buckets, *order).sortWithinPartitions(*order)
-        n = TB.counted_write(ready, lambda d: d.write.mode("overwrite").parquet(path))
-        return spark.read.parquet(path), n
-    name = f"stayflow_{uuid.uuid4().hex}"
-    n = TB.counted_write(df.repartition(buckets, person), lambda d: TB.save_bucketed(
-        d, name, [person], buckets, sort_by=[person, *sort_by], path=path, by_task=True))
-    return spark.table(name), n
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled").lower() == "true"
+    hot = limit >= 0 and not adaptive and TB.has_hot_key(df, person, limit)
+    if not hot:
+        name = f"stayflow_{uuid.uuid4().hex}"
+        dealt = df.hint("rebalance", buckets, person) if adaptive else df.repartition(buckets, person)
+        n = TB.counted_write(dealt, lambda d: TB.save_bucketed(
+            d, name, [person], buckets, sort_by=[person, *sort_by], path=path, by_task=True))
+        stored = spark.table(name)
+        if limit < 0 or not adaptive or not TB.has_hot_key(stored, person, limit):
+            return stored, n
+        spark.sql(f"DROP TABLE {name}")  # its files are written over
+    order = [F.col(x).asc_nulls_last() for x in (person, *sort_by)]
+    ready = df.repartitionByRange(buckets, *order).sortWithinPartitions(*order)
+    n = TB.counted_write(ready, lambda d: d.write.mode("overwrite").parquet(path))
+    return spark.read.parquet(path), n
 
 
 def refresh_measure(spark: SparkSession, *, claims_path: str, bene_path: str, state_path: str,

@@ -84,7 +84,8 @@ def typed(col: str, dtype: T.DataType, on_error: str = "fail") -> Column:
     if on_error == "null":
         return cast.alias(col)
     bad = F.concat(F.lit(f"cannot read {col} as {dtype.simpleString()}: "), v)
-    return F.when(v.isNotNull() & cast.isNull(), F.raise_error(bad).cast(dtype)).otherwise(cast).alias(col)
+    # The cast stands here once: it is not made again to return what was tested.
+    return F.coalesce(cast, F.when(v.isNotNull(), F.raise_error(bad).cast(dtype))).alias(col)
 
 
 def typed_projection(df: DataFrame, columns: Iterable[tuple[str, T.DataType]],

@@ -109,6 +109,74 @@ def test_a_hot_person_is_not_put_in_one_bucket(spark, tmp_dir, hot):
             spark.conf.set("spark.stayflow.hotKeyRows", old)
 
 
+def tallied(spark, rows=1000):
+    """Rows of ten persons, and how many of them were computed."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def tally(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    df = spark.range(rows, numPartitions=3).mapInArrow(tally, "id long")
+    return df.select((F.col("id") % 10).alias("p"), "id"), seen
+
+
+def test_storing_by_person_reads_the_source_once(spark, tmp_dir):
+    if spark.conf.get("spark.sql.adaptive.enabled") != "true":
+        pytest.skip("without AQE the persons are counted first")
+    df, seen = tallied(spark)
+    stored, n = J.store_by_person(df, f"{tmp_dir}/t", "p", ["id"], 4)
+    assert seen.value == n == 1000 and rows_of(stored) == rows_of(spark.range(1000).select(F.expr("id % 10 AS p"), "id"))
+
+
+def test_a_found_hot_person_leaves_no_table_behind(spark, tmp_dir):
+    old = spark.conf.get("spark.stayflow.hotKeyRows", None)
+    spark.conf.set("spark.stayflow.hotKeyRows", "99")
+    before = {t.name for t in spark.catalog.listTables()}
+    try:
+        df, _ = tallied(spark)
+        stored, n = J.store_by_person(df, f"{tmp_dir}/t", "p", ["id"], 4)
+    finally:
+        if old is None:
+            spark.conf.unset("spark.stayflow.hotKeyRows")
+        else:
+            spark.conf.set("spark.stayflow.hotKeyRows", old)
+    assert {t.name for t in spark.catalog.listTables()} == before
+    want = rows_of(spark.range(1000).select(F.expr("id % 10 AS p"), "id"))
+    assert n == 1000 and rows_of(stored) == rows_of(spark.read.parquet(f"{tmp_dir}/t")) == want
+
+
+def test_a_large_bucket_is_dealt_to_several_tasks(spark, tmp_dir):
+    if spark.conf.get("spark.sql.adaptive.enabled") != "true":
+        pytest.skip("without AQE the persons are counted first")
+    claims, bene = loaded(spark)
+    person = F.when(F.col("CLM_ID").cast("long") % 3 == 0, F.lit("1")).otherwise(F.col("DESYNPUF_ID"))
+    claims.withColumn("DESYNPUF_ID", person).repartition(8).write.parquet(f"{tmp_dir}/in")
+    skewed = spark.read.parquet(f"{tmp_dir}/in")
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(size)
+    spark.conf.set(size, "32k")
+    try:
+        c, n = J.store_by_person(skewed, f"{tmp_dir}/c", "DESYNPUF_ID", ["CLM_ADMSN_DT", "CLM_ID"], 4)
+    finally:
+        spark.conf.set(size, old)
+    assert c.where("DESYNPUF_ID = '1'").select(F.input_file_name()).distinct().count() > 1
+    assert n == c.count() == claims.count()
+    assert rows_of(R.readmission_rate(c, bene, CAT.GAP)) == rows_of(R.readmission_rate(skewed, bene, CAT.GAP))
+
+
+@pytest.mark.parametrize("dtype,read", [("date", "try_to_date("), ("int", "try_cast("), ("decimal(10,2)", "try_cast(")])
+def test_a_value_is_read_once(spark, dtype, read):
+    """What tests a text's type gives the value too."""
+    from pyspark.sql import types as T
+    texts = spark.createDataFrame([("20080229",), (" ",), (None,), ("",)], "x string")
+    got = texts.select(FL.typed("x", T.DataType.fromDDL(dtype)))
+    assert got._jdf.queryExecution().analyzed().toString().split("\n")[0].count(read) == 1
+    assert [r[0] is None for r in got.collect()] == [False, True, True, True]
+    with pytest.raises(Exception, match="cannot"):
+        texts.select(F.lit("20080431x").alias("x")).select(FL.typed("x", T.DataType.fromDDL(dtype))).collect()
+
+
 # -- counts ---------------------------------------------------------------------
 
 def test_counts_come_with_the_write(spark, tmp_dir):
